@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streams: its "recent window" features are static filters
+relative to the application day, not event-time windows, and there are no
+sources, watermarks or stateful operators to rebuild.  Nothing is registered
+here on purpose; the batch blocks in ``riskloom.plans.blocks`` are plain
+DataFrame plans, so a caller can run them per micro-batch with
+``foreachBatch`` if ever needed.
+"""
