@@ -76,6 +76,11 @@ def q_assembly(spark, d):
     return B.assemble(base, blocks)
 
 
+def q_app_v7(spark, d):
+    from riskloom.plans.application import feature_set
+    return feature_set(FX.application(spark, d), version=7)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -83,6 +88,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q04_installments_block": q_ins,
     "q05_card_block": q_card,
     "q06_feature_assembly": q_assembly,
+    "q07_application_v7": q_app_v7,
 }
 
 
@@ -106,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from sqlcheck.blocks_sql import (assembly_sql, bureau_block_sql, canon_block, card_block_sql,
                                      ins_block_sql, pos_block_sql, prev_block_sql)
+    from sqlcheck.application_sql import v7_sql
     return {
         "q01_prev_block": canon_block(prev_block_sql),
         "q02_bureau_block": canon_block(bureau_block_sql),
@@ -113,4 +120,5 @@ def oracle_sql() -> dict[str, str]:
         "q04_installments_block": canon_block(ins_block_sql),
         "q05_card_block": canon_block(card_block_sql),
         "q06_feature_assembly": assembly_sql(),
+        "q07_application_v7": v7_sql(),
     }

@@ -56,7 +56,7 @@ def application(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 5).cast("double").alias("CNT_FAM_MEMBERS"),
         (k % 4).cast("int").alias("CNT_CHILDREN"),
         F.when((k % 3) == 0, (k % 20).cast("double")).alias("OWN_CAR_AGE"),
-        F.when((k % 2) == 1, (bal + 1000.0) / 11000.0).alias("EXT_SOURCE_1"),
+        F.when((k % 3) != 0, (bal + 1000.0) / 11000.0).alias("EXT_SOURCE_1"),
         ((k * 7919) % 1000 / 1000.0).alias("EXT_SOURCE_2"),
         F.when((F.col("c_nationkey") % 4) != 0, (F.col("c_nationkey") + 1) / 26.0).alias("EXT_SOURCE_3"),
         (-(F.lit(7000) + (k * 37) % 18000)).cast("int").alias("DAYS_BIRTH"),

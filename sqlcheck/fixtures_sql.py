@@ -17,7 +17,7 @@ SELECT c.c_custkey AS SK_ID_CURR,
   (c.c_custkey % 5)::DOUBLE AS CNT_FAM_MEMBERS,
   (c.c_custkey % 4)::INTEGER AS CNT_CHILDREN,
   CASE WHEN c.c_custkey % 3 = 0 THEN (c.c_custkey % 20)::DOUBLE END AS OWN_CAR_AGE,
-  CASE WHEN c.c_custkey % 2 = 1 THEN (c.c_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE END AS EXT_SOURCE_1,
+  CASE WHEN c.c_custkey % 3 <> 0 THEN (c.c_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE END AS EXT_SOURCE_1,
   ((c.c_custkey * 7919) % 1000)::DOUBLE / 1000.0::DOUBLE AS EXT_SOURCE_2,
   CASE WHEN c.c_nationkey % 4 <> 0 THEN (c.c_nationkey + 1)::DOUBLE / 26.0::DOUBLE END AS EXT_SOURCE_3,
   (-(7000 + (c.c_custkey * 37) % 18000))::INTEGER AS DAYS_BIRTH,
