@@ -81,6 +81,81 @@ def q_app_v7(spark, d):
     return feature_set(FX.application(spark, d), version=7)
 
 
+APP_LABELS = ["NAME_EDUCATION_TYPE", "NAME_HOUSING_TYPE", "NAME_INCOME_TYPE", "NAME_TYPE_SUITE"]
+PEARSON_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "DAYS_BIRTH"]
+
+
+def _app_long(spark, d, train_only=True):
+    from riskloom.operators.stats import long_numeric, numeric_columns
+    app = FX.application(spark, d)
+    if train_only:
+        app = app.where(F.col("split") == "train")
+    cols = numeric_columns(app, exclude=("SK_ID_CURR", "TARGET", "split"))
+    return long_numeric(app, ["SK_ID_CURR", "TARGET"], cols)
+
+
+def q_auc(spark, d):
+    from riskloom.operators.stats import auc_by_group
+    return auc_by_group(_app_long(spark, d), "value", "TARGET", ["feature"])
+
+
+def q_ap(spark, d):
+    from riskloom.operators.stats import average_precision_by_group
+    return average_precision_by_group(_app_long(spark, d), "value", "TARGET", ["feature"])
+
+
+def q_spearman(spark, d):
+    from riskloom.operators.stats import spearman_with_label
+    return spearman_with_label(_app_long(spark, d), "value", "TARGET", ["feature"])
+
+
+def q_mi(spark, d):
+    from riskloom.operators.encode import melt
+    from riskloom.operators.stats import mutual_information
+    app = FX.application(spark, d).where(F.col("split") == "train")
+    long = melt(app.select("SK_ID_CURR", "TARGET", *APP_LABELS), ["SK_ID_CURR", "TARGET"], APP_LABELS)
+    return mutual_information(long.where(F.col("value").isNotNull()), "value", "TARGET", ["feature"])
+
+
+def q_quantiles(spark, d):
+    from riskloom.operators.stats import numeric_columns, quantiles_long
+    app = FX.application(spark, d)
+    cols = numeric_columns(app, exclude=("SK_ID_CURR", "TARGET", "split"))
+    return quantiles_long(app, cols, [0.1, 0.5, 0.9])
+
+
+def q_missing(spark, d):
+    from riskloom.operators.stats import missing_table
+    t = q_assembly(spark, d)
+    return missing_table(t, [c for c in t.columns if c not in ("SK_ID_CURR", "split")])
+
+
+def q_audit(spark, d):
+    from riskloom.operators.stats import column_audit
+    return column_audit(FX.application(spark, d), exclude=("SK_ID_CURR",)).drop("dtype")
+
+
+def q_pearson(spark, d):
+    from riskloom.operators.stats import pearson_matrix
+    return pearson_matrix(FX.application(spark, d), PEARSON_COLS)
+
+
+def q_category_rate(spark, d):
+    from riskloom.operators.stats import category_target_rate
+    return category_target_rate(FX.application(spark, d).where(F.col("split") == "train"), "NAME_INCOME_TYPE")
+
+
+def q_label_balance(spark, d):
+    from riskloom.operators.stats import label_balance
+    return label_balance(FX.application(spark, d).where(F.col("split") == "train"))
+
+
+def q_duplicates(spark, d):
+    from riskloom.operators.stats import duplicate_columns
+    t = q_assembly(spark, d)
+    return duplicate_columns(t, [c for c in t.columns if c not in ("SK_ID_CURR", "split", "TARGET")], "SK_ID_CURR")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -89,6 +164,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q05_card_block": q_card,
     "q06_feature_assembly": q_assembly,
     "q07_application_v7": q_app_v7,
+    "q08_auc_single_feature": q_auc,
+    "q09_average_precision": q_ap,
+    "q10_spearman_abs": q_spearman,
+    "q11_mutual_info_categorical": q_mi,
+    "q12_exact_quantiles": q_quantiles,
+    "q13_missing_table": q_missing,
+    "q14_column_audit": q_audit,
+    "q15_pearson_matrix": q_pearson,
+    "q16_category_target_rate": q_category_rate,
+    "q17_label_balance": q_label_balance,
+    "q18_duplicate_columns": q_duplicates,
 }
 
 
@@ -112,7 +198,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from sqlcheck.blocks_sql import (assembly_sql, bureau_block_sql, canon_block, card_block_sql,
                                      ins_block_sql, pos_block_sql, prev_block_sql)
+    from sqlcheck import stats_sql as S
     from sqlcheck.application_sql import v7_sql
+    from sqlcheck.blocks_sql import assembly_columns
     return {
         "q01_prev_block": canon_block(prev_block_sql),
         "q02_bureau_block": canon_block(bureau_block_sql),
@@ -121,4 +209,15 @@ def oracle_sql() -> dict[str, str]:
         "q05_card_block": canon_block(card_block_sql),
         "q06_feature_assembly": assembly_sql(),
         "q07_application_v7": v7_sql(),
+        "q08_auc_single_feature": S.auc_sql(),
+        "q09_average_precision": S.ap_sql(),
+        "q10_spearman_abs": S.spearman_sql(),
+        "q11_mutual_info_categorical": S.mi_sql(),
+        "q12_exact_quantiles": S.medians_sql(),
+        "q13_missing_table": S.missing_table_sql(assembly_sql(), [c for c in assembly_columns()
+                                                                  if c not in ("SK_ID_CURR", "split")]),
+        "q14_column_audit": S.audit_sql(),
+        "q15_pearson_matrix": S.pearson_sql(PEARSON_COLS),
+        "q16_category_target_rate": S.category_rate_sql(),
+        "q17_label_balance": S.label_balance_sql(),
     }

@@ -105,3 +105,25 @@ def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: S
     extra = [F.col(c) for c in cols]
     t = cumulative_counts(df, value, group, tiebreak=tiebreak, extra=extra, buckets=buckets)
     return t.withColumnRenamed("cum", out).drop("cnt")
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (),
+                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
+
+    Unlike the exact ``percentile`` aggregate — which buffers every value of a
+    group in one task — this reads the cumulative value-count table: the value
+    at 0-based position k is the smallest value whose cumulative count exceeds
+    k.  Output (group..., p, q).
+    """
+    t = cumulative_counts(df, value, group, buckets=buckets)
+    ps = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
+    t = t.select(*group, value, "cum", "n", ps)
+    h = (F.col("n") - 1) * F.col("p")
+    lo, hi = F.floor(h), F.ceil(h)
+    g = t.groupBy(*group, "p").agg(
+        F.min(F.when(F.col("cum") > lo, F.col(value))).alias("_vlo"),
+        F.min(F.when(F.col("cum") > hi, F.col(value))).alias("_vhi"),
+        F.first(h).alias("_h"))
+    frac = F.col("_h") - F.floor(F.col("_h"))
+    return g.select(*group, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).cast("double").alias("q"))

@@ -142,6 +142,13 @@ def canon_block(fn) -> str:
     return canon(body, cols, ints)
 
 
+def assembly_columns() -> list[str]:
+    cols = ["SK_ID_CURR", "split", "TARGET"]
+    for fn in (bureau_block_sql, prev_block_sql, pos_block_sql, ins_block_sql, card_block_sql):
+        cols += [x for x in fn()[1] if x != "SK_ID_CURR"]
+    return cols
+
+
 def assembly_sql() -> str:
     """Q6: base (id, split, TARGET) left-joined with the five blocks."""
     parts, cols, ints = [], ["SK_ID_CURR", "split", "TARGET"], {"SK_ID_CURR", "TARGET"}
