@@ -156,6 +156,67 @@ def q_duplicates(spark, d):
     return duplicate_columns(t, [c for c in t.columns if c not in ("SK_ID_CURR", "split", "TARGET")], "SK_ID_CURR")
 
 
+BLEND_MODELS = ["m1", "m2", "m3", "m4"]
+BLEND_WEIGHTS = {"m1": 0.79, "m2": 0.77, "m3": 0.78, "m4": 0.5}
+BLENDS = {
+    "q23_blend_mean": ("mean", {}),
+    "q24_blend_median": ("median", {}),
+    "q25_blend_trimmed_mean": ("trimmed_mean", {"trim_frac": 0.25}),
+    "q26_blend_weighted_mean": ("weighted_mean", {}),
+    "q27_blend_power_mean": ("power_mean", {"power": 2.0}),
+    "q28_blend_geometric_mean": ("power_mean", {"power": 0.0}),
+    "q29_blend_logit_mean": ("logit_mean", {}),
+    "q30_blend_rank_mean": ("rank_mean", {}),
+    "q31_blend_rank_median": ("rank_median", {}),
+    "q32_blend_rank_weighted_mean": ("rank_weighted_mean", {}),
+    "q33_blend_rank_power_mean": ("rank_power_mean", {"power": 0.5}),
+}
+
+
+def _train_app(spark, d):
+    return FX.application(spark, d).where(F.col("split") == "train").select("SK_ID_CURR", "TARGET")
+
+
+def q_folds(spark, d):
+    from riskloom.operators.folds import stratified_folds
+    return stratified_folds(_train_app(spark, d), k=5, seed=42)
+
+
+def q_pos_weights(spark, d):
+    from riskloom.operators.folds import positive_weights, stratified_folds
+    return positive_weights(stratified_folds(_train_app(spark, d)), cap=50.0)
+
+
+def q_undersample(spark, d):
+    from riskloom.operators.folds import undersample
+    return undersample(_train_app(spark, d), ratio=3.0, seed=42)
+
+
+def q_balanced(spark, d):
+    from riskloom.operators.folds import balanced_weight
+    return balanced_weight(_train_app(spark, d))
+
+
+def _blend_query(method, kw):
+    def run(spark, d):
+        from riskloom.operators.blend import blend
+        w = BLEND_WEIGHTS if "weighted" in method else None
+        return blend(FX.predictions(spark, d), BLEND_MODELS, method, weights=w, **kw)
+    return run
+
+
+def q_alpha(spark, d):
+    from riskloom.operators.blend import alpha_blend, blend
+    p = FX.predictions(spark, d)
+    return alpha_blend(blend(p, BLEND_MODELS, "rank_mean"),
+                       blend(p, BLEND_MODELS, "weighted_mean", weights=BLEND_WEIGHTS), 0.5)
+
+
+def q_pct_rank(spark, d):
+    from riskloom.functions.ranks import with_average_rank
+    return with_average_rank(FX.predictions(spark, d), "pred", ["model"], out="rank", pct=True).drop("pred")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -175,6 +236,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q16_category_target_rate": q_category_rate,
     "q17_label_balance": q_label_balance,
     "q18_duplicate_columns": q_duplicates,
+    "q19_stratified_folds": q_folds,
+    "q20_fold_positive_weights": q_pos_weights,
+    "q21_undersample": q_undersample,
+    "q22_balanced_weight": q_balanced,
+    **{k: _blend_query(m, kw) for k, (m, kw) in BLENDS.items()},
+    "q34_alpha_blend": q_alpha,
+    "q35_percent_rank": q_pct_rank,
 }
 
 
@@ -198,6 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from sqlcheck.blocks_sql import (assembly_sql, bureau_block_sql, canon_block, card_block_sql,
                                      ins_block_sql, pos_block_sql, prev_block_sql)
+    from sqlcheck import blend_sql as BL
     from sqlcheck import stats_sql as S
     from sqlcheck.application_sql import v7_sql
     from sqlcheck.blocks_sql import assembly_columns
@@ -220,4 +289,11 @@ def oracle_sql() -> dict[str, str]:
         "q15_pearson_matrix": S.pearson_sql(PEARSON_COLS),
         "q16_category_target_rate": S.category_rate_sql(),
         "q17_label_balance": S.label_balance_sql(),
+        "q19_stratified_folds": BL.folds_canon(),
+        "q20_fold_positive_weights": BL.pos_weight_sql(),
+        "q21_undersample": BL.undersample_sql(),
+        "q22_balanced_weight": BL.balanced_sql(),
+        **{k: BL.blend_sql(m, **kw) for k, (m, kw) in BLENDS.items()},
+        "q34_alpha_blend": BL.alpha_blend_sql(),
+        "q35_percent_rank": BL.pct_rank_sql(),
     }

@@ -205,3 +205,23 @@ def credit_card(spark: SparkSession, sf_dir: str) -> DataFrame:
         et.isin("click", "purchase").cast("double").alias("CNT_DRAWINGS_CURRENT"),
         (et == "purchase").cast("double").alias("CNT_DRAWINGS_POS_CURRENT"),
     )
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long prediction table (id, model, pred): four closed-form scores of customer columns.
+
+    m2 is missing for ids divisible by 50, which exercises the outer-join-then-drop path.
+    One scan of customer, exploded to one row per model.
+    """
+    cu = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    m1 = (F.col("c_acctbal") + 1000.0) / 11000.0
+    preds = F.array(
+        F.struct(F.lit("m1").alias("model"), m1.alias("pred")),
+        F.struct(F.lit("m2").alias("model"),
+                 F.when((k % 50) != 0, ((k * 7919) % 1000) / 1000.0).alias("pred")),
+        F.struct(F.lit("m3").alias("model"), ((F.col("c_nationkey") + 1) / 26.0).alias("pred")),
+        F.struct(F.lit("m4").alias("model"), (F.lit(1.0) - m1).alias("pred")),
+    )
+    return (cu.select(k.alias("id"), F.explode(preds).alias("p"))
+              .select("id", "p.model", "p.pred").where(F.col("pred").isNotNull()))

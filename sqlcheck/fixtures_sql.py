@@ -141,3 +141,11 @@ def with_fixtures(*names: str, extra: dict[str, str] | None = None) -> str:
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v})")
     return "WITH " + ",\n".join(parts) + "\n"
+
+PREDS = """
+SELECT c_custkey AS id, 'm1' AS model, (c_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE AS pred FROM customer
+UNION ALL SELECT c_custkey, 'm2', ((c_custkey * 7919) % 1000)::DOUBLE / 1000.0::DOUBLE FROM customer WHERE c_custkey % 50 <> 0
+UNION ALL SELECT c_custkey, 'm3', (c_nationkey + 1)::DOUBLE / 26.0::DOUBLE FROM customer
+UNION ALL SELECT c_custkey, 'm4', 1.0::DOUBLE - (c_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE FROM customer
+"""
+FIXTURES["preds"] = PREDS
