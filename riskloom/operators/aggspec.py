@@ -85,13 +85,74 @@ def spec_columns(df: DataFrame, spec: AggSpec, prefix: str,
 
 def aggregate(df: DataFrame, key: str | Sequence[str], spec: AggSpec, prefix: str,
               windows: Sequence[Window] = ()) -> DataFrame:
-    """Group by ``key`` and compute ``spec`` over all rows plus each window, in one pass."""
+    """Group by ``key`` and compute ``spec`` over all rows plus each window, in one pass.
+
+    A spec with ``nunique`` on one column takes the two-level path
+    (``_two_level``) instead of ``countDistinct``, whose Expand rewrite copies
+    every input row once per distinct aggregate.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = spec_columns(df, spec, prefix) if prefix is not None else []
-    for w in windows:
-        cols += spec_columns(df, w.spec or spec, w.prefix, w.cond)
+    parts = [(prefix, None, spec)] if prefix is not None else []
+    parts += [(w.prefix, w.cond, w.spec or spec) for w in windows]
+    distinct = {c for _, _, sp in parts for c, fns in sp.items() if "nunique" in fns}
+    if len(distinct) == 1:
+        return _two_level(df, keys, parts, distinct.pop())
+    cols = []
+    for pre, cond, sp in parts:
+        cols += spec_columns(df, sp, pre, cond)
     return df.groupBy(*keys).agg(*cols)
 
 
+def _two_level(df: DataFrame, keys: list[str], parts, dcol: str) -> DataFrame:
+    """Exact aggregation with one distinct column, without Expand.
+
+    Level 1 groups by (key, dcol) and keeps mergeable partial states (count,
+    sum, min, max, window row counts); level 2 groups by key, merges them and
+    counts the dcol values present (per window).  Level 1 is itself partially
+    aggregated map-side, so a hot key still ships one row per (key, dcol,
+    map task).
+    """
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    l1, l2 = [], []
+    for wi, (pre, cond, sp) in enumerate(parts):
+        rows = F.count(F.lit(1)) if cond is None else F.count(F.when(cond, F.lit(1)))
+        l1.append(rows.alias(f"_r{wi}"))
+        present = None if cond is None else (F.sum(f"_r{wi}") > 0)
+        for ci, (column, fns) in enumerate(sp.items()):
+            x = F.col(column) if cond is None else F.when(cond, F.col(column))
+            tag = f"{wi}_{ci}"
+            need = set(fns)
+            if "mean" in need or "count" in need:
+                l1.append(F.count(x).alias(f"_c{tag}"))
+            if "mean" in need or "sum" in need:
+                l1.append(F.sum(x).alias(f"_s{tag}"))
+            if "min" in need:
+                l1.append(F.min(x).alias(f"_mn{tag}"))
+            if "max" in need:
+                l1.append(F.max(x).alias(f"_mx{tag}"))
+            if "nunique" in need and column != dcol:
+                raise ValueError("two-level path supports one distinct column")
+            for fn in fns:
+                if fn == "count":
+                    a = F.sum(f"_c{tag}")
+                elif fn == "sum":
+                    zero = F.lit(0.0) if types[column] in ("double", "float") else F.lit(0).cast("long")
+                    a = F.coalesce(F.sum(f"_s{tag}"), zero)
+                elif fn == "mean":
+                    a = F.sum(f"_s{tag}").cast("double") / F.sum(f"_c{tag}")
+                elif fn == "min":
+                    a = F.min(f"_mn{tag}")
+                elif fn == "max":
+                    a = F.max(f"_mx{tag}")
+                elif fn == "nunique":
+                    a = F.count(F.when(F.col(f"_r{wi}") > 0, F.col(dcol)))
+                else:
+                    raise ValueError(fn)
+                if present is not None:
+                    a = F.when(present, a)
+                l2.append(a.alias(feature_name(pre, column, fn)))
+    return df.groupBy(*keys, dcol).agg(*l1).groupBy(*keys).agg(*l2)
+
+
 def feature_names(spec: AggSpec, prefix: str) -> list[str]:
     return [feature_name(prefix, c, fn) for c, fns in spec.items() for fn in fns]
