@@ -217,6 +217,33 @@ def q_pct_rank(spark, d):
     return with_average_rank(FX.predictions(spark, d), "pred", ["model"], out="rank", pct=True).drop("pred")
 
 
+def _app_split(spark, d):
+    app = FX.application(spark, d)
+    train = app.where(F.col("split") == "train").drop("split")
+    test = app.where(F.col("split") == "test").drop("split", "TARGET")
+    return train, test
+
+
+def q_oof_auc(spark, d):
+    from riskloom.operators.stats import numeric_columns
+    from riskloom.plans.screen import oof_single_feature_auc
+    train, _ = _app_split(spark, d)
+    return oof_single_feature_auc(train, numeric_columns(train, exclude=("SK_ID_CURR", "TARGET")))
+
+
+def q_stage1(spark, d):
+    from riskloom.plans.screen import stage1
+    train, test = _app_split(spark, d)
+    return stage1(train, test)
+
+
+def q_stage0(spark, d):
+    from riskloom.plans.screen import stage0
+    train, test = _app_split(spark, d)
+    audit, _ = stage0(train, test)
+    return audit.drop("dtype")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -243,6 +270,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{k: _blend_query(m, kw) for k, (m, kw) in BLENDS.items()},
     "q34_alpha_blend": q_alpha,
     "q35_percent_rank": q_pct_rank,
+    "q36_oof_single_feature_auc": q_oof_auc,
+    "q37_screen_stage1": q_stage1,
+    "q38_screen_stage0_audit": q_stage0,
 }
 
 
@@ -296,4 +326,5 @@ def oracle_sql() -> dict[str, str]:
         **{k: BL.blend_sql(m, **kw) for k, (m, kw) in BLENDS.items()},
         "q34_alpha_blend": BL.alpha_blend_sql(),
         "q35_percent_rank": BL.pct_rank_sql(),
+        "q36_oof_single_feature_auc": S.oof_auc_sql(),
     }

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 DEFAULT_BUCKETS = 64
 
 
@@ -33,7 +35,8 @@ def _const_key(df: DataFrame) -> DataFrame:
 
 def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
                       weight: str | Column | None = None, extra: Sequence[Column] = (),
-                      tiebreak: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      tiebreak: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
+                      materialize: bool = True) -> DataFrame:
     """Rows of ``(group..., value, [tiebreak...], cnt, extra..., cum, n)``.
 
     ``cnt``  rows (or summed ``weight``) with this value,
@@ -53,6 +56,10 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
                         *extra)
     else:
         vc = src.groupBy(*g, value).agg(F.sum(w).alias("cnt"), *extra)
+    if materialize:
+        # vc feeds three branches (bounds, bucket totals, running counts); a
+        # reliable checkpoint computes the upstream plan once and cuts lineage.
+        vc = cut_lineage(vc)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(*g).agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000)
                                 .alias("_rk_bounds"))

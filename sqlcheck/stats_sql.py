@@ -113,3 +113,26 @@ def label_balance_sql() -> str:
                                    "sum((TARGET = 0)::INTEGER)::DOUBLE / sum((TARGET = 1)::INTEGER) AS ratio "
                                    "FROM app WHERE split = 'train'")
     return canon(body, ["neg", "pos", "ratio"], {"neg", "pos"})
+
+
+def oof_auc_sql() -> str:
+    """J3 numeric path over the application fixture's numeric columns."""
+    from .blend_sql import folds_sql
+    cols = ", ".join(f"{c}::DOUBLE AS {c}" for c in NUM_COLS)
+    f = folds_sql()
+    body = (f"WITH f AS ({f}), app AS ({__import__('sqlcheck.fixtures_sql', fromlist=['APPLICATION']).APPLICATION}), "
+            f"w AS (SELECT a.SK_ID_CURR, a.TARGET, f.fold, {cols} FROM app a JOIN f USING (SK_ID_CURR)), "
+            f"l AS (SELECT * FROM w UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(NUM_COLS)}))), "
+            f"med AS (SELECT l.feature, k.fold, quantile_cont(l.value, 0.5) AS m FROM l "
+            f"  JOIN (SELECT DISTINCT fold FROM f) k ON l.fold <> k.fold GROUP BY l.feature, k.fold), "
+            f"fl AS (SELECT l.feature, l.fold, l.TARGET, coalesce(l.value, med.m) AS v FROM l "
+            f"  LEFT JOIN med ON l.feature = med.feature AND l.fold = med.fold), "
+            f"sc AS (SELECT feature, TARGET, (rank() OVER (PARTITION BY feature, fold ORDER BY v) + "
+            f"  (count(*) OVER (PARTITION BY feature, fold, v) - 1) / 2.0) / count(*) OVER (PARTITION BY feature, fold) AS s "
+            f"  FROM fl WHERE v IS NOT NULL), "
+            f"r AS (SELECT feature, TARGET, rank() OVER (PARTITION BY feature ORDER BY s) + "
+            f"  (count(*) OVER (PARTITION BY feature, s) - 1) / 2.0 AS ar FROM sc), "
+            f"a AS (SELECT feature, (sum(CASE WHEN TARGET = 1 THEN ar ELSE 0 END) - sum(TARGET) * (sum(TARGET) + 1) / 2.0)"
+            f"  / (sum(TARGET)::DOUBLE * (count(*) - sum(TARGET))) AS auc FROM r GROUP BY feature) "
+            f"SELECT feature, greatest(auc, 1 - auc) AS auc_single FROM a")
+    return canon(body, ["feature", "auc_single"], set(), strings={"feature"})
