@@ -244,6 +244,40 @@ def q_stage0(spark, d):
     return audit.drop("dtype")
 
 
+def q_financial(spark, d):
+    from riskloom.plans.financial import financial_block
+    return financial_block(FX.application(spark, d))
+
+
+def q_rank_qbin(spark, d):
+    from riskloom.operators.encode import rank_quantile_bin
+    app = FX.application(spark, d).select("SK_ID_CURR", "EXT_SOURCE_2")
+    return rank_quantile_bin(app, "EXT_SOURCE_2", 64).drop("EXT_SOURCE_2")
+
+
+def q_equal_width(spark, d):
+    from riskloom.operators.encode import equal_width_bin
+    app = FX.application(spark, d).select("SK_ID_CURR", "AMT_INCOME_TOTAL")
+    return equal_width_bin(app, "AMT_INCOME_TOTAL", 10).drop("AMT_INCOME_TOTAL")
+
+
+WOE_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "DAYS_BIRTH"]
+
+
+def q_woe(spark, d):
+    from riskloom.operators.encode import melt, safe_qcut, woe_table
+    train, _ = _app_split(spark, d)
+    b = safe_qcut(train.select("SK_ID_CURR", "TARGET", *WOE_COLS), WOE_COLS, min_bin=20)
+    bins = [f"{c}_BIN" for c in WOE_COLS]
+    long = melt(b.select("SK_ID_CURR", "TARGET", *bins), ["SK_ID_CURR", "TARGET"], bins, "feature", "bin")
+    return woe_table(long)
+
+
+def q_rebuilt_term(spark, d):
+    from riskloom.plans.financial import rebuilt_term_block
+    return rebuilt_term_block(FX.previous_application(spark, d), FX.application(spark, d))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -273,6 +307,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q36_oof_single_feature_auc": q_oof_auc,
     "q37_screen_stage1": q_stage1,
     "q38_screen_stage0_audit": q_stage0,
+    "q39_financial_rate": q_financial,
+    "q40_rank_quantile_bin": q_rank_qbin,
+    "q41_equal_width_bin": q_equal_width,
+    "q42_safe_qcut_woe": q_woe,
+    "q43_rebuilt_term_rates": q_rebuilt_term,
 }
 
 
@@ -297,6 +336,7 @@ def oracle_sql() -> dict[str, str]:
     from sqlcheck.blocks_sql import (assembly_sql, bureau_block_sql, canon_block, card_block_sql,
                                      ins_block_sql, pos_block_sql, prev_block_sql)
     from sqlcheck import blend_sql as BL
+    from sqlcheck import encode_sql as EN
     from sqlcheck import stats_sql as S
     from sqlcheck.application_sql import v7_sql
     from sqlcheck.blocks_sql import assembly_columns
@@ -327,4 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "q34_alpha_blend": BL.alpha_blend_sql(),
         "q35_percent_rank": BL.pct_rank_sql(),
         "q36_oof_single_feature_auc": S.oof_auc_sql(),
+        "q39_financial_rate": EN.financial_sql(),
+        "q40_rank_quantile_bin": EN.rank_qbin_sql(),
+        "q41_equal_width_bin": EN.equal_width_sql(),
     }

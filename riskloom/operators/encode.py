@@ -211,17 +211,16 @@ def safe_qcut_edges(df: DataFrame, columns: Sequence[str], q_max: int = 10, q_mi
     column; a second computes bin counts for every candidate q.  Returns the
     chosen (deduplicated) edge list per column, or None (single ALL bin).
     """
+    from .stats import quantiles_long
     qs = list(range(q_max, q_min - 1, -1))
-    aggs = []
-    for c in columns:
-        for q in qs:
-            aggs.append(F.percentile(F.col(c).cast("double"), [i / q for i in range(q + 1)]).alias(f"{c}|{q}"))
-    row = df.agg(*aggs).first()
+    probs = sorted({round(i / q, 12) for q in qs for i in range(q + 1)})
+    # exact linear quantiles for every probability and column in one distributed plan
+    qt = {(r["feature"], round(r["p"], 12)): r["q"] for r in quantiles_long(df, columns, probs).collect()}
     cand: dict[tuple[str, int], list[float]] = {}
     for c in columns:
         for q in qs:
-            e = row[f"{c}|{q}"]
-            if e is None:
+            e = [qt.get((c, round(i / q, 12))) for i in range(q + 1)]
+            if any(x is None for x in e):
                 continue
             edges = sorted(set(float(x) for x in e))
             if len(edges) >= 2:
