@@ -278,6 +278,52 @@ def q_rebuilt_term(spark, d):
     return rebuilt_term_block(FX.previous_application(spark, d), FX.application(spark, d))
 
 
+def _model_frame(spark, d):
+    """Application v7 features of train rows, median-filled (train medians), with folds."""
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.stats import fill_medians, numeric_columns
+    from riskloom.plans.application import feature_set
+    v7 = feature_set(FX.application(spark, d), version=7)
+    train = v7.where(F.col("split") == "train").drop("split")
+    feats = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
+    filled = fill_medians(train, feats, exact=False)
+    folds = stratified_folds(train.select("SK_ID_CURR", "TARGET"))
+    return filled.join(folds.select("SK_ID_CURR", "fold"), "SK_ID_CURR"), feats
+
+
+def q_oof_logistic(spark, d):
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import cross_validate, logistic_l2
+    df, feats = _model_frame(spark, d)
+    df = standardize(df, feats)
+    return cross_validate(df, feats, logistic_l2(C=1.0, n_rows=1000)).oof
+
+
+def q_oof_gbt(spark, d):
+    from riskloom.operators.train import boosted_trees, cross_validate
+    df, feats = _model_frame(spark, d)
+    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20)).oof
+
+
+def q_oof_rf(spark, d):
+    from riskloom.operators.train import cross_validate, random_forest
+    df, feats = _model_frame(spark, d)
+    return cross_validate(df, feats, random_forest(num_trees=30, max_depth=6)).oof
+
+
+def q_meta_logistic(spark, d):
+    """Logistic meta-learner over the clipped prediction matrix of the four base scores."""
+    from riskloom.functions.exprs import clip
+    from riskloom.operators.blend import complete_rows, wide
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.train import cross_validate, logistic_l2
+    p = complete_rows(FX.predictions(spark, d), BLEND_MODELS)
+    w = wide(p.withColumn("pred", clip("pred", 1e-4, 0.9999)), BLEND_MODELS).withColumnRenamed("id", "SK_ID_CURR")
+    tr = _train_app(spark, d)
+    df = w.join(tr, "SK_ID_CURR").join(stratified_folds(tr).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
+    return cross_validate(df, BLEND_MODELS, logistic_l2(C=1.0, n_rows=1000)).oof
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -312,6 +358,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q41_equal_width_bin": q_equal_width,
     "q42_safe_qcut_woe": q_woe,
     "q43_rebuilt_term_rates": q_rebuilt_term,
+    "q44_oof_logistic_l2": q_oof_logistic,
+    "q45_oof_boosted_trees": q_oof_gbt,
+    "q46_oof_random_forest": q_oof_rf,
+    "q47_meta_logistic": q_meta_logistic,
 }
 
 
