@@ -324,6 +324,35 @@ def q_meta_logistic(spark, d):
     return cross_validate(df, BLEND_MODELS, logistic_l2(C=1.0, n_rows=1000)).oof
 
 
+def q_auc_weighted_blend(spark, d):
+    """Q16 (N12-N14): per-model AUC on the labelled ids as blend weights, rank-weighted blend."""
+    from riskloom.operators.blend import blend
+    from riskloom.operators.stats import auc_by_group
+    p = FX.predictions(spark, d)
+    lab = p.join(_train_app(spark, d).withColumnRenamed("SK_ID_CURR", "id"), "id")
+    aucs = {r["model"]: r["auc"] for r in auc_by_group(lab, "pred", "TARGET", ["model"]).collect()}
+    return blend(p, BLEND_MODELS, "rank_weighted_mean", weights=aucs)
+
+
+def q_grid_logistic(spark, d):
+    """L2: small grid over C for the L2 logistic model, ranked by OOF AUC."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import grid_search, logistic_l2
+    df, feats = _model_frame(spark, d)
+    df = standardize(df, feats)
+    return grid_search(df, feats, [{"C": 0.2, "n_rows": 1000}, {"C": 2.0, "n_rows": 1000}], logistic_l2)
+
+
+def q_onehot_sparse(spark, d):
+    """Sparse one-hot of the categorical application columns + numeric, as a vector column."""
+    from pyspark.ml.functions import vector_to_array
+    from riskloom.operators.encode import onehot_sparse
+    app = FX.application(spark, d)
+    _, out = onehot_sparse(app, APP_LABELS, ["AMT_CREDIT", "EXT_SOURCE_2"])
+    return out.select("SK_ID_CURR", F.size(vector_to_array("features")).alias("width"),
+                      F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -362,6 +391,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q45_oof_boosted_trees": q_oof_gbt,
     "q46_oof_random_forest": q_oof_rf,
     "q47_meta_logistic": q_meta_logistic,
+    "q48_auc_weighted_rank_blend": q_auc_weighted_blend,
+    "q49_grid_search_logistic": q_grid_logistic,
+    "q50_onehot_sparse": q_onehot_sparse,
 }
 
 
@@ -420,4 +452,5 @@ def oracle_sql() -> dict[str, str]:
         "q39_financial_rate": EN.financial_sql(),
         "q40_rank_quantile_bin": EN.rank_qbin_sql(),
         "q41_equal_width_bin": EN.equal_width_sql(),
+        "q48_auc_weighted_rank_blend": BL.auc_weighted_blend_sql(),
     }

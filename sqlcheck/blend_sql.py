@@ -109,3 +109,22 @@ def balanced_sql() -> str:
     body = with_fixtures("app", extra={"tr": "SELECT SK_ID_CURR, TARGET FROM app WHERE split = 'train'"}) + (
         "SELECT SK_ID_CURR, TARGET, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY TARGET)) AS weight FROM tr")
     return canon(body, ["SK_ID_CURR", "TARGET", "weight"], {"SK_ID_CURR", "TARGET"})
+
+
+def auc_weighted_blend_sql() -> str:
+    """Q16: per-model AUC (labelled train ids) as weights of a rank-weighted blend."""
+    from .fixtures_sql import APPLICATION, PREDS
+    ms = ", ".join(repr(m) for m in MODELS)
+    body = (f"WITH preds AS ({PREDS}), app AS ({APPLICATION}), "
+            f"lab AS (SELECT p.model, p.pred, a.TARGET FROM preds p JOIN app a ON p.id = a.SK_ID_CURR "
+            f"  WHERE a.split = 'train'), "
+            f"lr AS (SELECT model, TARGET, rank() OVER (PARTITION BY model ORDER BY pred) + "
+            f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0 AS ar FROM lab), "
+            f"auc AS (SELECT model, (sum(CASE WHEN TARGET = 1 THEN ar ELSE 0 END) - sum(TARGET) * (sum(TARGET) + 1) / 2.0)"
+            f"  / (sum(TARGET)::DOUBLE * (count(*) - sum(TARGET))) AS w FROM lr GROUP BY model), "
+            f"ok AS (SELECT id FROM preds WHERE model IN ({ms}) GROUP BY id HAVING count(DISTINCT model) = {len(MODELS)}), "
+            f"c AS (SELECT p.* FROM preds p SEMI JOIN ok USING (id)), "
+            f"r AS (SELECT id, model, (rank() OVER (PARTITION BY model ORDER BY pred) + "
+            f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0) / count(*) OVER (PARTITION BY model) AS rk FROM c) "
+            f"SELECT id, {_clip('sum(r.rk * auc.w) / sum(auc.w)')} AS pred FROM r JOIN auc USING (model) GROUP BY id")
+    return canon(body, ["id", "pred"], {"id"})
