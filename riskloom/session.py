@@ -27,6 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Feature blocks aggregate 100+ expressions in one HashAggregate; generated
+        # methods above HotSpot's 8000-bytecode JIT limit would run interpreted,
+        # so fall back to per-operator code for those stages instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
