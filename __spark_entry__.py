@@ -353,6 +353,79 @@ def q_onehot_sparse(spark, d):
                       F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
+def q_label_sorted(spark, d):
+    """Sorted-category codes over train+test, missing as '__MISSING__'."""
+    from riskloom.operators.encode import label_encode
+    app = FX.application(spark, d).select("SK_ID_CURR", *APP_LABELS)
+    return label_encode(app, APP_LABELS)
+
+
+def q_label_train_map(spark, d):
+    """Dictionary from train rows only, unseen -> -1, applied to train and test."""
+    from riskloom.operators.encode import label_encode
+    app = FX.application(spark, d).select("SK_ID_CURR", "split", *APP_LABELS)
+    return label_encode(app, APP_LABELS, fit_df=app.where(F.col("split") == "train"), unseen=-1)
+
+
+def q_oof_frequency(spark, d):
+    """Out-of-fold frequency encoding of NAME_INCOME_TYPE over the stratified folds."""
+    from riskloom.operators.encode import oof_frequency
+    from riskloom.operators.folds import stratified_folds
+    app = FX.application(spark, d).where(F.col("split") == "train").select("SK_ID_CURR", "TARGET",
+                                                                          "NAME_TYPE_SUITE")
+    f = stratified_folds(app.select("SK_ID_CURR", "TARGET"))
+    return oof_frequency(app.join(f.select("SK_ID_CURR", "fold"), "SK_ID_CURR"), "NAME_TYPE_SUITE")
+
+
+def q_mean_std(spark, d):
+    from riskloom.operators.stats import mean_std, numeric_columns
+    app = FX.application(spark, d)
+    return mean_std(app, numeric_columns(app, exclude=("SK_ID_CURR", "TARGET", "split")))
+
+
+def q_top_k(spark, d):
+    """H5/H6: the 10 customers with the largest prior credit sum (ties by id)."""
+    from riskloom.operators.stats import top_k
+    p = q_prev(spark, d).select("SK_ID_CURR", "PREV_AMT_CREDIT_SUM")
+    return top_k(p, [F.desc("PREV_AMT_CREDIT_SUM"), "SK_ID_CURR"], 10)
+
+
+def q_binned_rate(spark, d):
+    """F16 with C10: count and default rate per equal-width income bin."""
+    from riskloom.operators.encode import equal_width_bin
+    from riskloom.operators.stats import binned_target_rate
+    tr = FX.application(spark, d).where(F.col("split") == "train").select("SK_ID_CURR", "TARGET",
+                                                                         "AMT_INCOME_TOTAL")
+    return binned_target_rate(equal_width_bin(tr, "AMT_INCOME_TOTAL", 10), "AMT_INCOME_TOTAL_WBIN")
+
+
+def q_blend_report(spark, d):
+    """Per-model weight, mean, std and average Spearman with the other models."""
+    from riskloom.operators.blend import blend_report
+    return blend_report(FX.predictions(spark, d), BLEND_MODELS, BLEND_WEIGHTS)
+
+
+def q_integration(spark, d):
+    """Q10: application v7 + block features + financial block on the customer key."""
+    from riskloom.plans.application import feature_set
+    from riskloom.plans.financial import financial_block
+    from riskloom.plans.integrate import integrate
+    app = FX.application(spark, d)
+    v7 = feature_set(app, version=7)
+    blocks = q_assembly(spark, d)
+    return integrate(v7, [blocks, financial_block(app)], ["add", "fin"])
+
+
+def q_onehot_long(spark, d):
+    """Dummies of the four categorical columns (categories seen in both splits), long form."""
+    from riskloom.operators.encode import melt, onehot, onehot_categories
+    app = FX.application(spark, d).select("SK_ID_CURR", "split", *APP_LABELS)
+    cats = onehot_categories(app, APP_LABELS, "split")
+    oh = onehot(app, APP_LABELS, cats)
+    dummies = [c for c in oh.columns if c not in ("SK_ID_CURR", "split")]
+    return melt(oh.select("SK_ID_CURR", *dummies), ["SK_ID_CURR"], dummies, "feature", "value")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -394,6 +467,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q48_auc_weighted_rank_blend": q_auc_weighted_blend,
     "q49_grid_search_logistic": q_grid_logistic,
     "q50_onehot_sparse": q_onehot_sparse,
+    "q51_label_encode_sorted": q_label_sorted,
+    "q52_label_map_train_only": q_label_train_map,
+    "q53_oof_frequency": q_oof_frequency,
+    "q54_mean_std": q_mean_std,
+    "q55_top_k": q_top_k,
+    "q56_binned_target_rate": q_binned_rate,
+    "q57_blend_report": q_blend_report,
+    "q58_table_integration": q_integration,
+    "q59_onehot_long": q_onehot_long,
 }
 
 
@@ -419,6 +501,7 @@ def oracle_sql() -> dict[str, str]:
                                      ins_block_sql, pos_block_sql, prev_block_sql)
     from sqlcheck import blend_sql as BL
     from sqlcheck import encode_sql as EN
+    from sqlcheck import extra_sql as X2
     from sqlcheck import stats_sql as S
     from sqlcheck.application_sql import v7_sql
     from sqlcheck.blocks_sql import assembly_columns
@@ -453,4 +536,13 @@ def oracle_sql() -> dict[str, str]:
         "q40_rank_quantile_bin": EN.rank_qbin_sql(),
         "q41_equal_width_bin": EN.equal_width_sql(),
         "q48_auc_weighted_rank_blend": BL.auc_weighted_blend_sql(),
+        "q51_label_encode_sorted": X2.label_sorted_sql(),
+        "q52_label_map_train_only": X2.label_train_sql(),
+        "q53_oof_frequency": X2.oof_frequency_sql(),
+        "q54_mean_std": X2.mean_std_sql(),
+        "q55_top_k": X2.top_k_sql(),
+        "q56_binned_target_rate": X2.binned_rate_sql(),
+        "q57_blend_report": X2.blend_report_sql(),
+        "q58_table_integration": X2.integration_sql(),
+        "q59_onehot_long": X2.onehot_long_sql(),
     }

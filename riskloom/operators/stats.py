@@ -188,7 +188,7 @@ def standardize(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None
 
 
 def mean_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """long (column, mean, std ddof 1)."""
+    """long (feature, mean, std ddof 1)."""
     agg = df.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)],
                  *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)])
     return agg.select(F.explode(F.array(*[
