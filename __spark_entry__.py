@@ -426,6 +426,13 @@ def q_onehot_long(spark, d):
     return melt(oh.select("SK_ID_CURR", *dummies), ["SK_ID_CURR"], dummies, "feature", "value")
 
 
+def q_kde(spark, d):
+    """J9 (Q14 profile data): class-conditional KDE curves of EXT_SOURCE_2 on a 200-point grid."""
+    from riskloom.operators.stats import kde_curves
+    tr = FX.application(spark, d).where(F.col("split") == "train")
+    return kde_curves(tr, "EXT_SOURCE_2", "TARGET", points=200)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -476,6 +483,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q57_blend_report": q_blend_report,
     "q58_table_integration": q_integration,
     "q59_onehot_long": q_onehot_long,
+    "q60_kde_curves": q_kde,
 }
 
 
@@ -545,4 +553,5 @@ def oracle_sql() -> dict[str, str]:
         "q57_blend_report": X2.blend_report_sql(),
         "q58_table_integration": X2.integration_sql(),
         "q59_onehot_long": X2.onehot_long_sql(),
+        "q60_kde_curves": X2.kde_sql(),
     }

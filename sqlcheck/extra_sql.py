@@ -108,3 +108,17 @@ def onehot_long_sql() -> str:
         "SELECT l.SK_ID_CURR, cats.col || '_' || cats.v AS feature, coalesce((l.val = cats.v)::INTEGER, 0) AS value "
         "FROM l JOIN cats ON l.col = cats.col")
     return canon(body, ["SK_ID_CURR", "feature", "value"], {"SK_ID_CURR", "value"}, strings={"feature"})
+
+
+def kde_sql(col: str = "EXT_SOURCE_2", points: int = 200, bins: int = 4096) -> str:
+    body = with_fixtures("app", extra={
+        "d": f"SELECT {col}::DOUBLE AS x, TARGET AS y FROM app WHERE split = 'train' AND {col} IS NOT NULL "
+             f"AND TARGET IS NOT NULL",
+        "rng": "SELECT min(x) AS lo, max(x) AS hi FROM d",
+        "st": "SELECT y, count(*) AS n, stddev_samp(x) * pow(count(*)::DOUBLE, -0.2) AS h FROM d GROUP BY y",
+        "hist": f"SELECT y, least(floor((x - lo) / CASE WHEN (hi - lo) / {bins} > 0 THEN (hi - lo) / {bins} "
+                f"ELSE 1.0 END), {bins - 1}) AS cell, count(*) AS c, avg(x) AS xc FROM d, rng GROUP BY y, cell",
+        "grid": f"SELECT i::INTEGER AS i, lo + (hi - lo) * i / {max(points - 1, 1)} AS g FROM rng, range({points}) t(i)",
+    }) + ("SELECT hist.y, grid.i, grid.g, sum(c * exp(-0.5 * ((xc - g) / h) * ((xc - g) / h)) / (h * sqrt(2 * pi()))) "
+          "/ any_value(n) AS density FROM hist JOIN st USING (y), grid WHERE h > 0 GROUP BY hist.y, grid.i, grid.g")
+    return canon(body, ["y", "i", "g", "density"], {"y", "i"})
