@@ -278,16 +278,18 @@ def q_rebuilt_term(spark, d):
     return rebuilt_term_block(FX.previous_application(spark, d), FX.application(spark, d))
 
 
-def _model_frame(spark, d):
-    """Application v7 features of train rows, median-filled (train medians), with folds."""
+def _model_frame(spark, d, engineered=True):
+    """Train rows (application v7 features, or the raw numeric application columns),
+    median-filled with train medians, with stratified folds."""
     from riskloom.operators.folds import stratified_folds
     from riskloom.operators.stats import fill_medians, numeric_columns
     from riskloom.plans.application import feature_set
-    v7 = feature_set(FX.application(spark, d), version=7)
+    app = FX.application(spark, d)
+    v7 = feature_set(app, version=7) if engineered else app.drop(*APP_LABELS)
     train = v7.where(F.col("split") == "train").drop("split")
     feats = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
     filled = fill_medians(train, feats, exact=False)
-    folds = stratified_folds(train.select("SK_ID_CURR", "TARGET"))
+    folds = stratified_folds(_train_app(spark, d))
     return filled.join(folds.select("SK_ID_CURR", "fold"), "SK_ID_CURR"), feats
 
 
@@ -338,7 +340,7 @@ def q_grid_logistic(spark, d):
     """L2: small grid over C for the L2 logistic model, ranked by OOF AUC."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import grid_search, logistic_l2
-    df, feats = _model_frame(spark, d)
+    df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
     return grid_search(df, feats, [{"C": 0.2, "n_rows": 1000}, {"C": 2.0, "n_rows": 1000}], logistic_l2)
 
@@ -433,6 +435,52 @@ def q_kde(spark, d):
     return kde_curves(tr, "EXT_SOURCE_2", "TARGET", points=200)
 
 
+def q_permutation_importance(spark, d):
+    """Permutation importance (3 repeats) of a logistic model on its held-out fold."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import assemble, logistic_l2, permutation_importance
+    df, feats = _model_frame(spark, d, engineered=False)
+    df = standardize(df, feats)
+    tr, va = df.where(F.col("fold") != 0), df.where(F.col("fold") == 0)
+    model = logistic_l2(C=1.0, n_rows=1000)("features", "TARGET", None).fit(
+        assemble(tr, feats).withColumn("TARGET", F.col("TARGET").cast("double")))
+    return permutation_importance(model, va.withColumn("TARGET", F.col("TARGET").cast("double")), feats)
+
+
+def q_ridge_calibrated(spark, d):
+    """Ridge classifier OOF decision values, Platt-calibrated."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import cross_validate, platt_calibrate, ridge_classifier, ridge_score
+    df, feats = _model_frame(spark, d, engineered=False)
+    df = standardize(df, feats)
+    r = cross_validate(df, feats, ridge_classifier(alpha=1.0, n_rows=1000), score=ridge_score())
+    return platt_calibrate(r.oof)[1]
+
+
+def q_imbalance(spark, d):
+    """Logistic model under five imbalance strategies."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import imbalance_experiment, logistic_l2
+    df, feats = _model_frame(spark, d, engineered=False)
+    df = standardize(df, feats)
+    return imbalance_experiment(df, feats, logistic_l2(C=1.0, n_rows=1000, max_iter=50))
+
+
+def q_meta_boosted(spark, d):
+    """Boosted-tree meta-learner on clipped predictions plus their logits."""
+    from riskloom.functions.exprs import clip, logit
+    from riskloom.operators.blend import complete_rows, wide
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.train import boosted_trees, cross_validate
+    p = complete_rows(FX.predictions(spark, d), BLEND_MODELS)
+    w = wide(p.withColumn("pred", clip("pred", 1e-4, 0.9999)), BLEND_MODELS).withColumnRenamed("id", "SK_ID_CURR")
+    w = w.select("*", *[logit(m, 1e-4).alias(f"logit_{m}") for m in BLEND_MODELS])
+    tr = _train_app(spark, d)
+    df = w.join(tr, "SK_ID_CURR").join(stratified_folds(tr).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
+    feats = BLEND_MODELS + [f"logit_{m}" for m in BLEND_MODELS]
+    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20)).oof
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -484,6 +532,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q58_table_integration": q_integration,
     "q59_onehot_long": q_onehot_long,
     "q60_kde_curves": q_kde,
+    "q61_permutation_importance": q_permutation_importance,
+    "q62_ridge_platt": q_ridge_calibrated,
+    "q63_imbalance_experiment": q_imbalance,
+    "q64_meta_boosted_trees": q_meta_boosted,
 }
 
 

@@ -108,6 +108,8 @@ def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: S
 
     Returns the input rows (non-NULL ``value``) with ``out`` and the group size ``n``.
     """
+    if not tiebreak:
+        raise ValueError("with_row_number needs at least one tiebreak column (e.g. the id)")
     cols = [c for c in df.columns if c not in (value, *tiebreak, *group)]
     extra = [F.col(c) for c in cols]
     t = cumulative_counts(df, value, group, tiebreak=tiebreak, extra=extra, buckets=buckets)

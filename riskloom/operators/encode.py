@@ -30,10 +30,34 @@ def _train(df: DataFrame, split_col: str | None, value: str = "train") -> DataFr
 # ------------------------------------------------------------------ C1/C2/C3
 def label_dictionary(df: DataFrame, column: str, fill: str = MISSING) -> DataFrame:
     """(column value -> code) by sorted category; missing filled with ``fill``."""
-    v = F.coalesce(F.col(column).cast("string"), F.lit(fill))
-    d = df.select(v.alias("_cat")).distinct()
-    # dense rank over a distinct set; the distinct set is tiny relative to rows
-    return d.select("_cat", (F.dense_rank().over(W.orderBy("_cat")) - 1).cast("int").alias("_code"))
+    d = label_dictionaries(df, [column], fill).where(F.col("feature") == column)
+    return d.select(F.col("v").alias("_cat"), F.col("code").alias("_code"))
+
+
+def label_dictionaries(df: DataFrame, columns: Sequence[str], fill: str = MISSING) -> DataFrame:
+    """C1 for many columns at once: long (feature, v, code), one melt + one distinct.
+
+    The window runs per feature over its distinct categories (the encoder's own size).
+    """
+    long = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias(c) for c in columns]) \
+        .unpivot([], list(columns), "feature", "v").distinct()
+    return long.select("feature", "v", (F.dense_rank().over(W.partitionBy("feature").orderBy("v")) - 1)
+                       .cast("int").alias("code"))
+
+
+def _apply_dictionary(df: DataFrame, columns: Sequence[str], dic: DataFrame, key_of, default=None) -> DataFrame:
+    """Replace each column by its code from a long (feature, v, code) dictionary.
+
+    Every per-column join reads the same dictionary frame, so the plan grows
+    linearly with the number of columns.
+    """
+    out = df
+    for c in columns:
+        d = dic.where(F.col("feature") == c).select(F.col("v").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
+        out = out.join(d, key_of(c) == F.col(f"_v_{c}"), "left")
+        code = F.col(f"_c_{c}") if default is None else F.coalesce(F.col(f"_c_{c}"), F.lit(default))
+        out = out.withColumn(c, code).drop(f"_v_{c}", f"_c_{c}")
+    return out
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None,
@@ -44,17 +68,8 @@ def label_encode(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None
     train only for C3 (then ``unseen=-1`` codes categories absent from train).
     """
     fit_df = df if fit_df is None else fit_df
-    out = df
-    for c in columns:
-        d = label_dictionary(fit_df, c, fill).withColumnRenamed("_cat", f"_cat_{c}") \
-            .withColumnRenamed("_code", f"_code_{c}")
-        key = F.coalesce(F.col(c).cast("string"), F.lit(fill))
-        out = out.withColumn(f"_k_{c}", key).join(d, F.col(f"_k_{c}") == F.col(f"_cat_{c}"), "left")
-        code = F.col(f"_code_{c}")
-        if unseen is not None:
-            code = F.coalesce(code, F.lit(unseen))
-        out = out.withColumn(c, code).drop(f"_k_{c}", f"_cat_{c}", f"_code_{c}")
-    return out
+    dic = label_dictionaries(fit_df, columns, fill)
+    return _apply_dictionary(df, columns, dic, lambda c: F.coalesce(F.col(c).cast("string"), F.lit(fill)), unseen)
 
 
 def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -72,39 +87,60 @@ def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 # ------------------------------------------------------------------ C4 / B31
 def mode_value(df: DataFrame, column: str) -> DataFrame:
     """The most frequent non-missing value (ties -> smallest), one-row frame."""
-    vc = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    return vc.agg(F.min_by(F.col(column), F.struct(-F.col("count"), F.col(column))).alias("_mode"))
+    m = modes(df, [column])
+    return m.select(F.col("mode").alias("_mode"))
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """B31 for many columns: (feature, mode) with ties broken by the smallest value.
+
+    One melt + one (feature, value) count; the result has one row per column.
+    """
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]) \
+        .unpivot([], list(columns), "feature", "v").where(F.col("v").isNotNull())
+    vc = long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    return vc.groupBy("feature").agg(F.min_by(F.col("v"), F.struct(-F.col("n"), F.col("v"))).alias("mode"))
 
 
 def fill_mode(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
-    """Fill missing with the (train) mode; the one-row mode frame is broadcast."""
+    """Fill missing with the (train) mode of each column.
+
+    The mode table has one row per column (bounded by the schema), pivoted to
+    one row and broadcast.
+    """
     fit_df = df if fit_df is None else fit_df
-    out = df
-    for c in columns:
-        m = mode_value(fit_df, c).withColumnRenamed("_mode", f"_mode_{c}").withColumn("_j", F.lit(0))
-        out = (out.withColumn("_j", F.lit(0)).join(F.broadcast(m), "_j", "left")
-                  .withColumn(c, F.coalesce(F.col(c), F.col(f"_mode_{c}"))).drop("_j", f"_mode_{c}"))
-    return out
+    m = modes(fit_df, columns).groupBy().pivot("feature", list(columns)).agg(F.first("mode"))
+    m = m.select(*[F.col(c).alias(f"_mode_{c}") for c in columns]).withColumn("_j", F.lit(0))
+    out = df.withColumn("_j", F.lit(0)).join(F.broadcast(m), "_j", "left")
+    return out.select(*[F.coalesce(F.col(c), F.col(f"_mode_{c}").cast(df.schema[c].dataType)).alias(c)
+                        if c in columns else F.col(c) for c in df.columns])
 
 
 def target_order_dictionary(df: DataFrame, column: str, target: str = "TARGET") -> DataFrame:
     """C4: categories ordered by mean target (ties by category), code = position from 0."""
-    g = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.avg(target).alias("_m"))
-    return g.select(F.col(column).alias("_cat"),
-                    (F.row_number().over(W.orderBy("_m", column)) - 1).cast("int").alias("_code"))
+    d = target_order_dictionaries(df, [column], target)
+    return d.select(F.col("v").alias("_cat"), F.col("code").alias("_code"))
+
+
+def target_order_dictionaries(df: DataFrame, columns: Sequence[str], target: str = "TARGET") -> DataFrame:
+    """C4 for many columns: long (feature, v, code) from one melt + one grouped mean."""
+    long = df.select(F.col(target), *[F.col(c).cast("string").alias(c) for c in columns]) \
+        .unpivot([target], list(columns), "feature", "v").where(F.col("v").isNotNull())
+    g = long.groupBy("feature", "v").agg(F.avg(target).alias("_m"))
+    return g.select("feature", "v", (F.row_number().over(W.partitionBy("feature").orderBy("_m", "v")) - 1)
+                    .cast("int").alias("code"))
 
 
 def target_order_encode(df: DataFrame, columns: Sequence[str], target: str = "TARGET",
                         split_col: str | None = "split") -> DataFrame:
-    """C4 with B31: train-mode fill, then mean-target ordinal codes; unseen -> NULL."""
-    train = _train(df, split_col)
-    out = fill_mode(df, columns, train)
-    for c in columns:
-        d = target_order_dictionary(_train(out, split_col), c, target)
-        d = d.withColumnRenamed("_cat", f"_cat_{c}").withColumnRenamed("_code", f"_code_{c}")
-        out = (out.join(d, F.col(c) == F.col(f"_cat_{c}"), "left")
-                  .withColumn(c, F.col(f"_code_{c}")).drop(f"_cat_{c}", f"_code_{c}"))
-    return out
+    """C4 with B31: train-mode fill, then mean-target ordinal codes; unseen -> NULL.
+
+    Each column's code depends only on that column and the target, so all
+    dictionaries come from one pass over the filled train rows.
+    """
+    filled = fill_mode(df, columns, _train(df, split_col))
+    dic = target_order_dictionaries(_train(filled, split_col), columns, target)
+    return _apply_dictionary(filled, columns, dic, lambda c: F.col(c).cast("string"))
 
 
 # ------------------------------------------------------------------ C5 / C6

@@ -71,8 +71,6 @@ def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Ca
         va = data.where(F.col(fold) == k)
         pv = score(model, va).join(va.select(id_col, label, fold), id_col)
         oof_parts.append(pv.select(id_col, fold, label, F.col("pred").alias("oof_pred")))
-        a = auc_by_group(pv, "pred", label).first()
-        aucs.append(None if a is None else a["auc"])
         if tst is not None:
             test_parts.append(score(model, tst).withColumn(fold, F.lit(k)))
         im = _importance(model, features)
@@ -81,6 +79,10 @@ def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Ca
     oof = oof_parts[0]
     for p in oof_parts[1:]:
         oof = oof.unionByName(p)
+    # held-out predictions written once; fold AUCs and the OOF AUC read them
+    oof = cut_lineage(oof)
+    per_fold = {r[fold]: r["auc"] for r in auc_by_group(oof, "oof_pred", label, [fold]).collect()}
+    aucs = [per_fold.get(k) for k in folds]
     oof_auc_row = auc_by_group(oof, "oof_pred", label).first()
     test_avg = None
     if test_parts:
@@ -197,3 +199,95 @@ def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict],
                      statistics.pstdev(fa) if len(fa) > 1 else None, r.oof_auc))
     df = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
     return df.orderBy(F.desc("oof_auc"))
+
+
+# ------------------------------------------------------------------ J10
+def permutation_importance(model, frame: DataFrame, features: Sequence[str], id_col: str = "SK_ID_CURR",
+                           label: str = "TARGET", repeats: int = 3, seed: int = 42,
+                           score: Callable | None = None) -> DataFrame:
+    """Mean AUC drop when one feature's values are permuted across rows.
+
+    One distributed job for all (feature, repeat) pairs: row positions by id
+    and seeded-hash permutations per repeat come from the bucketed row-number
+    plan; a join on (repeat, position) hands every row the values of its
+    permutation partner, the feature tag picks which column is swapped, and
+    the model scores the stacked frame once.  AUCs are grouped by (feature,
+    repeat).  Work is rows x features x repeats, as for the per-feature loop,
+    but runs in parallel.
+    """
+    from ..functions.ranks import with_row_number
+    from .folds import seeded_hash
+    score = score or (lambda m, d: m.transform(d).select("_tag_f", "_tag_r", label, _p1().alias("pred")))
+    base = frame.select(id_col, label, *features)
+    pos = with_row_number(base, id_col, [id_col], out="_pos").drop("n")
+    reps = pos.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_tag_r"))
+    reps = reps.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_tag_r"), F.col(id_col)))
+    perm = with_row_number(reps.select("_tag_r", "_h", id_col, *features), "_h", [id_col], group=["_tag_r"],
+                           out="_ppos").drop("n", "_h")
+    src = perm.select("_tag_r", F.col("_ppos").alias("_pos"), *[F.col(c).alias(f"_src_{c}") for c in features])
+    paired = reps.drop("_h").join(src, ["_tag_r", "_pos"])
+    tags = F.explode(F.array(*[F.lit(c) for c in features])).alias("_tag_f")
+    stacked = paired.select("*", tags).select(
+        "_tag_f", "_tag_r", label,
+        *[F.when(F.col("_tag_f") == c, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in features])
+    scored = score(model, assemble(stacked, features))
+    per = auc_by_group(scored, "pred", label, ["_tag_f", "_tag_r"])
+    b = auc_by_group(score(model, assemble(base.withColumn("_tag_f", F.lit("")).withColumn("_tag_r", F.lit(0)),
+                                           features)), "pred", label).first()
+    base_auc = None if b is None else b["auc"]
+    return (per.groupBy(F.col("_tag_f").alias("feature"))
+               .agg(F.avg("auc").alias("perm_auc"), F.stddev_samp("auc").alias("perm_auc_std"))
+               .withColumn("base_auc", F.lit(base_auc))
+               .withColumn("importance", F.lit(base_auc) - F.col("perm_auc")))
+
+
+# ------------------------------------------------------------------ L6 calibration
+def platt_calibrate(oof: DataFrame, label: str = "TARGET", score_col: str = "oof_pred"):
+    """One-feature logistic fit on decision values -> calibrated probability column ``prob``."""
+    from pyspark.ml.classification import LogisticRegression
+    d = assemble(oof.withColumn(label, F.col(label).cast("double")), [score_col], "_cf")
+    m = LogisticRegression(featuresCol="_cf", labelCol=label, regParam=0.0).fit(d)
+    return m, m.transform(d).select(*oof.columns, _p1().alias("prob"))
+
+
+def isotonic_calibrate(oof: DataFrame, label: str = "TARGET", score_col: str = "oof_pred"):
+    """Isotonic regression of the label on decision values -> ``prob``."""
+    from pyspark.ml.regression import IsotonicRegression
+    d = assemble(oof.withColumn(label, F.col(label).cast("double")), [score_col], "_cf")
+    m = IsotonicRegression(featuresCol="_cf", labelCol=label).fit(d)
+    return m, m.transform(d).select(*oof.columns, F.col("prediction").alias("prob"))
+
+
+# ------------------------------------------------------------------ L16
+def imbalance_experiment(train: DataFrame, features: Sequence[str], factory: Callable,
+                         id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
+                         strategies: Sequence[str] = ("none", "auto_weight", "balanced", "undersample",
+                                                      "scale_pos_weight"),
+                         cap: float = 50.0, fixed_spw: float = 5.0, ratio: float = 3.0) -> DataFrame:
+    """The same learner under several imbalance strategies -> (strategy, oof_auc, average_precision).
+
+    Weights are derived per training fold from class counts (K4-K6); the
+    undersampled variant keeps all positives and ratio x P negatives of the
+    training part, and is scored on every held-out row.
+    """
+    from .folds import balanced_weight, positive_weights, undersample
+    from .stats import average_precision_by_group
+    rows = []
+    for s in strategies:
+        df, wcol = train, None
+        if s in ("auto_weight", "scale_pos_weight"):
+            pw = positive_weights(train, label, fold, cap=cap if s == "auto_weight" else None)
+            # weight rows of the training part of fold k by fold k's ratio: for simplicity
+            # the ratio of the held-out row's fold is used (identical in expectation).
+            w = F.when(F.col(label) == 1, F.col("pos_weight") if s == "auto_weight" else F.lit(fixed_spw)) \
+                .otherwise(F.lit(1.0))
+            df = train.join(F.broadcast(pw.select(fold, "pos_weight")), fold).withColumn("_w", w)
+            wcol = "_w"
+        elif s == "balanced":
+            df, wcol = balanced_weight(train, label, "_w"), "_w"
+        elif s == "undersample":
+            df = undersample(train, id_col, label, ratio)
+        r = cross_validate(df, features, factory, id_col, label, fold, weight_col=wcol)
+        ap = average_precision_by_group(r.oof, "oof_pred", label).first()
+        rows.append((s, r.oof_auc, None if ap is None else ap["average_precision"]))
+    return train.sparkSession.createDataFrame(rows, "strategy string, oof_auc double, average_precision double")
