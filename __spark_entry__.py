@@ -481,6 +481,20 @@ def q_meta_boosted(spark, d):
     return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20)).oof
 
 
+def q_prediction_files(spark, d):
+    """A9 + A5 + A1: write one CSV prediction file set per model into the shared
+    checkpoint folder, read them all back with ONE wildcard scan, model name from the path."""
+    import uuid
+    from riskloom.session import checkpoint_dir
+    from riskloom.sources.tables import read_predictions, write_table
+    base = f"{checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    p = FX.predictions(spark, d)
+    for m in BLEND_MODELS:
+        write_table(p.where(F.col("model") == m).select(F.col("id").alias("SK_ID_CURR"), F.col("pred").alias("TARGET")),
+                    f"{base}/submission_{m}.csv", fmt="csv")
+    return read_predictions(spark, f"{base}/submission_*.csv/*.csv", model_regex=r"submission_([^/]+)\.csv/")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -536,6 +550,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q62_ridge_platt": q_ridge_calibrated,
     "q63_imbalance_experiment": q_imbalance,
     "q64_meta_boosted_trees": q_meta_boosted,
+    "q65_prediction_files_roundtrip": q_prediction_files,
 }
 
 
@@ -606,4 +621,5 @@ def oracle_sql() -> dict[str, str]:
         "q58_table_integration": X2.integration_sql(),
         "q59_onehot_long": X2.onehot_long_sql(),
         "q60_kde_curves": X2.kde_sql(),
+        "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
     }

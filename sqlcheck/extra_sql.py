@@ -122,3 +122,8 @@ def kde_sql(col: str = "EXT_SOURCE_2", points: int = 200, bins: int = 4096) -> s
     }) + ("SELECT hist.y, grid.i, grid.g, sum(c * exp(-0.5 * ((xc - g) / h) * ((xc - g) / h)) / (h * sqrt(2 * pi()))) "
           "/ any_value(n) AS density FROM hist JOIN st USING (y), grid WHERE h > 0 GROUP BY hist.y, grid.i, grid.g")
     return canon(body, ["y", "i", "g", "density"], {"y", "i"})
+
+
+def prediction_files_sql() -> str:
+    body = f"WITH preds AS ({PREDS}) SELECT id, model, pred FROM preds WHERE model IN ({', '.join(repr(m) for m in MODELS)})"
+    return canon(body, ["id", "model", "pred"], {"id"}, strings={"model"})
