@@ -267,7 +267,7 @@ WOE_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "D
 def q_woe(spark, d):
     from riskloom.operators.encode import melt, safe_qcut, woe_table
     train, _ = _app_split(spark, d)
-    b = safe_qcut(train.select("SK_ID_CURR", "TARGET", *WOE_COLS), WOE_COLS, min_bin=20)
+    b = safe_qcut(train.select("SK_ID_CURR", "TARGET", *WOE_COLS), WOE_COLS, min_bin=200)
     bins = [f"{c}_BIN" for c in WOE_COLS]
     long = melt(b.select("SK_ID_CURR", "TARGET", *bins), ["SK_ID_CURR", "TARGET"], bins, "feature", "bin")
     return woe_table(long)
@@ -610,6 +610,7 @@ def oracle_sql() -> dict[str, str]:
         "q39_financial_rate": EN.financial_sql(),
         "q40_rank_quantile_bin": EN.rank_qbin_sql(),
         "q41_equal_width_bin": EN.equal_width_sql(),
+        "q42_safe_qcut_woe": EN.safe_qcut_woe_sql(WOE_COLS, min_bin=200),
         "q48_auc_weighted_rank_blend": BL.auc_weighted_blend_sql(),
         "q51_label_encode_sorted": X2.label_sorted_sql(),
         "q52_label_map_train_only": X2.label_train_sql(),

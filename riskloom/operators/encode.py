@@ -241,7 +241,8 @@ def rank_quantile_bin(df: DataFrame, column: str, q: int = 64, id_col: str = "SK
 # ------------------------------------------------------------------ C9 / C10
 def safe_qcut_edges(df: DataFrame, columns: Sequence[str], q_max: int = 10, q_min: int = 2,
                     min_bin: int = 200) -> dict[str, list[float] | None]:
-    """Per column, the largest q in [q_min, q_max] whose quantile bins all hold >= min_bin rows.
+    """Per column, the largest q in [q_min, q_max] whose quantile bins all hold >= min_bin rows
+    (q_min itself is accepted as is; a column without two distinct edges gets the ALL bin).
 
     ONE aggregation computes linear-interpolated quantiles for every q and
     column; a second computes bin counts for every candidate q.  Returns the
@@ -249,13 +250,13 @@ def safe_qcut_edges(df: DataFrame, columns: Sequence[str], q_max: int = 10, q_mi
     """
     from .stats import quantiles_long
     qs = list(range(q_max, q_min - 1, -1))
-    probs = sorted({round(i / q, 12) for q in qs for i in range(q + 1)})
+    probs = sorted({i / q for q in qs for i in range(q + 1)})
     # exact linear quantiles for every probability and column in one distributed plan
-    qt = {(r["feature"], round(r["p"], 12)): r["q"] for r in quantiles_long(df, columns, probs).collect()}
+    qt = {(r["feature"], r["p"]): r["q"] for r in quantiles_long(df, columns, probs).collect()}
     cand: dict[tuple[str, int], list[float]] = {}
     for c in columns:
         for q in qs:
-            e = [qt.get((c, round(i / q, 12))) for i in range(q + 1)]
+            e = [qt.get((c, i / q)) for i in range(q + 1)]
             if any(x is None for x in e):
                 continue
             edges = sorted(set(float(x) for x in e))
@@ -278,7 +279,8 @@ def safe_qcut_edges(df: DataFrame, columns: Sequence[str], q_max: int = 10, q_mi
             if edges is None:
                 continue
             counts = [row2[f"{c}|{q}|{i}"] for i in range(len(edges) - 1)]
-            if min(counts) >= min_bin:
+            # the smallest q is accepted whatever its bin sizes
+            if min(counts) >= min_bin or q == q_min:
                 chosen[c] = edges
                 break
     return chosen

@@ -38,3 +38,34 @@ def equal_width_sql(col: str = "AMT_INCOME_TOTAL", bins: int = 10) -> str:
          f"ELSE least(greatest(ceil(({x} - lo) / ((hi - lo) / {bins})) - 1, 0), {bins - 1}) END")
     body = with_fixtures("app", extra={"mm": mm}) + f"SELECT SK_ID_CURR, ({b})::INTEGER AS {col}_WBIN FROM app, mm"
     return canon(body, ["SK_ID_CURR", f"{col}_WBIN"], {"SK_ID_CURR", f"{col}_WBIN"})
+
+
+def safe_qcut_woe_sql(cols: list[str], min_bin: int = 20, q_max: int = 10, q_min: int = 2) -> str:
+    """C9 + C11: data-chosen quantile bins per column (largest q whose bins all hold
+    >= min_bin train rows, q_min accepted as is), then Laplace-smoothed WOE per bin."""
+    casts = ", ".join(f"{c}::DOUBLE AS {c}" for c in cols)
+    e_parts = []
+    for q in range(q_max, q_min - 1, -1):
+        probs = ", ".join(f"{i}::DOUBLE / {q}" for i in range(q + 1))
+        e_parts.append(f"SELECT feature, {q} AS q, list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS edges "
+                       f"FROM l WHERE value IS NOT NULL GROUP BY feature")
+    body = with_fixtures("app", extra={
+        "l": f"SELECT * FROM (SELECT SK_ID_CURR, TARGET, {casts} FROM app WHERE split = 'train') "
+             f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(cols)}))",
+        "e": " UNION ALL ".join(e_parts),
+        "bins": "SELECT l.feature, e.q, len(list_filter(e.edges[2:], lambda x: x < l.value)) AS b, count(*) AS c "
+                "FROM l JOIN e ON l.feature = e.feature WHERE l.value IS NOT NULL AND len(e.edges) >= 2 "
+                "GROUP BY l.feature, e.q, b",
+        "stat": "SELECT feature, q, min(c) AS mn, count(*) AS nb FROM bins GROUP BY feature, q",
+        "cand": f"SELECT s.feature, s.q FROM stat s JOIN e ON s.feature = e.feature AND s.q = e.q "
+                f"WHERE (s.mn >= {min_bin} AND s.nb = len(e.edges) - 1) OR s.q = {q_min}",
+        "choice": "SELECT feature, max(q) AS q FROM cand GROUP BY feature",
+        "lab": "SELECT l.TARGET, l.feature || '_BIN' AS feature, CASE WHEN l.value IS NULL THEN 'NA' "
+               "WHEN ch.q IS NULL THEN 'ALL' ELSE 'b' || len(list_filter(e.edges[2:], lambda x: x < l.value)) END AS bin "
+               "FROM l LEFT JOIN choice ch ON l.feature = ch.feature LEFT JOIN e ON e.feature = l.feature AND e.q = ch.q",
+        "per": "SELECT feature, bin, sum(TARGET) AS pos, count(*) AS cnt FROM lab GROUP BY feature, bin",
+        "tot": "SELECT feature, sum(TARGET) AS P, count(*) AS T FROM lab GROUP BY feature",
+    }) + ("SELECT per.feature, per.bin, per.pos, per.cnt, "
+          "ln(((per.cnt - per.pos + 0.5) / (per.pos + 0.5)) / ((tot.T - tot.P + 0.5) / (tot.P + 0.5))) AS woe "
+          "FROM per JOIN tot USING (feature)")
+    return canon(body, ["feature", "bin", "pos", "cnt", "woe"], {"pos", "cnt"}, strings={"feature", "bin"})
