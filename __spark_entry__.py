@@ -495,6 +495,70 @@ def q_prediction_files(spark, d):
     return read_predictions(spark, f"{base}/submission_*.csv/*.csv", model_regex=r"submission_([^/]+)\.csv/")
 
 
+def _woe_fit(spark, d):
+    from riskloom.operators.encode import melt, safe_qcut, safe_qcut_edges, woe_table
+    app = FX.application(spark, d).select("SK_ID_CURR", "split", "TARGET", *WOE_COLS)
+    train = app.where(F.col("split") == "train")
+    edges = safe_qcut_edges(train, WOE_COLS, min_bin=200)
+    bins = [f"{c}_BIN" for c in WOE_COLS]
+    b_all = safe_qcut(app, WOE_COLS, edges=edges)
+    long = melt(b_all.where(F.col("split") == "train").select("SK_ID_CURR", "TARGET", *bins),
+                ["SK_ID_CURR", "TARGET"], bins, "feature", "bin")
+    return b_all, bins, woe_table(long)
+
+
+def q_woe_transform(spark, d):
+    """WOE values for train and test rows (test binned with train edges, unseen bins -> 0)."""
+    from riskloom.operators.encode import woe_transform
+    b_all, bins, woe = _woe_fit(spark, d)
+    out = woe_transform(b_all.select("SK_ID_CURR", "split", *bins), bins, woe)
+    return out.select("SK_ID_CURR", "split", *[f"{b}_WOE" for b in bins])
+
+
+def q_logistic_woe(spark, d):
+    """L2 logistic regression on the WOE-encoded bins (scaled), out-of-fold."""
+    from riskloom.operators.encode import woe_transform
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import cross_validate, logistic_l2
+    b_all, bins, woe = _woe_fit(spark, d)
+    w = woe_transform(b_all.select("SK_ID_CURR", "split", "TARGET", *bins), bins, woe)
+    feats = [f"{b}_WOE" for b in bins]
+    tr = w.where(F.col("split") == "train")
+    tr = standardize(tr, feats).join(stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"),
+                                     "SK_ID_CURR")
+    return cross_validate(tr, feats, logistic_l2(C=1.0, n_rows=1000)).oof
+
+
+def q_rf_importance(spark, d):
+    """Random-forest impurity importance averaged over folds (long table)."""
+    from riskloom.operators.train import cross_validate, random_forest
+    df, feats = _model_frame(spark, d, engineered=False)
+    return cross_validate(df, feats, random_forest(num_trees=30, max_depth=6)).importance
+
+
+def q_spearman_matrix(spark, d):
+    """Spearman correlation matrix of the model predictions (complete ids)."""
+    from riskloom.operators.blend import complete_rows, wide
+    from riskloom.operators.stats import spearman_matrix
+    p = complete_rows(FX.predictions(spark, d), BLEND_MODELS)
+    return spearman_matrix(wide(p, BLEND_MODELS), BLEND_MODELS, "id")
+
+
+def q_blend_runner(spark, d):
+    """Q15: prediction files -> one wildcard scan -> rank-average blend."""
+    from riskloom.operators.blend import blend
+    return blend(q_prediction_files(spark, d), BLEND_MODELS, "rank_mean")
+
+
+def q_final_blend(spark, d):
+    """Q17: 0.5 x rank-average blend + 0.5 x boosted meta-learner OOF prediction."""
+    from riskloom.operators.blend import alpha_blend, blend
+    ra = blend(FX.predictions(spark, d), BLEND_MODELS, "rank_mean")
+    meta = q_meta_boosted(spark, d).select(F.col("SK_ID_CURR").alias("id"), F.col("oof_pred").alias("pred"))
+    return alpha_blend(ra, meta, 0.5)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -551,6 +615,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q63_imbalance_experiment": q_imbalance,
     "q64_meta_boosted_trees": q_meta_boosted,
     "q65_prediction_files_roundtrip": q_prediction_files,
+    "q66_woe_transform": q_woe_transform,
+    "q67_logistic_on_woe": q_logistic_woe,
+    "q68_rf_importance": q_rf_importance,
+    "q69_spearman_matrix": q_spearman_matrix,
+    "q70_blend_runner": q_blend_runner,
+    "q71_final_alpha_blend": q_final_blend,
 }
 
 
@@ -623,4 +693,7 @@ def oracle_sql() -> dict[str, str]:
         "q59_onehot_long": X2.onehot_long_sql(),
         "q60_kde_curves": X2.kde_sql(),
         "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
+        "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
+        "q69_spearman_matrix": X2.spearman_matrix_sql(),
+        "q70_blend_runner": BL.blend_sql("rank_mean"),
     }

@@ -127,3 +127,15 @@ def kde_sql(col: str = "EXT_SOURCE_2", points: int = 200, bins: int = 4096) -> s
 def prediction_files_sql() -> str:
     body = f"WITH preds AS ({PREDS}) SELECT id, model, pred FROM preds WHERE model IN ({', '.join(repr(m) for m in MODELS)})"
     return canon(body, ["id", "model", "pred"], {"id"}, strings={"model"})
+
+
+def spearman_matrix_sql() -> str:
+    ms = ", ".join(repr(m) for m in MODELS)
+    body = (f"WITH preds AS ({PREDS}), "
+            f"ok AS (SELECT id FROM preds WHERE model IN ({ms}) GROUP BY id HAVING count(DISTINCT model) = {len(MODELS)}), "
+            f"c AS (SELECT p.* FROM preds p SEMI JOIN ok USING (id)), "
+            f"r AS (SELECT id, model, rank() OVER (PARTITION BY model ORDER BY pred) + "
+            f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0 AS rk FROM c) "
+            f"SELECT a.model AS col_a, b.model AS col_b, corr(a.rk, b.rk) AS corr FROM r a JOIN r b ON a.id = b.id "
+            f"GROUP BY a.model, b.model")
+    return canon(body, ["col_a", "col_b", "corr"], set(), strings={"col_a", "col_b"})
