@@ -291,3 +291,35 @@ def imbalance_experiment(train: DataFrame, features: Sequence[str], factory: Cal
         ap = average_precision_by_group(r.oof, "oof_pred", label).first()
         rows.append((s, r.oof_auc, None if ap is None else ap["average_precision"]))
     return train.sparkSession.createDataFrame(rows, "strategy string, oof_auc double, average_precision double")
+
+
+# ------------------------------------------------------------------ L15
+def refit_full(train: DataFrame, features: Sequence[str], make_estimator: Callable, label: str = "TARGET",
+               weight_col: str | None = None):
+    """One fit on every training row (e.g. at the fold-average best iteration),
+    returning (model, importance DataFrame or None)."""
+    data = assemble(train, features).withColumn(label, F.col(label).cast("double"))
+    model = make_estimator("features", label, weight_col).fit(data)
+    im = _importance(model, features)
+    imp = None if im is None else train.sparkSession.createDataFrame(im, "feature string, importance double")
+    return model, imp
+
+
+def train_fold_auc(train: DataFrame, features: Sequence[str], make_estimator: Callable,
+                   id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold") -> DataFrame:
+    """Per fold: AUC on the fold's own training part and on its held-out part, in one
+    scoring job per fold and one grouped AUC job -> (fold, part, auc)."""
+    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+                       .withColumn(label, F.col(label).cast("double")))
+    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    parts = []
+    for k in folds:
+        model = make_estimator("features", label, None).fit(data.where(F.col(fold) != k))
+        sc = model.transform(data).select(
+            F.lit(k).alias("_k"), F.when(F.col(fold) == k, "valid").otherwise("train").alias("part"),
+            label, _p1().alias("pred"))
+        parts.append(sc)
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    return auc_by_group(allp, "pred", label, ["_k", "part"]).withColumnRenamed("_k", fold)

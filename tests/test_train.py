@@ -19,3 +19,13 @@ def test_cv_and_permutation_importance(spark):
     imp = permutation_importance(model, df, ["x1", "noise"], repeats=2).toPandas().set_index("feature")
     assert imp.loc["x1", "importance"] > 0.2
     assert abs(imp.loc["noise", "importance"]) < 0.05
+
+
+def test_feature_version_validation_on_sf0001(spark):
+    from riskloom.operators.train import logistic_l2
+    from riskloom.plans.validation import feature_version_validation
+    from riskloom.sources.fixtures import application
+    app = application(spark, "/root/testdata/sf0.001")
+    r = feature_version_validation(app, logistic_l2(C=1.0, n_rows=120, max_iter=20), versions=[0, 7]).toPandas()
+    assert set(r["version"]) == {0, 7} and set(r["part"]) == {"train", "valid"}
+    assert (r["fold"] == -1).sum() == 4 and len(r) == 2 * (2 * 5 + 2)
