@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 DEFAULT_BUCKETS = 64
+MAX_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000
 
 
 def _const_key(df: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def _const_key(df: DataFrame) -> DataFrame:
 
 def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
                       weight: str | Column | None = None, extra: Sequence[Column] = (),
-                      tiebreak: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
+                      tiebreak: Sequence[str] = (), buckets: int | None = None,
                       materialize: bool = True) -> DataFrame:
     """Rows of ``(group..., value, [tiebreak...], cnt, extra..., cum, n)``.
 
@@ -46,6 +48,11 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
 
     With ``tiebreak`` columns nothing is collapsed: every row keeps its own
     position (``method="first"``-style unique ranks).
+
+    ``buckets=None`` sizes the split from the data: after the value-count table
+    is materialised, the largest group's row count / 2M rows per bucket,
+    clamped to [64, 1024] — a (group, bucket) window partition stays a few
+    million rows at any scale.
     """
     g = list(group) if group else ["_rk_g"]
     src = df if group else _const_key(df)
@@ -60,11 +67,17 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
         # vc feeds three branches (bounds, bucket totals, running counts); a
         # reliable checkpoint computes the upstream plan once and cuts lineage.
         vc = cut_lineage(vc)
+        if buckets is None:
+            biggest = vc.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+            buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-biggest // ROWS_PER_BUCKET))))
+    buckets = buckets or DEFAULT_BUCKETS
     probs = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(*g).agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000)
                                 .alias("_rk_bounds"))
-    # groups x buckets numbers: bounded by the number of groups, not by rows.
-    vb = vc.join(F.broadcast(bounds), g).withColumn(
+    # groups x buckets numbers: bounded by the number of groups (schema-sized:
+    # features x folds x models), never by rows.  Without a group it is one row.
+    bnd = F.broadcast(bounds) if not group else bounds
+    vb = vc.join(bnd, g).withColumn(
         "_rk_b", F.size(F.filter("_rk_bounds", lambda b: b < F.col(value).cast("double")))
     ).drop("_rk_bounds")
     bt = vb.groupBy(*g, "_rk_b").agg(F.sum("cnt").alias("_rk_bcnt"))
@@ -75,21 +88,21 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
         F.sum("_rk_bcnt").over(W.partitionBy(*g)).alias("n"),
     )
     wb = W.partitionBy(*g, "_rk_b").orderBy(value, *tiebreak).rowsBetween(W.unboundedPreceding, 0)
-    out = (vb.join(F.broadcast(bt), g + ["_rk_b"])
+    out = (vb.join(F.broadcast(bt) if not group else bt, g + ["_rk_b"])
              .withColumn("cum", F.col("_rk_off") + F.sum("cnt").over(wb))
              .drop("_rk_b", "_rk_off"))
     return out if group else out.drop("_rk_g")
 
 
 def average_rank_table(df: DataFrame, value: str, group: Sequence[str] = (),
-                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """(group..., value, cnt, n, avg_rank) — pandas ``rank(method="average")``."""
     t = cumulative_counts(df, value, group, buckets=buckets)
     return t.withColumn("avg_rank", F.col("cum") - (F.col("cnt") - F.lit(1)) / F.lit(2.0))
 
 
 def with_average_rank(df: DataFrame, value: str, group: Sequence[str] = (), out: str = "rank",
-                      pct: bool = False, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      pct: bool = False, buckets: int | None = None) -> DataFrame:
     """H1: attach the tie-averaged rank of ``value`` (1-based; ``pct`` divides by n).
 
     The rank table is joined back on (group, value); a value held by a third
@@ -103,7 +116,7 @@ def with_average_rank(df: DataFrame, value: str, group: Sequence[str] = (), out:
 
 
 def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: Sequence[str] = (),
-                    out: str = "rn", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    out: str = "rn", buckets: int | None = None) -> DataFrame:
     """H3: unique rank ordered by (value, tiebreak) — ``rank(method="first")``.
 
     Returns the input rows (non-NULL ``value``) with ``out`` and the group size ``n``.
@@ -117,22 +130,35 @@ def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: S
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
     Unlike the exact ``percentile`` aggregate — which buffers every value of a
-    group in one task — this reads the cumulative value-count table: the value
-    at 0-based position k is the smallest value whose cumulative count exceeds
-    k.  Output (group..., p, q).
+    group in one task — this reads the cumulative value-count table: the
+    needed 0-based positions k = floor/ceil((n - 1) p) form a tiny table
+    (groups x probabilities x 2) that is broadcast and matched to the one
+    value row whose position range [cum - cnt, cum) contains k.  The table is
+    streamed once; nothing is multiplied by the number of probabilities.
+    Output (group..., p, q).
     """
-    t = cumulative_counts(df, value, group, buckets=buckets)
-    ps = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    t = t.select(*group, value, "cum", "n", ps)
-    h = (F.col("n") - 1) * F.col("p")
-    lo, hi = F.floor(h), F.ceil(h)
-    g = t.groupBy(*group, "p").agg(
-        F.min(F.when(F.col("cum") > lo, F.col(value))).alias("_vlo"),
-        F.min(F.when(F.col("cum") > hi, F.col(value))).alias("_vhi"),
-        F.first(h).alias("_h"))
+    g = list(group)
+    t = cumulative_counts(df, value, g, buckets=buckets)
+    key = g if g else ["_q_g"]
+    if not g:
+        t = t.withColumn("_q_g", F.lit(0))
+    ns = t.groupBy(*key).agg(F.max("n").alias("_n"))
+    h = (F.col("_n") - 1) * F.col("p")
+    pos = (ns.select(*[F.col(c).alias(f"_p_{c}") for c in key],
+                     F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "_n")
+             .select(*[f"_p_{c}" for c in key], "p", h.alias("_h"))
+             .select(*[f"_p_{c}" for c in key], "p", "_h",
+                     F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_k")))
+    tt = t.select(*key, value, "cnt", "cum")
+    cond = ([F.col(c) == F.col(f"_p_{c}") for c in key]
+            + [(F.col("cum") - F.col("cnt")) <= F.col("_k"), F.col("_k") < F.col("cum")])
+    j = tt.join(F.broadcast(pos), cond).select(*key, "p", "_h", "_k", F.col(value).alias("_v"))
+    v = j.groupBy(*key, "p").agg(F.min_by("_v", "_k").alias("_vlo"), F.max_by("_v", "_k").alias("_vhi"),
+                                 F.first("_h").alias("_h"))
     frac = F.col("_h") - F.floor(F.col("_h"))
-    return g.select(*group, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).cast("double").alias("q"))
+    out = v.select(*key, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).cast("double").alias("q"))
+    return out if g else out.drop("_q_g")

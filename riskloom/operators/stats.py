@@ -198,7 +198,7 @@ def mean_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ J1 / J2
 def auc_by_group(long_df: DataFrame, score: str, label: str, group: Sequence[str] = (),
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Exact tie-aware ROC AUC per group (rank-sum / Mann-Whitney).
 
     AUC = (sum of average ranks of positives - P(P+1)/2) / (P * N).
@@ -221,7 +221,7 @@ def auc(df: DataFrame, score: str, label: str) -> float | None:
 
 
 def average_precision_by_group(long_df: DataFrame, score: str, label: str,
-                               group: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                               group: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Average precision = sum over thresholds (descending score) of (dTP / P) * precision.
 
     Descending order = ascending order of the negated score.  Two cumulative
@@ -251,7 +251,7 @@ def mutual_information(long_df: DataFrame, x: str, y: str, group: Sequence[str]
 
 
 def spearman_with_label(long_df: DataFrame, value: str, label: str, group: Sequence[str] = (),
-                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
     """|Spearman rho| of value vs label on pairwise-complete rows.
 
     Pearson correlation of the tie-averaged ranks of both sides, computed from
@@ -302,7 +302,7 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Spearman matrix = Pearson on per-column average ranks (H1 then J7)."""
     long = long_numeric(df, [id_col], columns)
     t = cumulative_counts(long, "value", ["feature"], buckets=buckets) \
