@@ -29,6 +29,7 @@ from ..session import cut_lineage
 DEFAULT_BUCKETS = 64
 MAX_BUCKETS = 1024
 ROWS_PER_BUCKET = 2_000_000
+MAX_BROADCAST_ENTRIES = 2_000_000
 
 
 def _const_key(df: DataFrame) -> DataFrame:
@@ -67,16 +68,21 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
         # vc feeds three branches (bounds, bucket totals, running counts); a
         # reliable checkpoint computes the upstream plan once and cuts lineage.
         vc = cut_lineage(vc)
+        st = vc.groupBy(*g).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("k")).first()
+        biggest, n_groups = (st["m"] or 0), (st["k"] or 0)
         if buckets is None:
-            biggest = vc.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
             buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-biggest // ROWS_PER_BUCKET))))
+    else:
+        n_groups = None
     buckets = buckets or DEFAULT_BUCKETS
+    # The bounds / bucket-total tables hold groups x buckets entries.  Broadcast
+    # them when that count is measured under the cap (or the grouping is a
+    # schema-sized key set and nothing was measured); above it, a shuffle join.
+    small = n_groups is None or n_groups * buckets <= MAX_BROADCAST_ENTRIES
     probs = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(*g).agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000)
                                 .alias("_rk_bounds"))
-    # groups x buckets numbers: bounded by the number of groups (schema-sized:
-    # features x folds x models), never by rows.  Without a group it is one row.
-    bnd = F.broadcast(bounds) if not group else bounds
+    bnd = F.broadcast(bounds) if small else bounds
     vb = vc.join(bnd, g).withColumn(
         "_rk_b", F.size(F.filter("_rk_bounds", lambda b: b < F.col(value).cast("double")))
     ).drop("_rk_bounds")
@@ -88,7 +94,7 @@ def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
         F.sum("_rk_bcnt").over(W.partitionBy(*g)).alias("n"),
     )
     wb = W.partitionBy(*g, "_rk_b").orderBy(value, *tiebreak).rowsBetween(W.unboundedPreceding, 0)
-    out = (vb.join(F.broadcast(bt) if not group else bt, g + ["_rk_b"])
+    out = (vb.join(F.broadcast(bt) if small else bt, g + ["_rk_b"])
              .withColumn("cum", F.col("_rk_off") + F.sum("cnt").over(wb))
              .drop("_rk_b", "_rk_off"))
     return out if group else out.drop("_rk_g")
