@@ -122,17 +122,45 @@ def with_average_rank(df: DataFrame, value: str, group: Sequence[str] = (), out:
 
 
 def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: Sequence[str] = (),
-                    out: str = "rn", buckets: int | None = None) -> DataFrame:
+                    out: str = "rn", buckets: int | None = None,
+                    hot_rows: int = ROWS_PER_BUCKET) -> DataFrame:
     """H3: unique rank ordered by (value, tiebreak) — ``rank(method="first")``.
 
     Returns the input rows (non-NULL ``value``) with ``out`` and the group size ``n``.
+
+    rank = (rows with a smaller value) + (position among the rows sharing the
+    value, ordered by the tiebreak).  The first term comes from the collapsed
+    value-count table, so a value held by a third of all rows is one row
+    there.  The second term is a plain window per value for ordinary values;
+    values holding more than ``hot_rows`` rows (at most n / hot_rows of them,
+    a broadcastable list) are ranked by the bucketed plan on the first
+    tiebreak column instead, so no single task sorts a hot value's rows.
     """
     if not tiebreak:
         raise ValueError("with_row_number needs at least one tiebreak column (e.g. the id)")
-    cols = [c for c in df.columns if c not in (value, *tiebreak, *group)]
-    extra = [F.col(c) for c in cols]
-    t = cumulative_counts(df, value, group, tiebreak=tiebreak, extra=extra, buckets=buckets)
-    return t.withColumnRenamed("cum", out).drop("cnt")
+    g = list(group)
+    d = df.where(F.col(value).isNotNull())
+    vt = cumulative_counts(d, value, g, buckets=buckets).select(
+        *g, value, (F.col("cum") - F.col("cnt")).alias("_rn_before"), "cnt", "n")
+    hot = vt.where(F.col("cnt") > hot_rows).select(*g, value).withColumn("_rn_hot", F.lit(True))
+    wv = W.partitionBy(*g, value).orderBy(*tiebreak)
+    if hot.limit(1).count() == 0:  # cheap: reads the materialised value-count table
+        res = d.withColumn("_rn_pos", F.row_number().over(wv)).join(vt.drop("cnt"), [*g, value])
+        return res.withColumn(out, (F.col("_rn_before") + F.col("_rn_pos")).cast("long")).drop("_rn_before",
+                                                                                                 "_rn_pos")
+    # hot values are few by construction (each holds > hot_rows rows)
+    d = d.join(F.broadcast(hot), [*g, value], "left")
+    cold = d.where(F.col("_rn_hot").isNull()).drop("_rn_hot")
+    pos_cold = cold.withColumn("_rn_pos", F.row_number().over(wv))
+    hotd = d.where(F.col("_rn_hot")).drop("_rn_hot")
+    others = [c for c in hotd.columns if c not in (*g, value, tiebreak[0])]
+    pos_hot = cumulative_counts(hotd, tiebreak[0], [*g, value], tiebreak=tiebreak[1:] or (),
+                                extra=[F.col(c) for c in others] if tiebreak[1:] else
+                                [F.first(c).alias(c) for c in others],
+                                buckets=buckets).withColumnRenamed("cum", "_rn_pos").drop("cnt", "n")
+    allpos = pos_cold.unionByName(pos_hot.select(*pos_cold.columns))
+    res = allpos.join(vt.drop("cnt"), [*g, value])
+    return res.withColumn(out, (F.col("_rn_before") + F.col("_rn_pos")).cast("long")).drop("_rn_before", "_rn_pos")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (),

@@ -53,3 +53,16 @@ def test_auc_ap_spearman_bruteforce(spark):
     rho = spearman_with_label(df, "s", "y").first()["spearman_abs"]
     exp = abs(pd.Series(s).rank().corr(pd.Series(y).rank()))
     assert abs(rho - exp) < 1e-12
+
+
+def test_row_number_hot_value_path(spark):
+    rng = np.random.default_rng(11)
+    n = 600
+    v = np.where(rng.random(n) < 0.4, 3.0, rng.integers(0, 50, n).astype(float))  # one hot value
+    pdf = pd.DataFrame({"id": rng.permutation(n), "g": rng.integers(0, 2, n), "v": v})
+    df = spark.createDataFrame(pdf)
+    got = with_row_number(df, "v", ["id"], ["g"], out="rn", hot_rows=50).toPandas().sort_values("id")
+    exp = pdf.sort_values(["g", "v", "id"]).groupby("g").cumcount() + 1
+    np.testing.assert_array_equal(got.set_index("id")["rn"].sort_index().values,
+                                  exp.reindex(pdf.sort_values(["g", "v", "id"]).index)
+                                  .set_axis(pdf.sort_values(["g", "v", "id"])["id"]).sort_index().values)
