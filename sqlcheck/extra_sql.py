@@ -139,3 +139,30 @@ def spearman_matrix_sql() -> str:
             f"SELECT a.model AS col_a, b.model AS col_b, corr(a.rk, b.rk) AS corr FROM r a JOIN r b ON a.id = b.id "
             f"GROUP BY a.model, b.model")
     return canon(body, ["col_a", "col_b", "corr"], set(), strings={"col_a", "col_b"})
+
+
+def stage0_sql() -> str:
+    """Q11: audit over train (without TARGET) + test, plus the duplicate-column flag."""
+    from .application_sql import APP_COLS, INT_APP
+    cols = ["SK_ID_CURR"] + APP_COLS
+    fam = {c: ("str" if c in LABELS else ("int" if c in INT_APP or c == "SK_ID_CURR" else "float")) for c in cols}
+    pairs = [(c, p) for i, c in enumerate(cols) for p in cols[:i]
+             if c != "SK_ID_CURR" and p != "SK_ID_CURR" and fam[c] == fam[p]]
+    mism = ", ".join(f"count(*) FILTER (WHERE {c} IS DISTINCT FROM {p}) AS m{i}" for i, (c, p) in enumerate(pairs))
+    pv = ", ".join(f"({i}, '{c}', '{p}')" for i, (c, p) in enumerate(pairs))
+    stats = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg(({c} IS NULL)::INTEGER) AS missing_rate, count(DISTINCT {c}) AS nunique, "
+        f"count(*) AS n FROM b" for c in cols)
+    body = with_fixtures("app", extra={
+        "b": "SELECT * EXCLUDE (split, TARGET) FROM app",
+        "st": f"SELECT feature, missing_rate, nunique, (nunique::DOUBLE / greatest(n, 1) <= 1e-8 OR nunique <= 1) "
+              f"AS near_constant, (missing_rate > 0.98) AS high_missing FROM ({stats})",
+        "mm": f"SELECT {mism} FROM b",
+        "pm": f"SELECT * FROM (VALUES {pv}) t(i, col, prev)",
+        "ml": f"SELECT * FROM (SELECT * FROM mm UNPIVOT (mis FOR k IN ({', '.join(f'm{i}' for i in range(len(pairs)))})))",
+        "eq": "SELECT pm.col, pm.prev FROM ml JOIN pm ON ml.k = 'm' || pm.i WHERE ml.mis = 0",
+        "dup": "SELECT DISTINCT eq.col FROM eq JOIN st a ON a.feature = eq.col JOIN st p ON p.feature = eq.prev "
+               "WHERE NOT (a.near_constant OR a.high_missing) AND NOT (p.near_constant OR p.high_missing)",
+    }) + ("SELECT st.*, (dup.col IS NOT NULL) AS duplicate FROM st LEFT JOIN dup ON st.feature = dup.col")
+    return canon(body, ["feature", "missing_rate", "nunique", "near_constant", "high_missing", "duplicate"],
+                 {"nunique", "near_constant", "high_missing", "duplicate"}, strings={"feature"})
