@@ -166,3 +166,73 @@ def stage0_sql() -> str:
     }) + ("SELECT st.*, (dup.col IS NOT NULL) AS duplicate FROM st LEFT JOIN dup ON st.feature = dup.col")
     return canon(body, ["feature", "missing_rate", "nunique", "near_constant", "high_missing", "duplicate"],
                  {"nunique", "near_constant", "high_missing", "duplicate"}, strings={"feature"})
+
+
+def stage1_sql() -> str:
+    """Q12: per feature missing rate, OOF single-feature AUC, binned MI, |Spearman|, pass flag."""
+    from .application_sql import APP_COLS
+    num = [c for c in APP_COLS if c not in LABELS]
+    cats = list(LABELS)
+    numc = ", ".join(f"{c}::DOUBLE AS {c}" for c in num)
+    catlist = ", ".join(f"'{c}'" for c in cats)
+    probs = ", ".join(f"{i}::DOUBLE / 10" for i in range(1, 10))
+    rank = "rank() OVER (PARTITION BY {p} ORDER BY {o}) + (count(*) OVER (PARTITION BY {p}, {o}) - 1) / 2.0"
+    body = (f"WITH f AS ({folds_sql()}), app AS ({APPLICATION}), "
+            f"tr AS (SELECT a.*, f.fold FROM app a JOIN f USING (SK_ID_CURR) WHERE a.split = 'train'), "
+            f"ln AS (SELECT * FROM (SELECT SK_ID_CURR, TARGET, fold, {numc} FROM tr) "
+            f"  UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(num)}))), "
+            f"lc AS (SELECT * FROM (SELECT SK_ID_CURR, TARGET, fold, {', '.join(cats)} FROM tr) "
+            f"  UNPIVOT INCLUDE NULLS (v FOR feature IN ({', '.join(cats)}))), "
+            # numeric OOF scores
+            f"med_f AS (SELECT ln.feature, k.fold, quantile_cont(ln.value, 0.5) AS m FROM ln "
+            f"  JOIN (SELECT DISTINCT fold FROM f) k ON ln.fold <> k.fold GROUP BY ln.feature, k.fold), "
+            f"fl AS (SELECT ln.feature, ln.fold, ln.TARGET, coalesce(ln.value, med_f.m) AS v FROM ln "
+            f"  LEFT JOIN med_f ON ln.feature = med_f.feature AND ln.fold = med_f.fold), "
+            f"sn AS (SELECT feature, TARGET, ({rank.format(p='feature, fold', o='v')}) / "
+            f"  count(*) OVER (PARTITION BY feature, fold) AS s FROM fl WHERE v IS NOT NULL), "
+            # categorical OOF frequency scores
+            f"cv AS (SELECT feature, fold, TARGET, coalesce(v, '__MISSING__') AS v FROM lc), "
+            f"per AS (SELECT feature, fold, v, count(*) AS cf FROM cv GROUP BY ALL), "
+            f"tot AS (SELECT feature, v, sum(cf) AS cvv FROM per GROUP BY ALL), "
+            f"nf AS (SELECT feature, fold, count(*) AS n_f FROM cv GROUP BY ALL), "
+            f"na AS (SELECT feature, count(*) AS n_a FROM cv GROUP BY ALL), "
+            f"enc_c AS (SELECT per.feature, per.fold, per.v, (tot.cvv - per.cf)::DOUBLE / greatest(na.n_a - nf.n_f, 1) AS s "
+            f"  FROM per JOIN tot USING (feature, v) JOIN nf USING (feature, fold) JOIN na USING (feature)), "
+            f"sc AS (SELECT cv.feature, cv.TARGET, coalesce(enc_c.s, 0.0) AS s FROM cv LEFT JOIN enc_c "
+            f"  ON cv.feature = enc_c.feature AND cv.fold = enc_c.fold AND cv.v = enc_c.v), "
+            f"sall AS (SELECT * FROM sn UNION ALL SELECT * FROM sc), "
+            f"ra AS (SELECT feature, TARGET, {rank.format(p='feature', o='s')} AS ar FROM sall), "
+            f"auc0 AS (SELECT feature, (sum(CASE WHEN TARGET = 1 THEN ar ELSE 0 END) - sum(TARGET) * (sum(TARGET) + 1) / 2.0)"
+            f"  / (sum(TARGET)::DOUBLE * (count(*) - sum(TARGET))) AS a FROM ra GROUP BY feature), "
+            f"auc AS (SELECT feature, greatest(a, 1 - a) AS auc_single FROM auc0), "
+            # encoded values: numeric as is, categorical as sorted codes over train + test
+            f"allc AS (SELECT * FROM (SELECT {', '.join(cats)} FROM app) UNPIVOT INCLUDE NULLS (v FOR feature IN ({', '.join(cats)}))), "
+            f"codes AS (SELECT feature, v, (dense_rank() OVER (PARTITION BY feature ORDER BY v) - 1)::DOUBLE AS code "
+            f"  FROM (SELECT DISTINCT feature, coalesce(v, '__MISSING__') AS v FROM allc)), "
+            f"enc AS (SELECT feature, TARGET, value FROM ln UNION ALL SELECT lc.feature, lc.TARGET, codes.code FROM lc "
+            f"  JOIN codes ON lc.feature = codes.feature AND coalesce(lc.v, '__MISSING__') = codes.v), "
+            f"med AS (SELECT feature, quantile_cont(value, 0.5) AS m FROM enc WHERE value IS NOT NULL GROUP BY feature), "
+            f"dec AS (SELECT feature, quantile_cont(value, [{probs}]) AS e FROM enc WHERE value IS NOT NULL GROUP BY feature), "
+            f"xb AS (SELECT enc.feature, enc.TARGET, CASE WHEN enc.feature IN ({catlist}) THEN coalesce(enc.value, med.m) "
+            f"  ELSE len(list_filter(dec.e, lambda q: q < coalesce(enc.value, med.m)))::DOUBLE END AS x "
+            f"  FROM enc LEFT JOIN med USING (feature) LEFT JOIN dec USING (feature)), "
+            f"jx AS (SELECT feature, x, TARGET, count(*) AS nxy FROM xb GROUP BY ALL), "
+            f"kx AS (SELECT *, sum(nxy) OVER (PARTITION BY feature, x) AS nx, sum(nxy) OVER (PARTITION BY feature, TARGET) AS ny, "
+            f"  sum(nxy) OVER (PARTITION BY feature) AS n FROM jx), "
+            f"mi AS (SELECT feature, sum((nxy::DOUBLE / n) * ln(nxy::DOUBLE * n / (nx::DOUBLE * ny))) AS mi FROM kx GROUP BY feature), "
+            f"rr AS (SELECT feature, {rank.format(p='feature', o='value')} AS rx, {rank.format(p='feature', o='TARGET')} AS ry "
+            f"  FROM enc WHERE value IS NOT NULL AND TARGET IS NOT NULL), "
+            f"rho AS (SELECT feature, abs(CASE WHEN var_pop(rx) > 0 AND var_pop(ry) > 0 THEN corr(rx, ry) END) AS spearman_abs "
+            f"  FROM rr GROUP BY feature), "
+            f"both_l AS (SELECT * FROM (SELECT {', '.join(f'({c} IS NULL)::DOUBLE AS {c}' for c in APP_COLS)} FROM app) "
+            f"  UNPIVOT (isn FOR feature IN ({', '.join(APP_COLS)}))), "
+            f"miss AS (SELECT feature, avg(isn) AS missing_rate FROM both_l GROUP BY feature), "
+            f"types AS (SELECT * FROM (VALUES {', '.join(f"('{c}', '{'cat' if c in cats else 'num'}')" for c in APP_COLS)}) t(feature, type)), "
+            f"m AS (SELECT types.feature, types.type, miss.missing_rate, auc.auc_single, mi.mi, rho.spearman_abs FROM types "
+            f"  LEFT JOIN miss USING (feature) LEFT JOIN auc USING (feature) LEFT JOIN mi USING (feature) "
+            f"  LEFT JOIN rho USING (feature)), "
+            f"thr AS (SELECT quantile_cont(mi, 0.6) AS t FROM m) "
+            f"SELECT m.*, (coalesce(auc_single >= 0.51, false) OR coalesce(mi >= thr.t, false) "
+            f"  OR coalesce(spearman_abs >= 0.05, false))::INTEGER AS pass_stage1 FROM m, thr")
+    return canon(body, ["feature", "type", "missing_rate", "auc_single", "mi", "spearman_abs", "pass_stage1"],
+                 {"pass_stage1"}, strings={"feature", "type"})
