@@ -695,6 +695,7 @@ def oracle_sql() -> dict[str, str]:
         "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
         "q38_screen_stage0_audit": X2.stage0_sql(),
         "q37_screen_stage1": X2.stage1_sql(),
+        "q50_onehot_sparse": X2.onehot_sparse_sql(),
         "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
         "q69_spearman_matrix": X2.spearman_matrix_sql(),
         "q70_blend_runner": BL.blend_sql("rank_mean"),

@@ -236,3 +236,13 @@ def stage1_sql() -> str:
             f"  OR coalesce(spearman_abs >= 0.05, false))::INTEGER AS pass_stage1 FROM m, thr")
     return canon(body, ["feature", "type", "missing_rate", "auc_single", "mi", "spearman_abs", "pass_stage1"],
                  {"pass_stage1"}, strings={"feature", "type"})
+
+
+def onehot_sparse_sql() -> str:
+    """width = sum over categorical columns of (categories + the indexer's unknown label
+    + the encoder's kept-invalid slot) + 2 numerics; entries sum to one 1 per categorical
+    column plus the two numeric values."""
+    width = " + ".join(f"(SELECT count(DISTINCT {c}) + 2 FROM app)" for c in LABELS)
+    body = with_fixtures("app") + (f"SELECT SK_ID_CURR, ({width} + 2)::INTEGER AS width, "
+                                   f"{len(LABELS)} + AMT_CREDIT + EXT_SOURCE_2 AS total FROM app")
+    return canon(body, ["SK_ID_CURR", "width", "total"], {"SK_ID_CURR", "width"})
