@@ -31,9 +31,10 @@ SUPPORTED = ("count", "min", "max", "mean", "sum", "nunique")
 
 @dataclass(frozen=True)
 class Window:
-    """One aggregation window: a name prefix and an optional row condition."""
+    """One aggregation window: a name prefix and an optional row condition
+    (a SQL predicate string, or a Column)."""
     prefix: str
-    cond: Column | None = None
+    cond: str | Column | None = None
     spec: AggSpec | None = None  # None -> use the block's spec
     extra: dict = field(default_factory=dict)
 
@@ -63,23 +64,61 @@ def _sum_zero(x: Column, dtype: str) -> Column:
     return F.coalesce(F.sum(x), zero)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_agg(fn: str, x: str, dtype: str) -> str:
+    if fn == "count":
+        return f"count({x})"
+    if fn in ("min", "max"):
+        return f"{fn}({x})"
+    if fn == "mean":
+        return f"avg({x})"
+    if fn == "sum":
+        zero = "CAST(0 AS DOUBLE)" if dtype in ("double", "float") else "CAST(0 AS BIGINT)"
+        return f"coalesce(sum({x}), {zero})"
+    if fn == "nunique":
+        return f"count(DISTINCT {x})"
+    raise ValueError(f"unsupported aggregate {fn!r}; use one of {SUPPORTED}")
+
+
+def spec_exprs(df: DataFrame, spec: AggSpec, prefix: str, cond: str | None = None) -> list[str]:
+    """Aggregate expressions of one window as SQL text (``cond`` None = all rows).
+
+    Text keeps plan construction to one call per expression instead of a
+    dozen Column round trips; Catalyst sees the same expressions either way.
+    """
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    out: list[str] = []
+    present = None if cond is None else f"count(CASE WHEN {cond} THEN 1 END) > 0"
+    for column, fns in spec.items():
+        if column not in types:
+            raise KeyError(f"spec column {column!r} not in frame")
+        x = _q(column) if cond is None else f"CASE WHEN {cond} THEN {_q(column)} END"
+        for fn in fns:
+            a = _sql_agg(fn, x, types[column])
+            if present is not None:
+                a = f"CASE WHEN {present} THEN {a} END"
+            out.append(f"{a} AS {_q(feature_name(prefix, column, fn))}")
+    return out
+
+
 def spec_columns(df: DataFrame, spec: AggSpec, prefix: str,
-                 cond: Column | None = None) -> list[Column]:
+                 cond: str | Column | None = None) -> list[Column]:
     """Aggregate columns for one window (``cond`` None = all rows)."""
+    if cond is None or isinstance(cond, str):
+        return [F.expr(e) for e in spec_exprs(df, spec, prefix, cond)]
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     out: list[Column] = []
-    present = None
-    if cond is not None:
-        present = F.count(F.when(cond, F.lit(1))) > 0
+    present = F.count(F.when(cond, F.lit(1))) > 0
     for column, fns in spec.items():
         if column not in types:
             raise KeyError(f"spec column {column!r} not in frame")
-        x = F.col(column) if cond is None else F.when(cond, F.col(column))
+        x = F.when(cond, F.col(column))
         for fn in fns:
             a = _sum_zero(x, types[column]) if fn == "sum" else _agg(fn, x)
-            if present is not None:
-                a = F.when(present, a)
-            out.append(a.alias(feature_name(prefix, column, fn)))
+            out.append(F.when(present, a).alias(feature_name(prefix, column, fn)))
     return out
 
 
@@ -115,43 +154,45 @@ def _two_level(df: DataFrame, keys: list[str], parts, dcol: str) -> DataFrame:
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     l1, l2 = [], []
     for wi, (pre, cond, sp) in enumerate(parts):
-        rows = F.count(F.lit(1)) if cond is None else F.count(F.when(cond, F.lit(1)))
-        l1.append(rows.alias(f"_r{wi}"))
-        present = None if cond is None else (F.sum(f"_r{wi}") > 0)
+        if cond is not None and not isinstance(cond, str):
+            raise TypeError("two-level aggregation takes SQL string window conditions")
+        l1.append(("count(1)" if cond is None else f"count(CASE WHEN {cond} THEN 1 END)") + f" AS _r{wi}")
+        present = None if cond is None else f"sum(_r{wi}) > 0"
         for ci, (column, fns) in enumerate(sp.items()):
-            x = F.col(column) if cond is None else F.when(cond, F.col(column))
+            x = _q(column) if cond is None else f"CASE WHEN {cond} THEN {_q(column)} END"
             tag = f"{wi}_{ci}"
             need = set(fns)
             if "mean" in need or "count" in need:
-                l1.append(F.count(x).alias(f"_c{tag}"))
+                l1.append(f"count({x}) AS _c{tag}")
             if "mean" in need or "sum" in need:
-                l1.append(F.sum(x).alias(f"_s{tag}"))
+                l1.append(f"sum({x}) AS _s{tag}")
             if "min" in need:
-                l1.append(F.min(x).alias(f"_mn{tag}"))
+                l1.append(f"min({x}) AS _mn{tag}")
             if "max" in need:
-                l1.append(F.max(x).alias(f"_mx{tag}"))
+                l1.append(f"max({x}) AS _mx{tag}")
             if "nunique" in need and column != dcol:
                 raise ValueError("two-level path supports one distinct column")
             for fn in fns:
                 if fn == "count":
-                    a = F.sum(f"_c{tag}")
+                    a = f"sum(_c{tag})"
                 elif fn == "sum":
-                    zero = F.lit(0.0) if types[column] in ("double", "float") else F.lit(0).cast("long")
-                    a = F.coalesce(F.sum(f"_s{tag}"), zero)
+                    zero = "CAST(0 AS DOUBLE)" if types[column] in ("double", "float") else "CAST(0 AS BIGINT)"
+                    a = f"coalesce(sum(_s{tag}), {zero})"
                 elif fn == "mean":
-                    a = F.sum(f"_s{tag}").cast("double") / F.sum(f"_c{tag}")
+                    a = f"CAST(sum(_s{tag}) AS DOUBLE) / sum(_c{tag})"
                 elif fn == "min":
-                    a = F.min(f"_mn{tag}")
+                    a = f"min(_mn{tag})"
                 elif fn == "max":
-                    a = F.max(f"_mx{tag}")
+                    a = f"max(_mx{tag})"
                 elif fn == "nunique":
-                    a = F.count(F.when(F.col(f"_r{wi}") > 0, F.col(dcol)))
+                    a = f"count(CASE WHEN _r{wi} > 0 THEN {_q(dcol)} END)"
                 else:
                     raise ValueError(fn)
                 if present is not None:
-                    a = F.when(present, a)
-                l2.append(a.alias(feature_name(pre, column, fn)))
-    return df.groupBy(*keys, dcol).agg(*l1).groupBy(*keys).agg(*l2)
+                    a = f"CASE WHEN {present} THEN {a} END"
+                l2.append(f"{a} AS {_q(feature_name(pre, column, fn))}")
+    lvl1 = df.groupBy(*keys, dcol).agg(*[F.expr(e) for e in l1])
+    return lvl1.groupBy(*keys).agg(*[F.expr(e) for e in l2])
 
 
 def feature_names(spec: AggSpec, prefix: str) -> list[str]:

@@ -46,7 +46,7 @@ def prev_block(prev: DataFrame, zero: str = "null") -> DataFrame:
     """Q1 (F2-F5): 39 all-history + 39 last-365-day aggregates + refused/approved ratios."""
     df = prev_processed(prev, zero)
     status = F.col("NAME_CONTRACT_STATUS")
-    recent = Window(S.PREV_RECENT_PREFIX, F.col("DAYS_DECISION") > S.PREV_RECENT_DAYS)
+    recent = Window(S.PREV_RECENT_PREFIX, f"DAYS_DECISION > {S.PREV_RECENT_DAYS}")
     cols = spec_columns(df, S.PREV_SPEC, S.PREV_PREFIX)
     cols += spec_columns(df, S.PREV_SPEC, recent.prefix, recent.cond)
     # status counts pivoted to columns via conditional counts (explicit values,
@@ -109,10 +109,11 @@ def bureau_block(bureau: DataFrame, bureau_bal: DataFrame, zero: str = "null") -
     bb = bureau_balance_partials(bureau_bal)
     j = b.join(bb, "SK_ID_BUREAU", "left")
     active = F.col("CREDIT_ACTIVE") == S.BUREAU_ACTIVE
-    recent = F.col("DAYS_CREDIT") > S.BUREAU_RECENT_DAYS
+    active_sql = f"CREDIT_ACTIVE = '{S.BUREAU_ACTIVE}'"
+    recent_sql = f"DAYS_CREDIT > {S.BUREAU_RECENT_DAYS}"
     cols = spec_columns(j, S.BUREAU_SPEC, S.BUREAU_PREFIX)
-    cols += spec_columns(j, S.BUREAU_SPEC, S.BUREAU_ACTIVE_PREFIX, active)
-    cols += spec_columns(j, S.BUREAU_SPEC, S.BUREAU_RECENT_PREFIX, recent)
+    cols += spec_columns(j, S.BUREAU_SPEC, S.BUREAU_ACTIVE_PREFIX, active_sql)
+    cols += spec_columns(j, S.BUREAU_SPEC, S.BUREAU_RECENT_PREFIX, recent_sql)
     # active DPD counts over the all-history loan count (NULL without active loans).
     n_loans = F.count(F.col("SK_ID_BUREAU"))
     any_active = F.count(F.when(active, F.lit(1))) > 0
@@ -147,7 +148,7 @@ def _dpd_tiers(dpd, name: str) -> list:
 def pos_block(pos: DataFrame) -> DataFrame:
     """Q3 (F11): 22 all-history + 22 last-24-month aggregates."""
     df = pos.select("*", *_dpd_tiers(F.col("SK_DPD"), "POS"))
-    w = Window(S.POS_RECENT_PREFIX, F.col("MONTHS_BALANCE") > S.POS_RECENT_MONTHS)
+    w = Window(S.POS_RECENT_PREFIX, f"MONTHS_BALANCE > {S.POS_RECENT_MONTHS}")
     return aggregate(df, ID, S.POS_SPEC, S.POS_PREFIX, [w])
 
 
@@ -161,7 +162,7 @@ def installments_block(ins: DataFrame) -> DataFrame:
         (c("DAYS_ENTRY_PAYMENT") - c("DAYS_INSTALMENT")).alias("SK_DPD"),
     )
     df = df.select("*", *_dpd_tiers(F.col("SK_DPD"), "INS"))
-    w = Window(S.INS_RECENT_PREFIX, F.col("DAYS_ENTRY_PAYMENT") >= S.INS_RECENT_DAYS)
+    w = Window(S.INS_RECENT_PREFIX, f"DAYS_ENTRY_PAYMENT >= {S.INS_RECENT_DAYS}")
     return aggregate(df, ID, S.INS_SPEC, S.INS_PREFIX, [w])
 
 
@@ -173,7 +174,7 @@ def card_block(card: DataFrame, zero: str = "null") -> DataFrame:
         ieee_div("AMT_DRAWINGS_CURRENT", "AMT_CREDIT_LIMIT_ACTUAL", zero).alias("DRAWING_LIMIT_RATIO"),
     )
     df = df.select("*", *_dpd_tiers(F.col("SK_DPD"), "CARD"))
-    w = Window(S.CARD_RECENT_PREFIX, F.col("MONTHS_BALANCE") >= S.CARD_RECENT_MONTHS)
+    w = Window(S.CARD_RECENT_PREFIX, f"MONTHS_BALANCE >= {S.CARD_RECENT_MONTHS}")
     return aggregate(df, ID, S.CARD_SPEC, S.CARD_PREFIX, [w])
 
 

@@ -21,7 +21,7 @@ def test_two_level_distinct_matches_pandas(spark):
     rows = [(1, 1.0, 0.0, -10), (1, 1.0, 2.0, -400), (1, 2.0, None, -1), (2, None, 1.0, -5), (2, 3.0, 4.0, -500)]
     df = spark.createDataFrame(rows, "id long, v double, a double, d int")
     spec = {"v": ["nunique"], "a": ["mean", "sum", "max"], "id": ["count"]}
-    got = aggregate(df, "id", spec, "I_", [Window("W", F.col("d") >= -365)]).orderBy("id").toPandas()
+    got = aggregate(df, "id", spec, "I_", [Window("W", "d >= -365")]).orderBy("id").toPandas()
     pdf = pd.DataFrame(rows, columns=["id", "v", "a", "d"])
     g = pdf.groupby("id")
     assert got["I_V_NUNIQUE"].tolist() == g["v"].nunique().tolist()
