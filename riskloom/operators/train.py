@@ -216,7 +216,6 @@ def permutation_importance(model, frame: DataFrame, features: Sequence[str], id_
     but runs in parallel.
     """
     from ..functions.ranks import with_row_number
-    from .folds import seeded_hash
     score = score or (lambda m, d: m.transform(d).select("_tag_f", "_tag_r", label, _p1().alias("pred")))
     base = frame.select(id_col, label, *features)
     pos = with_row_number(base, id_col, [id_col], out="_pos").drop("n")
