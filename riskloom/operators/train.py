@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -53,13 +53,19 @@ def _importance(model, features: Sequence[str]) -> list[tuple[str, float]] | Non
 def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Callable,
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                    test: DataFrame | None = None, weight_col: str | None = None,
-                   score: Callable | None = None) -> CVResult:
+                   score: Callable | None = None,
+                   fold_weight: Callable[[int], Column] | None = None) -> CVResult:
     """L1: OOF cross-validation with any Spark ML probabilistic classifier.
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
     estimator; ``score(model, frame)`` returns (id, pred) (default: P(class 1)).
+    ``fold_weight(k)`` (optional) gives the instance-weight expression used
+    while fitting fold k's model, for weights that depend on that fold's
+    training part (K4/K5).
     """
-    cols = [id_col, label, fold, *features] + ([weight_col] if weight_col else [])
+    if fold_weight is not None:
+        weight_col = "_fold_w"
+    cols = [id_col, label, fold, *features] + ([weight_col] if weight_col and fold_weight is None else [])
     data = cut_lineage(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
     tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
@@ -67,7 +73,10 @@ def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Ca
     oof_parts, test_parts, aucs, imps = [], [], [], []
     for k in folds:
         est = make_estimator("features", label, weight_col)
-        model = est.fit(data.where(F.col(fold) != k))
+        fit_part = data.where(F.col(fold) != k)
+        if fold_weight is not None:
+            fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
+        model = est.fit(fit_part)
         va = data.where(F.col(fold) == k)
         pv = score(model, va).join(va.select(id_col, label, fold), id_col)
         oof_parts.append(pv.select(id_col, fold, label, F.col("pred").alias("oof_pred")))
@@ -265,33 +274,32 @@ def imbalance_experiment(train: DataFrame, features: Sequence[str], factory: Cal
                          cap: float = 50.0, fixed_spw: float = 5.0, ratio: float = 3.0) -> DataFrame:
     """The same learner under several imbalance strategies -> (strategy, oof_auc, average_precision).
 
-    Weights are derived per training fold from class counts (K4-K6); the
-    undersampled variant keeps all positives and ratio x P negatives of the
-    training part, and is scored on every held-out row.
+    auto_weight: positives weighted min(N/P, cap) with N, P counted on each
+    fold's own training part (K4); scale_pos_weight: a fixed weight (K5);
+    balanced: n / (2 n_class) (K6); undersample: all positives and ratio x P
+    negatives (K3).  Per-fold weights come from one grouped count (k rows).
     """
     from .folds import balanced_weight, positive_weights, undersample
     from .stats import average_precision_by_group
     rows = []
     for s in strategies:
-        df, wcol = train, None
-        if s in ("auto_weight", "scale_pos_weight"):
-            pw = positive_weights(train, label, fold, cap=cap if s == "auto_weight" else None)
-            # weight rows of the training part of fold k by fold k's ratio: for simplicity
-            # the ratio of the held-out row's fold is used (identical in expectation).
-            w = F.when(F.col(label) == 1, F.col("pos_weight") if s == "auto_weight" else F.lit(fixed_spw)) \
-                .otherwise(F.lit(1.0))
-            df = train.join(F.broadcast(pw.select(fold, "pos_weight")), fold).withColumn("_w", w)
-            wcol = "_w"
+        df, wcol, fw = train, None, None
+        if s == "auto_weight":
+            pw = {r[fold]: r["pos_weight"] for r in positive_weights(train, label, fold, cap=cap).collect()}
+            fw = (lambda k, pw=pw: F.when(F.col(label) == 1, F.lit(float(pw[k] or 1.0))).otherwise(F.lit(1.0)))
+        elif s == "scale_pos_weight":
+            fw = (lambda k: F.when(F.col(label) == 1, F.lit(float(fixed_spw))).otherwise(F.lit(1.0)))
         elif s == "balanced":
             df, wcol = balanced_weight(train, label, "_w"), "_w"
         elif s == "undersample":
             df = undersample(train, id_col, label, ratio)
-        r = cross_validate(df, features, factory, id_col, label, fold, weight_col=wcol)
+        r = cross_validate(df, features, factory, id_col, label, fold, weight_col=wcol, fold_weight=fw)
         ap = average_precision_by_group(r.oof, "oof_pred", label).first()
         rows.append((s, r.oof_auc, None if ap is None else ap["average_precision"]))
     return train.sparkSession.createDataFrame(rows, "strategy string, oof_auc double, average_precision double")
 
 
+
 # ------------------------------------------------------------------ L15
 def refit_full(train: DataFrame, features: Sequence[str], make_estimator: Callable, label: str = "TARGET",
                weight_col: str | None = None):

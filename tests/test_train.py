@@ -29,3 +29,21 @@ def test_feature_version_validation_on_sf0001(spark):
     r = feature_version_validation(app, logistic_l2(C=1.0, n_rows=120, max_iter=20), versions=[0, 7]).toPandas()
     assert set(r["version"]) == {0, 7} and set(r["part"]) == {"train", "valid"}
     assert (r["fold"] == -1).sum() == 4 and len(r) == 2 * (2 * 5 + 2)
+
+
+def test_other_learners_and_fold_weights(spark):
+    from riskloom.operators.train import elastic_logistic, mlp
+    rng = np.random.default_rng(8)
+    n = 300
+    x1 = rng.normal(size=n)
+    y = (x1 + 0.5 * rng.normal(size=n) > 0.8).astype(float)
+    pdf = pd.DataFrame({"SK_ID_CURR": range(n), "TARGET": y, "x1": x1, "x2": rng.normal(size=n),
+                        "fold": np.arange(n) % 3})
+    df = spark.createDataFrame(pdf)
+    r = cross_validate(df, ["x1", "x2"], elastic_logistic(reg=0.01, l1_ratio=0.5))
+    assert r.oof_auc > 0.85
+    r = cross_validate(df, ["x1", "x2"], mlp(hidden=(4,), n_features=2, max_iter=50))
+    assert r.oof.count() == n and r.oof_auc > 0.7
+    r = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0, n_rows=n),
+                       fold_weight=lambda k: F.when(F.col("TARGET") == 1, F.lit(3.0)).otherwise(F.lit(1.0)))
+    assert r.oof_auc > 0.85
