@@ -559,6 +559,15 @@ def q_final_blend(spark, d):
     return alpha_blend(ra, meta, 0.5)
 
 
+def q_region(spark, d):
+    """B9, B10, B15 (feature set v4 block): rating difference, address mismatches, age in years."""
+    from riskloom.functions.exprs import days_to_years
+    from riskloom.plans.application import region_features
+    r = region_features(FX.application(spark, d))
+    return r.select("SK_ID_CURR", "REGION_RATING_DIFF", "ADDR_MISMATCH_SUM",
+                    days_to_years("DAYS_BIRTH").alias("YEARS_BIRTH"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -621,6 +630,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q69_spearman_matrix": q_spearman_matrix,
     "q70_blend_runner": q_blend_runner,
     "q71_final_alpha_blend": q_final_blend,
+    "q72_region_features": q_region,
 }
 
 
@@ -696,6 +706,7 @@ def oracle_sql() -> dict[str, str]:
         "q38_screen_stage0_audit": X2.stage0_sql(),
         "q37_screen_stage1": X2.stage1_sql(),
         "q50_onehot_sparse": X2.onehot_sparse_sql(),
+        "q72_region_features": X2.region_sql(),
         "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
         "q69_spearman_matrix": X2.spearman_matrix_sql(),
         "q70_blend_runner": BL.blend_sql("rank_mean"),

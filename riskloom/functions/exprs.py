@@ -167,3 +167,8 @@ def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def days_to_years(c: str | Column) -> Column:
+    """Relative day count (negative = past) -> years."""
+    return col(c) / F.lit(-365.0)

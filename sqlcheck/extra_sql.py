@@ -246,3 +246,13 @@ def onehot_sparse_sql() -> str:
     body = with_fixtures("app") + (f"SELECT SK_ID_CURR, ({width} + 2)::INTEGER AS width, "
                                    f"{len(LABELS)} + AMT_CREDIT + EXT_SOURCE_2 AS total FROM app")
     return canon(body, ["SK_ID_CURR", "width", "total"], {"SK_ID_CURR", "width"})
+
+
+def region_sql() -> str:
+    addr = ["REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION",
+            "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY"]
+    s = " + ".join(f"coalesce({c}, 0)" for c in addr)
+    body = with_fixtures("app") + (f"SELECT SK_ID_CURR, REGION_RATING_CLIENT - REGION_RATING_CLIENT_W_CITY AS "
+                                   f"REGION_RATING_DIFF, {s} AS ADDR_MISMATCH_SUM, DAYS_BIRTH / -365.0 AS YEARS_BIRTH FROM app")
+    return canon(body, ["SK_ID_CURR", "REGION_RATING_DIFF", "ADDR_MISMATCH_SUM", "YEARS_BIRTH"],
+                 {"SK_ID_CURR", "REGION_RATING_DIFF", "ADDR_MISMATCH_SUM"})
