@@ -568,6 +568,32 @@ def q_region(spark, d):
                     days_to_years("DAYS_BIRTH").alias("YEARS_BIRTH"))
 
 
+def q_logistic_sparse(spark, d):
+    """L4 pipeline: sparse one-hot of the categorical columns + numerics, scaled without
+    centring (B34), L2 logistic regression out-of-fold."""
+    from riskloom.operators.encode import onehot_sparse, scale_sparse
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.stats import fill_medians, numeric_columns
+    from riskloom.operators.train import cross_validate, logistic_l2
+    train, _ = _app_split(spark, d)
+    nums = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
+    filled = fill_medians(train, nums, exact=False)
+    _, enc = onehot_sparse(filled, APP_LABELS, nums, out="raw")
+    _, sc = scale_sparse(enc, "raw", "scaled")
+    df = sc.join(stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
+    return cross_validate(df, "scaled", logistic_l2(C=1.0, n_rows=1000)).oof
+
+
+def q_gbt_on_bins(spark, d):
+    """Boosted trees on 64-bin rank-quantile codes of the numeric application columns."""
+    from riskloom.operators.encode import rank_quantile_bins
+    from riskloom.operators.train import boosted_trees, cross_validate
+    df, feats = _model_frame(spark, d, engineered=False)
+    binned = rank_quantile_bins(df.select("SK_ID_CURR", "TARGET", "fold", *feats), feats, 64)
+    bins = [f"{c}_QBIN" for c in feats]
+    return cross_validate(binned, bins, boosted_trees(max_depth=3, max_iter=10)).oof
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -631,6 +657,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q70_blend_runner": q_blend_runner,
     "q71_final_alpha_blend": q_final_blend,
     "q72_region_features": q_region,
+    "q73_logistic_sparse_onehot": q_logistic_sparse,
+    "q74_boosted_trees_on_bins": q_gbt_on_bins,
 }
 
 

@@ -379,3 +379,26 @@ def woe_transform(df: DataFrame, bin_cols: Sequence[str], woe: DataFrame, id_col
     for c in bin_cols:
         wide = wide.withColumnRenamed(c, f"{c}{suffix}")
     return df.join(wide, id_col, "left")
+
+
+def scale_sparse(df: DataFrame, input_col: str = "features", output_col: str = "scaled"):
+    """Divide every vector slot by its standard deviation without centring
+    (keeps one-hot vectors sparse).  Returns (fitted scaler, frame)."""
+    from pyspark.ml.feature import StandardScaler
+    m = StandardScaler(inputCol=input_col, outputCol=output_col, withMean=False, withStd=True).fit(df)
+    return m, m.transform(df)
+
+
+def rank_quantile_bins(df: DataFrame, columns: Sequence[str], q: int = 64, id_col: str = "SK_ID_CURR",
+                       suffix: str = "_QBIN") -> DataFrame:
+    """C8 for many columns at once (L9 input): one melted row-number plan grouped by
+    feature, bins computed in integers, pivoted back with explicit column values."""
+    long = melt(df.select(id_col, *[F.col(c).cast("double").alias(c) for c in columns]), [id_col], columns,
+                "feature", "value")
+    r = with_row_number(long, "value", [id_col], group=["feature"], out="_r")
+    n, rr = F.col("n"), F.col("_r")
+    b = F.when(n <= 1, F.lit(0)).otherwise(F.greatest(F.floor(((rr - 1) * q + n - 2) / (n - 1)) - 1, F.lit(0)))
+    wide = (r.select(id_col, "feature", b.cast("int").alias("_b"))
+             .groupBy(id_col).pivot("feature", list(columns)).agg(F.first("_b")))
+    wide = wide.select(id_col, *[F.col(c).alias(f"{c}{suffix}") for c in columns])
+    return df.join(wide, id_col, "left")

@@ -50,7 +50,7 @@ def _importance(model, features: Sequence[str]) -> list[tuple[str, float]] | Non
     return None
 
 
-def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Callable,
+def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimator: Callable,
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                    test: DataFrame | None = None, weight_col: str | None = None,
                    score: Callable | None = None,
@@ -59,15 +59,26 @@ def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Ca
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
     estimator; ``score(model, frame)`` returns (id, pred) (default: P(class 1)).
+    ``features`` is a list of numeric columns, or the name of an already
+    assembled (possibly sparse) vector column.
     ``fold_weight(k)`` (optional) gives the instance-weight expression used
     while fitting fold k's model, for weights that depend on that fold's
     training part (K4/K5).
     """
     if fold_weight is not None:
         weight_col = "_fold_w"
-    cols = [id_col, label, fold, *features] + ([weight_col] if weight_col and fold_weight is None else [])
-    data = cut_lineage(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
-    tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
+    wsel = [weight_col] if weight_col and fold_weight is None else []
+    if isinstance(features, str):
+        # an already assembled (possibly sparse) vector column
+        vec = features
+        features = []
+        data = cut_lineage(train.select(id_col, label, fold, *wsel, F.col(vec).alias("features"))
+                           .withColumn(label, F.col(label).cast("double")))
+        tst = cut_lineage(test.select(id_col, F.col(vec).alias("features"))) if test is not None else None
+    else:
+        cols = [id_col, label, fold, *features] + wsel
+        data = cut_lineage(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
+        tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     score = score or (lambda m, d: m.transform(d).select(id_col, _p1().alias("pred")))
     oof_parts, test_parts, aucs, imps = [], [], [], []
@@ -82,7 +93,7 @@ def cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Ca
         oof_parts.append(pv.select(id_col, fold, label, F.col("pred").alias("oof_pred")))
         if tst is not None:
             test_parts.append(score(model, tst).withColumn(fold, F.lit(k)))
-        im = _importance(model, features)
+        im = _importance(model, features) if features else None
         if im is not None:
             imps += [(f, v, int(k)) for f, v in im]
     oof = oof_parts[0]

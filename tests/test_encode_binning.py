@@ -81,3 +81,14 @@ def test_woe_and_oof_frequency(spark):
         other = f[f.fold != r.fold]["c"].fillna("__MISSING__")
         exp.append((other == (r.c if r.c is not None else "__MISSING__")).mean())
     assert np.allclose(got, exp)
+
+
+def test_multi_column_rank_bins_match_single(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"SK_ID_CURR": range(200), "a": rng.integers(0, 5, 200).astype(float),
+                        "b": rng.normal(size=200)})
+    df = spark.createDataFrame(pdf)
+    multi = E.rank_quantile_bins(df, ["a", "b"], 16).orderBy("SK_ID_CURR").toPandas()
+    for c in ("a", "b"):
+        exp = pd.qcut(pdf[c].rank(method="first"), 16, labels=False).astype(int).tolist()
+        assert multi[f"{c}_QBIN"].tolist() == exp
