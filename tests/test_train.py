@@ -47,3 +47,17 @@ def test_other_learners_and_fold_weights(spark):
     r = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0, n_rows=n),
                        fold_weight=lambda k: F.when(F.col("TARGET") == 1, F.lit(3.0)).otherwise(F.lit(1.0)))
     assert r.oof_auc > 0.85
+
+
+def test_calibrated_ridge_inner_cv(spark):
+    from riskloom.operators.train import calibrated_cross_validate, ridge_classifier
+    rng = np.random.default_rng(12)
+    n = 240
+    x1 = rng.normal(size=n)
+    y = (x1 + 0.5 * rng.normal(size=n) > 0.5).astype(float)
+    pdf = pd.DataFrame({"SK_ID_CURR": range(n), "TARGET": y, "x1": x1, "fold": np.arange(n) % 3})
+    out = calibrated_cross_validate(spark.createDataFrame(pdf), ["x1"], ridge_classifier(1.0, n), inner_k=3).toPandas()
+    assert len(out) == n and out["oof_pred"].between(0, 1).all()
+    from riskloom.operators.stats import auc_by_group
+    a = auc_by_group(spark.createDataFrame(out), "oof_pred", "TARGET").first()["auc"]
+    assert a > 0.8
