@@ -42,3 +42,11 @@ def test_scan_is_pruned(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     m = re.search(r"ReadSchema: struct<([^>]*)>", plan)
     assert m and "props" not in m.group(1)   # unused event column never read
+
+
+def test_grouped_rank_plan_has_no_single_partition(spark):
+    from riskloom.functions.ranks import with_average_rank
+    p = FX.predictions(spark, SF)
+    plan = _plan(spark, with_average_rank(p, "pred", ["model"], pct=True))
+    assert "SinglePartition" not in plan
+    assert "BroadcastHashJoin" in plan       # bounded bucket-bound / bucket-total tables
