@@ -29,3 +29,22 @@ def test_two_level_distinct_matches_pandas(spark):
     w = pdf[pdf.d >= -365].groupby("id")
     assert got["WV_NUNIQUE"].tolist() == w["v"].nunique().tolist()
     assert got["WA_MEAN"].tolist() == w["a"].mean().tolist()
+
+
+def test_hot_key_block_matches_pandas(spark):
+    # one customer holds a third of all rows
+    import numpy as np
+    rng = np.random.default_rng(13)
+    n = 900
+    ids = np.where(np.arange(n) < n // 3, 7, rng.integers(0, 100, n))
+    pdf = pd.DataFrame({"SK_ID_CURR": ids.astype("int64"), "MONTHS_BALANCE": rng.integers(-40, 0, n).astype("int32"),
+                        "SK_DPD": rng.integers(0, 200, n).astype("int32"),
+                        "CNT_INSTALMENT": rng.normal(10, 3, n), "CNT_INSTALMENT_FUTURE": rng.normal(5, 2, n)})
+    from riskloom.plans.blocks import pos_block
+    got = pos_block(spark.createDataFrame(pdf)).toPandas().set_index("SK_ID_CURR").sort_index()
+    g = pdf.groupby("SK_ID_CURR")
+    assert got.loc[7, "POS_SK_ID_CURR_COUNT"] == (ids == 7).sum()
+    np.testing.assert_allclose(got["POS_CNT_INSTALMENT_SUM"].values, g["CNT_INSTALMENT"].sum().values)
+    np.testing.assert_allclose(got["POS_SK_DPD_MEAN"].values, g["SK_DPD"].mean().values)
+    recent = pdf[pdf.MONTHS_BALANCE > -24].groupby("SK_ID_CURR")["SK_DPD"].max()
+    np.testing.assert_allclose(got.loc[recent.index, "POS_M24SK_DPD_MAX"].values, recent.values)
