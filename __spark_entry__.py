@@ -594,6 +594,12 @@ def q_gbt_on_bins(spark, d):
     return cross_validate(binned, bins, boosted_trees(max_depth=3, max_iter=10)).oof
 
 
+def q_value_counts(spark, d):
+    """value counts of a categorical column, missing kept as its own value."""
+    from riskloom.operators.stats import value_counts
+    return value_counts(FX.application(spark, d), "NAME_TYPE_SUITE")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_prev_block": q_prev,
     "q02_bureau_block": q_bureau,
@@ -659,6 +665,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q72_region_features": q_region,
     "q73_logistic_sparse_onehot": q_logistic_sparse,
     "q74_boosted_trees_on_bins": q_gbt_on_bins,
+    "q75_value_counts": q_value_counts,
 }
 
 
@@ -735,6 +742,7 @@ def oracle_sql() -> dict[str, str]:
         "q37_screen_stage1": X2.stage1_sql(),
         "q50_onehot_sparse": X2.onehot_sparse_sql(),
         "q72_region_features": X2.region_sql(),
+        "q75_value_counts": X2.value_counts_sql(),
         "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
         "q69_spearman_matrix": X2.spearman_matrix_sql(),
         "q70_blend_runner": BL.blend_sql("rank_mean"),

@@ -256,3 +256,8 @@ def region_sql() -> str:
                                    f"REGION_RATING_DIFF, {s} AS ADDR_MISMATCH_SUM, DAYS_BIRTH / -365.0 AS YEARS_BIRTH FROM app")
     return canon(body, ["SK_ID_CURR", "REGION_RATING_DIFF", "ADDR_MISMATCH_SUM", "YEARS_BIRTH"],
                  {"SK_ID_CURR", "REGION_RATING_DIFF", "ADDR_MISMATCH_SUM"})
+
+
+def value_counts_sql() -> str:
+    body = with_fixtures("app") + "SELECT NAME_TYPE_SUITE, count(*) AS count FROM app GROUP BY NAME_TYPE_SUITE"
+    return canon(body, ["NAME_TYPE_SUITE", "count"], {"count"}, strings={"NAME_TYPE_SUITE"})
