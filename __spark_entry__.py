@@ -26,6 +26,19 @@ from pyspark.sql import functions as F  # noqa: E402
 from riskloom.plans import blocks as B  # noqa: E402
 from riskloom.sources import fixtures as FX  # noqa: E402
 
+try:  # the optional subpackage; everything else works without it
+    from riskloom.llm import queries as _llm  # noqa: E402
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith("riskloom.llm"):
+        raise
+    _llm = None
+try:  # the optional pipeline over that subpackage
+    import corpus_pipeline as _pipeline  # noqa: E402
+except ModuleNotFoundError as e:
+    if e.name != "corpus_pipeline" and not (e.name or "").startswith("riskloom.llm"):
+        raise
+    _pipeline = None
+
 SF0001 = "/root/testdata/sf0.001"
 ROUND_OFFSET = 3.7e-8
 
@@ -683,10 +696,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _wrap(v) for k, v in _QUERIES.items()}
+    found = {k: _wrap(v) for k, v in _QUERIES.items()}
+    if _llm is not None:
+        found |= _llm.queries()
+    if _pipeline is not None:
+        found["pipeline"] = _pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_oracle_sql()
+    if _llm is not None:
+        found |= _llm.oracle_sql()
+    if _pipeline is not None and _pipeline.ORACLE_SQL:
+        found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
+
+
+def _own_oracle_sql() -> dict[str, str]:
     from sqlcheck.blocks_sql import (assembly_sql, bureau_block_sql, canon_block, card_block_sql,
                                      ins_block_sql, pos_block_sql, prev_block_sql)
     from sqlcheck import blend_sql as BL
