@@ -16,7 +16,32 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=80)
 
 
-_QUERIES = [op5_ngram_jaccard_join]
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.decontaminate import contaminated
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=80)
+
+
+def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.mixing import mix
+    return mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
+        "source", "rate", "copies")
+
+
+#: Fixed rules of the query: host, path, block.
+URL_RULES = [("org", "/", False), ("example.org", "/es/", True), ("example.org", "/en/1", True),
+             ("com", "/fr/", False), ("com", "/de/", True)]
+
+
+def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.url_filter import judge_urls
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, block boolean")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+_QUERIES = [op2_entropy_mixing, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,4 +49,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_range_join": _url_sql()}
+
+
+def _url_sql() -> str:
+    """The rules by plain comparison of every page with every rule."""
+    rules = ", ".join(f"('{h}', '{p}', {str(b).lower()})" for h, p, b in URL_RULES)
+    return f"""
+WITH p AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages),
+r(rhost, rpath, block) AS (VALUES {rules}),
+m AS (
+  SELECT p.page_id, p.host, p.path, rhost || rpath AS rule, block,
+         row_number() OVER (PARTITION BY p.page_id, p.host, p.path
+                            ORDER BY length(rhost || rpath) DESC, length(rhost) DESC, block DESC) AS k
+  FROM p JOIN r ON (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath))
+SELECT p.page_id, p.host, p.path, m.rule,
+       CASE WHEN m.block IS NULL THEN 'allow' WHEN m.block THEN 'block' ELSE 'allow' END AS verdict
+FROM p LEFT JOIN m ON p.page_id = m.page_id AND p.host = m.host AND p.path = m.path AND m.k = 1
+"""
