@@ -68,12 +68,13 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the row pointer into them."""
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the row pointer into them; ``between[byte]``: not in a word."""
     if len(data) == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
+    space = between[data]
     before = np.empty(len(data), dtype=bool)
     before[0], before[1:] = True, space[:-1]
     after = np.empty(len(data), dtype=bool)

@@ -11,6 +11,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_divergence_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.quality import quality
+    return quality(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "char_distance", "word_distance")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.jaccard_join import jaccard_components
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=80)
@@ -41,7 +48,7 @@ def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
-_QUERIES = [op2_entropy_mixing, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination]
+_QUERIES = [op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
