@@ -48,7 +48,16 @@ def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
-_QUERIES = [op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination]
+def op8_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.toxicity import remainder, toxicity
+    scores = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+_QUERIES = [op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
