@@ -28,6 +28,16 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=80)
 
 
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every packed row; its ids as CRC-32 of the id matrix row."""
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.packing import pack
+    return pack(_table(spark, sf_dir, "documents")).select(
+        "row_id", F.crc32("ids").alias("ids_crc32"), "n_tokens", F.size("doc_ids").alias("n_segments"), "cu_seqlens",
+        "position_resets", "doc_ids", "doc_offsets")
+
+
 def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -57,7 +67,7 @@ def op8_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-_QUERIES = [op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
+_QUERIES = [op1_token_packing, op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
