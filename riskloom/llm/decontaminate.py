@@ -161,7 +161,7 @@ class Index:
             ok = np.ones(len(at), bool)
             if need > 1:  # the need-th hit from here on lies within the span
                 far = np.full(len(at), np.iinfo(np.int64).max)
-                far[:len(at) - need + 1] = at[need - 1:]
+                far[:max(0, len(at) - need + 1)] = at[need - 1:]
                 ok = far <= at + span - GRAM
             good |= ok
             reach[ok] = span

@@ -12,13 +12,17 @@ ones.  Here:
    every list a length rank (any total order keeps the search exact; a good one keeps it cheap).
 2. A class of n shingles can only link at T = ceil(percent * n / 100) or more occurrences.  Its
    T - need longest lists are set aside, the others are posted; any linked pair then meets in at
-   least ``need`` posted lists, ``need = 1 + n // 20`` (smaller of both).
-3. Posted lists are merged by a sort-merge shuffle.  First each posting meets only the head of
-   its list (linear), which joins most of each large group.  Then, in the lists that still hold
-   more than one component, all postings of different components meet, in blocks of bounded
-   size, and pairs with ``need`` occurrences are candidates.
-4. Candidates are verified: the long lists are probed by binary search of one sorted set in the
-   other.  Nothing is capped; pairs inside one component need no further test.
+   least ``need`` posted lists, ``need = 1 + n // 20`` (smaller of both).  A class with fewer posted
+   lists that hold another class than its smallest possible partner needs is left out.
+3. Posted lists are merged by a sort-merge shuffle.  Each posting meets the head of its list
+   (linear); pairs with enough occurrences are verified, which joins most of each large group.
+4. Lists that now hold one component are done.  In the others, of the s lists of a class all but its
+   shortest s - need + 1 can be set aside again: a linked pair meets in one of those of its smaller
+   class.  In lists of up to ``SHORT`` classes these pairs are candidates and verified; in longer ones
+   the sets themselves meet in blocks of bounded bytes, occurrences are counted over the block's
+   inverted lists, and one link per component found is kept.
+5. Verifying probes one sorted set in the other by binary search.  Nothing is capped; pairs inside
+   one component need no further test.
 
 Defined results: null or blank text has no shingles, links with nothing and is its own
 component; equal texts (and repeated rows) share a component; a null id never is a component's
@@ -36,16 +40,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import arrowtext as T
 from riskloom.llm.graph import components
 from riskloom.llm.state import bitmap, cut, in_bitmap, prepare
 
-SKETCH_LOG2 = 20    #: counters of the list-length table: 2**20 at every input size
+SKETCH_LOG2 = 21    #: counters of the list-length table: 2**21 at every input size
 SKETCH_BLOCK = 1 << 14
-LIST_BLOCK = 1024   #: postings of one long list that meet in one piece of work
+SHORT = 64          #: classes of a list whose pairs are candidates one by one
+LIST_BLOCK, BLOCK_HASHES = 4096, 1 << 21  #: classes and shingles of a longer list in one block
 
 
 def _need(n):
@@ -107,10 +112,10 @@ def _length_ranks(scan: DataFrame) -> np.ndarray:
         tables = (tables.withColumn("part", key).groupBy("block", "part")
                   .applyInPandas(lambda pdf: _add_tables(pdf).assign(part=0), "block int, counts binary, part int"))
     total = np.zeros((1 << SKETCH_LOG2) // SKETCH_BLOCK * SKETCH_BLOCK, np.float64).reshape(-1, SKETCH_BLOCK)
-    for row in tables.select("block", "counts").collect():  # 64 rows at any input size
+    for row in tables.select("block", "counts").collect():  # 128 rows at any input size
         total[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     total = total.ravel()
-    usual = total.mean() + 4 * math.sqrt(total.mean()) + 4
+    usual = total.mean() + 3 * math.sqrt(total.mean()) + 4
     return np.where(total > usual, 1 + np.minimum(254, 4 * np.log2(np.maximum(total / usual, 1))), 0).astype(np.uint8)
 
 
@@ -170,6 +175,7 @@ def _shared(batches):
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int64())])
+_EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def _pairs(a, b, na, nb) -> pa.RecordBatch:
@@ -205,36 +211,70 @@ def _with_heads(percent: int):
     return run
 
 
-def _across(percent: int):
-    """Pairs of different components within each piece (shingle, lo, hi) of a list, rows sorted by piece."""
-    def met(rows):
-        lo, hi, at, c, n, comp = rows
-        i, j = np.triu_indices(len(c), 1)
-        ok = (comp[i] != comp[j]) & (percent * np.maximum(n[i], n[j]) <= 100 * np.minimum(n[i], n[j]))
-        ok &= (at[i] != at[j]) | (lo[0] == hi[0])
-        i, j = i[ok], j[ok]
-        return _pairs(c[i], c[j], n[i], n[j]) if len(i) else None
-
+def _by_piece(keys: int, work):
+    """Calls ``work(columns)`` on each run of rows that agree in the first ``keys`` columns; rows come sorted by them."""
     def run(batches):
         held = None
         for batch in batches:
-            cols = [np.asarray(v) for v in batch.columns]
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 cols = [np.concatenate(v) for v in zip(held, cols)]
-            x, lo, hi = cols[:3]
-            if not len(x):
+            if not len(cols[0]):
                 continue
-            edge = np.flatnonzero((x[1:] != x[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+            edge = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:keys]], axis=0)) + 1
             for a, b in zip([0, *edge[:-1]], edge):
-                if (out := met([v[a:b] for v in cols[1:]])) is not None:
+                if (out := work([v[a:b] for v in cols])) is not None:
                     yield out
             held = [v[edge[-1] if len(edge) else 0:] for v in cols]
-        if held is not None and (out := met(held[1:])) is not None:
+        if held is not None and (out := work(held)) is not None:
             yield out
 
     return run
 
 
+def _short_pairs(percent: int):
+    """Candidates in one list: classes of different components, in a list that the smaller one needs."""
+    def work(cols):
+        _, c, n, comp, chosen = cols
+        i, j = np.triu_indices(len(c), 1)
+        smaller = np.where((n[i] < n[j]) | ((n[i] == n[j]) & (c[i] < c[j])), i, j)
+        ok = (comp[i] != comp[j]) & (percent * np.maximum(n[i], n[j]) <= 100 * np.minimum(n[i], n[j])) & chosen[smaller]
+        i, j = i[ok], j[ok]
+        return _pairs(c[i], c[j], n[i], n[j]) if len(i) else None
+
+    return _by_piece(1, work)
+
+
+def _long_links(percent: int):
+    """Links in one block (shingle, lo, hi) of a list, by counting occurrences over the block's inverted lists."""
+    def work(cols):
+        _, lo, hi, at, c, n, comp, chosen, hashes = cols
+        if (comp == comp[0]).all():
+            return None
+        sets = [np.frombuffer(h, np.uint64) for h in hashes]
+        own = np.repeat(np.arange(len(sets)), n)
+        _, column = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(column, kind="stable")
+        member, start = own[order], np.concatenate([[0], np.cumsum(np.bincount(column))])
+        first = np.concatenate([[0], np.cumsum(n)])
+        us, vs = [], []
+        for i in np.flatnonzero(chosen):
+            lists = column[first[i]:first[i + 1]]
+            met = np.concatenate([member[start[x]:start[x + 1]] for x in lists])
+            both = np.bincount(met, minlength=len(sets))
+            ok = (100 * both >= percent * (n[i] + n - both)) & (comp != comp[i])
+            ok &= (n[i] < n) | ((n[i] == n) & (c[i] < c))
+            if lo[0] != hi[0]:
+                ok &= at != at[i]
+            to = np.flatnonzero(ok)
+            to = to[np.unique(comp[to], return_index=True)[1]]
+            us += [c[i]] * len(to)
+            vs += c[to].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], schema=_EDGE) if us else None
+
+    return _by_piece(3, work)
+
+
 def _sets_of(k: int, wanted):
     schema = pa.schema([("cls", pa.int64()), ("hashes", pa.binary())])
 
@@ -258,8 +298,6 @@ def _sets_of(k: int, wanted):
 
 
 def _verify(percent: int):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-
     def run(batches):
         for batch in batches:
             keep = []
@@ -270,18 +308,13 @@ def _verify(percent: int):
                 both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=_EDGE)
 
     return run
 
 
-def _linked(texts: DataFrame, candidates: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the candidates (a, b) whose sets link, as (u, v)."""
-    spark = texts.sparkSession
-    ends = candidates.select(F.explode(F.array("a", "b")).alias("cls"))
-    wanted = spark.sparkContext.broadcast(bitmap(ends, F.col("cls")))
-    sets = cut(texts.mapInArrow(_sets_of(k, wanted), "cls long, hashes binary")
-               .groupBy("cls").agg(F.first("hashes").alias("hashes")))
     return (candidates.select("a", "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
@@ -305,28 +338,42 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = cut(texts.mapInArrow(_postings(k, percent, ranks), "shingle long, n long, cls long")
                 .repartition("shingle").sortWithinPartitions("shingle", "n", "cls")
                 .mapInArrow(_shared, "shingle long, n long, cls long"))
-    counted = lambda pairs: pairs.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need"))
+    own = Window.partitionBy("cls")  # the posted lists of one document
+    need, least = 1 + F.floor(F.col("n") / 20), 1 + F.floor(F.col("n") * percent / 2000)  # least: with a smaller partner
+    lists = cut(lists.join(lists.groupBy("shingle").agg(F.count("*").alias("m")), "shingle")
+                .withColumn("s", F.count("*").over(own)).where(F.col("s") >= least)
+                .withColumn("chosen", F.row_number().over(own.orderBy("m", "shingle")) <= F.col("s") - need + 1)
+                .select("shingle", "n", "cls", "chosen").repartition("shingle").sortWithinPartitions("shingle", "n", "cls"))
+    wanted = spark.sparkContext.broadcast(bitmap(lists, F.col("cls")))
+    sets = cut(texts.mapInArrow(_sets_of(k, wanted), "cls long, hashes binary")
+               .groupBy("cls").agg(F.first("hashes").alias("hashes")))
 
-    heads = cut(counted(lists.mapInArrow(_with_heads(percent), "a long, b long, need long"))
+    heads = cut(lists.select("shingle", "n", "cls").mapInArrow(_with_heads(percent), "a long, b long, need long")
+                .groupBy("a", "b").agg(F.count("*").alias("met"), F.first("need").alias("need"))
                 .where("2 * met >= need").select("a", "b"))
-    edges = cut(_linked(texts, heads, k, percent))
+    edges = cut(_linked(heads, sets, percent))
     joined = cut(components(edges).select(F.col("node").alias("cls"), F.col("root").alias("comp")))
 
-    marked = cut(lists.join(joined, "cls", "left").select("shingle", "n", "cls", F.coalesce("comp", "cls").alias("comp")))
-    mixed = (marked.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"))
-             .where("x < y").select("shingle", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
-    pieces = (marked.join(mixed, "shingle")
-              .withColumn("at", F.pmod(F.xxhash64("cls"), "blocks").cast("long"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+    marked = lists.join(joined, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    mixed = (marked.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"),
+                                           F.sum("n").alias("hashes"), F.max("chosen").alias("any"))
+             .where("x < y and any")
+             .select("shingle", "m", F.greatest(F.ceil(F.col("m") / LIST_BLOCK), F.ceil(F.col("hashes") / BLOCK_HASHES))
+                     .cast("long").alias("blocks")))
+    open_lists = cut(marked.join(mixed, "shingle"))
+    short = (open_lists.where(F.col("m") <= SHORT).select("shingle", "cls", "n", "comp", "chosen")
+             .repartition("shingle").sortWithinPartitions("shingle")
+             .mapInArrow(_short_pairs(percent), "a long, b long, need long").select("a", "b").distinct()
+             .join(heads, ["a", "b"], "left_anti"))
+    blocks = (open_lists.where(F.col("m") > SHORT).withColumn("at", F.pmod(F.xxhash64("cls"), "blocks"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .select("shingle", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), "at",
-                      "cls", "n", "comp")
+                      "cls", "n", "comp", "chosen").join(sets, "cls")
+              .select("shingle", "lo", "hi", "at", "cls", "n", "comp", "chosen", "hashes")
               .repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
-    rest = cut(counted(pieces.mapInArrow(_across(percent), "a long, b long, need long"))
-               .where("met >= need").join(heads, ["a", "b"], "left_anti").select("a", "b"))
-    if rest.limit(1).count():
-        more = cut(_linked(texts, rest, k, percent))
-        if more.limit(1).count():
-            joined = components(edges.union(more)).select(F.col("node").alias("cls"), F.col("root").alias("comp"))
+    more = cut(_linked(short, sets, percent).union(blocks.mapInArrow(_long_links(percent), "u long, v long")))
+    if more.limit(1).count():
+        joined = components(edges.union(more)).select(F.col("node").alias("cls"), F.col("root").alias("comp"))
 
     classes = (rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_equal"))
                .join(joined, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))

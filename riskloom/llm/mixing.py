@@ -101,7 +101,7 @@ def _diffuse(max_copies: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def mix(docs: DataFrame, targets: Callable = cyclic_targets(), max_rate: float = 2.0, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", block: int = 20_000) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", block: int = 2000) -> DataFrame:
     """(doc_id, size, source, source_size, target, rate, copies) of every row; see the module text.
 
     ``targets(names, sizes)`` gives the target words of each source.

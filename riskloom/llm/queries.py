@@ -11,6 +11,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.token_counts import document_tokens
+    return document_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op4_divergence_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.quality import quality
     return quality(_table(spark, sf_dir, "documents")).select(
@@ -67,7 +72,7 @@ def op8_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-_QUERIES = [op1_token_packing, op2_entropy_mixing, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
+_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
