@@ -72,7 +72,17 @@ def op8_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm]
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its pseudonyms; the number of values of each kind."""
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.pii import KINDS, pseudonymised
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = [F.size(F.filter("_pii_spans", lambda x, k=k: x["kind"] == k)).alias(f"n_{k}") for k in KINDS]
+    return pseudonymised(docs, b"query key").select("doc_id", F.size("_pii_spans").alias("n_pii"), *kinds, "text")
+
+
+_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
