@@ -82,7 +82,12 @@ def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(docs, b"query key").select("doc_id", F.size("_pii_spans").alias("n_pii"), *kinds, "text")
 
 
-_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms]
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.line_dedup import line_clusters
+    return line_clusters(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms, op10_line_dedup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
