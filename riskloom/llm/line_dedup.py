@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.state import BITMAP_LOG2, cut
+from riskloom.llm.state import BITMAP_LOG2, cut, unused
 
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -156,9 +156,10 @@ def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
                            min_chars: int = 16) -> DataFrame:
     """``docs`` with only the first line of every cluster in the texts."""
+    own, lines = unused(docs, "_id"), unused(docs, "_gone")
     gone = (line_clusters(docs, id_col, text_col, edits, min_chars).where("not kept")
-            .groupBy(F.col(id_col).alias("_id")).agg(F.collect_set("line_no").alias("_gone")))  # lines of one document
-    kept = F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    return (docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-            .select(docs.columns))
+            .groupBy(F.col(id_col).alias(own)).agg(F.collect_set("line_no").alias(lines)))  # lines of one document
+    kept = F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x, i: ~F.array_contains(lines, i))
+    return (docs.join(gone, F.col(id_col).eqNullSafe(F.col(own)), "left")
+            .withColumn(text_col, F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
+            .drop(own, lines))

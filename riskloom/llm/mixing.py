@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.state import cut, prepare
+from riskloom.llm.state import cut, prepare, unused
 
 MOST_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -135,10 +135,10 @@ def mixed_documents(docs: DataFrame, targets: Callable = cyclic_targets(), max_r
                     text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with every row as often as the mix takes it; rows with equal id, size and source share the larger number."""
     size = word_count(F.col(text_col).cast("string"))
+    own = [unused(docs, name) for name in ("_id", "_size", "_source", "_copies", "_copy")]
     taken = (mix(docs, targets, max_rate, id_col, text_col, source_col)
-             .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"))
-             .agg(F.max("copies").cast("int").alias("_copies")).where("_copies > 0"))
-    on = (F.col(id_col).eqNullSafe(F.col("_id")) & size.eqNullSafe(F.col("_size"))
-          & F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    return (docs.join(taken, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
-            .select(docs.columns))
+             .groupBy(F.col("doc_id").alias(own[0]), F.col("size").alias(own[1]), F.col("source").alias(own[2]))
+             .agg(F.max("copies").cast("int").alias(own[3])).where(F.col(own[3]) > 0))
+    on = (F.col(id_col).eqNullSafe(F.col(own[0])) & size.eqNullSafe(F.col(own[1]))
+          & F.col(source_col).cast("string").eqNullSafe(F.col(own[2])))
+    return docs.join(taken, on).withColumn(own[4], F.explode(F.array_repeat(F.lit(0), F.col(own[3])))).drop(*own)

@@ -30,6 +30,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as no column of ``df`` needs."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are in the shared folder, lost executors cost nothing."""
     checkpoint_folder(df.sparkSession)

@@ -208,7 +208,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             .withColumnRenamed("doc_id", id_col))
 
 
-def _clean(shared, names, at, limit):
+def _clean(shared, at: int, limit: float):
     def run(batches):
         for batch in batches:
             one = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), batch.column(at).cast(pa.string())], names=["id", "text"])
@@ -222,5 +222,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, text_c
     """The rows of ``docs`` that score under ``limit``, in the map that scores them."""
     prepare(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, text_col=text_col, **options))
-    names = docs.columns
-    return docs.mapInArrow(_clean(model, names, names.index(text_col), limit), docs.schema)
+    return docs.mapInArrow(_clean(model, docs.columns.index(text_col), limit), docs.schema)
