@@ -35,9 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from riskloom.llm import arrowtext as T
-from riskloom.llm.state import prepare
+from riskloom.llm.state import map_rows, prepare
 
 ROUNDS = 10
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card", "account")
@@ -204,7 +205,6 @@ def _map(key: bytes, at: int, undo: bool):
 def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", undo: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in the text, and ``_pii_spans``: array of (start, end, kind) in the given text."""
     prepare(docs.sparkSession)
+    spans = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("kind", StringType())]))
     cast = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cast.schema.fields)
-    return cast.mapInArrow(_map(key, cast.columns.index(text_col), undo),
-                           f"{fields}, _pii_spans array<struct<start:int,end:int,kind:string>>")
+    return map_rows(cast, _map(key, cast.columns.index(text_col), undo), (StructField("_pii_spans", spans),))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import arrowtext as T
-from riskloom.llm.state import cut, prepare
+from riskloom.llm.state import cut, map_rows, prepare
 
 SIZES = (4, 5, 6)
 SLOTS_LOG2 = 20
@@ -159,21 +159,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = F.broadcast(some[0].union(some[1]))  # at most 2 * sample rows of 12 bytes
     rows = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
                .join(chosen, "id").where("text is not null").dropDuplicates(["text", "label"]).select("text", "label"))
-    table = (rows.mapInArrow(_sums, "slot long, s0 double, s1 double, q0 double, q1 double").groupBy("slot")
-             .agg(*[F.sum(c).alias(c) for c in ("s0", "s1", "q0", "q1")]).toPandas())  # a row per slot at most
-    total = table[table["slot"] == -1]
-    n0, n1 = float(total["s0"].sum()), float(total["s1"].sum())
-    table = table[table["slot"] >= 0].sort_values("slot")
-    if not n0 or not n1 or table.empty:
+    table = cut(rows.mapInArrow(_sums, "slot long, s0 double, s1 double, q0 double, q1 double").groupBy("slot")
+                .agg(*[F.sum(c).alias(c) for c in ("s0", "s1", "q0", "q1")]))
+    total = table.where("slot = -1").first()
+    n0, n1 = (total["s0"], total["s1"]) if total else (0.0, 0.0)
+    if not n0 or not n1:
         return Model(np.zeros(0, np.int64), np.zeros(0), math.log((size[1] + 1) / (size[0] + 1)))
-    m0, m1 = table["s0"].to_numpy() / n0, table["s1"].to_numpy() / n1
-    mean = (m0 * n0 + m1 * n1) / (n0 + n1)
-    spread = (table["q0"] + table["q1"]).to_numpy() / (n0 + n1) - mean ** 2  # of all rows: a class may be small
-    z = np.round(np.abs(m1 - m0) / np.sqrt(np.maximum(spread * (1 / n0 + 1 / n1), 1e-12)), 6)
-    order = np.argsort(-z, kind="stable")[:MOST]
-    order = np.sort(order[(z[order] >= MIN_Z) | (np.arange(len(order)) < LEAST)])
-    slots, mean = table["slot"].to_numpy()[order], mean[order]
-    ratio = np.log((m1[order] * n1 + mean) / (n1 + 1)) - np.log((m0[order] * n0 + mean) / (n0 + 1))
+    both = n0 + n1
+    mean, spread = f"(s0 + s1) / {both}", f"((q0 + q1) / {both} - pow((s0 + s1) / {both}, 2))"  # of all rows: a class may be small
+    told = (table.where("slot >= 0")
+            .withColumn("z", F.expr(f"round(abs(s1 / {n1} - s0 / {n0}) / sqrt(greatest({spread} * {1 / n0 + 1 / n1}, 1e-12)), 6)"))
+            .withColumn("ratio", F.expr(f"ln((s1 + {mean}) / {n1 + 1}) - ln((s0 + {mean}) / {n0 + 1})"))
+            .orderBy(F.desc("z"), "slot").limit(MOST).select("slot", "z", "ratio").collect())
+    told = sorted((r["slot"], r["ratio"]) for i, r in enumerate(told) if r["z"] >= MIN_Z or i < LEAST)
+    if not told:
+        return Model(np.zeros(0, np.int64), np.zeros(0), math.log((size[1] + 1) / (size[0] + 1)))
+    slots, ratio = np.array([x[0] for x in told], np.int64), np.array([x[1] for x in told])
     vectors = rows.mapInArrow(_vectors(slots), "label int, at array<int>, rates array<float>").collect()  # at most 2 * sample rows
     vectors.sort(key=lambda r: (r["label"], r["at"], r["rates"]))
     beta, b0 = _fit(vectors, ratio, {0: size[0] / n0, 1: size[1] / n1}, PENALTY)
@@ -222,4 +223,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, text_c
     """The rows of ``docs`` that score under ``limit``, in the map that scores them."""
     prepare(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, text_col=text_col, **options))
-    return docs.mapInArrow(_clean(model, docs.columns.index(text_col), limit), docs.schema)
+    return map_rows(docs, _clean(model, docs.columns.index(text_col), limit))
