@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: A bitmap has 2**BITMAP_LOG2 bits (2 MB) at every input size.
 BITMAP_LOG2 = 24
@@ -38,6 +40,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_rows(df: DataFrame, work: Callable, extra: tuple[StructField, ...] = ()) -> DataFrame:
+    """``df.mapInArrow`` for work that returns all columns and then ``extra``, whatever the columns are called."""
+    fields = [StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields)]
+    out = df.toDF(*[f.name for f in fields]).mapInArrow(work, StructType([*fields, *extra]))
+    return out.toDF(*[f.name for f in df.schema.fields], *[f.name for f in extra])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are in the shared folder, lost executors cost nothing."""
     checkpoint_folder(df.sparkSession)
