@@ -301,7 +301,7 @@ def _model_frame(spark, d, engineered=True):
     v7 = feature_set(app, version=7) if engineered else app.drop(*APP_LABELS)
     train = v7.where(F.col("split") == "train").drop("split")
     feats = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
-    filled = fill_medians(train, feats, exact=False)
+    filled = fill_medians(train, feats)
     folds = stratified_folds(_train_app(spark, d))
     return filled.join(folds.select("SK_ID_CURR", "fold"), "SK_ID_CURR"), feats
 
@@ -311,7 +311,7 @@ def q_oof_logistic(spark, d):
     from riskloom.operators.train import cross_validate, logistic_l2
     df, feats = _model_frame(spark, d)
     df = standardize(df, feats)
-    return cross_validate(df, feats, logistic_l2(C=1.0, n_rows=1000)).oof
+    return cross_validate(df, feats, logistic_l2(C=1.0)).oof
 
 
 def q_oof_gbt(spark, d):
@@ -336,7 +336,7 @@ def q_meta_logistic(spark, d):
     w = wide(p.withColumn("pred", clip("pred", 1e-4, 0.9999)), BLEND_MODELS).withColumnRenamed("id", "SK_ID_CURR")
     tr = _train_app(spark, d)
     df = w.join(tr, "SK_ID_CURR").join(stratified_folds(tr).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
-    return cross_validate(df, BLEND_MODELS, logistic_l2(C=1.0, n_rows=1000)).oof
+    return cross_validate(df, BLEND_MODELS, logistic_l2(C=1.0)).oof
 
 
 def q_auc_weighted_blend(spark, d):
@@ -355,7 +355,7 @@ def q_grid_logistic(spark, d):
     from riskloom.operators.train import grid_search, logistic_l2
     df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
-    return grid_search(df, feats, [{"C": 0.2, "n_rows": 1000}, {"C": 2.0, "n_rows": 1000}], logistic_l2)
+    return grid_search(df, feats, [{"C": 0.2}, {"C": 2.0}], logistic_l2)
 
 
 def q_onehot_sparse(spark, d):
@@ -455,7 +455,7 @@ def q_permutation_importance(spark, d):
     df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
     tr, va = df.where(F.col("fold") != 0), df.where(F.col("fold") == 0)
-    model = logistic_l2(C=1.0, n_rows=1000)("features", "TARGET", None).fit(
+    model = logistic_l2(C=1.0)("features", "TARGET", None).fit(
         assemble(tr, feats).withColumn("TARGET", F.col("TARGET").cast("double")))
     return permutation_importance(model, va.withColumn("TARGET", F.col("TARGET").cast("double")), feats)
 
@@ -466,7 +466,7 @@ def q_ridge_calibrated(spark, d):
     from riskloom.operators.train import cross_validate, platt_calibrate, ridge_classifier, ridge_score
     df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
-    r = cross_validate(df, feats, ridge_classifier(alpha=1.0, n_rows=1000), score=ridge_score())
+    r = cross_validate(df, feats, ridge_classifier(alpha=1.0), score=ridge_score())
     return platt_calibrate(r.oof)[1]
 
 
@@ -476,7 +476,7 @@ def q_imbalance(spark, d):
     from riskloom.operators.train import imbalance_experiment, logistic_l2
     df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
-    return imbalance_experiment(df, feats, logistic_l2(C=1.0, n_rows=1000, max_iter=50))
+    return imbalance_experiment(df, feats, logistic_l2(C=1.0, max_iter=50))
 
 
 def q_meta_boosted(spark, d):
@@ -540,7 +540,7 @@ def q_logistic_woe(spark, d):
     tr = w.where(F.col("split") == "train")
     tr = standardize(tr, feats).join(stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"),
                                      "SK_ID_CURR")
-    return cross_validate(tr, feats, logistic_l2(C=1.0, n_rows=1000)).oof
+    return cross_validate(tr, feats, logistic_l2(C=1.0)).oof
 
 
 def q_rf_importance(spark, d):
@@ -590,11 +590,11 @@ def q_logistic_sparse(spark, d):
     from riskloom.operators.train import cross_validate, logistic_l2
     train, _ = _app_split(spark, d)
     nums = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
-    filled = fill_medians(train, nums, exact=False)
+    filled = fill_medians(train, nums)
     _, enc = onehot_sparse(filled, APP_LABELS, nums, out="raw")
     _, sc = scale_sparse(enc, "raw", "scaled")
     df = sc.join(stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
-    return cross_validate(df, "scaled", logistic_l2(C=1.0, n_rows=1000)).oof
+    return cross_validate(df, "scaled", logistic_l2(C=1.0)).oof
 
 
 def q_gbt_on_bins(spark, d):

@@ -1,19 +1,19 @@
 """Exact global ranks without a single-partition window (§4-P5).
 
 ``Window.orderBy(x)`` with no partition key moves every row into ONE task.
-Here ranks are computed as:
-
-1. collapse rows to distinct (group, value) with their counts (map-side
-   partial aggregation: a value held by a third of all rows is one row after
-   this step, so ties never create skew);
-2. cut each group's value range into ``buckets`` ranges at approximate
-   quantiles (``percentile_approx`` — tiny result: groups x buckets numbers);
-3. per-bucket totals (tiny) -> exclusive running offsets;
-4. running count inside each (group, bucket) window + offset = exact
-   cumulative count.
-
-Bucket boundaries only decide *where* the work is split; the ranks are exact
-whatever the boundaries are.  Every step is a DataFrame plan (no collect).
+Here positions come from one plan at every size:
+
+1. rows (or, for tie-averaged ranks, distinct (group, value) with their counts,
+   combined map-side) are range-partitioned by (group, value, tiebreak), so a
+   value held by a third of all rows is cut by its tiebreak like any other range;
+2. the partitions are written to the shared checkpoint folder, which fixes them;
+3. totals per (group, partition) -> exclusive running offsets: at most
+   groups + partitions rows, since ranges are contiguous;
+4. running count inside each (group, partition) window + offset.
+
+The number of partitions (``buckets``, else the session's shuffle partitions)
+only decides where the work is split; ranks are exact and rows complete
+whatever it is.
 """
 
 from __future__ import annotations
@@ -26,78 +26,44 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 2_000_000
-MAX_BROADCAST_ENTRIES = 2_000_000
 
+def _positions(rows: DataFrame, group: Sequence[str], order: Sequence[str], buckets: int | None,
+               also: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (with ``cnt``) plus ``cum`` (inclusive running ``cnt`` in ``order`` within group) and ``n``.
 
-def _const_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("_rk_g", F.lit(0))
+    Columns named in ``also`` get ``cum_<name>`` and ``n_<name>`` in the same pass.
+    """
+    summed = {"cnt": ("cum", "n"), **{c: (f"cum_{c}", f"n_{c}") for c in also}}
+    g = list(group)
+    parts = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fixed = cut_lineage(rows.repartitionByRange(parts, *g, *order)).withColumn("_rk_p", F.spark_partition_id())
+    totals = fixed.groupBy(*g, "_rk_p").agg(*[F.sum(c).alias(f"_rk_t_{c}") for c in summed])
+    wg = W.partitionBy(*g) if g else W.partitionBy(F.lit(0))  # a row per partition
+    before = wg.orderBy("_rk_p").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(
+        *[F.col(c).alias(f"_rk_{i}") for i, c in enumerate(g)], F.col("_rk_p").alias("_rk_q"),
+        *[F.coalesce(F.sum(f"_rk_t_{c}").over(before), F.lit(0)).alias(f"_rk_off_{c}") for c in summed],
+        *[F.sum(f"_rk_t_{c}").over(wg).alias(n) for c, (_, n) in summed.items()])
+    inner = W.partitionBy(*g, "_rk_p").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    on = [F.col("_rk_p") == F.col("_rk_q")] + [F.col(c).eqNullSafe(F.col(f"_rk_{i}")) for i, c in enumerate(g)]
+    run = fixed.select("*", *[F.sum(c).over(inner).alias(f"_rk_cum_{c}") for c in summed]).join(totals, on)
+    return run.select(*rows.columns, *[(F.col(f"_rk_off_{c}") + F.col(f"_rk_cum_{c}")).alias(cum) for c, (cum, _) in summed.items()],
+                      *[n for _, n in summed.values()])
 
 
 def cumulative_counts(df: DataFrame, value: str, group: Sequence[str] = (),
                       weight: str | Column | None = None, extra: Sequence[Column] = (),
-                      tiebreak: Sequence[str] = (), buckets: int | None = None,
-                      materialize: bool = True) -> DataFrame:
-    """Rows of ``(group..., value, [tiebreak...], cnt, extra..., cum, n)``.
+                      buckets: int | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``(group..., value, cnt, extra..., cum, n)``, one per distinct (group, value).
 
     ``cnt``  rows (or summed ``weight``) with this value,
-    ``cum``  inclusive cumulative count in ascending (value, tiebreak) order within group,
+    ``cum``  inclusive cumulative count in ascending value order within group,
     ``n``    total count in the group.
     NULL values are excluded (pandas ranks leave them NaN).
-
-    With ``tiebreak`` columns nothing is collapsed: every row keeps its own
-    position (``method="first"``-style unique ranks).
-
-    ``buckets=None`` sizes the split from the data: after the value-count table
-    is materialised, the largest group's row count / 2M rows per bucket,
-    clamped to [64, 1024] — a (group, bucket) window partition stays a few
-    million rows at any scale.
     """
-    g = list(group) if group else ["_rk_g"]
-    src = df if group else _const_key(df)
-    src = src.where(F.col(value).isNotNull())
     w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    if tiebreak:
-        vc = src.select(*g, value, *tiebreak, w.cast("long" if weight is None else "double").alias("cnt"),
-                        *extra)
-    else:
-        vc = src.groupBy(*g, value).agg(F.sum(w).alias("cnt"), *extra)
-    if materialize:
-        # vc feeds three branches (bounds, bucket totals, running counts); a
-        # reliable checkpoint computes the upstream plan once and cuts lineage.
-        vc = cut_lineage(vc)
-        st = vc.groupBy(*g).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("k")).first()
-        biggest, n_groups = (st["m"] or 0), (st["k"] or 0)
-        if buckets is None:
-            buckets = int(min(MAX_BUCKETS, max(DEFAULT_BUCKETS, -(-biggest // ROWS_PER_BUCKET))))
-    else:
-        n_groups = None
-    buckets = buckets or DEFAULT_BUCKETS
-    # The bounds / bucket-total tables hold groups x buckets entries.  Broadcast
-    # them when that count is measured under the cap (or the grouping is a
-    # schema-sized key set and nothing was measured); above it, a shuffle join.
-    small = n_groups is None or n_groups * buckets <= MAX_BROADCAST_ENTRIES
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy(*g).agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000)
-                                .alias("_rk_bounds"))
-    bnd = F.broadcast(bounds) if small else bounds
-    vb = vc.join(bnd, g).withColumn(
-        "_rk_b", F.size(F.filter("_rk_bounds", lambda b: b < F.col(value).cast("double")))
-    ).drop("_rk_bounds")
-    bt = vb.groupBy(*g, "_rk_b").agg(F.sum("cnt").alias("_rk_bcnt"))
-    wg = W.partitionBy(*g).orderBy("_rk_b")
-    bt = bt.select(
-        *g, "_rk_b",
-        F.coalesce(F.sum("_rk_bcnt").over(wg.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_rk_off"),
-        F.sum("_rk_bcnt").over(W.partitionBy(*g)).alias("n"),
-    )
-    wb = W.partitionBy(*g, "_rk_b").orderBy(value, *tiebreak).rowsBetween(W.unboundedPreceding, 0)
-    out = (vb.join(F.broadcast(bt) if small else bt, g + ["_rk_b"])
-             .withColumn("cum", F.col("_rk_off") + F.sum("cnt").over(wb))
-             .drop("_rk_b", "_rk_off"))
-    return out if group else out.drop("_rk_g")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.sum(w).alias("cnt"), *extra)
+    return _positions(counts, group, [value], buckets, also)
 
 
 def average_rank_table(df: DataFrame, value: str, group: Sequence[str] = (),
@@ -122,45 +88,18 @@ def with_average_rank(df: DataFrame, value: str, group: Sequence[str] = (), out:
 
 
 def with_row_number(df: DataFrame, value: str, tiebreak: Sequence[str], group: Sequence[str] = (),
-                    out: str = "rn", buckets: int | None = None,
-                    hot_rows: int = ROWS_PER_BUCKET) -> DataFrame:
+                    out: str = "rn", buckets: int | None = None) -> DataFrame:
     """H3: unique rank ordered by (value, tiebreak) — ``rank(method="first")``.
 
-    Returns the input rows (non-NULL ``value``) with ``out`` and the group size ``n``.
-
-    rank = (rows with a smaller value) + (position among the rows sharing the
-    value, ordered by the tiebreak).  The first term comes from the collapsed
-    value-count table, so a value held by a third of all rows is one row
-    there.  The second term is a plain window per value for ordinary values;
-    values holding more than ``hot_rows`` rows (at most n / hot_rows of them,
-    a broadcastable list) are ranked by the bucketed plan on the first
-    tiebreak column instead, so no single task sorts a hot value's rows.
+    Returns every input row with a non-NULL ``value``, with ``out`` and the group
+    size ``n``.  NULL tiebreaks come first; rows equal in value and tiebreak get
+    different numbers in any order.
     """
     if not tiebreak:
         raise ValueError("with_row_number needs at least one tiebreak column (e.g. the id)")
-    g = list(group)
-    d = df.where(F.col(value).isNotNull())
-    vt = cumulative_counts(d, value, g, buckets=buckets).select(
-        *g, value, (F.col("cum") - F.col("cnt")).alias("_rn_before"), "cnt", "n")
-    hot = vt.where(F.col("cnt") > hot_rows).select(*g, value).withColumn("_rn_hot", F.lit(True))
-    wv = W.partitionBy(*g, value).orderBy(*tiebreak)
-    if hot.limit(1).count() == 0:  # cheap: reads the materialised value-count table
-        res = d.withColumn("_rn_pos", F.row_number().over(wv)).join(vt.drop("cnt"), [*g, value])
-        return res.withColumn(out, (F.col("_rn_before") + F.col("_rn_pos")).cast("long")).drop("_rn_before",
-                                                                                                 "_rn_pos")
-    # hot values are few by construction (each holds > hot_rows rows)
-    d = d.join(F.broadcast(hot), [*g, value], "left")
-    cold = d.where(F.col("_rn_hot").isNull()).drop("_rn_hot")
-    pos_cold = cold.withColumn("_rn_pos", F.row_number().over(wv))
-    hotd = d.where(F.col("_rn_hot")).drop("_rn_hot")
-    others = [c for c in hotd.columns if c not in (*g, value, tiebreak[0])]
-    pos_hot = cumulative_counts(hotd, tiebreak[0], [*g, value], tiebreak=tiebreak[1:] or (),
-                                extra=[F.col(c) for c in others] if tiebreak[1:] else
-                                [F.first(c).alias(c) for c in others],
-                                buckets=buckets).withColumnRenamed("cum", "_rn_pos").drop("cnt", "n")
-    allpos = pos_cold.unionByName(pos_hot.select(*pos_cold.columns))
-    res = allpos.join(vt.drop("cnt"), [*g, value])
-    return res.withColumn(out, (F.col("_rn_before") + F.col("_rn_pos")).cast("long")).drop("_rn_before", "_rn_pos")
+    rows = df.where(F.col(value).isNotNull()).withColumn("cnt", F.lit(1))
+    return (_positions(rows, group, [value, *tiebreak], buckets)
+            .withColumn(out, F.col("cum").cast("long")).drop("cnt", "cum"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = (),
@@ -169,10 +108,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Se
 
     Unlike the exact ``percentile`` aggregate — which buffers every value of a
     group in one task — this reads the cumulative value-count table: the
-    needed 0-based positions k = floor/ceil((n - 1) p) form a tiny table
-    (groups x probabilities x 2) that is broadcast and matched to the one
-    value row whose position range [cum - cnt, cum) contains k.  The table is
-    streamed once; nothing is multiplied by the number of probabilities.
+    needed 0-based positions k = floor/ceil((n - 1) p) form a small table
+    (groups x probabilities x 2; Spark broadcasts it if its size allows) that is
+    matched to the one value row whose position range [cum - cnt, cum) contains k.
     Output (group..., p, q).
     """
     g = list(group)
@@ -190,7 +128,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Se
     tt = t.select(*key, value, "cnt", "cum")
     cond = ([F.col(c) == F.col(f"_p_{c}") for c in key]
             + [(F.col("cum") - F.col("cnt")) <= F.col("_k"), F.col("_k") < F.col("cum")])
-    j = tt.join(F.broadcast(pos), cond).select(*key, "p", "_h", "_k", F.col(value).alias("_v"))
+    j = tt.join(pos, cond).select(*key, "p", "_h", "_k", F.col(value).alias("_v"))
     v = j.groupBy(*key, "p").agg(F.min_by("_v", "_k").alias("_vlo"), F.max_by("_v", "_k").alias("_vhi"),
                                  F.first("_h").alias("_h"))
     frac = F.col("_h") - F.floor(F.col("_h"))

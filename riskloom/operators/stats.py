@@ -116,13 +116,14 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], id_col: str) -> Dat
         aggs.append(F.bit_xor(F.xxhash64(F.col(id_col), v)).alias(f"h{i}"))
         aggs.append(F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"n{i}"))
     row = df.agg(*aggs).first()
-    seen: dict[tuple, list[str]] = {}
+    seen: dict[tuple, str] = {}
     pairs = []
     for i, c in enumerate(cols):
         key = (fam[c], row[f"h{i}"], row[f"n{i}"])
-        for first in seen.get(key, []):
-            pairs.append((c, first))
-        seen.setdefault(key, []).append(c)
+        if key in seen:  # the class's first column stands for all equal to it
+            pairs.append((c, seen[key]))
+        else:
+            seen[key] = c
     if not pairs:
         return df.sparkSession.createDataFrame([], "column string, duplicate_of string")
     checks = [F.sum((~F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).cast("long")).alias(f"d{i}")
@@ -224,30 +225,35 @@ def average_precision_by_group(long_df: DataFrame, score: str, label: str,
                                group: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Average precision = sum over thresholds (descending score) of (dTP / P) * precision.
 
-    Descending order = ascending order of the negated score.  Two cumulative
-    tables over the same distinct thresholds: all rows (``cum``) and positives
-    only (``tp``, via the label as weight); thresholds without positives add 0.
+    Descending order = ascending order of the negated score.  One cumulative table
+    over the distinct thresholds runs both sums, rows (``cum``) and positives
+    (``cum_dtp``); thresholds without positives add 0.
     """
     d = long_df.where(F.col(label).isNotNull() & F.col(score).isNotNull()) \
         .withColumn("_neg", -F.col(score).cast("double")).withColumn("_y", F.col(label).cast("long"))
-    allc = cumulative_counts(d, "_neg", group, buckets=buckets).select(*group, "_neg", "cum")
-    pos = cumulative_counts(d, "_neg", group, weight="_y", buckets=buckets) \
-        .select(*group, "_neg", F.col("cnt").alias("dtp"), F.col("cum").alias("tp"), F.col("n").alias("P"))
-    j = pos.join(allc, [*group, "_neg"])
-    term = F.when(F.col("dtp") > 0, (F.col("dtp") / F.col("P")) * (F.col("tp") / F.col("cum")))
-    return j.groupBy(*group).agg(F.sum(term).alias("average_precision"))
+    t = cumulative_counts(d, "_neg", group, extra=[F.sum("_y").alias("dtp")], buckets=buckets, also=["dtp"])
+    term = F.when(F.col("dtp") > 0, (F.col("dtp") / F.col("n_dtp")) * (F.col("cum_dtp") / F.col("cum")))
+    return t.groupBy(*group).agg(F.sum(term).alias("average_precision"))
 
 
 # ------------------------------------------------------------------ J4-J8
 def mutual_information(long_df: DataFrame, x: str, y: str, group: Sequence[str] = ()) -> DataFrame:
-    """J4 (and J5 on binned x): exact plug-in MI in nats from the contingency table."""
-    j = long_df.groupBy(*group, x, y).agg(F.count(F.lit(1)).alias("nxy"))
-    wg = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
-    j = j.select("*", F.sum("nxy").over(W.partitionBy(*group, x) if group else W.partitionBy(x)).alias("nx"),
-                 F.sum("nxy").over(W.partitionBy(*group, y) if group else W.partitionBy(y)).alias("ny"),
-                 F.sum("nxy").over(wg).alias("n"))
-    term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
-    return j.groupBy(*group).agg(F.sum(term).alias("mi"))
+    """J4 (and J5 on binned x): exact plug-in MI in nats from the contingency table.
+
+    n * MI = sum nxy ln nxy - sum nx ln nx - sum ny ln ny + n ln n, four grouped sums
+    over the cell counts; no window, so no task holds a feature's whole table.
+    """
+    g = list(group)
+    cells = long_df.groupBy(*g, x, y).agg(F.count(F.lit(1)).alias("_k"))
+    ent = lambda c: F.sum(F.col(c) * F.log(F.col(c).cast("double")))
+    parts = [cells.groupBy(*g).agg(F.sum("_k").alias("_n"), ent("_k").alias("_xy"))]
+    for side, name in ((x, "_x"), (y, "_y")):
+        parts.append(cells.groupBy(*g, side).agg(F.sum("_k").alias("_k")).groupBy(*g).agg(ent("_k").alias(name)))
+    if not g:
+        parts = [p.withColumn("_j", F.lit(0)) for p in parts]  # one row each
+    j = parts[0].join(parts[1], g or ["_j"]).join(parts[2], g or ["_j"])
+    mi = (F.col("_xy") - F.col("_x") - F.col("_y")) / F.col("_n") + F.log(F.col("_n").cast("double"))
+    return j.select(*g, F.greatest(mi, F.lit(0.0)).alias("mi"))
 
 
 def spearman_with_label(long_df: DataFrame, value: str, label: str, group: Sequence[str] = (),

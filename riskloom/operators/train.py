@@ -58,7 +58,7 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     """L1: OOF cross-validation with any Spark ML probabilistic classifier.
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
-    estimator; ``score(model, frame)`` returns (id, pred) (default: P(class 1)).
+    estimator; ``score(model, frame)`` returns the frame with ``pred`` (default: P(class 1)).
     ``features`` is a list of numeric columns, or the name of an already
     assembled (possibly sparse) vector column.
     ``fold_weight(k)`` (optional) gives the instance-weight expression used
@@ -80,7 +80,7 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
         data = cut_lineage(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
         tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
-    score = score or (lambda m, d: m.transform(d).select(id_col, _p1().alias("pred")))
+    score = score or (lambda m, d: m.transform(d).withColumn("pred", _p1()))
     oof_parts, test_parts, aucs, imps = [], [], [], []
     for k in folds:
         est = make_estimator("features", label, weight_col)
@@ -88,11 +88,10 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
         model = est.fit(fit_part)
-        va = data.where(F.col(fold) == k)
-        pv = score(model, va).join(va.select(id_col, label, fold), id_col)
+        pv = score(model, data.where(F.col(fold) == k))
         oof_parts.append(pv.select(id_col, fold, label, F.col("pred").alias("oof_pred")))
         if tst is not None:
-            test_parts.append(score(model, tst).withColumn(fold, F.lit(k)))
+            test_parts.append(score(model, tst).select(id_col, "pred"))
         im = _importance(model, features) if features else None
         if im is not None:
             imps += [(f, v, int(k)) for f, v in im]
@@ -118,16 +117,31 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
 
 
 # ------------------------------------------------------------------ learners
-def logistic_l2(C: float = 1.0, n_rows: int = 1, max_iter: int = 100):
-    """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n)."""
+def _size(d: DataFrame, weight_col: str | None) -> float:
+    """Rows of a training part, or their total weight."""
+    n = d.agg(F.count(F.lit(1)) if weight_col is None else F.sum(F.col(weight_col).cast("double"))).first()[0]
+    return float(n or 1.0)
+
+
+class _SizedFit:
+    """An estimator whose penalty is made from the size of what it is fitted on."""
+
+    def __init__(self, weight_col: str | None, make: Callable[[float], object]):
+        self.weight_col, self.make = weight_col, make
+
+    def fit(self, d: DataFrame):
+        return self.make(_size(d, self.weight_col)).fit(d)
+
+
+def logistic_l2(C: float = 1.0, max_iter: int = 100):
+    """L2 logistic regression; regParam = 1 / (C * n), n = rows (or weight) of the part it is fitted on."""
     from pyspark.ml.classification import LogisticRegression
 
     def make(fc, lc, wc):
-        kw = dict(featuresCol=fc, labelCol=lc, regParam=1.0 / (C * max(n_rows, 1)), elasticNetParam=0.0,
-                  standardization=False, maxIter=max_iter)
+        kw = dict(featuresCol=fc, labelCol=lc, elasticNetParam=0.0, standardization=False, maxIter=max_iter)
         if wc:
             kw["weightCol"] = wc
-        return LogisticRegression(**kw)
+        return _SizedFit(wc, lambda n: LogisticRegression(regParam=1.0 / (C * n), **kw))
     return make
 
 
@@ -181,7 +195,7 @@ def mlp(hidden: Sequence[int] = (32, 16), n_features: int = 1, max_iter: int = 1
     return make
 
 
-def ridge_classifier(alpha: float = 1.0, n_rows: int = 1):
+def ridge_classifier(alpha: float = 1.0):
     """Least squares on +-1 targets (ridge), scored by the linear decision value.
 
     Calibration to probabilities is a 1-feature logistic fit on OOF decision
@@ -194,7 +208,7 @@ def ridge_classifier(alpha: float = 1.0, n_rows: int = 1):
             self.fc, self.lc, self.wc = fc, lc, wc
 
         def fit(self, d):
-            kw = dict(featuresCol=self.fc, labelCol="_pm1", regParam=alpha / max(n_rows, 1),
+            kw = dict(featuresCol=self.fc, labelCol="_pm1", regParam=alpha / _size(d, self.wc),
                       elasticNetParam=0.0, standardization=False)
             if self.wc:
                 kw["weightCol"] = self.wc
@@ -203,8 +217,8 @@ def ridge_classifier(alpha: float = 1.0, n_rows: int = 1):
     return lambda fc, lc, wc: _Ridge(fc, lc, wc)
 
 
-def ridge_score(id_col: str = "SK_ID_CURR"):
-    return lambda m, d: m.transform(d).select(id_col, F.col("prediction").alias("pred"))
+def ridge_score():
+    return lambda m, d: m.transform(d).withColumn("pred", F.col("prediction"))
 
 
 def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict], factory: Callable,
@@ -354,7 +368,7 @@ def calibrated_cross_validate(train: DataFrame, features: Sequence[str], make_es
     models.  Returns (id, fold, label, oof_pred).
     """
     from .folds import kfold
-    score = score or (lambda m, d: m.transform(d).select(id_col, F.col("prediction").alias("pred")))
+    score = score or ridge_score()
     data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
     outer = sorted(r[0] for r in data.select(fold).distinct().collect())
@@ -367,10 +381,9 @@ def calibrated_cross_validate(train: DataFrame, features: Sequence[str], make_es
         probs = None
         for i in range(inner_k):
             model = make_estimator("features", label, None).fit(tri.where(F.col("_if") != i))
-            held = score(model, tri.where(F.col("_if") == i)).join(tri.select(id_col, label), id_col)
-            held = held.withColumnRenamed("pred", "oof_pred")
+            held = score(model, tri.where(F.col("_if") == i)).select(id_col, label, F.col("pred").alias("oof_pred"))
             cal = (platt_calibrate if method == "sigmoid" else isotonic_calibrate)(held, label)[0]
-            sv = score(model, va).withColumnRenamed("pred", "oof_pred").withColumn(label, F.lit(0.0))
+            sv = score(model, va).select(id_col, F.col("pred").alias("oof_pred"), F.lit(0.0).alias(label))
             d = assemble(sv, ["oof_pred"], "_cf")
             p = cal.transform(d)
             pcol = _p1().alias("p") if method == "sigmoid" else F.col("prediction").alias("p")

@@ -65,7 +65,8 @@ def rebuilt_term_block(prev: DataFrame, app: DataFrame, num_trees: int = 30, max
     scored = model.transform(va.transform(sc)).select(ID, "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE",
                                                        vector_to_array("probability").alias("_p"))
     lab = F.array(*[F.lit(x) for x in labels])
-    best = F.array_max(F.arrays_zip(F.col("_p").alias("p"), lab.alias("t")))["t"]
+    # equal probabilities: the smallest term wins
+    best = -F.array_max(F.arrays_zip(F.col("_p").alias("p"), F.transform(lab, lambda t: -t).alias("t")))["t"]
     cert = F.aggregate(F.col("_p"), F.lit(0.0), lambda a, x: a + x * x)
     out = scored.select(ID, "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE",
                         best.alias("REBUILT_CNT"), cert.alias("CERTAINTY"))

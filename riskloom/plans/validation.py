@@ -27,7 +27,7 @@ def feature_version_validation(app: DataFrame, make_estimator: Callable, version
         fs = feature_set(app, version=v)
         tr = fs.where(F.col("split") == "train").drop("split")
         feats = numeric_columns(tr, exclude=("SK_ID_CURR", "TARGET"))
-        tr = fill_medians(tr, feats, exact=False).join(folds, "SK_ID_CURR")
+        tr = fill_medians(tr, feats).join(folds, "SK_ID_CURR")
         r = train_fold_auc(tr, feats, make_estimator).withColumn("version", F.lit(int(v)))
         out = r if out is None else out.unionByName(r)
     overall = out.groupBy("version", "part").agg(F.avg("auc").alias("auc")).withColumn("fold", F.lit(-1))

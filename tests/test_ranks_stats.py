@@ -55,14 +55,19 @@ def test_auc_ap_spearman_bruteforce(spark):
     assert abs(rho - exp) < 1e-12
 
 
-def test_row_number_hot_value_path(spark):
+def test_row_number_keeps_every_row(spark):
+    """A third of the rows share one value; ids repeat and some are NULL."""
     rng = np.random.default_rng(11)
     n = 600
-    v = np.where(rng.random(n) < 0.4, 3.0, rng.integers(0, 50, n).astype(float))  # one hot value
-    pdf = pd.DataFrame({"id": rng.permutation(n), "g": rng.integers(0, 2, n), "v": v})
-    df = spark.createDataFrame(pdf)
-    got = with_row_number(df, "v", ["id"], ["g"], out="rn", hot_rows=50).toPandas().sort_values("id")
-    exp = pdf.sort_values(["g", "v", "id"]).groupby("g").cumcount() + 1
-    np.testing.assert_array_equal(got.set_index("id")["rn"].sort_index().values,
-                                  exp.reindex(pdf.sort_values(["g", "v", "id"]).index)
-                                  .set_axis(pdf.sort_values(["g", "v", "id"])["id"]).sort_index().values)
+    v = np.where(rng.random(n) < 0.4, 3.0, rng.integers(0, 50, n).astype(float))
+    ids = [None if i % 37 == 0 else int(x) for i, x in enumerate(rng.integers(0, 300, n))]
+    rows = [(i, ids[i], int(rng.integers(0, 2)), float(v[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "row int, id int, g int, v double")
+    for buckets in (1, 4, 64):
+        got = with_row_number(df, "v", ["id"], ["g"], out="rn", buckets=buckets).collect()
+        assert sorted(r["row"] for r in got) == list(range(n))
+        for g in (0, 1):
+            part = sorted((r for r in got if r["g"] == g), key=lambda r: r["rn"])
+            assert [r["rn"] for r in part] == list(range(1, len(part) + 1)) and {r["n"] for r in part} == {len(part)}
+            order = [(r["v"], r["id"] is not None, r["id"] or 0) for r in part]
+            assert order == sorted(order)

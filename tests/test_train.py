@@ -13,9 +13,9 @@ def test_cv_and_permutation_importance(spark):
     y = (x1 + 0.3 * rng.normal(size=n) > 0).astype(float)
     pdf = pd.DataFrame({"SK_ID_CURR": range(n), "TARGET": y, "x1": x1, "noise": noise, "fold": np.arange(n) % 4})
     df = spark.createDataFrame(pdf)
-    r = cross_validate(df, ["x1", "noise"], logistic_l2(C=1.0, n_rows=n))
+    r = cross_validate(df, ["x1", "noise"], logistic_l2(C=1.0))
     assert r.oof.count() == n and r.oof_auc > 0.9 and len(r.fold_auc) == 4
-    model = logistic_l2(C=1.0, n_rows=n)("features", "TARGET", None).fit(assemble(df, ["x1", "noise"]))
+    model = logistic_l2(C=1.0)("features", "TARGET", None).fit(assemble(df, ["x1", "noise"]))
     imp = permutation_importance(model, df, ["x1", "noise"], repeats=2).toPandas().set_index("feature")
     assert imp.loc["x1", "importance"] > 0.2
     assert abs(imp.loc["noise", "importance"]) < 0.05
@@ -26,7 +26,7 @@ def test_feature_version_validation_on_sf0001(spark):
     from riskloom.plans.validation import feature_version_validation
     from riskloom.sources.fixtures import application
     app = application(spark, "/root/testdata/sf0.001")
-    r = feature_version_validation(app, logistic_l2(C=1.0, n_rows=120, max_iter=20), versions=[0, 7]).toPandas()
+    r = feature_version_validation(app, logistic_l2(C=1.0, max_iter=20), versions=[0, 7]).toPandas()
     assert set(r["version"]) == {0, 7} and set(r["part"]) == {"train", "valid"}
     assert (r["fold"] == -1).sum() == 4 and len(r) == 2 * (2 * 5 + 2)
 
@@ -44,7 +44,7 @@ def test_other_learners_and_fold_weights(spark):
     assert r.oof_auc > 0.85
     r = cross_validate(df, ["x1", "x2"], mlp(hidden=(4,), n_features=2, max_iter=50))
     assert r.oof.count() == n and r.oof_auc > 0.7
-    r = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0, n_rows=n),
+    r = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0),
                        fold_weight=lambda k: F.when(F.col("TARGET") == 1, F.lit(3.0)).otherwise(F.lit(1.0)))
     assert r.oof_auc > 0.85
 
@@ -56,8 +56,21 @@ def test_calibrated_ridge_inner_cv(spark):
     x1 = rng.normal(size=n)
     y = (x1 + 0.5 * rng.normal(size=n) > 0.5).astype(float)
     pdf = pd.DataFrame({"SK_ID_CURR": range(n), "TARGET": y, "x1": x1, "fold": np.arange(n) % 3})
-    out = calibrated_cross_validate(spark.createDataFrame(pdf), ["x1"], ridge_classifier(1.0, n), inner_k=3).toPandas()
+    out = calibrated_cross_validate(spark.createDataFrame(pdf), ["x1"], ridge_classifier(1.0), inner_k=3).toPandas()
     assert len(out) == n and out["oof_pred"].between(0, 1).all()
     from riskloom.operators.stats import auc_by_group
     a = auc_by_group(spark.createDataFrame(out), "oof_pred", "TARGET").first()["auc"]
     assert a > 0.8
+
+
+def test_penalty_follows_the_training_rows(spark):
+    """Every row twice at half C is the same problem."""
+    from riskloom.operators.train import assemble, logistic_l2
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"SK_ID_CURR": range(300), "x1": rng.normal(size=300)})
+    pdf["TARGET"] = (pdf["x1"] + rng.normal(size=300) > 0).astype(float)
+    df = assemble(spark.createDataFrame(pdf), ["x1"])
+    a = logistic_l2(C=0.1)("features", "TARGET", None).fit(df)
+    b = logistic_l2(C=0.05)("features", "TARGET", None).fit(df.union(df))
+    w = logistic_l2(C=0.05)("features", "TARGET", "w").fit(df.withColumn("w", F.lit(2.0)))
+    assert abs(a.coefficients[0] - b.coefficients[0]) < 1e-6 and abs(a.coefficients[0] - w.coefficients[0]) < 1e-6
