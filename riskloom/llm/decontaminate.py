@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import arrowtext as T
-from riskloom.llm.state import prepare
+from riskloom.llm.state import map_rows, prepare
 
 SAMPLED = 3      #: steps in a key
 MOST_KEYS = 64   #: repetitions at most
@@ -200,82 +200,109 @@ class Index:
 
 
 def _words(text: str) -> np.ndarray:
+    if not text:
+        return np.zeros(0, np.uint64)
     _, _, data, offsets = next(T.chunks(pc.utf8_lower(pa.array([text]))))
     starts, ends, _ = T.word_spans(data, offsets)
     return T.span_hashes(data, starts, ends)
 
 
+def _regions(index: Index, column: pa.Array, number: int) -> list[tuple[int, int, np.ndarray]]:
+    """(row number, first word, words) of the runs to search; a run lies in one document."""
+    out = []
+    for lo, _, text, offsets in T.chunks(pc.utf8_lower(column)):
+        starts, ends, ptr = T.word_spans(text, offsets)
+        words = T.span_hashes(text, starts, ends)
+        for a, b in index.regions(words, ptr):
+            d = int(np.searchsorted(ptr, a, side="right")) - 1
+            out.append((number + lo + d, int(a - ptr[d]), words[a:b].copy()))
+    return out
+
+
+def _best(index: Index, regions: list) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(distance, first word, last word) of the best place, by row number and item."""
+    best: dict = {}
+    for r, i in index.candidates([words for *_, words in regions]) if regions else ():
+        row, first, words = regions[r]
+        distance, a, b = fit(index.words[i], words)
+        if distance <= allowed(len(index.words[i]), index.percent):
+            now = (distance, first + a, first + b - 1)
+            best[row, i] = min(best.get((row, i), now), now)
+    return best
+
+
 def _search(shared):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()),
                         ("item_words", pa.int32()), ("first_word", pa.int32()), ("last_word", pa.int32())])
 
-    def judge(index: Index, regions: list) -> pa.RecordBatch | None:
-        best: dict[tuple, tuple] = {}
-        for r, i in index.candidates([words for *_, words in regions]):
-            row, doc_id, first, words = regions[r]
-            distance, a, b = fit(index.words[i], words)
-            if distance <= allowed(len(index.words[i]), index.percent):
-                now = (distance, first + a, first + b - 1)
-                best[row, doc_id, i] = min(best.get((row, doc_id, i), now), now)
-        if not best:
-            return None
-        rows = [(d, int(index.ids[i]), x, int(index.sizes[i]), a, b) for (_, d, i), (x, a, b) in best.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+    def rows(index, regions, ids) -> pa.RecordBatch:
+        found = [(ids[row], int(index.ids[i]), x, int(index.sizes[i]), a, b) for (row, i), (x, a, b) in _best(index, regions).items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema) if found else None
 
     def run(batches):
-        index, regions, size, number = shared.value, [], 0, 0
+        index, regions, ids, number = shared.value, [], {}, 0
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for lo, _, text, offsets in T.chunks(pc.utf8_lower(batch.column(1))):
-                starts, ends, ptr = T.word_spans(text, offsets)
-                words = T.span_hashes(text, starts, ends)
-                for a, b in index.regions(words, ptr):
-                    d = int(np.searchsorted(ptr, a, side="right")) - 1
-                    regions.append((number + lo + d, ids[lo + d], int(a - ptr[d]), words[a:b].copy()))
-                    size += b - a
-            number += len(ids)
-            if size > 200_000:  # regions of a document are never parted
-                if (out := judge(index, regions)) is not None:
+            new = _regions(index, batch.column(1), number)
+            for row, *_ in new:
+                ids[row] = batch.column(0)[row - number].as_py()
+            regions += new
+            number += batch.num_rows
+            if sum(len(words) for *_, words in regions) > 200_000:
+                if (out := rows(index, regions, ids)) is not None:
                     yield out
-                regions, size = [], 0
-        if regions and (out := judge(index, regions)) is not None:
+                regions, ids = [], {}
+        if (out := rows(index, regions, ids)) is not None:
             yield out
 
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", percent: int = 80, min_words: int = 8,
-                 target: float = 0.9, block: int = 20_000) -> DataFrame:
-    """(doc_id, item_id, distance, item_words, first_word, last_word) of every match; see the module text."""
-    spark = docs.sparkSession
-    prepare(spark)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col).cast("string")).dropDuplicates()
-    found, ids, words = [], [], []
+def _keep(shared, at: int):
+    def run(batches):
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            for row, _ in _best(shared.value, _regions(shared.value, batch.column(at).cast(pa.string()), 0)):
+                clean[row] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
 
-    def search() -> DataFrame:
-        index = spark.sparkContext.broadcast(Index(ids, words, percent, min_words, target))
-        return texts.mapInArrow(_search(index), _FOUND)
 
-    for item_id, text in items.toLocalIterator():  # one block of items is on the driver at a time
+def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, percent: int, min_words: int, target: float, block: int):
+    """Broadcast indexes of the items, block by block; one block is on the driver at a time."""
+    items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col).cast("string")).dropDuplicates()
+    ids, words = [], []
+    for item_id, text in items.toLocalIterator():
         w = _words(text or "")
         if item_id is not None and len(w) >= min_words:
-            ids, words = [*ids, item_id], [*words, w]
+            ids.append(item_id)
+            words.append(w)
         if len(ids) == block:
-            found.append(search())
+            yield benchmark.sparkSession.sparkContext.broadcast(Index(ids, words, percent, min_words, target))
             ids, words = [], []
     if ids:
-        found.append(search())
-    if not found:
-        return spark.createDataFrame([], _FOUND)
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(ids, words, percent, min_words, target))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` in which no item was found; rows with a null id are judged by no one and stay."""
-    bad = contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti").select(docs.columns)
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text", percent: int = 80, min_words: int = 8,
+                 target: float = 0.9, block: int = 20_000) -> DataFrame:
+    """(doc_id, item_id, distance, item_words, first_word, last_word) of every match; see the module text."""
+    spark = docs.sparkSession
+    prepare(spark)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out = None
+    for index in _indexes(benchmark, item_col, item_text_col, percent, min_words, target, block):
+        found = texts.mapInArrow(_search(index), _FOUND)
+        out = found if out is None else out.union(found)
+    return out if out is not None else spark.createDataFrame([], _FOUND)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text", percent: int = 80, min_words: int = 8, target: float = 0.9,
+                         block: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, in the map that searches them."""
+    prepare(docs.sparkSession)
+    for index in _indexes(benchmark, item_col, item_text_col, percent, min_words, target, block):
+        docs = map_rows(docs, _keep(index, docs.columns.index(text_col)))
+    return docs
