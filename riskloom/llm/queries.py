@@ -78,7 +78,10 @@ def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from riskloom.llm.pii import KINDS, pseudonymised
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    kinds = [F.size(F.filter("_pii_spans", lambda x, k=k: x["kind"] == k)).alias(f"n_{k}") for k in KINDS]
+    def number(kind):
+        return F.size(F.filter("_pii_spans", lambda x: x["kind"] == kind))
+
+    kinds = [number(k).alias(f"n_{k}") for k in KINDS]
     return pseudonymised(docs, b"query key").select("doc_id", F.size("_pii_spans").alias("n_pii"), *kinds, "text")
 
 
