@@ -346,7 +346,17 @@ def q_auc_weighted_blend(spark, d):
     p = FX.predictions(spark, d)
     lab = p.join(_train_app(spark, d).withColumnRenamed("SK_ID_CURR", "id"), "id")
     aucs = {r["model"]: r["auc"] for r in auc_by_group(lab, "pred", "TARGET", ["model"]).collect()}
-    return blend(p, BLEND_MODELS, "rank_weighted_mean", weights=aucs)
+    return blend(p, BLEND_MODELS, "rank_weighted_mean", weights=aucs, clip_prob=False)
+
+
+def q_auc_weighted_prob(spark, d):
+    """Predictions clipped to [0, 1], weighted by per-model AUC."""
+    from riskloom.operators.blend import blend
+    from riskloom.operators.stats import auc_by_group
+    p = FX.predictions(spark, d)
+    lab = p.join(_train_app(spark, d).withColumnRenamed("SK_ID_CURR", "id"), "id")
+    aucs = {r["model"]: r["auc"] for r in auc_by_group(lab, "pred", "TARGET", ["model"]).collect()}
+    return blend(p, BLEND_MODELS, "weighted_mean", weights=aucs, clip_prob=False, clip_input=True)
 
 
 def q_grid_logistic(spark, d):
@@ -479,8 +489,7 @@ def q_imbalance(spark, d):
     return imbalance_experiment(df, feats, logistic_l2(C=1.0, max_iter=50))
 
 
-def q_meta_boosted(spark, d):
-    """Boosted-tree meta-learner on clipped predictions plus their logits."""
+def _meta_boosted(spark, d):
     from riskloom.functions.exprs import clip, logit
     from riskloom.operators.blend import complete_rows, wide
     from riskloom.operators.folds import stratified_folds
@@ -491,7 +500,22 @@ def q_meta_boosted(spark, d):
     tr = _train_app(spark, d)
     df = w.join(tr, "SK_ID_CURR").join(stratified_folds(tr).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
     feats = BLEND_MODELS + [f"logit_{m}" for m in BLEND_MODELS]
-    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20)).oof
+    test = w.join(FX.application(spark, d).where(F.col("split") == "test").select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
+    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20), test=test)
+
+
+def q_meta_boosted(spark, d):
+    """Boosted-tree meta-learner on clipped predictions plus their logits: out-of-fold scores of
+    the train customers and fold-averaged scores (F23) of the test customers."""
+    r = _meta_boosted(spark, d)
+    none = F.lit(None)
+    return r.oof.select("SK_ID_CURR", "fold", "TARGET", F.col("oof_pred").alias("pred")).union(
+        r.test.select("SK_ID_CURR", none.cast("int"), none.cast("double"), "pred"))
+
+
+def q_meta_gain(spark, d):
+    """Importance table of the boosted meta-learner, averaged over folds."""
+    return _meta_boosted(spark, d).importance
 
 
 def q_prediction_files(spark, d):
@@ -565,13 +589,130 @@ def q_blend_runner(spark, d):
 
 
 def q_final_blend(spark, d):
-    """Q17: 0.5 x rank-average blend + 0.5 x boosted meta-learner OOF prediction."""
+    """Q17: 0.5 x rank-average blend + 0.5 x boosted meta-learner, test customers."""
     from riskloom.operators.blend import alpha_blend, blend
-    ra = blend(FX.predictions(spark, d), BLEND_MODELS, "rank_mean")
-    meta = q_meta_boosted(spark, d).select(F.col("SK_ID_CURR").alias("id"), F.col("oof_pred").alias("pred"))
+    test = FX.application(spark, d).where(F.col("split") == "test").select(F.col("SK_ID_CURR").alias("id"))
+    ra = blend(FX.predictions(spark, d).join(test, "id", "left_semi"), BLEND_MODELS, "rank_mean")
+    meta = _meta_boosted(spark, d).test.select(F.col("SK_ID_CURR").alias("id"), "pred")
     return alpha_blend(ra, meta, 0.5)
 
 
+def _numeric_app(spark, d):
+    from riskloom.operators.stats import numeric_columns
+    app = FX.application(spark, d)
+    cols = numeric_columns(app, exclude=("SK_ID_CURR", "TARGET", "split"))
+    return app.select("SK_ID_CURR", "split", *cols), cols
+
+
+def _fit_rows(df):
+    return df.where(F.col("split") == "train")
+
+
+def q_median_all(spark, d):
+    """Every numeric column filled with its exact median over all rows."""
+    from riskloom.operators.stats import fill_medians
+    return fill_medians(*_numeric_app(spark, d))
+
+
+def q_median_train(spark, d):
+    """Medians of the train rows, applied to train and test."""
+    from riskloom.operators.stats import fill_medians
+    df, cols = _numeric_app(spark, d)
+    return fill_medians(df, cols, fit_df=_fit_rows(df))
+
+
+def q_standardize_all(spark, d):
+    """(x - mean) / population sd over all rows."""
+    from riskloom.operators.stats import standardize
+    return standardize(*_numeric_app(spark, d))
+
+
+def q_standardize_train(spark, d):
+    """Mean and sd of the train rows, applied to train and test."""
+    from riskloom.operators.stats import standardize
+    df, cols = _numeric_app(spark, d)
+    return standardize(df, cols, fit_df=_fit_rows(df))
+
+
+def q_kfold(spark, d):
+    """K2: plain five folds of the train customers, seed 50."""
+    from riskloom.operators.folds import kfold
+    return kfold(_train_app(spark, d)).select("SK_ID_CURR", "fold")
+
+
+def q_auto_weights(spark, d):
+    """K5 "auto": N/P of each fold's training part, without a cap."""
+    from riskloom.operators.folds import positive_weights, stratified_folds
+    return positive_weights(stratified_folds(_train_app(spark, d)), cap=None)
+
+
+def q_id_base(spark, d):
+    """Distinct customers of the instalment rows."""
+    from riskloom.sources.tables import id_base
+    return id_base(FX.installments(spark, d))
+
+
+def q_minimal_base(spark, d):
+    """Id, split and target."""
+    from riskloom.sources.tables import minimal_base
+    return minimal_base(FX.application(spark, d))
+
+
+def q_binary_codes(spark, d):
+    """String columns with at most two values, found and coded."""
+    from riskloom.operators.encode import binary_columns, label_encode
+    app = FX.application(spark, d).select("SK_ID_CURR", "split", *APP_LABELS)
+    cols = binary_columns(app, ["split", *APP_LABELS])
+    return label_encode(app.select("SK_ID_CURR", *cols), cols)
+
+
+def q_dropped_ids(spark, d):
+    """E5: ids dropped because a model lacks a prediction."""
+    from riskloom.operators.blend import dropped_count
+    return dropped_count(FX.predictions(spark, d), BLEND_MODELS)
+
+
+def q_model_weights(spark, d):
+    """Weights from a table with one model absent (1.0), normalised."""
+    from riskloom.operators.blend import normalized_weights
+    p = FX.predictions(spark, d)
+    table = p.where(F.col("model") != "m4").groupBy("model").agg(F.avg("pred").alias("local_auc"))
+    return normalized_weights(table, BLEND_MODELS)
+
+
+def q_missing_over(spark, d):
+    """number of assembled features with over 20 % and over 50 % missing."""
+    from riskloom.operators.stats import missing_over
+    df = q_assembly(spark, d)
+    return missing_over(df, [c for c in df.columns if c not in ("SK_ID_CURR", "split")])
+
+
+def q_planted_duplicates(spark, d):
+    """copies of typed columns, planted behind the originals."""
+    from riskloom.operators.stats import duplicate_columns
+    app = FX.application(spark, d)
+    df = app.select("SK_ID_CURR", "AMT_CREDIT", "DAYS_BIRTH", "NAME_TYPE_SUITE", "EXT_SOURCE_1",
+                    F.col("AMT_CREDIT").alias("CREDIT_COPY"), F.col("DAYS_BIRTH").alias("BIRTH_COPY"),
+                    F.col("NAME_TYPE_SUITE").alias("SUITE_COPY"), F.col("AMT_CREDIT").alias("CREDIT_COPY_2"),
+                    F.coalesce("EXT_SOURCE_1", F.lit(0.5)).alias("EXT_FILLED"))
+    return duplicate_columns(df, [c for c in df.columns if c != "SK_ID_CURR"], "SK_ID_CURR")
+
+
+def q_elastic(spark, d):
+    """Elastic-net logistic regression, out-of-fold."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import cross_validate, elastic_logistic
+    df, feats = _model_frame(spark, d, engineered=False)
+    return cross_validate(standardize(df, feats), feats, elastic_logistic()).oof
+
+
+def q_refit(spark, d):
+    """Importance of one boosted model fitted on every train row."""
+    from riskloom.operators.train import boosted_trees, refit_full
+    df, feats = _model_frame(spark, d, engineered=False)
+    return refit_full(df, feats, boosted_trees(max_depth=3, max_iter=10))[1]
+
+
 def q_region(spark, d):
     """B9, B10, B15 (feature set v4 block): rating difference, address mismatches, age in years."""
     from riskloom.functions.exprs import days_to_years
@@ -679,6 +820,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q73_logistic_sparse_onehot": q_logistic_sparse,
     "q74_boosted_trees_on_bins": q_gbt_on_bins,
     "q75_value_counts": q_value_counts,
+    "q76_median_fill_all": q_median_all,
+    "q77_median_fill_train": q_median_train,
+    "q78_standardize_all": q_standardize_all,
+    "q79_standardize_train": q_standardize_train,
+    "q80_kfold": q_kfold,
+    "q81_auto_positive_weights": q_auto_weights,
+    "q82_id_base": q_id_base,
+    "q83_minimal_base": q_minimal_base,
+    "q84_binary_codes": q_binary_codes,
+    "q85_dropped_ids": q_dropped_ids,
+    "q86_model_weights": q_model_weights,
+    "q87_missing_over": q_missing_over,
+    "q88_planted_duplicates": q_planted_duplicates,
+    "q89_auc_weighted_probability_blend": q_auc_weighted_prob,
+    "q90_meta_importance": q_meta_gain,
+    "q91_elastic_net": q_elastic,
+    "q92_full_refit_importance": q_refit,
 }
 
 
@@ -719,6 +877,7 @@ def _own_oracle_sql() -> dict[str, str]:
     from sqlcheck import blend_sql as BL
     from sqlcheck import encode_sql as EN
     from sqlcheck import extra_sql as X2
+    from sqlcheck import prep_sql as PR
     from sqlcheck import stats_sql as S
     from sqlcheck.application_sql import v7_sql
     from sqlcheck.blocks_sql import assembly_columns
@@ -773,4 +932,18 @@ def _own_oracle_sql() -> dict[str, str]:
         "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
         "q69_spearman_matrix": X2.spearman_matrix_sql(),
         "q70_blend_runner": BL.blend_sql("rank_mean"),
+        "q76_median_fill_all": PR.median_sql("TRUE"),
+        "q77_median_fill_train": PR.median_sql("split = 'train'"),
+        "q78_standardize_all": PR.standardize_sql("TRUE"),
+        "q79_standardize_train": PR.standardize_sql("split = 'train'"),
+        "q80_kfold": PR.kfold_sql(),
+        "q81_auto_positive_weights": BL.pos_weight_sql(cap=1e300),
+        "q82_id_base": PR.id_base_sql(),
+        "q83_minimal_base": PR.minimal_base_sql(),
+        "q84_binary_codes": PR.binary_codes_sql(),
+        "q85_dropped_ids": PR.dropped_sql(),
+        "q86_model_weights": PR.weights_sql(),
+        "q87_missing_over": PR.missing_over_sql(assembly_sql(), [c for c in assembly_columns() if c not in ("SK_ID_CURR", "split")]),
+        "q88_planted_duplicates": PR.duplicates_sql(),
+        "q89_auc_weighted_probability_blend": BL.auc_weighted_blend_sql(rank=False),
     }

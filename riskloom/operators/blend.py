@@ -44,12 +44,12 @@ def wide(long: DataFrame, models: Sequence[str], id_col: str = "id", value: str
 
 def _norm_weights(models: Sequence[str], weights: Mapping[str, float] | None) -> list[float]:
     if weights is None:
-        raise ValueError("weights required for weighted methods")
+        raise ValueError("blend: this method needs weights")
     w = [float(weights.get(m, 1.0)) for m in models]
     if any(x < 0 for x in w):
-        raise ValueError("weights must be non-negative")
+        raise ValueError("blend: a weight is below zero")
     if not any(x > 0 for x in w):
-        raise ValueError("at least one weight must be positive")
+        raise ValueError("blend: all weights are zero")
     s = sum(w)
     return [x / s for x in w]
 
@@ -76,15 +76,21 @@ def _median(arr: Column) -> Column:
 
 def blend(long: DataFrame, models: Sequence[str], method: str = "mean",
           weights: Mapping[str, float] | None = None, power: float = 1.0, trim_frac: float = 0.1,
-          eps: float = 1e-6, clip_prob: bool = True, id_col: str = "id", out: str = "pred") -> DataFrame:
-    """Blend the predictions of ``models`` per id; returns (id, pred)."""
+          eps: float = 1e-6, clip_prob: bool = True, clip_input: bool = False, id_col: str = "id",
+          out: str = "pred") -> DataFrame:
+    """Blend the predictions of ``models`` per id; returns (id, pred).
+
+    ``clip_input`` (N13) first clips every prediction to [0, 1].
+    """
     models = list(models)
     m = len(models)
     if method not in PROB_METHODS + RANK_METHODS:
-        raise ValueError(f"Unknown method: {method}")
+        raise ValueError(f"blend: no method {method!r}; one of {PROB_METHODS + RANK_METHODS}")
     if method == "trimmed_mean" and not (0.0 <= trim_frac < 0.5):
-        raise ValueError("trim_frac must be in [0, 0.5).")
+        raise ValueError(f"blend: trim_frac is {trim_frac}, not from 0 up to 0.5")
     d = complete_rows(long, models, id_col)
+    if clip_input:
+        d = d.withColumn("pred", clip("pred", 0.0, 1.0))
     val = "pred"
     if method in RANK_METHODS:
         d = with_average_rank(d, "pred", ["model"], out="_r", pct=True)
@@ -96,7 +102,7 @@ def blend(long: DataFrame, models: Sequence[str], method: str = "mean",
     base = method.replace("rank_", "")
     if method == "power_mean":
         res = F.when(F.exists(arr, lambda x: x < 0), F.raise_error(
-            F.lit("power_mean requires non-negative predictions"))).otherwise(_gen_mean(arr, power))
+            F.lit("blend: power_mean met a negative prediction"))).otherwise(_gen_mean(arr, power))
     elif base == "power_mean":
         res = _gen_mean(arr, power)
     elif base == "mean":

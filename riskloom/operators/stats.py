@@ -67,6 +67,19 @@ def missing_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
                    .orderBy(F.desc("missing_count"), "feature"))
 
 
+def missing_over(df: DataFrame, columns: Sequence[str] | None = None, limits: Sequence[float] = (20.0, 50.0)) -> DataFrame:
+    """F17 counts: (limit, columns with a larger share of missing values, in percent)."""
+    cols = list(columns or df.columns)
+    share = df.agg(*[(F.avg(F.col(f"`{c}`").isNull().cast("double")) * 100).alias(f"m{i}") for i, c in enumerate(cols)])
+    shares = F.array(*[F.col(f"m{i}") for i in range(len(cols))])
+
+    def over(limit: float) -> Column:
+        return F.size(F.filter(shares, lambda m: m > limit)).cast("long")
+
+    rows = F.array(*[F.struct(F.lit(float(x)).alias("limit"), over(x).alias("columns")) for x in limits])
+    return share.select(F.explode(rows).alias("x")).select("x.*")
+
+
 def column_audit(df: DataFrame, exclude: Sequence[str] = (), high_missing: float = 0.98,
                  near_constant_ratio: float = 1e-8, exact: bool = True) -> DataFrame:
     """per column dtype, missing_rate, nunique, near_constant, high_missing.

@@ -71,11 +71,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         w.format(fmt).save(path)
 
 
-def prune_scan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A4: column-pruned scan (the projection is pushed into the parquet reader)."""
-    return df.select(*cols)
-
-
 def id_base(df: DataFrame, id_col: str = "SK_ID_CURR") -> DataFrame:
     """Distinct id base table."""
     return df.select(id_col).distinct()

@@ -111,8 +111,8 @@ def balanced_sql() -> str:
     return canon(body, ["SK_ID_CURR", "TARGET", "weight"], {"SK_ID_CURR", "TARGET"})
 
 
-def auc_weighted_blend_sql() -> str:
-    """Q16: per-model AUC (labelled train ids) as weights of a rank-weighted blend."""
+def auc_weighted_blend_sql(rank: bool = True) -> str:
+    """Per-model AUC (labelled train ids) as weights of a blend of ranks, or of predictions clipped to [0, 1]."""
     from .fixtures_sql import APPLICATION, PREDS
     ms = ", ".join(repr(m) for m in MODELS)
     body = (f"WITH preds AS ({PREDS}), app AS ({APPLICATION}), "
@@ -124,7 +124,7 @@ def auc_weighted_blend_sql() -> str:
             f"  / (sum(TARGET)::DOUBLE * (count(*) - sum(TARGET))) AS w FROM lr GROUP BY model), "
             f"ok AS (SELECT id FROM preds WHERE model IN ({ms}) GROUP BY id HAVING count(DISTINCT model) = {len(MODELS)}), "
             f"c AS (SELECT p.* FROM preds p SEMI JOIN ok USING (id)), "
-            f"r AS (SELECT id, model, (rank() OVER (PARTITION BY model ORDER BY pred) + "
+            f"r AS (SELECT id, model, least(greatest(pred, 0), 1) AS p, (rank() OVER (PARTITION BY model ORDER BY pred) + "
             f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0) / count(*) OVER (PARTITION BY model) AS rk FROM c) "
-            f"SELECT id, {_clip('sum(r.rk * auc.w) / sum(auc.w)')} AS pred FROM r JOIN auc USING (model) GROUP BY id")
+            f"SELECT id, sum(r.{'rk' if rank else 'p'} * auc.w) / sum(auc.w) AS pred FROM r JOIN auc USING (model) GROUP BY id")
     return canon(body, ["id", "pred"], {"id"})
