@@ -98,7 +98,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_range_join": _url_sql()}
+    return {"op5_ngram_jaccard_join": _JACCARD_SQL, "op6_url_range_join": _url_sql()}
+
+
+#: All pairs of documents with a common shingle, and the closure of their links.
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(
+    CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM w),
+n AS (SELECT doc_id, s, len(s) AS n FROM s),
+u AS (SELECT doc_id, n, unnest(s) AS x FROM n),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS node, doc_id AS low FROM n UNION SELECT e.b, r.low FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(low) AS low FROM r GROUP BY node),
+q AS (SELECT s, count(*) AS k FROM n GROUP BY s)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.low AS component_id, CASE WHEN n.n > 0 THEN q.k END AS n_equal
+FROM n JOIN c ON n.doc_id = c.node JOIN q ON n.s = q.s
+"""
 
 
 def _url_sql() -> str:
