@@ -42,10 +42,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 
 from riskloom.llm import arrowtext as T
 from riskloom.llm.graph import components
-from riskloom.llm.state import bitmap, cut, in_bitmap, prepare
+from riskloom.llm.state import bitmap, cut, in_bitmap, map_rows, prepare, unused
 
 SKETCH_LOG2 = 21    #: counters of the list-length table: 2**21 at every input size
 SKETCH_BLOCK = 1 << 14
@@ -258,18 +259,21 @@ def _long_links(percent: int):
         member, start = own[order], np.concatenate([[0], np.cumsum(np.bincount(column))])
         first = np.concatenate([[0], np.cumsum(n)])
         us, vs = [], []
+        label = np.unique(comp, return_inverse=True)[1]  # of what is joined, here as well
         for i in np.flatnonzero(chosen):
             lists = column[first[i]:first[i + 1]]
             met = np.concatenate([member[start[x]:start[x + 1]] for x in lists])
             both = np.bincount(met, minlength=len(sets))
-            ok = (100 * both >= percent * (n[i] + n - both)) & (comp != comp[i])
+            ok = (100 * both >= percent * (n[i] + n - both)) & (label != label[i])
             ok &= (n[i] < n) | ((n[i] == n) & (c[i] < c))
             if lo[0] != hi[0]:
                 ok &= at != at[i]
-            to = np.flatnonzero(ok)
-            to = to[np.unique(comp[to], return_index=True)[1]]
-            us += [c[i]] * len(to)
-            vs += c[to].tolist()
+            if ok.any():
+                to = np.flatnonzero(ok)
+                others, one = np.unique(label[to], return_index=True)
+                us += [c[i]] * len(one)
+                vs += c[to[one]].tolist()
+                label[np.isin(label, others)] = label[i]
         return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], schema=_EDGE) if us else None
 
     return _by_piece(3, work)
@@ -321,13 +325,8 @@ def _linked(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "ha", "hb").mapInArrow(_verify(percent), "u long, v long"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                       percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_equal) for every row of ``docs``; see the module text.
-
-    ``component_id`` is the smallest id reachable by links; ``n_equal`` counts the rows of
-    ``docs`` with the same shingle set (null without shingles).
-    """
+def _joined(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, cls) of every row, and (cls, comp) of the classes that link with others."""
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -375,6 +374,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if more.limit(1).count():
         joined = components(edges.union(more)).select(F.col("node").alias("cls"), F.col("root").alias("comp"))
 
+    return rows, joined
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                       percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_equal) for every row of ``docs``; see the module text.
+
+    ``component_id`` is the smallest id reachable by links; ``n_equal`` counts the rows of
+    ``docs`` with the same shingle set (null without shingles).
+    """
+    rows, joined = _joined(docs, id_col, text_col, k, percent)
     classes = (rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_equal"))
                .join(joined, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     names = classes.groupBy("comp").agg(F.min("low").alias("component_id"))
@@ -384,13 +394,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .union(rows.where("cls is null").select("doc_id", F.lit(0).cast("long"), F.col("doc_id"), F.lit(None).cast("long"))))
 
 
+def _with_class(k: int, at: int):
+    """Appends the class digest to every row."""
+    def run(batches):
+        for batch in batches:
+            cls = [int(T.set_digest(s).view(np.int64)) if len(s) else None
+                   for _, _, data, offsets in T.chunks(batch.column(at).cast(pa.string())) for s in T.shingle_sets(data, offsets, k)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*batch.schema.names, "cls"])
+
+    return run
+
+
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                       percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of rows with one id, one stays.
+    """One row of ``docs`` for each component, the one with the smallest id (null last; then by class digest).
 
-    Rows with a null id are kept: nothing names them, so nothing may replace them.
+    Rows without shingles are components of their own and stay, all of them.
     """
-    kept = (jaccard_components(docs, id_col, text_col, k, percent).where("doc_id = component_id")
-            .select(F.col("doc_id").alias(id_col)).distinct())
-    own = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).join(kept, id_col, "left_semi")
-    return own.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    rows, joined = _joined(docs, id_col, text_col, k, percent)
+    stays = (rows.where("cls is not null").join(joined, "cls", "left").groupBy(F.coalesce("comp", "cls").alias("comp"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls")).alias("x"))
+             .select(F.col("x.doc_id").alias("_doc"), F.col("x.cls").alias("_cls")))
+    own, ident = unused(docs, "cls"), F.col(id_col).cast("long")
+    marked = map_rows(docs, _with_class(k, docs.columns.index(text_col)), (StructField(own, LongType()),))
+    stays = stays.withColumnsRenamed({"_doc": unused(docs, "_doc"), "_cls": unused(docs, "_cls")})
+    kept = (marked.where(F.col(own).isNotNull()).dropDuplicates([id_col, own])
+            .join(stays, (F.col(own) == stays[stays.columns[1]]) & ident.eqNullSafe(stays[stays.columns[0]]), "left_semi"))
+    return kept.union(marked.where(F.col(own).isNull())).drop(own)
