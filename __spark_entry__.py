@@ -250,6 +250,14 @@ def q_stage1(spark, d):
     return stage1(train, test)
 
 
+def q_screening(spark, d):
+    """Q13: both stages in a row; the metrics of the features that the reduced tables keep."""
+    from riskloom.plans.screen import run
+    train, test = _app_split(spark, d)
+    _, metrics, _, reduced = run(train, test)
+    return metrics.where(F.col("feature").isin(*[c for c in reduced.columns if c != "SK_ID_CURR"]))
+
+
 def q_stage0(spark, d):
     from riskloom.plans.screen import stage0
     train, test = _app_split(spark, d)
@@ -837,6 +845,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q90_meta_importance": q_meta_gain,
     "q91_elastic_net": q_elastic,
     "q92_full_refit_importance": q_refit,
+    "q93_screening_run": q_screening,
 }
 
 

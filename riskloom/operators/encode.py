@@ -28,12 +28,6 @@ def _train(df: DataFrame, split_col: str | None, value: str = "train") -> DataFr
 
 
 # ------------------------------------------------------------------ C1/C2/C3
-def label_dictionary(df: DataFrame, column: str, fill: str = MISSING) -> DataFrame:
-    """(column value -> code) by sorted category; missing filled with ``fill``."""
-    d = label_dictionaries(df, [column], fill).where(F.col("feature") == column)
-    return d.select(F.col("v").alias("_cat"), F.col("code").alias("_code"))
-
-
 def label_dictionaries(df: DataFrame, columns: Sequence[str], fill: str = MISSING) -> DataFrame:
     """C1 for many columns at once: long (feature, v, code), one melt + one distinct.
 
@@ -116,12 +110,6 @@ def fill_mode(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None =
                         if c in columns else F.col(c) for c in df.columns])
 
 
-def target_order_dictionary(df: DataFrame, column: str, target: str = "TARGET") -> DataFrame:
-    """C4: categories ordered by mean target (ties by category), code = position from 0."""
-    d = target_order_dictionaries(df, [column], target)
-    return d.select(F.col("v").alias("_cat"), F.col("code").alias("_code"))
-
-
 def target_order_dictionaries(df: DataFrame, columns: Sequence[str], target: str = "TARGET") -> DataFrame:
     """C4 for many columns: long (feature, v, code) from one melt + one grouped mean."""
     long = df.select(F.col(target), *[F.col(c).cast("string").alias(c) for c in columns]) \
