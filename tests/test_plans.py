@@ -49,4 +49,4 @@ def test_grouped_rank_plan_has_no_single_partition(spark):
     p = FX.predictions(spark, SF)
     plan = _plan(spark, with_average_rank(p, "pred", ["model"], pct=True))
     assert "SinglePartition" not in plan
-    assert "BroadcastHashJoin" in plan       # bounded bucket-bound / bucket-total tables
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
