@@ -325,7 +325,7 @@ def q_oof_logistic(spark, d):
 def q_oof_gbt(spark, d):
     from riskloom.operators.train import boosted_trees, cross_validate
     df, feats = _model_frame(spark, d)
-    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20)).oof
+    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=40), early_stop=True).oof
 
 
 def q_oof_rf(spark, d):
@@ -368,12 +368,12 @@ def q_auc_weighted_prob(spark, d):
 
 
 def q_grid_logistic(spark, d):
-    """L2: small grid over C for the L2 logistic model, ranked by OOF AUC."""
+    """L2: the grid over C for the L2 logistic model, ranked by OOF AUC."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import grid_search, logistic_l2
     df, feats = _model_frame(spark, d, engineered=False)
     df = standardize(df, feats)
-    return grid_search(df, feats, [{"C": 0.2}, {"C": 2.0}], logistic_l2)
+    return grid_search(df, feats, [{"C": c} for c in (0.2, 0.5, 1.0, 2.0, 5.0)], logistic_l2)[0]
 
 
 def q_onehot_sparse(spark, d):
@@ -714,6 +714,23 @@ def q_elastic(spark, d):
     return cross_validate(standardize(df, feats), feats, elastic_logistic()).oof
 
 
+def q_forest_balanced(spark, d):
+    """Random forest by entropy, with balanced class weights (K6)."""
+    from riskloom.operators.folds import balanced_weight
+    from riskloom.operators.train import cross_validate, random_forest
+    df, feats = _model_frame(spark, d, engineered=False)
+    df = balanced_weight(df, "TARGET", "_w")
+    return cross_validate(df, feats, random_forest("entropy", num_trees=30, max_depth=6), weight_col="_w").oof
+
+
+def q_calibrated(spark, d):
+    """Ridge classifier with inner five-fold Platt calibration, out-of-fold probabilities."""
+    from riskloom.operators.stats import standardize
+    from riskloom.operators.train import calibrated_cross_validate, ridge_classifier
+    df, feats = _model_frame(spark, d, engineered=False)
+    return calibrated_cross_validate(standardize(df, feats), feats, ridge_classifier(alpha=1.0))
+
+
 def q_refit(spark, d):
     """Importance of one boosted model fitted on every train row."""
     from riskloom.operators.train import boosted_trees, refit_full
@@ -846,6 +863,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q91_elastic_net": q_elastic,
     "q92_full_refit_importance": q_refit,
     "q93_screening_run": q_screening,
+    "q94_forest_entropy_balanced": q_forest_balanced,
+    "q95_ridge_inner_calibration": q_calibrated,
 }
 
 

@@ -54,7 +54,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                    test: DataFrame | None = None, weight_col: str | None = None,
                    score: Callable | None = None,
-                   fold_weight: Callable[[int], Column] | None = None) -> CVResult:
+                   fold_weight: Callable[[int], Column] | None = None, early_stop: bool = False,
+                   prepared: bool = False) -> CVResult:
     """L1: OOF cross-validation with any Spark ML probabilistic classifier.
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
@@ -64,11 +65,17 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     ``fold_weight(k)`` (optional) gives the instance-weight expression used
     while fitting fold k's model, for weights that depend on that fold's
     training part (K4/K5).
+    ``early_stop`` hands the held-out fold to the estimator as its validation
+    part (L8; the estimator must have a ``validationIndicatorCol``).
+    ``prepared``: ``train`` is already assembled and checkpointed, with the vector
+    column ``features``, so that several runs share it.
     """
     if fold_weight is not None:
         weight_col = "_fold_w"
     wsel = [weight_col] if weight_col and fold_weight is None else []
-    if isinstance(features, str):
+    if prepared:
+        data, tst, features = train, test, []
+    elif isinstance(features, str):
         # an already assembled (possibly sparse) vector column
         vec = features
         features = []
@@ -85,6 +92,9 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     for k in folds:
         est = make_estimator("features", label, weight_col)
         fit_part = data.where(F.col(fold) != k)
+        if early_stop:
+            est = est.setValidationIndicatorCol("_held")
+            fit_part = data.withColumn("_held", F.col(fold) == k)
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
         model = est.fit(fit_part)
@@ -222,17 +232,27 @@ def ridge_score():
 
 
 def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict], factory: Callable,
-                **cv_kw) -> DataFrame:
-    """L2/L3: one CV per parameter set -> (params, mean fold AUC, std, OOF AUC), best first."""
+                id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
+                by: str = "oof_auc", **cv_kw) -> tuple[DataFrame, CVResult]:
+    """L2/L3: one CV per parameter set over one prepared frame.
+
+    Returns the table (params, mean fold AUC, std, OOF AUC), best first, and the
+    CV result of the set that is best ``by`` "oof_auc" or "mean_auc".
+    """
     import statistics
-    rows = []
+    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+                       .withColumn(label, F.col(label).cast("double")))
+    rows, results = [], []
     for params in grid:
-        r = cross_validate(train, features, factory(**params), **cv_kw)
+        r = cross_validate(data, "features", factory(**params), id_col, label, fold, prepared=True, **cv_kw)
         fa = [a for a in r.fold_auc if a is not None]
         rows.append((str(params), statistics.fmean(fa) if fa else None,
                      statistics.pstdev(fa) if len(fa) > 1 else None, r.oof_auc))
+        results.append(r)
     df = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
-    return df.orderBy(F.desc("oof_auc"))
+    place = 3 if by == "oof_auc" else 1
+    best = max(range(len(rows)), key=lambda i: -1.0 if rows[i][place] is None else rows[i][place])
+    return df.orderBy(F.desc(by)), results[best]
 
 
 # ------------------------------------------------------------------ J10

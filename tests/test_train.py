@@ -74,3 +74,17 @@ def test_penalty_follows_the_training_rows(spark):
     b = logistic_l2(C=0.05)("features", "TARGET", None).fit(df.union(df))
     w = logistic_l2(C=0.05)("features", "TARGET", "w").fit(df.withColumn("w", F.lit(2.0)))
     assert abs(a.coefficients[0] - b.coefficients[0]) < 1e-6 and abs(a.coefficients[0] - w.coefficients[0]) < 1e-6
+
+
+def test_grid_returns_its_winner_and_early_stopping_runs(spark):
+    from riskloom.operators.train import boosted_trees, cross_validate, grid_search, logistic_l2
+    rng = np.random.default_rng(9)
+    n = 300
+    pdf = pd.DataFrame({"SK_ID_CURR": range(n), "x1": rng.normal(size=n), "x2": rng.normal(size=n), "fold": np.arange(n) % 2})
+    pdf["TARGET"] = (pdf["x1"] + 0.3 * rng.normal(size=n) > 0).astype(int)
+    df = spark.createDataFrame(pdf)
+    table, best = grid_search(df, ["x1", "x2"], [{"C": 0.001}, {"C": 1.0}], logistic_l2)
+    top = table.first()
+    assert top["oof_auc"] == best.oof_auc and best.oof.count() == n
+    stopped = cross_validate(df, ["x1", "x2"], boosted_trees(max_depth=2, max_iter=15, min_instances=5), early_stop=True)
+    assert stopped.oof_auc > 0.8 and stopped.oof.count() == n
