@@ -35,6 +35,7 @@ SIZES = (4, 5, 6)
 SLOTS_LOG2 = 20
 MIN_Z, LEAST, MOST = 4.0, 64, 2048
 PRIOR = 600
+CHUNK_BYTES = 1 << 18  #: each byte begins three grams of a few 8-byte numbers
 PENALTY = 1e-3
 SAMPLE = 4096
 
@@ -54,28 +55,37 @@ _BLANK[[9, 10, 11, 12, 13]] = 32
 
 
 def _rates(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, rate) of the slots in each row, by row; only slots marked in ``wanted``, if given."""
-    text = _BLANK[data]
-    code, rows, slots = text.copy(), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n in range(2, max(SIZES) + 1):
-        if len(text) < n:
-            break
-        code = code[:-1] | (text[n - 1:] << np.uint64(8 * (n - 1)))
-        if n not in SIZES:
-            continue
-        slot = ((code + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS_LOG2)).view(np.int64)
-        at = np.flatnonzero(wanted[slot]) if wanted is not None else np.arange(len(slot))
-        row = np.searchsorted(offsets, at, side="right") - 1
-        inside = at + n <= offsets[row + 1]
-        rows.append(row[inside])
-        slots.append(slot[at[inside]])
-    both, times = np.unique((np.concatenate(rows) << SLOTS_LOG2) | np.concatenate(slots), return_counts=True)
+    """(row, slot, rate) of the slots in each row, by row; only slots marked in ``wanted``, if given.
+
+    The text is read in slices that overlap by a gram, so one very long text needs no more memory.
+    """
+    found, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, len(data), CHUNK_BYTES):
+        text = _BLANK[data[a:a + CHUNK_BYTES + max(SIZES) - 1]]
+        code, both = text.copy(), []
+        for n in range(2, max(SIZES) + 1):
+            if len(text) < n:
+                break
+            code = code[:-1] | (text[n - 1:] << np.uint64(8 * (n - 1)))
+            if n not in SIZES:
+                continue
+            slot = ((code[:CHUNK_BYTES] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS_LOG2)).view(np.int64)
+            at = np.flatnonzero(wanted[slot]) if wanted is not None else np.arange(len(slot))
+            row = np.searchsorted(offsets, at + a, side="right") - 1
+            inside = at + a + n <= offsets[row + 1]
+            both.append((row[inside] << SLOTS_LOG2) | slot[at[inside]])
+        if both:
+            one, times = np.unique(np.concatenate(both), return_counts=True)
+            found.append(one)
+            counts.append(times)
+    both, place = np.unique(np.concatenate(found), return_inverse=True)
+    times = np.bincount(place, np.concatenate(counts), len(both))
     row = both >> SLOTS_LOG2
     return row, both & ((1 << SLOTS_LOG2) - 1), 1000.0 * times / (np.diff(offsets)[row] + PRIOR)
 
 
 def _texts(column: pa.Array):
-    return T.chunks(pc.utf8_lower(column))
+    return T.chunks(pc.utf8_lower(column), CHUNK_BYTES)
 
 
 def _sums(batches):

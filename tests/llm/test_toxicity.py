@@ -2,6 +2,7 @@ import random
 
 import zlib
 
+import numpy as np
 from riskloom.llm import toxicity as X
 
 
@@ -40,3 +41,15 @@ def test_odd_rows(spark, odd, empty, sentence):
     assert X.toxicity(empty, told).count() == 0 and X.without_toxic(empty, told).count() == 0
     none = X.toxicity(odd, told.limit(0)).collect()
     assert {r["score"] < 0.01 for r in none} == {True}
+
+
+def test_rates_of_slices_are_those_of_the_whole(monkeypatch):
+    texts = [b"abcabcabcabc \n xyz", b"", b"abc", b"hello world, hello world"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    whole = X._rates(data, offsets)
+    for size in (1, 3, 7):
+        monkeypatch.setattr(X, "CHUNK_BYTES", size)
+        part = X._rates(data, offsets)
+        assert all((a == b).all() for a, b in zip(whole, part))
+    grams = sum(max(0, len(set(t[i:i + n] for i in range(len(t) - n + 1)))) for t in [bytes(x).replace(b"\n", b" ") for x in texts] for n in X.SIZES)
+    assert len(whole[0]) == grams
