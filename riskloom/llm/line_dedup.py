@@ -1,6 +1,7 @@
 """Line dedup by a segment-partition edit join, with DataFrame and SQL functions only.
 
-Two lines link when their edit distance (in characters) is at most ``edits``; linked lines, over any
+Two lines link when their edit distance (in characters) is at most ``edits``, and with ``edit_chars`` also at
+most one edit for each ``edit_chars`` characters of the shorter line; linked lines, over any
 number of links, are one cluster, and its first line by (document id, line number) is kept.
 
 Method (PassJoin: Li et al. 2011).  A line cut into ``edits + 1`` segments keeps one whole under ``edits``
@@ -14,7 +15,8 @@ diagonal with the ``2 * edits + 1`` cells of the band, whatever the length of th
 The texts of candidates alone are fetched for that, by a bitmap of line hashes of fixed size (a superset; the
 join after it is exact).  Lines are named by a 64-bit hash.  Components run by graph rounds.
 
-Defined results: lines shorter than ``min_chars`` (blank ones too) take no part and have no row; null text has
+Defined results: lines shorter than ``min_chars`` and blank ones take no part and have no row; lines too short for
+an edit (``edits`` characters, or under ``edit_chars``) link by equality alone, at any length; null text has
 no lines; rows of one id count as one document, whose equal line numbers are one place; a null id sorts before
 all others; an empty table gives no rows.
 """
@@ -35,6 +37,17 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return start, base + F.when(extra >= parts - i, 1).otherwise(0)
 
 
+def _levels(edits: int, edit_chars: int | None) -> list[tuple[int, int, int | None]]:
+    """(allowed edits, least length, length from which more are allowed) of the lines in the edit join."""
+    if not edit_chars:
+        return [(edits, edits + 1, None)]
+    return [(k, k * edit_chars, (k + 1) * edit_chars if k < edits else None) for k in range(1, edits + 1)]
+
+
+def _within(n: Column, low: int, end: int | None) -> Column:
+    return n >= low if end is None else (n >= low) & (n < end)
+
+
 def _key(length: Column, i: int, piece: Column) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(i), piece)
 
@@ -47,18 +60,36 @@ def _index_keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*out)
 
 
-def _probe_keys(line: Column, n: Column, edits: int) -> Column:
-    """Structs of (key, same): ``same`` tells that the indexed line has this line's length."""
-    out = []
-    for shorter in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(n - shorter, i, edits + 1)
-            low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                key = F.when((at >= 0) & (at + size <= n), _key(n - shorter, i, F.substring(line, at + 1, size)))
-                out.append(F.struct(key.alias("key"), F.lit(shorter == 0).alias("same")))
-    return F.array(*out)
+def _level_index_keys(line: Column, n: Column, levels: list) -> Column:
+    """Null for lines too short for an edit."""
+    out = F
+    for k, low, end in reversed(levels):
+        out = out.when(_within(n, low, end), _index_keys(line, n, k))
+    return out
+
+
+def _probe_keys(line: Column, n: Column, levels: list) -> Column:
+    """Structs of (key, same): ``same`` tells that the indexed line has this line's length.
+
+    The indexed line is the shorter one, so its length sets the edits and the segments.
+    """
+    def probes(edits: int, low: int, end: int | None, sure: bool) -> list[Column]:
+        out = []
+        for shorter in range(edits + 1):
+            for i in range(edits + 1):
+                start, size = _segment(n - shorter, i, edits + 1)
+                left, right = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
+                for shift in range(left, right + 1):
+                    at = start + shift
+                    there = (at >= 0) & (at + size <= n)
+                    key = F.when(there if sure else _within(n - shorter, low, end) & there,
+                                 _key(n - shorter, i, F.substring(line, at + 1, size)))
+                    out.append(F.struct(key.alias("key"), F.lit(shorter == 0).alias("same")))
+        return out
+
+    edits, low, _ = levels[-1]
+    every = [p for level in levels for p in probes(*level, sure=False)]
+    return F.when(n >= low + edits, F.array(*probes(*levels[-1], sure=True))).when(n >= levels[0][1], F.array(*every))
 
 
 def banded_distance(a: str, b: str, edits: int) -> Column:
@@ -95,15 +126,15 @@ def _inside(sql: str) -> str:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     return (docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
-            .withColumn("chars", F.length("line")).where(F.col("chars") >= min_chars))
+            .withColumn("chars", F.length("line")).where((F.col("chars") >= min_chars) & F.col("line").rlike(r"\S")))
 
 
-def _candidates(lines: DataFrame, edits: int) -> DataFrame:
+def _candidates(lines: DataFrame, levels: list) -> DataFrame:
     """(a, b) of distinct lines that share a segment at a possible shift, a < b."""
     distinct = lines.groupBy("line").agg(F.first("chars").alias("chars")).withColumn("id", F.xxhash64("line"))
     line, n = F.col("line"), F.col("chars")
-    index = distinct.select("id", F.explode(_index_keys(line, n, edits)).alias("key"))
-    probe = (distinct.select(F.col("id").alias("other"), F.explode(_probe_keys(line, n, edits)).alias("p"))
+    index = distinct.select("id", F.explode(_level_index_keys(line, n, levels)).alias("key"))
+    probe = (distinct.select(F.col("id").alias("other"), F.explode(_probe_keys(line, n, levels)).alias("p"))
              .select("other", F.col("p.key").alias("key"), F.col("p.same").alias("same")).where("key is not null"))
     met = index.join(probe, (index["key"] == probe["key"]) & F.when(F.col("same"), F.col("id") < F.col("other"))
                      .otherwise(F.col("id") != F.col("other")))
@@ -121,26 +152,29 @@ def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.min("line").alias("line")))
 
 
-def line_links(lines: DataFrame, edits: int) -> DataFrame:
-    """(u, v) hashes of different lines within ``edits`` edits."""
-    pairs = cut(_candidates(lines, edits))
+def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> DataFrame:
+    """(u, v) hashes of different lines within ``edits`` edits, or as many as the shorter line's length allows."""
+    pairs = cut(_candidates(lines, _levels(edits, edit_chars)))
     texts = cut(_texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"))
-    return both.where(banded_distance("la", "lb", edits) <= edits).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    most = F.lit(edits)
+    if edit_chars:
+        most = F.least(most, F.floor(F.least(F.length("la"), F.length("lb")) / edit_chars))
+    return both.where(banded_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
-                  min_chars: int = 16) -> DataFrame:
+                  min_chars: int = 16, edit_chars: int | None = None) -> DataFrame:
     """(id, line_no, cluster_doc, cluster_line, n_equal, kept) of every line of at least ``min_chars`` characters.
 
     ``cluster_doc`` and ``cluster_line`` name the cluster's first line, ``n_equal`` counts equal lines.
     """
-    if not 1 <= edits <= 20 or min_chars <= edits:
-        raise ValueError("line_clusters: 1 to 20 edits, and lines longer than that")
+    if not 1 <= edits <= 20 or min_chars < 1 or edit_chars is not None and edit_chars < 2:
+        raise ValueError("line_clusters: 1 to 20 edits, lines of a character at least, and two characters or more an edit")
     lines = _lines(docs, id_col, text_col, min_chars)
     marks = cut(lines.select("doc", "line_no", F.xxhash64("line").alias("id")))
-    joined = components(line_links(lines, edits))
+    joined = components(line_links(lines, edits, edit_chars))
     place = F.struct("doc", "line_no")
     classes = (marks.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n_equal"))
                .join(joined, F.col("id") == F.col("node"), "left").where("n_equal > 1 or root is not null")
@@ -154,10 +188,10 @@ def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
-                           min_chars: int = 16) -> DataFrame:
+                           min_chars: int = 16, edit_chars: int | None = None) -> DataFrame:
     """``docs`` with only the first line of every cluster in the texts."""
     own, lines = unused(docs, "_id"), unused(docs, "_gone")
-    gone = (line_clusters(docs, id_col, text_col, edits, min_chars).where("not kept")
+    gone = (line_clusters(docs, id_col, text_col, edits, min_chars, edit_chars).where("not kept")
             .groupBy(F.col(id_col).alias(own)).agg(F.collect_set("line_no").alias(lines)))  # lines of one document
     kept = F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x, i: ~F.array_contains(lines, i))
     return (docs.join(gone, F.col(id_col).eqNullSafe(F.col(own)), "left")

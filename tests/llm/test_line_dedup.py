@@ -74,3 +74,36 @@ def test_odd_rows(odd, empty):
 def test_no_python_on_the_main_path(odd, capsys):
     L.line_links(L._lines(odd, "doc_id", "text", 16), 1).explain()
     assert "Python" not in (plan := capsys.readouterr().out) and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("edits", [1, 4])
+def test_short_lines_cluster_too(table, edits):
+    rng = random.Random(40 + edits)
+    docs = []
+    for k in range(10):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(5, 24)))
+        short = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(3)]
+        docs.append((k, "\n".join([edited(rng, base, 4) for _ in range(4)] + short + ["Les.", "x", "", " \t"])))
+    df = table(docs)
+    lines = [(d, i, t) for d, text in docs for i, t in enumerate(text.split("\n")) if t.strip()]
+    root = {x[:2]: x[:2] for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, x in enumerate(lines):
+        for y in lines[:i]:
+            if distance(x[2], y[2]) <= min(edits, min(len(x[2]), len(y[2])) // 4):
+                a, b = find(x[:2]), find(y[:2])
+                root[max(a, b)] = min(a, b)
+    got = {(r["doc_id"], r["line_no"]): ((r["cluster_doc"], r["cluster_line"]), r["kept"])
+           for r in L.line_clusters(df, edits=edits, min_chars=1, edit_chars=4).collect()}
+    assert got == {x[:2]: (find(x[:2]), find(x[:2]) == x[:2]) for x in lines}
+
+
+def test_the_query_has_a_row_for_every_line(spark, table, tmp_path):
+    from riskloom.llm.queries import op10_line_dedup
+    table([(k, f"Les.\n{k * 7919} own words of document {k}\n\n...") for k in range(5)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op10_line_dedup(spark, str(tmp_path)).collect()
+    assert len(got) == 15 and sum(r["kept"] for r in got if r["line_no"] in (0, 3)) == 2
