@@ -2,7 +2,8 @@
 
 Values are found by pattern and validated; a keyed Feistel network then permutes each within the set
 of values of its kind and format, so equal values get equal pseudonyms in every document, different
-values different ones, and whoever has the key can undo it.  Separators and letter case stay.
+values different ones, and whoever has the key can undo it (a run of
+digit groups that holds several values can be split elsewhere when undone).  Separators and letter case stay.
 
 =========  =============================================================  ===============================
 kind       validated by                                                   permuted
@@ -17,6 +18,9 @@ card       13 to 19 digits with a valid Luhn digit                        all bu
 account    13 to 19 digits without                                        among those without
 =========  =============================================================  ===============================
 
+A find is tried at the lengths that its kind can have (IBAN by country, digits by whole groups, ``+1`` and ``+7`` phones at
+eleven digits; other phones take all groups up to 15 digits).  If none is valid, the search goes on behind its first token.
+
 One map over the documents, no shuffle.  Rounds: ten, each BLAKE2b with the key over kind, format, round
 and the other half; sets that are no product of digit ranges are reached by cycle walking.
 
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import itertools
 import math
 import re
 
@@ -44,13 +49,21 @@ ROUNDS = 10
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card", "account")
 _FIND = re.compile(r"""
     (?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))
-  | (?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])
+  | (?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)
   | (?<![0-9.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])
   | (?<![0-9])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])
   | (?<![0-9-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])
   | (?<![0-9A-Za-z])(?P<phone>\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}|\([0-9]{3}\)[ ]?[0-9]{3}-[0-9]{4})(?![0-9])
-  | (?<![0-9A-Za-z])(?P<digits>[0-9]{13,19}(?![0-9A-Za-z])|[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[ -][0-9]))
+  | (?<![0-9A-Za-z])(?P<digits>(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+)
 """, re.X)
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?")
+_TOKEN, _ENDS, _GROUP = re.compile(r"[A-Za-z0-9]+|.", re.S), re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])"), re.compile("[0-9]+")
+#: Characters of an IBAN by country (ISO 13616 registry); other countries' are tried at every length.
+_IBAN_CHARS = {k: n for n, ks in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for k in ks.split()}
 _FIRST, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal() - datetime.date(1900, 1, 1).toordinal() + 1
 
 
@@ -92,6 +105,56 @@ def _iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+def _digit_ends(groups: list[str]) -> list[int]:
+    """Numbers of leading groups that have 13 to 19 digits together."""
+    total = list(itertools.accumulate(map(len, groups)))
+    return [i + 1 for i, n in enumerate(total) if 13 <= n <= 19]
+
+
+def _is_card(digits: str) -> bool:
+    return luhn_digit([int(c) for c in digits[:-1]]) == int(digits[-1])
+
+
+def _digits_end(value: str) -> int:
+    """Where the card or account ends that starts a run of digit groups; 0 if none does.
+
+    The shortest leading groups with a valid Luhn digit are a card.  Without one, the most groups that are no part of a
+    card further on are an account; a group of 13 to 19 digits stands alone.
+    """
+    places = [m.span() for m in _GROUP.finditer(value)]
+    groups = [value[a:b] for a, b in places]
+    if 13 <= len(groups[0]) <= 19:
+        return places[0][1]
+    ends = _digit_ends(groups)
+    for k in ends:
+        if _is_card("".join(groups[:k])):
+            return places[k - 1][1]
+    for j in range(1, ends[-1] if ends else 0):
+        later = groups[j:]
+        sizes = [len(g) for g in later[:4]]
+        k = 1 if 13 <= sizes[0] <= 19 else 4 if sizes == [4, 4, 4, 4] else 3 if sizes[:3] in ([4, 6, 5], [4, 6, 4]) else 0
+        if k and (k == 1 or _is_card("".join(later[:k]))):
+            ends = [e for e in ends if e <= j]
+            break
+    return places[ends[-1] - 1][1] if ends else 0
+
+
+def _lengths(kind: str, value: str, after: str) -> list[int]:
+    """Lengths at which the text found by the pattern named ``kind`` may be a value, the likeliest first."""
+    if kind == "iban":
+        ends = [m.start() for m in _ENDS.finditer(value + after) if m.start() <= len(value)]
+        ends = [e for e in reversed(ends) if _IBAN.fullmatch(value, 0, e)]
+        due = _IBAN_CHARS.get(value[:2])
+        return sorted(ends, key=lambda e: e - value.count(" ", 0, e) != due)
+    if kind == "digits":
+        return [e] if (e := _digits_end(value)) else []
+    if kind == "phone" and value[:2] in ("+1", "+7"):  # eleven digits
+        at = [m.start() for m in re.finditer("[0-9]", value)]
+        if len(at) > 11 and not value[at[10] + 1].isalnum():
+            return [at[10] + 1]
+    return [len(value)]
+
+
 def _place(value: str, plain: str) -> str:
     """``plain`` letters and digits at the places of those in ``value``; case as there."""
     left = iter(plain)
@@ -154,24 +217,34 @@ def pseudonym(key: bytes, kind: str, value: str, undo: bool = False) -> tuple[st
     if kind == "phone":
         head, tail = digits[:-10], digits[-10:]
         return kind, number(head + feistel(key, f"{kind}{head}", [10] * len(tail), tail, undo))
+    groups = _GROUP.findall(value)
+    sizes = list(itertools.accumulate(map(len, groups)))
+    shorter = [sizes[k - 1] for k in _digit_ends(groups) if sizes[k - 1] < len(digits)]
+    no_card = lambda v, n: luhn_digit(v[:n - 1]) != v[n - 1]
+    alone = lambda v: all(no_card(v, n) for n in shorter)  # noqa: E731  the pseudonym is found at the same length
     if luhn_digit(digits[:-1]) == digits[-1]:
-        body = feistel(key, "card", ten[:-1], digits[:-1], undo)
+        body = _walk(lambda v: feistel(key, "card", ten[:-1], v, undo), alone, digits[:-1])
         return "card", number([*body, luhn_digit(body)])
-    return "account", number(_walk(lambda v: feistel(key, "account", ten, v, undo), lambda v: luhn_digit(v[:-1]) != v[-1], digits))
+    return "account", number(_walk(lambda v: feistel(key, "account", ten, v, undo), lambda v: no_card(v, len(v)) and alone(v), digits))
 
 
 def replace(key: bytes, text: str, undo: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and (start, end, kind) of each."""
     found: list[tuple[int, int, str]] = []
-
-    def swap(m: re.Match) -> str:
-        new = pseudonym(key, m.lastgroup, m.group(), undo)
-        if new is None:
-            return m.group()
-        found.append((m.start(), m.end(), new[0]))
-        return new[1]
-
-    return _FIND.sub(swap, text), found
+    out, done, at, failed = [], 0, 0, 0  # failed: the end of what only looks like an IBAN; its groups are no account
+    while (m := _FIND.search(text, at)) is not None:
+        start, value = m.start(), m.group()
+        for n in _lengths(m.lastgroup, value, text[m.end():m.end() + 1]):
+            new = pseudonym(key, m.lastgroup, value[:n], undo)
+            if new is not None and not (new[0] == "account" and start < failed and not value[:n].isdigit()):
+                found.append((start, start + n, new[0]))
+                out += (text[done:start], new[1])
+                done = at = start + n
+                break
+        else:
+            failed = max(failed, m.end()) if m.lastgroup == "iban" else failed
+            at = _TOKEN.match(text, start).end()  # a value may start behind the first token
+    return "".join([*out, text[done:]]), found
 
 
 def _may_have(column: pa.Array) -> np.ndarray:

@@ -57,3 +57,18 @@ def test_tables(table, odd, empty):
     same = P.pseudonymised(odd, KEY).drop("_pii_spans")
     assert sorted(map(str, same.collect())) == sorted(map(str, odd.collect()))
     assert P.pseudonymised(empty, KEY).count() == 0
+
+
+def test_values_beside_other_digits_and_capitals():
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    one, phone = P.replace(KEY, card)[0], "+1 (017) 555-7713"
+    for text, kinds, clear in [
+            (f"{card} 4012 8888 8888 1881", ["card", "card"], "4012 8888 8888 1881"), ("ES9121000418450200051332 OK", ["iban"], "ES9121000418450200051332"),
+            (f"{iban} IN full", ["iban"], iban), (f"AB12 {card}", ["card"], card), (f"{phone} 34", ["phone"], phone),
+            (f"{card} 12/25", ["card"], card), (f"{card} 5th", ["card"], card), (f"77 {card}", ["card"], card),
+            (f"{card} 2024-02-29", ["card", "date"], "2024-02-29"), ("GB82 WEST 1234 5698 7654 32 AND MORE", ["iban"], "GB82 WEST 1234 5698 7654 32")]:
+        new, spans = P.replace(KEY, text)
+        assert [k for _, _, k in spans] == kinds and clear not in new and card not in new, (text, new)
+        assert P.replace(KEY, new, undo=True)[0] == text
+    assert P.replace(KEY, f"{card} 12/25")[0] == f"{one} 12/25" and P.replace(KEY, f"AB12 {card}")[0] == f"AB12 {one}"
+    assert P.replace(KEY, f"{phone} 34")[0] == P.replace(KEY, phone)[0] + " 34"
