@@ -87,7 +87,7 @@ def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.line_dedup import line_clusters
-    return line_clusters(_table(spark, sf_dir, "documents"), min_chars=1, edit_chars=4)
+    return line_clusters(_table(spark, sf_dir, "documents"), edits=3, min_chars=1, edit_chars=4)
 
 
 _QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms, op10_line_dedup]

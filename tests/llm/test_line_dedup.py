@@ -107,3 +107,9 @@ def test_the_query_has_a_row_for_every_line(spark, table, tmp_path):
     table([(k, f"Les.\n{k * 7919} own words of document {k}\n\n...") for k in range(5)]).write.parquet(f"{tmp_path}/documents.parquet")
     got = op10_line_dedup(spark, str(tmp_path)).collect()
     assert len(got) == 15 and sum(r["kept"] for r in got if r["line_no"] in (0, 3)) == 2
+
+
+def test_the_query_links_lines_that_differ_in_a_short_word(spark, table, tmp_path):
+    from riskloom.llm.queries import op10_line_dedup
+    table([(1, "the cat sat on the mat all day"), (2, "the dog sat on the mat all day"), (3, "a bird sang in a tree at night")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["cluster_doc"] for r in op10_line_dedup(spark, str(tmp_path)).collect()} == {1: 1, 2: 1, 3: 3}
