@@ -90,7 +90,48 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_clusters(_table(spark, sf_dir, "documents"), edits=3, min_chars=1, edit_chars=4)
 
 
-_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms, op10_line_dedup]
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.hard_negatives import hard_negatives
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.quality_discriminant import quality_scores
+    from riskloom.llm.toxicity import remainder
+    scores = quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with faults by CRC-32 of ``conv_id:turn``; dropped rows stay with ``present`` false."""
+    from pyspark.sql import functions as F
+    def text_of(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text_of("text"), "[.!?]", "")).otherwise(text_of("text"))
+    role = F.when(kind == 4, "user").otherwise(text_of("role"))
+    times = F.sequence(F.lit(0), F.when(kind == 3, 1).otherwise(0))
+    return (conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), (kind != 0).alias("present"), F.explode(times))
+            .drop("col"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.conversation_repair import repair
+    return repair(damaged(_table(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
+_QUERIES = [op1_token_packing, op2_entropy_mixing, op3_separator_scan, op4_divergence_quality, op5_ngram_jaccard_join, op6_url_range_join, op7_benchmark_decontamination, op8_toxicity_nbsvm, op9_pii_pseudonyms, op10_line_dedup,
+            op11_hard_negatives, op12_quality_discriminant, op13_conversation_repair]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -98,7 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_ngram_jaccard_join": _JACCARD_SQL, "op6_url_range_join": _url_sql()}
+    return {"op5_ngram_jaccard_join": _JACCARD_SQL, "op6_url_range_join": _url_sql(), "op11_hard_negatives": _NEGATIVES_SQL}
 
 
 #: All pairs of documents with a common shingle, and the closure of their links.
@@ -123,6 +164,30 @@ FROM n JOIN c ON n.doc_id = c.node JOIN q ON n.s = q.s
 """
 
 
+#: Every anchor against every row; both rankings by window.
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
+
 def _url_sql() -> str:
     """The rules by plain comparison of every page with every rule."""
     rules = ", ".join(f"('{h}', '{p}', {str(b).lower()})" for h, p, b in URL_RULES)
