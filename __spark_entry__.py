@@ -145,7 +145,7 @@ def q_missing(spark, d):
 
 def q_audit(spark, d):
     from riskloom.operators.stats import column_audit
-    return column_audit(FX.application(spark, d), exclude=("SK_ID_CURR",)).drop("dtype")
+    return column_audit(FX.application(spark, d), exclude=("SK_ID_CURR",))
 
 
 def q_pearson(spark, d):
@@ -245,9 +245,9 @@ def q_oof_auc(spark, d):
 
 
 def q_stage1(spark, d):
-    from riskloom.plans.screen import stage1
-    train, test = _app_split(spark, d)
-    return stage1(train, test)
+    from riskloom.plans.screen import stage1_metrics
+    app = FX.application(spark, d).drop("split")  # test rows have no target
+    return stage1_metrics(app, [c for c in app.columns if c not in ("SK_ID_CURR", "TARGET")])
 
 
 def q_screening(spark, d):
@@ -262,7 +262,7 @@ def q_stage0(spark, d):
     from riskloom.plans.screen import stage0
     train, test = _app_split(spark, d)
     audit, _ = stage0(train, test)
-    return audit.drop("dtype")
+    return audit
 
 
 def q_financial(spark, d):
@@ -953,6 +953,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "q60_kde_curves": X2.kde_sql(),
         "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
         "q38_screen_stage0_audit": X2.stage0_sql(),
+        "q93_screening_run": X2.screening_run_sql(),
         "q37_screen_stage1": X2.stage1_sql(),
         "q50_onehot_sparse": X2.onehot_sparse_sql(),
         "q72_region_features": X2.region_sql(),

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranks import cumulative_counts, exact_quantiles
+from .counts import spearman_of_counts
 from .encode import melt
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
@@ -81,28 +82,32 @@ def missing_over(df: DataFrame, columns: Sequence[str] | None = None, limits: Se
 
 
 def column_audit(df: DataFrame, exclude: Sequence[str] = (), high_missing: float = 0.98,
-                 near_constant_ratio: float = 1e-8, exact: bool = True) -> DataFrame:
+                 near_constant_ratio: float = 1e-8) -> DataFrame:
     """per column dtype, missing_rate, nunique, near_constant, high_missing.
 
-    ``exact=False`` uses ``approx_count_distinct`` (HyperLogLog++) for very wide /
-    large frames.  near_constant = nunique / rows <= ratio OR nunique <= 1.
+    One (column, value) count table over a single scan: exact distinct counts of all
+    columns without copying the rows per distinct aggregate.  Values are compared as
+    strings of their own type (-0.0 as 0.0).  near_constant = nunique / rows <= ratio
+    OR nunique <= 1.
     """
-    cols = [c for c in df.columns if c not in exclude]
-    nd = (lambda c: F.countDistinct(F.col(f"`{c}`"))) if exact else \
-        (lambda c: F.approx_count_distinct(F.col(f"`{c}`")))
-    agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[nd(c).alias(f"u{i}") for i, c in enumerate(cols)])
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    st = agg.select("_n", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(types[c]).alias("dtype"),
-                 F.col(f"m{i}").alias("missing_rate"), F.col(f"u{i}").cast("long").alias("nunique"))
-        for i, c in enumerate(cols)])).alias("s")).select("_n", "s.*")
+    cols = [c for c in df.columns if c not in exclude]
+
+    def text(c: str) -> Column:
+        x = F.col(f"`{c}`")
+        return ((x + F.lit(0.0).cast(types[c])) if types[c] in ("float", "double") else x).cast("string")
+
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), text(c).alias("v")) for i, c in enumerate(cols)])
+    counts = df.select(F.explode(cells).alias("x")).select("x.*").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    st = counts.groupBy("i").agg(F.sum("n").alias("_n"), F.count("v").alias("nunique"),
+                                 F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("_gaps"))
+    names = df.sparkSession.createDataFrame([(i, c, types[c]) for i, c in enumerate(cols)], "i int, feature string, dtype string")
+    st = names.join(st, "i", "left").withColumn("nunique", F.coalesce("nunique", F.lit(0)))
     return st.select(
-        "feature", "dtype", "missing_rate", "nunique",
-        ((F.col("nunique") / F.greatest(F.col("_n"), F.lit(1)) <= near_constant_ratio)
+        "feature", "dtype", (F.col("_gaps") / F.col("_n")).alias("missing_rate"), "nunique",
+        ((F.col("nunique") / F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1)) <= near_constant_ratio)
          | (F.col("nunique") <= 1)).alias("near_constant"),
-        (F.col("missing_rate") > high_missing).alias("high_missing"),
+        F.coalesce(F.col("_gaps") / F.col("_n") > high_missing, F.lit(False)).alias("high_missing"),
     )
 
 
@@ -151,14 +156,8 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], id_col: str) -> Dat
 
 
 # ------------------------------------------------------------------ F20 / F21
-def medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """one-row frame of per-column medians (linear interpolation).
-
-    exact: melt + cumulative value counts (distributed; see ``exact_quantiles``);
-    otherwise one ``percentile_approx`` pass.
-    """
-    if not exact:
-        return df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in columns])
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """one-row frame of exact per-column medians (linear interpolation; see ``exact_quantiles``)."""
     q = quantiles_long(df, columns, [0.5])
     return q.groupBy().pivot("feature", list(columns)).agg(F.first("q"))
 
@@ -169,11 +168,10 @@ def quantiles_long(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     return exact_quantiles(long, "value", probs, ["feature"])
 
 
-def fill_medians(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None,
-                 exact: bool = True) -> DataFrame:
+def fill_medians(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
     """Median imputation; the one-row statistics frame is broadcast."""
     fit_df = df if fit_df is None else fit_df
-    m = medians(fit_df, columns, exact)
+    m = medians(fit_df, columns)
     m = m.select(*[F.col(c).alias(f"_med_{c}") for c in columns]).withColumn("_j", F.lit(0))
     out = df.withColumn("_j", F.lit(0)).join(F.broadcast(m), "_j")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
@@ -271,30 +269,15 @@ def mutual_information(long_df: DataFrame, x: str, y: str, group: Sequence[str]
 
 def spearman_with_label(long_df: DataFrame, value: str, label: str, group: Sequence[str] = (),
                         buckets: int | None = None) -> DataFrame:
-    """|Spearman rho| of value vs label on pairwise-complete rows.
+    """|Spearman rho| of value vs 0/1 label on pairwise-complete rows.
 
-    Pearson correlation of the tie-averaged ranks of both sides, computed from
-    (group, value, label) counts: the label's ranks come from its own value
-    counts, and every sum is a grouped aggregation.
+    One table of (group, value) counts with running sums; the label has two ranks,
+    which follow from the class sizes, so every sum is a grouped aggregation.
     """
     d = long_df.where(F.col(value).isNotNull() & F.col(label).isNotNull())
-    rx = cumulative_counts(d, value, group, buckets=buckets) \
-        .select(*group, value, (F.col("cum") - (F.col("cnt") - 1) / 2.0).alias("rx"))
-    ry = cumulative_counts(d, label, group, buckets=buckets) \
-        .select(*group, label, (F.col("cum") - (F.col("cnt") - 1) / 2.0).alias("ry"))
-    cell = d.groupBy(*group, value, label).agg(F.count(F.lit(1)).alias("c"))
-    j = cell.join(rx, [*group, value]).join(ry, [*group, label])
-    c = F.col("c")
-    s = j.groupBy(*group).agg(F.sum(c).alias("n"), F.sum(c * F.col("rx")).alias("sx"),
-                              F.sum(c * F.col("ry")).alias("sy"), F.sum(c * F.col("rx") * F.col("rx")).alias("sxx"),
-                              F.sum(c * F.col("ry") * F.col("ry")).alias("syy"),
-                              F.sum(c * F.col("rx") * F.col("ry")).alias("sxy"))
-    n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    rho = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    return s.select(*group, F.abs(rho).alias("spearman_abs"))
+    t = cumulative_counts(d, value, group, extra=[F.sum(F.col(label).cast("long")).alias("pos")], buckets=buckets, also=["pos"])
+    t = t.select(*group, F.col("cnt").alias("w"), "pos", F.col("cum").alias("cum_w"), F.col("n").alias("n_w"), "n_pos")
+    return spearman_of_counts(t, group)
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

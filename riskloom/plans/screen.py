@@ -6,9 +6,9 @@ Stage 1 (univariate filters): out-of-fold single-feature AUC, mutual
 information and |Spearman| for every feature at once, then the pass rule.
 
 The reference loops over features (one model-free fit per column); here the
-frame is melted once to (id, fold, feature, value, y) and every metric is a
-grouped aggregation keyed by feature, so the cost is a handful of shuffles
-regardless of the number of features.
+frame is read once into a count table per (feature, value) and fold
+(``operators.counts``), and medians, ranks, AUC, mutual information and
+Spearman are grouped sums over its distinct values.
 """
 
 from __future__ import annotations
@@ -17,14 +17,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ranks import cumulative_counts, exact_quantiles
-from ..operators.encode import MISSING, melt
+from ..operators import counts as C
 from ..operators.folds import stratified_folds
-from ..operators.stats import auc_by_group, column_audit, duplicate_columns, mutual_information, pass_rule, \
-    spearman_with_label
+from ..operators.stats import column_audit, duplicate_columns, pass_rule
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -65,115 +63,64 @@ def _types(df: DataFrame, features: Sequence[str]) -> dict[str, str]:
     return {c: ("cat" if t[c] == "string" else "num") for c in features}
 
 
-def oof_numeric_scores(long: DataFrame, fold: str = "fold", k: int = 5) -> DataFrame:
-    """J3 numeric path: per (feature, fold) fill missing with the median of the OTHER
-    folds, then score = in-fold average rank / fold size.
+@dataclass(frozen=True)
+class Counts:
+    """The shared counts of stage 1: ``values`` by rank and ``gaps`` (one row per feature)."""
+    values: DataFrame
+    gaps: DataFrame
+    types: dict[str, str]
+    k: int
 
-    The complement medians come from one exact-quantile job over rows replicated
-    to the k - 1 folds they train (linear, no per-fold loop).
-    """
-    comp = long.select("feature", "value", F.explode(
-        F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col(fold))).alias("_vf"))
-    med = exact_quantiles(comp, "value", [0.5], ["feature", "_vf"]).select(
-        "feature", F.col("_vf").alias(fold), F.col("q").alias("_med"))
-    filled = long.join(F.broadcast(med), ["feature", fold], "left") \
-        .withColumn("value", F.coalesce(F.col("value"), F.col("_med"))).drop("_med")
-    ranks = cumulative_counts(filled, "value", ["feature", fold]).select(
-        "feature", fold, "value", ((F.col("cum") - (F.col("cnt") - 1) / 2.0) / F.col("n")).alias("score"))
-    return filled.join(ranks, ["feature", fold, "value"], "left")
-
-
-def oof_categorical_scores(long: DataFrame, fold: str = "fold") -> DataFrame:
-    """J3 categorical path (C7): frequency of the value among the other folds' rows."""
-    d = long.withColumn("_v", F.coalesce(F.col("value"), F.lit(MISSING)))
-    per = d.groupBy("feature", fold, "_v").agg(F.count(F.lit(1)).alias("_cf"))
-    tot = per.groupBy("feature", "_v").agg(F.sum("_cf").alias("_cv"))
-    nf = d.groupBy("feature", fold).agg(F.count(F.lit(1)).alias("_nf"))
-    nall = nf.groupBy("feature").agg(F.sum("_nf").alias("_n"))
-    enc = (per.join(tot, ["feature", "_v"]).join(nf, ["feature", fold]).join(nall, "feature")
-              .select("feature", fold, "_v",
-                      ((F.col("_cv") - F.col("_cf")) / F.greatest(F.col("_n") - F.col("_nf"), F.lit(1)))
-                      .alias("score")))
-    return d.join(enc, ["feature", fold, "_v"], "left").withColumn(
-        "score", F.coalesce(F.col("score"), F.lit(0.0))).drop("_v")
 
+def screen_counts(rows: DataFrame, features: Sequence[str], cfg: ScreenConfig = ScreenConfig(),
+                  folds: DataFrame | None = None) -> Counts:
+    """One scan of ``rows`` (train and test; test rows have no target) into the count table of all features.
 
-def oof_single_feature_auc(train: DataFrame, features: Sequence[str], cfg: ScreenConfig = ScreenConfig(),
-                           folds: DataFrame | None = None) -> DataFrame:
-    """(feature, auc_single) with direction-robust max(auc, 1 - auc)."""
+    The folds of the train rows come from ``folds`` or are dealt here, from id and target alone.
+    """
     fo = folds if folds is not None else stratified_folds(
-        train.select(cfg.id_col, cfg.target_col), cfg.id_col, cfg.target_col, cfg.n_splits, cfg.seed)
-    base = train.join(fo.select(cfg.id_col, "fold"), cfg.id_col)
-    types = _types(train, features)
-    num = [c for c in features if types[c] == "num"]
-    cat = [c for c in features if types[c] == "cat"]
-    ids = [cfg.id_col, cfg.target_col, "fold"]
-    parts = []
-    if num:
-        ln = melt(base.select(*ids, *[F.col(c).cast("double").alias(c) for c in num]), ids, num)
-        parts.append(oof_numeric_scores(ln, "fold", cfg.n_splits).select("feature", "score", cfg.target_col))
-    if cat:
-        lc = melt(base.select(*ids, *[F.col(c).cast("string").alias(c) for c in cat]), ids, cat)
-        parts.append(oof_categorical_scores(lc, "fold").select("feature", "score", cfg.target_col))
-    sc = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    a = auc_by_group(sc, "score", cfg.target_col, ["feature"])
+        rows.where(F.col(cfg.target_col).isNotNull()).select(cfg.id_col, cfg.target_col),
+        cfg.id_col, cfg.target_col, cfg.n_splits, cfg.seed)
+    types = _types(rows, features)
+    base = rows.join(fo.select(cfg.id_col, F.col("fold").alias("_fold")), cfg.id_col, "left")
+    table = C.count_table(base, [c for c in features if types[c] == "num"], [c for c in features if types[c] == "cat"],
+                          cfg.target_col, "_fold", cfg.n_splits)
+    return Counts(C.ranked(table, cfg.n_splits), cut_lineage(C.missing_counts(table, cfg.n_splits)), types, cfg.n_splits)
+
+
+def single_feature_auc(counts: Counts) -> DataFrame:
+    """(feature, auc_single), direction-robust max(auc, 1 - auc)."""
+    kinds, parts = set(counts.types.values()), []
+    if "num" in kinds:
+        parts.append(C.oof_rank_scores(counts.values.where(F.col("num").isNotNull()), counts.gaps, counts.k))
+    if "cat" in kinds:
+        parts.append(C.oof_frequency_scores(counts.values.where(F.col("cat").isNotNull()), counts.k))
+    a = C.auc_of_counts(parts[0] if len(parts) == 1 else parts[0].union(parts[1]))
     return a.select("feature", F.greatest(F.col("auc"), F.lit(1.0) - F.col("auc")).alias("auc_single"))
 
 
-def encoded_long(train: DataFrame, test: DataFrame, features: Sequence[str], cfg: ScreenConfig) -> DataFrame:
-    """Train rows melted to (id, y, feature, value double): numeric as is, categorical as
-    sorted-category codes over train+test (C1, missing -> '__MISSING__')."""
-    types = _types(train, features)
-    cat = [c for c in features if types[c] == "cat"]
-    num = [c for c in features if types[c] == "num"]
-    ids = [cfg.id_col, cfg.target_col]
-    out = []
-    if num:
-        out.append(melt(train.select(*ids, *[F.col(c).cast("double").alias(c) for c in num]), ids, num))
-    if cat:
-        both = train.select(*cat).unionByName(test.select(*cat))
-        lb = melt(both.select(*[F.coalesce(F.col(c), F.lit(MISSING)).alias(c) for c in cat]), [], cat, "feature", "v")
-        # code = number of distinct categories sorted before it (per feature)
-        d = lb.distinct()
-        # dictionary = distinct categories per feature (encoder output size)
-        dic = d.select("feature", "v", (F.dense_rank().over(W.partitionBy("feature").orderBy("v")) - 1)
-                       .cast("double").alias("value"))
-        lt = melt(train.select(*ids, *[F.coalesce(F.col(c), F.lit(MISSING)).alias(c) for c in cat]), ids, cat,
-                  "feature", "v")
-        out.append(lt.join(dic, ["feature", "v"], "left").drop("v"))
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
-
-
-def binned_mutual_information(enc: DataFrame, cfg: ScreenConfig, cat_features: Sequence[str]) -> DataFrame:
-    """J4 for categorical codes; J5 (re-aimed) for numeric: median-filled values cut at
-    exact deciles, then the exact contingency MI."""
-    med = exact_quantiles(enc, "value", [0.5], ["feature"]).select("feature", F.col("q").alias("_med"))
-    probs = [i / cfg.mi_bins for i in range(1, cfg.mi_bins)]
-    edges = exact_quantiles(enc, "value", probs, ["feature"]).groupBy("feature") \
-        .agg(F.array_sort(F.collect_list("q")).alias("_e"))
-    d = enc.join(F.broadcast(med), "feature", "left").join(F.broadcast(edges), "feature", "left")
-    v = F.coalesce(F.col("value"), F.col("_med"))
-    is_cat = F.col("feature").isin(*cat_features) if cat_features else F.lit(False)
-    x = F.when(is_cat, v).otherwise(F.size(F.filter("_e", lambda e: e < v)).cast("double"))
-    return mutual_information(d.select("feature", x.alias("x"), cfg.target_col), "x", cfg.target_col, ["feature"])
+def oof_single_feature_auc(train: DataFrame, features: Sequence[str], cfg: ScreenConfig = ScreenConfig(),
+                           folds: DataFrame | None = None) -> DataFrame:
+    """J3 of the train rows."""
+    return single_feature_auc(screen_counts(train, features, cfg, folds))
+
+
+def stage1_metrics(rows: DataFrame, features: Sequence[str], cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
+    """Q12 over train and test rows in one frame: a metrics row per feature + pass_stage1, all from one count table."""
+    counts = screen_counts(rows, features, cfg)
+    tdf = rows.sparkSession.createDataFrame([(c, counts.types[c]) for c in features], "feature string, type string")
+    # every frame below has one row per feature
+    m = (tdf.join(counts.gaps.select("feature", "missing_rate"), "feature", "left")
+            .join(single_feature_auc(counts), "feature", "left")
+            .join(C.binned_information(counts.values, counts.gaps, cfg.mi_bins), "feature", "left")
+            .join(C.spearman_of_counts(counts.values), "feature", "left"))
+    return pass_rule(m, cfg.auc_thr, cfg.mi_quantile, cfg.rho_thr)
 
 
 def stage1(train: DataFrame, test: DataFrame, cfg: ScreenConfig = ScreenConfig()) -> DataFrame:
-    """Q12: one metrics row per feature + pass_stage1."""
+    """Q12 of separate train and test frames."""
     features = [c for c in train.columns if c not in (cfg.target_col, cfg.id_col, "split")]
-    types = _types(train, features)
-    cat = [c for c in features if types[c] == "cat"]
-    enc = encoded_long(train, test, features, cfg)
-    auc = oof_single_feature_auc(train, features, cfg)
-    mi = binned_mutual_information(enc, cfg, cat)
-    rho = spearman_with_label(enc, "value", cfg.target_col, ["feature"])
-    both = train.drop(cfg.target_col).unionByName(test, allowMissingColumns=True)
-    miss = melt(both.select(*[F.col(c).isNull().cast("double").alias(c) for c in features]), [], features) \
-        .groupBy("feature").agg(F.avg("value").alias("missing_rate"))
-    tdf = train.sparkSession.createDataFrame([(c, types[c]) for c in features], "feature string, type string")
-    m = (tdf.join(miss, "feature", "left").join(auc, "feature", "left").join(mi, "feature", "left")
-            .join(rho, "feature", "left"))
-    return pass_rule(m, cfg.auc_thr, cfg.mi_quantile, cfg.rho_thr)
+    return stage1_metrics(train.unionByName(test, allowMissingColumns=True), features, cfg)
 
 
 def run(train: DataFrame, test: DataFrame, cfg: ScreenConfig = ScreenConfig()):

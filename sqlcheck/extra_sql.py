@@ -8,7 +8,7 @@ from .blocks_sql import assembly_sql, prev_block_sql
 from .encode_sql import financial_sql
 from .fixtures_sql import APPLICATION, PREDS, with_fixtures
 from .specsql import canon
-from .stats_sql import NUM_COLS
+from .stats_sql import NUM_COLS, dtype
 
 MISSING = "'__MISSING__'"
 
@@ -141,7 +141,7 @@ def spearman_matrix_sql() -> str:
     return canon(body, ["col_a", "col_b", "corr"], set(), strings={"col_a", "col_b"})
 
 
-def stage0_sql() -> str:
+def stage0_body() -> str:
     """Q11: audit over train (without TARGET) + test, plus the duplicate-column flag."""
     from .application_sql import APP_COLS, INT_APP
     cols = ["SK_ID_CURR"] + APP_COLS
@@ -151,11 +151,11 @@ def stage0_sql() -> str:
     mism = ", ".join(f"count(*) FILTER (WHERE {c} IS DISTINCT FROM {p}) AS m{i}" for i, (c, p) in enumerate(pairs))
     pv = ", ".join(f"({i}, '{c}', '{p}')" for i, (c, p) in enumerate(pairs))
     stats = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, avg(({c} IS NULL)::INTEGER) AS missing_rate, count(DISTINCT {c}) AS nunique, "
+        f"SELECT '{c}' AS feature, '{dtype(c)}' AS dtype, avg(({c} IS NULL)::INTEGER) AS missing_rate, count(DISTINCT {c}) AS nunique, "
         f"count(*) AS n FROM b" for c in cols)
-    body = with_fixtures("app", extra={
+    return with_fixtures("app", extra={
         "b": "SELECT * EXCLUDE (split, TARGET) FROM app",
-        "st": f"SELECT feature, missing_rate, nunique, (nunique::DOUBLE / greatest(n, 1) <= 1e-8 OR nunique <= 1) "
+        "st": f"SELECT feature, dtype, missing_rate, nunique, (nunique::DOUBLE / greatest(n, 1) <= 1e-8 OR nunique <= 1) "
               f"AS near_constant, (missing_rate > 0.98) AS high_missing FROM ({stats})",
         "mm": f"SELECT {mism} FROM b",
         "pm": f"SELECT * FROM (VALUES {pv}) t(i, col, prev)",
@@ -164,11 +164,20 @@ def stage0_sql() -> str:
         "dup": "SELECT DISTINCT eq.col FROM eq JOIN st a ON a.feature = eq.col JOIN st p ON p.feature = eq.prev "
                "WHERE NOT (a.near_constant OR a.high_missing) AND NOT (p.near_constant OR p.high_missing)",
     }) + ("SELECT st.*, (dup.col IS NOT NULL) AS duplicate FROM st LEFT JOIN dup ON st.feature = dup.col")
-    return canon(body, ["feature", "missing_rate", "nunique", "near_constant", "high_missing", "duplicate"],
-                 {"nunique", "near_constant", "high_missing", "duplicate"}, strings={"feature"})
 
 
-def stage1_sql() -> str:
+def stage0_sql() -> str:
+    return canon(stage0_body(), ["feature", "dtype", "missing_rate", "nunique", "near_constant", "high_missing", "duplicate"],
+                 {"nunique", "near_constant", "high_missing", "duplicate"}, strings={"feature", "dtype"})
+
+
+def screening_run_sql() -> str:
+    """Q13: the metrics of the passing features, where stage 1 has seen the columns that stage 0 keeps only."""
+    return stage1_sql(f"SELECT feature FROM ({stage0_body()}) WHERE NOT (near_constant OR high_missing OR duplicate)",
+                      "WHERE pass_stage1 = 1")
+
+
+def stage1_sql(kept: str | None = None, where: str = "") -> str:
     """Q12: per feature missing rate, OOF single-feature AUC, binned MI, |Spearman|, pass flag."""
     from .application_sql import APP_COLS
     num = [c for c in APP_COLS if c not in LABELS]
@@ -230,12 +239,12 @@ def stage1_sql() -> str:
             f"types AS (SELECT * FROM (VALUES {', '.join(f"('{c}', '{'cat' if c in cats else 'num'}')" for c in APP_COLS)}) t(feature, type)), "
             f"m AS (SELECT types.feature, types.type, miss.missing_rate, auc.auc_single, mi.mi, rho.spearman_abs FROM types "
             f"  LEFT JOIN miss USING (feature) LEFT JOIN auc USING (feature) LEFT JOIN mi USING (feature) "
-            f"  LEFT JOIN rho USING (feature)), "
+            f"  LEFT JOIN rho USING (feature){f' WHERE types.feature IN ({kept})' if kept else ''}), "
             f"thr AS (SELECT quantile_cont(mi, 0.6) AS t FROM m) "
             f"SELECT m.*, (coalesce(auc_single >= 0.51, false) OR coalesce(mi >= thr.t, false) "
             f"  OR coalesce(spearman_abs >= 0.05, false))::INTEGER AS pass_stage1 FROM m, thr")
     return canon(body, ["feature", "type", "missing_rate", "auc_single", "mi", "spearman_abs", "pass_stage1"],
-                 {"pass_stage1"}, strings={"feature", "type"})
+                 {"pass_stage1"}, strings={"feature", "type"}) + f" {where}"
 
 
 def onehot_sparse_sql() -> str:

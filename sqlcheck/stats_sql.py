@@ -80,17 +80,23 @@ def missing_table_sql(inner: str, cols: list[str]) -> str:
     return canon(body, ["feature", "missing_count", "missing_pct"], {"missing_count"}, strings={"feature"})
 
 
+def dtype(c: str) -> str:
+    """The engine's name of a column's type."""
+    from .application_sql import INT_APP
+    return "string" if c in LABELS or c == "split" else "bigint" if c == "SK_ID_CURR" else "int" if c in INT_APP or c == "TARGET" else "double"
+
+
 def audit_sql() -> str:
     cols = ["split", "TARGET"] + APP_COLS
     parts = []
     for c in cols:
-        parts.append(f"SELECT '{c}' AS feature, avg(({c} IS NULL)::INTEGER) AS missing_rate, "
+        parts.append(f"SELECT '{c}' AS feature, '{dtype(c)}' AS dtype, avg(({c} IS NULL)::INTEGER) AS missing_rate, "
                      f"count(DISTINCT {c}) AS nunique, count(*) AS n FROM app")
     body = with_fixtures("app") + " UNION ALL ".join(parts)
-    body = (f"SELECT feature, missing_rate, nunique, (nunique::DOUBLE / greatest(n, 1) <= 1e-8 OR nunique <= 1) "
+    body = (f"SELECT feature, dtype, missing_rate, nunique, (nunique::DOUBLE / greatest(n, 1) <= 1e-8 OR nunique <= 1) "
             f"AS near_constant, (missing_rate > 0.98) AS high_missing FROM ({body})")
-    return canon(body, ["feature", "missing_rate", "nunique", "near_constant", "high_missing"],
-                 {"nunique", "near_constant", "high_missing"}, strings={"feature"})
+    return canon(body, ["feature", "dtype", "missing_rate", "nunique", "near_constant", "high_missing"],
+                 {"nunique", "near_constant", "high_missing"}, strings={"feature", "dtype"})
 
 
 def pearson_sql(cols: list[str]) -> str:
