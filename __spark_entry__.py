@@ -282,16 +282,16 @@ def q_equal_width(spark, d):
     return equal_width_bin(app, "AMT_INCOME_TOTAL", 10).drop("AMT_INCOME_TOTAL")
 
 
-WOE_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "DAYS_BIRTH"]
+def _woe_model(spark, d):
+    """C9 + C11 over every column of the application table."""
+    from riskloom.operators.encode import fit_woe
+    from riskloom.operators.stats import numeric_columns
+    app = FX.application(spark, d)
+    return app, fit_woe(app, numeric_columns(app, exclude=("SK_ID_CURR", "TARGET")), APP_LABELS)
 
 
 def q_woe(spark, d):
-    from riskloom.operators.encode import melt, safe_qcut, woe_table
-    train, _ = _app_split(spark, d)
-    b = safe_qcut(train.select("SK_ID_CURR", "TARGET", *WOE_COLS), WOE_COLS, min_bin=200)
-    bins = [f"{c}_BIN" for c in WOE_COLS]
-    long = melt(b.select("SK_ID_CURR", "TARGET", *bins), ["SK_ID_CURR", "TARGET"], bins, "feature", "bin")
-    return woe_table(long)
+    return _woe_model(spark, d)[1].table
 
 
 def q_rebuilt_term(spark, d):
@@ -377,13 +377,19 @@ def q_grid_logistic(spark, d):
 
 
 def q_onehot_sparse(spark, d):
-    """Sparse one-hot of the categorical application columns + numeric, as a vector column."""
+    """Sparse one-hot of the categorical application columns behind the numeric ones: the vector's width, the
+    slots that are set and the sum of its numbers."""
     from pyspark.ml.functions import vector_to_array
     from riskloom.operators.encode import onehot_sparse
-    app = FX.application(spark, d)
-    _, out = onehot_sparse(app, APP_LABELS, ["AMT_CREDIT", "EXT_SOURCE_2"])
-    return out.select("SK_ID_CURR", F.size(vector_to_array("features")).alias("width"),
-                      F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("total"))
+    from riskloom.operators.stats import fill_medians, numeric_columns
+    app = FX.application(spark, d).drop("TARGET", "split")
+    nums = numeric_columns(app, exclude=("SK_ID_CURR",))
+    _, out = onehot_sparse(fill_medians(app, nums), APP_LABELS, nums)
+    x = vector_to_array("features")
+    hot = F.filter(F.sequence(F.lit(len(nums)), F.size("x") - 1), lambda i: F.col("x")[i] != 0)
+    numbers = F.aggregate(F.slice("x", 1, len(nums)), F.lit(0.0), lambda a, v: a + v)
+    return out.select("SK_ID_CURR", x.alias("x")).select(
+        "SK_ID_CURR", F.size("x").alias("width"), F.array_join(hot.cast("array<string>"), ",").alias("slots"), numbers.alias("total"))
 
 
 def q_label_sorted(spark, d):
@@ -512,15 +518,19 @@ def _meta_boosted(spark, d):
     return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=20), test=test)
 
 
-def q_meta_boosted(spark, d):
-    """Boosted-tree meta-learner on clipped predictions plus their logits: out-of-fold scores of
-    the train customers and fold-averaged scores (F23) of the test customers."""
-    r = _meta_boosted(spark, d)
+def _oof_and_test(r):
+    """Out-of-fold scores of the train customers, then the test customers' (no fold, no target)."""
     none = F.lit(None)
     return r.oof.select("SK_ID_CURR", "fold", "TARGET", F.col("oof_pred").alias("pred")).union(
         r.test.select("SK_ID_CURR", none.cast("int"), none.cast("double"), "pred"))
 
 
+def q_meta_boosted(spark, d):
+    """Boosted-tree meta-learner on clipped predictions plus their logits: out-of-fold scores of
+    the train customers and fold-averaged scores (F23) of the test customers."""
+    return _oof_and_test(_meta_boosted(spark, d))
+
+
 def q_meta_gain(spark, d):
     """Importance table of the boosted meta-learner, averaged over folds."""
     return _meta_boosted(spark, d).importance
@@ -540,39 +550,29 @@ def q_prediction_files(spark, d):
     return read_predictions(spark, f"{base}/submission_*.csv/*.csv", model_regex=r"submission_([^/]+)\.csv/")
 
 
-def _woe_fit(spark, d):
-    from riskloom.operators.encode import melt, safe_qcut, safe_qcut_edges, woe_table
-    app = FX.application(spark, d).select("SK_ID_CURR", "split", "TARGET", *WOE_COLS)
-    train = app.where(F.col("split") == "train")
-    edges = safe_qcut_edges(train, WOE_COLS, min_bin=200)
-    bins = [f"{c}_BIN" for c in WOE_COLS]
-    b_all = safe_qcut(app, WOE_COLS, edges=edges)
-    long = melt(b_all.where(F.col("split") == "train").select("SK_ID_CURR", "TARGET", *bins),
-                ["SK_ID_CURR", "TARGET"], bins, "feature", "bin")
-    return b_all, bins, woe_table(long)
-
-
 def q_woe_transform(spark, d):
-    """WOE values for train and test rows (test binned with train edges, unseen bins -> 0)."""
+    """WOE values of all columns for train and test rows (unseen bins -> 0)."""
     from riskloom.operators.encode import woe_transform
-    b_all, bins, woe = _woe_fit(spark, d)
-    out = woe_transform(b_all.select("SK_ID_CURR", "split", *bins), bins, woe)
-    return out.select("SK_ID_CURR", "split", *[f"{b}_WOE" for b in bins])
+    app, model = _woe_model(spark, d)
+    out = woe_transform(app, model)
+    return out.select("SK_ID_CURR", "split", *[c for c in out.columns if c.endswith("_BIN_WOE")])
 
 
 def q_logistic_woe(spark, d):
-    """L2 logistic regression on the WOE-encoded bins (scaled), out-of-fold."""
+    """L2 logistic regression on the standardised WOE of all columns: out-of-fold scores, and fold-averaged
+    scores of the test customers."""
     from riskloom.operators.encode import woe_transform
     from riskloom.operators.folds import stratified_folds
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import cross_validate, logistic_l2
-    b_all, bins, woe = _woe_fit(spark, d)
-    w = woe_transform(b_all.select("SK_ID_CURR", "split", "TARGET", *bins), bins, woe)
-    feats = [f"{b}_WOE" for b in bins]
-    tr = w.where(F.col("split") == "train")
-    tr = standardize(tr, feats).join(stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"),
-                                     "SK_ID_CURR")
-    return cross_validate(tr, feats, logistic_l2(C=1.0)).oof
+    app, model = _woe_model(spark, d)
+    w = woe_transform(app, model)
+    feats = [c for c in w.columns if c.endswith("_BIN_WOE")]
+    w = standardize(w.select("SK_ID_CURR", "split", "TARGET", *feats), feats)
+    tr = w.where(F.col("split") == "train").join(
+        stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
+    r = cross_validate(tr, feats, logistic_l2(C=1.0), test=w.where(F.col("split") == "test"))
+    return _oof_and_test(r)
 
 
 def q_rf_importance(spark, d):
@@ -939,7 +939,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "q39_financial_rate": EN.financial_sql(),
         "q40_rank_quantile_bin": EN.rank_qbin_sql(),
         "q41_equal_width_bin": EN.equal_width_sql(),
-        "q42_safe_qcut_woe": EN.safe_qcut_woe_sql(WOE_COLS, min_bin=200),
+        "q42_safe_qcut_woe": EN.safe_qcut_woe_sql(S.NUM_COLS, APP_LABELS),
         "q48_auc_weighted_rank_blend": BL.auc_weighted_blend_sql(),
         "q51_label_encode_sorted": X2.label_sorted_sql(),
         "q52_label_map_train_only": X2.label_train_sql(),
@@ -958,7 +958,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "q50_onehot_sparse": X2.onehot_sparse_sql(),
         "q72_region_features": X2.region_sql(),
         "q75_value_counts": X2.value_counts_sql(),
-        "q66_woe_transform": EN.woe_transform_sql(WOE_COLS, min_bin=200),
+        "q66_woe_transform": EN.woe_transform_sql(S.NUM_COLS, APP_LABELS),
         "q69_spearman_matrix": X2.spearman_matrix_sql(),
         "q70_blend_runner": BL.blend_sql("rank_mean"),
         "q76_median_fill_all": PR.median_sql("TRUE"),

@@ -68,8 +68,8 @@ def count_table(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 
 def ranked(table: DataFrame, k: int = 1, buckets: int | None = None) -> DataFrame:
     """The present values of a count table with ``code`` (from 0) and running sums ``cum_*`` / totals ``n_*`` of
-    w, pos and every w{f}; checkpointed."""
-    sums = ["w", "pos", *[f"w{i}" for i in range(k)]]
+    rows, w, pos and every w{f}; checkpointed."""
+    sums = ["rows", "w", "pos", *[f"w{i}" for i in range(k)]]
     rows = (table.where(F.col("num").isNotNull() | F.col("cat").isNotNull())
             .select("feature", "num", "cat", F.lit(1).alias("cnt"), "rows", "w", "pos", *[f"{x}{i}" for i in range(k) for x in "wp"]))
     out = _positions(rows, ["feature"], ["num", "cat"], buckets, sums)

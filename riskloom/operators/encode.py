@@ -13,14 +13,19 @@ broadcast explicitly.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ranks import with_row_number
+from ..functions.ranks import _positions, with_row_number
+from ..session import cut_lineage
+from . import counts as C
+from .counts import MISSING
 
-MISSING = "__MISSING__"
+CATEGORY_GAP = "__CAT_NA__"  #: bin of missing categories
+MOST_DUMMIES = 10_000        #: dense one-hot columns; more are an error, ``onehot_sparse`` has no limit
+MOST_LITERALS = 1_000        #: categories of a column whose codes are written into the plan; more are joined
 
 
 def _train(df: DataFrame, split_col: str | None, value: str = "train") -> DataFrame:
@@ -29,14 +34,8 @@ def _train(df: DataFrame, split_col: str | None, value: str = "train") -> DataFr
 
 # ------------------------------------------------------------------ C1/C2/C3
 def label_dictionaries(df: DataFrame, columns: Sequence[str], fill: str = MISSING) -> DataFrame:
-    """C1 for many columns at once: long (feature, v, code), one melt + one distinct.
-
-    The window runs per feature over its distinct categories (the encoder's own size).
-    """
-    long = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias(c) for c in columns]) \
-        .unpivot([], list(columns), "feature", "v").distinct()
-    return long.select("feature", "v", (F.dense_rank().over(W.partitionBy("feature").orderBy("v")) - 1)
-                       .cast("int").alias("code"))
+    """C1 for many columns at once: long (feature, v, code), one melt + one distinct, numbered in ranges."""
+    return C.sorted_codes(df, columns, fill)
 
 
 def _apply_dictionary(df: DataFrame, columns: Sequence[str], dic: DataFrame, key_of, default=None) -> DataFrame:
@@ -69,13 +68,14 @@ def label_encode(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None
 def binary_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """C2 selection: string columns with <= 2 distinct values, missing counted as a value.
 
-    One aggregation over all columns (exact distinct counts), one row collected.
+    Distinct (column, value) pairs, then one count per column.
     """
     if not columns:
         return []
-    aggs = [F.countDistinct(F.coalesce(F.col(c), F.lit(MISSING))).alias(c) for c in columns]
-    row = df.agg(*aggs).first()
-    return [c for c in columns if row[c] <= 2]
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("v")) for c in columns])
+    sizes = df.select(F.explode(cells).alias("x")).select("x.*").distinct().groupBy("feature").count()
+    found = {r["feature"]: r["count"] for r in sizes.collect()}  # one row per column
+    return [c for c in columns if found.get(c, 0) <= 2]
 
 
 # ------------------------------------------------------------------ C4 / B31
@@ -115,8 +115,8 @@ def target_order_dictionaries(df: DataFrame, columns: Sequence[str], target: str
     long = df.select(F.col(target), *[F.col(c).cast("string").alias(c) for c in columns]) \
         .unpivot([target], list(columns), "feature", "v").where(F.col("v").isNotNull())
     g = long.groupBy("feature", "v").agg(F.avg(target).alias("_m"))
-    return g.select("feature", "v", (F.row_number().over(W.partitionBy("feature").orderBy("_m", "v")) - 1)
-                    .cast("int").alias("code"))
+    return (_positions(g.withColumn("cnt", F.lit(1)), ["feature"], ["_m", "v"], None)
+            .select("feature", "v", (F.col("cum") - 1).cast("int").alias("code")))
 
 
 def target_order_encode(df: DataFrame, columns: Sequence[str], target: str = "TARGET",
@@ -136,9 +136,9 @@ def onehot_categories(df: DataFrame, columns: Sequence[str], split_col: str | No
                       ) -> dict[str, list[str]]:
     """Categories per column present in every split (get_dummies + inner align).
 
-    One pass: explode (column, value) pairs, distinct with the split; the
-    collected result is one row per category, bounded by the width of the
-    output (each category becomes a column).
+    One pass: explode (column, value) pairs, distinct with the split.  Each
+    category becomes a column of the schema, so more than ``MOST_DUMMIES`` of
+    them are an error; ``onehot_sparse`` takes any number.
     """
     if not columns:
         return {}
@@ -152,7 +152,10 @@ def onehot_categories(df: DataFrame, columns: Sequence[str], split_col: str | No
     else:
         e = e.distinct()
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in e.orderBy("c", "v").collect():
+    found = e.select("c", "v").limit(MOST_DUMMIES + 1).collect()
+    if len(found) > MOST_DUMMIES:
+        raise ValueError(f"onehot: more than {MOST_DUMMIES} categories; use onehot_sparse")
+    for r in sorted(found, key=lambda r: (r["c"], r["v"])):
         out[r["c"]].append(r["v"])
     return out
 
@@ -167,23 +170,80 @@ def onehot(df: DataFrame, columns: Sequence[str], categories: dict[str, list[str
     return df.select(*keep, *dummies)
 
 
+@dataclass(frozen=True)
+class SlotEncoder:
+    """Slots of a sparse vector: the numeric columns first, then the sorted categories of each column.
+
+    ``slots`` (feature, v, slot) is a distributed table; only the number of categories per column is known here.
+    """
+    columns: tuple[str, ...]
+    numeric: tuple[str, ...]
+    slots: DataFrame
+    width: int
+
+    def indices(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_slot_{i}`` for each categorical column, NULL where the category was not seen."""
+        names = {c: f"_slot_{i}" for i, c in enumerate(self.columns)}
+        copies = df.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(n) for c, n in names.items()])
+        dic = self.slots.select(F.col("feature"), "v", F.col("slot").alias("code"))
+        for c, n in names.items():
+            d = dic.where(F.col("feature") == c).select(F.col("v").alias("_v"), F.col("code").alias("_c"))
+            copies = copies.join(d, F.col(n) == F.col("_v"), "left").withColumn(n, F.col("_c")).drop("_v", "_c")
+        return copies
+
+    def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
+        """``df`` with the sparse vector column ``out``; unseen categories set no slot, missing numbers are NaN."""
+        from pyspark.ml.linalg import VectorUDT
+        from pyspark.sql.types import StructField, StructType
+        found = self.indices(df).select(
+            *df.columns, F.array(*[F.col(c).cast("double") for c in self.numeric]).cast("array<double>").alias("_numbers"),
+            F.array(*[F.col(f"_slot_{i}").cast("int") for i in range(len(self.columns))]).cast("array<int>").alias("_slots"))
+        schema = StructType([*df.schema.fields, StructField(out, VectorUDT())])
+        return found.mapInArrow(_sparse_vectors(len(self.numeric), len(self.columns), self.width), schema)
+
+
+def _sparse_vectors(n_numbers: int, n_slots: int, width: int):
+    """Arrow map: the last two columns (numbers, slots) become one sparse vector."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            rows = batch.num_rows
+            numbers = batch.column(batch.num_columns - 2).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows, n_numbers)
+            slots = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows, n_slots)
+            index = np.column_stack([np.tile(np.arange(n_numbers, dtype=float), (rows, 1)), slots])
+            value = np.column_stack([numbers, np.ones((rows, n_slots))])
+            there = ~np.isnan(index)
+            ends = pa.array(np.append(0, np.cumsum(there.sum(axis=1))).astype(np.int32))
+            vector = pa.StructArray.from_arrays(
+                [pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, width, np.int32)),
+                 pa.ListArray.from_arrays(ends, pa.array(index[there].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(value[there]))],
+                names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], vector], names=[f"c{i}" for i in range(batch.num_columns - 1)])
+
+    return run
+
+
+def slot_encoder(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = ()) -> SlotEncoder:
+    """C6 fit: sorted categories of every column numbered in ranges, columns side by side."""
+    codes = cut_lineage(C.sorted_codes(df, columns, MISSING))
+    sizes = {r["feature"]: r["count"] for r in codes.groupBy("feature").count().collect()}  # one row per column
+    first, start = len(numeric), {}
+    for c in columns:
+        start[c] = first
+        first += sizes.get(c, 0)
+    offset = F.create_map(*[F.lit(x) for c in columns for x in (c, start[c])])[F.col("feature")] if columns else F.lit(0)
+    return SlotEncoder(tuple(columns), tuple(numeric), codes.select("feature", "v", (F.col("code") + offset).alias("slot")), first)
+
+
 def onehot_sparse(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (),
-                  out: str = "features"):
-    """StringIndexer + OneHotEncoder(dropLast=False, keep unseen) + VectorAssembler.
+                  out: str = "features") -> tuple[SlotEncoder, DataFrame]:
+    """Sparse one-hot of ``columns`` (missing is a category) behind the numeric columns.
 
-    Returns (fitted PipelineModel, transformed frame).  Feature names are kept in
-    the vector's ML attributes.
+    Categories are counted, numbered and joined in Spark; none reaches the driver.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    idx = [f"_idx_{c}" for c in columns]
-    ohe = [f"_ohe_{c}" for c in columns]
-    stages = [StringIndexer(inputCols=list(columns), outputCols=idx, handleInvalid="keep",
-                            stringOrderType="alphabetAsc"),
-              OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False, handleInvalid="keep"),
-              VectorAssembler(inputCols=ohe + list(numeric), outputCol=out, handleInvalid="keep")]
-    model = Pipeline(stages=stages).fit(df)
-    return model, model.transform(df).drop(*idx, *ohe)
+    encoder = slot_encoder(df, columns, numeric)
+    return encoder, encoder.transform(df, out)
 
 
 # ------------------------------------------------------------------ C7
@@ -232,44 +292,35 @@ def safe_qcut_edges(df: DataFrame, columns: Sequence[str], q_max: int = 10, q_mi
     """Per column, the largest q in [q_min, q_max] whose quantile bins all hold >= min_bin rows
     (q_min itself is accepted as is; a column without two distinct edges gets the ALL bin).
 
-    ONE aggregation computes linear-interpolated quantiles for every q and
-    column; a second computes bin counts for every candidate q.  Returns the
-    chosen (deduplicated) edge list per column, or None (single ALL bin).
+    Returns the chosen (deduplicated) edge list per column, or None (single ALL bin).
+    """
+    return edges_of_counts(C.ranked(C.count_table(df, columns)), columns, q_max, q_min, min_bin)
+
+
+def edges_of_counts(values: DataFrame, columns: Sequence[str], q_max: int = 10, q_min: int = 2,
+                    min_bin: int = 200) -> dict[str, list[float] | None]:
+    """C9 from the ranked counts of all columns: two grouped aggregations over distinct values.
+
+    The first reads every quantile that some q needs, the second the running row count at each of them; a bin holds
+    the difference of two.  One row per column reaches the driver.
     """
-    from .stats import quantiles_long
     qs = list(range(q_max, q_min - 1, -1))
     probs = sorted({i / q for q in qs for i in range(q + 1)})
-    # exact linear quantiles for every probability and column in one distributed plan
-    qt = {(r["feature"], r["p"]): r["q"] for r in quantiles_long(df, columns, probs).collect()}
-    cand: dict[tuple[str, int], list[float]] = {}
-    for c in columns:
-        for q in qs:
-            e = [qt.get((c, i / q)) for i in range(q + 1)]
-            if any(x is None for x in e):
-                continue
-            edges = sorted(set(float(x) for x in e))
-            if len(edges) >= 2:
-                cand[(c, q)] = edges
-    if not cand:
-        return {c: None for c in columns}
-    # bin counts for all candidates in one pass
-    cnt_aggs = []
-    for (c, q), edges in cand.items():
-        b = bin_index(F.col(c).cast("double"), edges)
-        for i in range(len(edges) - 1):
-            cnt_aggs.append(F.count(F.when(b == i, 1)).alias(f"{c}|{q}|{i}"))
-    row2 = df.agg(*cnt_aggs).first()
-    chosen: dict[str, list[float] | None] = {}
-    for c in columns:
-        chosen[c] = None
+    quantiles = C.quantile_columns(probs, own=F.col("rows"), running=F.col("cum_rows"), total=F.col("n_rows"))
+    nums = values.where(F.col("num").isNotNull())
+    edges = cut_lineage(nums.groupBy("feature").agg(F.array(*quantiles).alias("e")))
+    at = [F.max(F.when(F.col("num") <= F.col("e")[j], F.col("cum_rows"))) for j in range(len(probs))]
+    counts = nums.join(F.broadcast(edges), "feature").groupBy("feature").agg(F.array(*at).alias("at"))
+    chosen: dict[str, list[float] | None] = {c: None for c in columns}
+    for r in edges.join(counts, "feature").collect():
+        running = dict(zip(r["e"], r["at"]))
         for q in qs:
-            edges = cand.get((c, q))
-            if edges is None:
+            e = sorted({r["e"][probs.index(i / q)] for i in range(q + 1)})
+            if len(e) < 2:
                 continue
-            counts = [row2[f"{c}|{q}|{i}"] for i in range(len(edges) - 1)]
-            # the smallest q is accepted whatever its bin sizes
-            if min(counts) >= min_bin or q == q_min:
-                chosen[c] = edges
+            held = [running[b] - (running[a] if i else 0) for i, (a, b) in enumerate(zip(e, e[1:]))]
+            if min(held) >= min_bin or q == q_min:  # the smallest q is accepted whatever its bin sizes
+                chosen[r["feature"]] = [float(x) for x in e]
                 break
     return chosen
 
@@ -337,13 +388,16 @@ def woe_table(long_bins: DataFrame, target: str = "TARGET", alpha: float = 0.5)
     """
     per = long_bins.groupBy("feature", "bin").agg(
         F.sum(F.col(target)).alias("pos"), F.count(F.lit(1)).alias("cnt"))
-    tot = long_bins.groupBy("feature").agg(F.sum(F.col(target)).alias("P"), F.count(F.lit(1)).alias("T"))
+    return _woe_of_cells(per, alpha)
+
+
+def _woe_of_cells(cells: DataFrame, alpha: float) -> DataFrame:
+    """(feature, bin, pos, cnt, woe) of (feature, bin, pos, cnt); class totals per feature are one row each."""
+    tot = cells.groupBy(F.col("feature").alias("_f")).agg(F.sum("pos").alias("P"), F.sum("cnt").alias("T"))
     a = F.lit(alpha)
-    neg = F.col("cnt") - F.col("pos")
-    N = F.col("T") - F.col("P")
-    return (per.join(tot, "feature")
-               .select("feature", "bin", "pos", "cnt",
-                       F.log(((neg + a) / (F.col("pos") + a)) / ((N + a) / (F.col("P") + a))).alias("woe")))
+    neg, N = F.col("cnt") - F.col("pos"), F.col("T") - F.col("P")
+    woe = F.log(((neg + a) / (F.col("pos") + a)) / ((N + a) / (F.col("P") + a)))
+    return cells.join(F.broadcast(tot), F.col("feature") == F.col("_f")).select("feature", "bin", "pos", "cnt", woe.alias("woe"))
 
 
 def melt(df: DataFrame, id_cols: Sequence[str], columns: Sequence[str], var: str = "feature",
@@ -354,19 +408,71 @@ def melt(df: DataFrame, id_cols: Sequence[str], columns: Sequence[str], var: str
     return df.unpivot(list(id_cols), list(columns), var, val)
 
 
-def woe_transform(df: DataFrame, bin_cols: Sequence[str], woe: DataFrame, id_col: str = "SK_ID_CURR",
-                  suffix: str = "_WOE") -> DataFrame:
-    """Replace bins by WOE for train+test; unseen bins -> 0 (the global WOE).
+@dataclass(frozen=True)
+class WoeModel:
+    """Edges of the numeric columns and the table (feature, bin, pos, cnt, woe) of the bins that train rows fill."""
+    numeric: tuple[str, ...]
+    categorical: tuple[str, ...]
+    edges: dict[str, list[float] | None]
+    table: DataFrame
 
-    melt -> one join on (feature, bin) -> pivot back with explicit values.
+
+def fit_woe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), target: str = "TARGET", q_max: int = 10,
+            q_min: int = 2, min_bin: int = 200, alpha: float = 0.5, suffix: str = "_BIN") -> WoeModel:
+    """C9 + C11 of all columns from one count table.
+
+    Edges come from all rows of ``df``; WOE from the rows with a target.  A category is a bin, a missing one
+    ``CATEGORY_GAP``; a missing number is the bin NA.
     """
-    long = melt(df.select(id_col, *bin_cols), [id_col], bin_cols, "feature", "bin")
-    j = long.join(woe.select("feature", "bin", "woe"), ["feature", "bin"], "left") \
-        .withColumn("woe", F.coalesce(F.col("woe"), F.lit(0.0)))
-    wide = j.groupBy(id_col).pivot("feature", list(bin_cols)).agg(F.first("woe"))
-    for c in bin_cols:
-        wide = wide.withColumnRenamed(c, f"{c}{suffix}")
-    return df.join(wide, id_col, "left")
+    counts = C.count_table(df, numeric, categorical, target)
+    values = C.ranked(counts)
+    edges = edges_of_counts(values, numeric, q_max, q_min, min_bin)
+    told = df.sparkSession.createDataFrame([(c, edges[c]) for c in numeric], "feature string, e array<double>")  # one row per column
+    upper = F.slice("e", 2, F.size("e") - 2)  # inner edges: a bin is the number of them below the value
+    place = F.size(F.filter(upper, lambda x: x < F.col("num")))
+    label = (F.when(F.col("cat") == MISSING, CATEGORY_GAP).when(F.col("cat").isNotNull(), F.col("cat"))
+             .when(F.col("num").isNull(), "NA").when(F.col("e").isNull(), "ALL").otherwise(F.concat(F.lit("b"), place.cast("string"))))
+    cells = (counts.where("w > 0").join(F.broadcast(told), "feature", "left")
+             .groupBy("feature", label.alias("bin")).agg(F.sum("pos").alias("pos"), F.sum("w").alias("cnt")))
+    return WoeModel(tuple(numeric), tuple(categorical), edges,
+                    cut_lineage(_woe_of_cells(cells, alpha).withColumn("feature", F.concat("feature", F.lit(suffix)))))
+
+
+def woe_transform(df: DataFrame, model: WoeModel, bin_suffix: str = "_BIN", suffix: str = "_WOE") -> DataFrame:
+    """``{column}{bin_suffix}{suffix}`` for train and test rows; bins without train rows -> 0 (the global WOE).
+
+    A projection: at most a dozen numbers per numeric column, and the codes of a category column of up to
+    ``MOST_LITERALS`` categories, are written into the plan.  Larger dictionaries are joined.
+    """
+    of = {c: f"{c}{bin_suffix}" for c in (*model.numeric, *model.categorical)}
+    sizes = {r["feature"]: r["count"] for r in model.table.groupBy("feature").count().collect()}  # one row per column
+    small = [n for n in of.values() if sizes.get(n, 0) <= MOST_LITERALS]
+    told: dict[str, dict[str, float]] = {n: {} for n in small}
+    for r in model.table.where(F.col("feature").isin(small)).collect():
+        told[r["feature"]][r["bin"]] = r["woe"]
+    out, large = [], []
+    for c in model.numeric:
+        woe, e, x = told[of[c]], model.edges[c], F.col(c).cast("double")
+        value = F.when(x.isNull(), F.lit(woe.get("NA", 0.0)))
+        for i, top in enumerate((e or [None, None])[1:-1]):
+            value = value.when(x <= F.lit(top), F.lit(woe.get(f"b{i}", 0.0)))
+        last = woe.get("ALL", 0.0) if e is None else woe.get(f"b{len(e) - 2}", 0.0)
+        out.append(value.otherwise(F.lit(last)).alias(f"{of[c]}{suffix}"))
+    for c in model.categorical:
+        key = F.coalesce(F.col(c).cast("string"), F.lit(CATEGORY_GAP))
+        if of[c] in told:
+            pairs = [F.lit(x) for pair in sorted(told[of[c]].items()) for x in pair]
+            value = F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(0.0)) if pairs else F.lit(0.0)
+            out.append(value.alias(f"{of[c]}{suffix}"))
+        else:
+            large.append(c)
+            out.append(key.alias(f"{of[c]}{suffix}"))
+    res = df.select("*", *out)
+    for c in large:
+        name = f"{of[c]}{suffix}"
+        d = model.table.where(F.col("feature") == of[c]).select(F.col("bin").alias("_v"), F.col("woe").alias("_w"))
+        res = (res.join(d, F.col(name) == F.col("_v"), "left").withColumn(name, F.coalesce("_w", F.lit(0.0))).drop("_v", "_w"))
+    return res
 
 
 def scale_sparse(df: DataFrame, input_col: str = "features", output_col: str = "scaled"):

@@ -40,20 +40,23 @@ def equal_width_sql(col: str = "AMT_INCOME_TOTAL", bins: int = 10) -> str:
     return canon(body, ["SK_ID_CURR", f"{col}_WBIN"], {"SK_ID_CURR", f"{col}_WBIN"})
 
 
-def _woe_ctes(cols: list[str], min_bin: int, q_max: int, q_min: int, where: str) -> dict:
+def _woe_ctes(cols: list[str], cats: list[str], min_bin: int, q_max: int, q_min: int) -> dict:
+    """Bins of every row by edges over all rows, categories as bins, and WOE over the train rows."""
     casts = ", ".join(f"{c}::DOUBLE AS {c}" for c in cols)
     e_parts = []
     for q in range(q_max, q_min - 1, -1):
         probs = ", ".join(f"{i}::DOUBLE / {q}" for i in range(q + 1))
         e_parts.append(f"SELECT feature, {q} AS q, list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS edges "
-                       f"FROM l WHERE value IS NOT NULL AND split = 'train' GROUP BY feature")
+                       f"FROM l WHERE value IS NOT NULL GROUP BY feature")
     bin_expr = ("least(len(list_filter(e.edges[2:], lambda x: x < l.value)), len(e.edges) - 2)")
     return {
-        "l": f"SELECT * FROM (SELECT SK_ID_CURR, split, TARGET, {casts} FROM app WHERE {where}) "
+        "l": f"SELECT * FROM (SELECT SK_ID_CURR, split, TARGET, {casts} FROM app) "
              f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(cols)}))",
+        "lc": f"SELECT * FROM (SELECT SK_ID_CURR, split, TARGET, {', '.join(cats)} FROM app) "
+              f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(cats)}))",
         "e": " UNION ALL ".join(e_parts),
         "bins": "SELECT l.feature, e.q, len(list_filter(e.edges[2:], lambda x: x < l.value)) AS b, count(*) AS c "
-                "FROM l JOIN e ON l.feature = e.feature WHERE l.value IS NOT NULL AND l.split = 'train' "
+                "FROM l JOIN e ON l.feature = e.feature WHERE l.value IS NOT NULL "
                 "AND len(e.edges) >= 2 GROUP BY l.feature, e.q, b",
         "stat": "SELECT feature, q, min(c) AS mn, count(*) AS nb FROM bins GROUP BY feature, q",
         "cand": f"SELECT s.feature, s.q FROM stat s JOIN e ON s.feature = e.feature AND s.q = e.q "
@@ -61,7 +64,8 @@ def _woe_ctes(cols: list[str], min_bin: int, q_max: int, q_min: int, where: str)
         "choice": "SELECT feature, max(q) AS q FROM cand GROUP BY feature",
         "lab": f"SELECT l.SK_ID_CURR, l.split, l.TARGET, l.feature || '_BIN' AS feature, CASE WHEN l.value IS NULL THEN 'NA' "
                f"WHEN ch.q IS NULL THEN 'ALL' ELSE 'b' || {bin_expr} END AS bin "
-               "FROM l LEFT JOIN choice ch ON l.feature = ch.feature LEFT JOIN e ON e.feature = l.feature AND e.q = ch.q",
+               "FROM l LEFT JOIN choice ch ON l.feature = ch.feature LEFT JOIN e ON e.feature = l.feature AND e.q = ch.q "
+               "UNION ALL SELECT SK_ID_CURR, split, TARGET, feature || '_BIN', coalesce(value, '__CAT_NA__') FROM lc",
         "per": "SELECT feature, bin, sum(TARGET) AS pos, count(*) AS cnt FROM lab WHERE split = 'train' GROUP BY feature, bin",
         "tot": "SELECT feature, sum(TARGET) AS P, count(*) AS T FROM lab WHERE split = 'train' GROUP BY feature",
         "woe": "SELECT per.feature, per.bin, per.pos, per.cnt, "
@@ -70,16 +74,17 @@ def _woe_ctes(cols: list[str], min_bin: int, q_max: int, q_min: int, where: str)
     }
 
 
-def woe_transform_sql(cols: list[str], min_bin: int = 200, q_max: int = 10, q_min: int = 2) -> str:
-    """WOE of every train and test row (test binned with train edges; unseen bins -> 0)."""
-    body = with_fixtures("app", extra=_woe_ctes(cols, min_bin, q_max, q_min, "TRUE")) + (
+def woe_transform_sql(cols: list[str], cats: list[str], min_bin: int = 200, q_max: int = 10, q_min: int = 2) -> str:
+    """WOE of every train and test row (unseen bins -> 0)."""
+    names = [*cols, *cats]
+    body = with_fixtures("app", extra=_woe_ctes(cols, cats, min_bin, q_max, q_min)) + (
         "SELECT SK_ID_CURR, split, " + ", ".join(
-            f"max(CASE WHEN lab.feature = '{c}_BIN' THEN coalesce(woe.woe, 0.0) END) AS {c}_BIN_WOE" for c in cols)
+            f"max(CASE WHEN lab.feature = '{c}_BIN' THEN coalesce(woe.woe, 0.0) END) AS {c}_BIN_WOE" for c in names)
         + " FROM lab LEFT JOIN woe ON lab.feature = woe.feature AND lab.bin = woe.bin GROUP BY SK_ID_CURR, split")
-    return canon(body, ["SK_ID_CURR", "split", *[f"{c}_BIN_WOE" for c in cols]], {"SK_ID_CURR"}, strings={"split"})
+    return canon(body, ["SK_ID_CURR", "split", *[f"{c}_BIN_WOE" for c in names]], {"SK_ID_CURR"}, strings={"split"})
 
 
-def safe_qcut_woe_sql(cols: list[str], min_bin: int = 20, q_max: int = 10, q_min: int = 2) -> str:
-    body = with_fixtures("app", extra=_woe_ctes(cols, min_bin, q_max, q_min, "split = 'train'")) + \
+def safe_qcut_woe_sql(cols: list[str], cats: list[str], min_bin: int = 200, q_max: int = 10, q_min: int = 2) -> str:
+    body = with_fixtures("app", extra=_woe_ctes(cols, cats, min_bin, q_max, q_min)) + \
         "SELECT feature, bin, pos, cnt, woe FROM woe"
     return canon(body, ["feature", "bin", "pos", "cnt", "woe"], {"pos", "cnt"}, strings={"feature", "bin"})

@@ -248,13 +248,16 @@ def stage1_sql(kept: str | None = None, where: str = "") -> str:
 
 
 def onehot_sparse_sql() -> str:
-    """width = sum over categorical columns of (categories + the indexer's unknown label
-    + the encoder's kept-invalid slot) + 2 numerics; entries sum to one 1 per categorical
-    column plus the two numeric values."""
-    width = " + ".join(f"(SELECT count(DISTINCT {c}) + 2 FROM app)" for c in LABELS)
-    body = with_fixtures("app") + (f"SELECT SK_ID_CURR, ({width} + 2)::INTEGER AS width, "
-                                   f"{len(LABELS)} + AMT_CREDIT + EXT_SOURCE_2 AS total FROM app")
-    return canon(body, ["SK_ID_CURR", "width", "total"], {"SK_ID_CURR", "width"})
+    """Median-filled numerics, then the sorted categories of each column (missing is one), side by side."""
+    first, slots, extra = str(len(NUM_COLS)), [], {}
+    for i, c in enumerate(LABELS):
+        extra[f"d{i}"] = (f"SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT coalesce({c}, {MISSING}) AS v FROM app)")
+        slots.append(f"({first} + (SELECT code FROM d{i} WHERE v = coalesce(app.{c}, {MISSING})))::BIGINT")
+        first += f" + (SELECT count(*) FROM d{i})"
+    total = " + ".join(f"coalesce({c}, (SELECT median({c}) FROM app))::DOUBLE" for c in NUM_COLS)
+    body = with_fixtures("app", extra=extra) + (
+        f"SELECT SK_ID_CURR, {first} AS width, concat_ws(',', {', '.join(slots)}) AS slots, {total} AS total FROM app")
+    return canon(body, ["SK_ID_CURR", "width", "slots", "total"], {"SK_ID_CURR", "width"}, strings={"slots"})
 
 
 def region_sql() -> str:
