@@ -299,19 +299,20 @@ def q_rebuilt_term(spark, d):
     return rebuilt_term_block(FX.previous_application(spark, d), FX.application(spark, d))
 
 
-def _model_frame(spark, d, engineered=True):
-    """Train rows (application v7 features, or the raw numeric application columns),
-    median-filled with train medians, with stratified folds."""
+def _model_frame(spark, d, test=False):
+    """Train rows of the application v7 features (categories are coded by then), median-filled with train
+    medians, with stratified folds; with ``test`` also the test rows, filled alike."""
     from riskloom.operators.folds import stratified_folds
     from riskloom.operators.stats import fill_medians, numeric_columns
     from riskloom.plans.application import feature_set
-    app = FX.application(spark, d)
-    v7 = feature_set(app, version=7) if engineered else app.drop(*APP_LABELS)
+    v7 = feature_set(FX.application(spark, d), version=7)
     train = v7.where(F.col("split") == "train").drop("split")
     feats = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
-    filled = fill_medians(train, feats)
     folds = stratified_folds(_train_app(spark, d))
-    return filled.join(folds.select("SK_ID_CURR", "fold"), "SK_ID_CURR"), feats
+    df = fill_medians(train, feats).join(folds.select("SK_ID_CURR", "fold"), "SK_ID_CURR")
+    if not test:
+        return df, feats
+    return df, feats, fill_medians(v7.where(F.col("split") == "test").drop("split"), feats, fit_df=train)
 
 
 def q_oof_logistic(spark, d):
@@ -322,10 +323,16 @@ def q_oof_logistic(spark, d):
     return cross_validate(df, feats, logistic_l2(C=1.0)).oof
 
 
+def _boosted(spark, d, rounds, depth=3):
+    from riskloom.operators.boosting import boosted_cross_validate
+    from riskloom.operators.train import boosted_trees
+    df, feats, test = _model_frame(spark, d, test=True)
+    return df, feats, boosted_cross_validate(df, feats, boosted_trees(max_depth=depth, max_iter=rounds), test=test, patience=10)
+
+
 def q_oof_gbt(spark, d):
-    from riskloom.operators.train import boosted_trees, cross_validate
-    df, feats = _model_frame(spark, d)
-    return cross_validate(df, feats, boosted_trees(max_depth=3, max_iter=40), early_stop=True).oof
+    """Boosted trees, each fold stopped at its best number of rounds by validation AUC; out-of-fold and test scores."""
+    return _oof_and_test(_boosted(spark, d, 40)[2].cv)
 
 
 def q_oof_rf(spark, d):
@@ -335,16 +342,43 @@ def q_oof_rf(spark, d):
 
 
 def q_meta_logistic(spark, d):
-    """Logistic meta-learner over the clipped prediction matrix of the four base scores."""
+    """Logistic meta-learner over the clipped prediction matrix of the four base scores: out-of-fold and test scores."""
+    from riskloom.operators.train import logistic_l2
+    return _oof_and_test(_meta_linear(spark, d, logistic_l2(C=1.0)))
+
+
+def _meta_linear(spark, d, estimator, **options):
     from riskloom.functions.exprs import clip
     from riskloom.operators.blend import complete_rows, wide
     from riskloom.operators.folds import stratified_folds
-    from riskloom.operators.train import cross_validate, logistic_l2
+    from riskloom.operators.train import cross_validate
     p = complete_rows(FX.predictions(spark, d), BLEND_MODELS)
     w = wide(p.withColumn("pred", clip("pred", 1e-4, 0.9999)), BLEND_MODELS).withColumnRenamed("id", "SK_ID_CURR")
     tr = _train_app(spark, d)
     df = w.join(tr, "SK_ID_CURR").join(stratified_folds(tr).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
-    return cross_validate(df, BLEND_MODELS, logistic_l2(C=1.0)).oof
+    test = w.join(FX.application(spark, d).where(F.col("split") == "test").select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
+    return cross_validate(df, BLEND_MODELS, estimator, test=test, **options)
+
+
+def q_meta_ridge(spark, d):
+    """L17, linear form: ridge regression of the label on the clipped predictions: out-of-fold and test scores in [0, 1]."""
+    from riskloom.operators.train import ridge_classifier
+    def value(model, rows):  # of the label itself: the decision value lies on the +-1 scale
+        return model.transform(rows).withColumn("pred", F.least(F.greatest((F.col("prediction") + 1) / 2, F.lit(0.0)), F.lit(1.0)))
+
+    return _oof_and_test(_meta_linear(spark, d, ridge_classifier(alpha=1.0), score=value))
+
+
+def q_two_level_search(spark, d):
+    """L3: depth and step of boosted trees ranked on three folds, the winner cross-validated on five; out-of-fold and
+    test scores, and the winning parameters on every row."""
+    from riskloom.operators.folds import stratified_folds
+    from riskloom.operators.train import boosted_trees, two_level_search
+    df, feats, test = _model_frame(spark, d, test=True)
+    three = stratified_folds(_train_app(spark, d), k=3, out="fold3").select("SK_ID_CURR", "fold3")
+    grid = [{"max_depth": depth, "step": step, "max_iter": 10} for depth in (2, 4) for step in (0.1, 0.3)]
+    r = two_level_search(df.join(three, "SK_ID_CURR"), test, feats, grid, boosted_trees)
+    return _oof_and_test(r.final).withColumn("params", F.lit(str(r.params)))
 
 
 def q_auc_weighted_blend(spark, d):
@@ -371,7 +405,7 @@ def q_grid_logistic(spark, d):
     """L2: the grid over C for the L2 logistic model, ranked by OOF AUC."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import grid_search, logistic_l2
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     df = standardize(df, feats)
     return grid_search(df, feats, [{"C": c} for c in (0.2, 0.5, 1.0, 2.0, 5.0)], logistic_l2)[0]
 
@@ -473,22 +507,18 @@ def q_kde(spark, d):
 
 
 def q_permutation_importance(spark, d):
-    """Permutation importance (3 repeats) of a logistic model on its held-out fold."""
+    """Permutation importance (3 repeats) of a logistic model on every held-out fold."""
     from riskloom.operators.stats import standardize
-    from riskloom.operators.train import assemble, logistic_l2, permutation_importance
-    df, feats = _model_frame(spark, d, engineered=False)
-    df = standardize(df, feats)
-    tr, va = df.where(F.col("fold") != 0), df.where(F.col("fold") == 0)
-    model = logistic_l2(C=1.0)("features", "TARGET", None).fit(
-        assemble(tr, feats).withColumn("TARGET", F.col("TARGET").cast("double")))
-    return permutation_importance(model, va.withColumn("TARGET", F.col("TARGET").cast("double")), feats)
+    from riskloom.operators.train import logistic_l2, permutation_importance
+    df, feats = _model_frame(spark, d)
+    return permutation_importance(standardize(df, feats), feats, logistic_l2(C=1.0))
 
 
 def q_ridge_calibrated(spark, d):
     """Ridge classifier OOF decision values, Platt-calibrated."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import cross_validate, platt_calibrate, ridge_classifier, ridge_score
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     df = standardize(df, feats)
     r = cross_validate(df, feats, ridge_classifier(alpha=1.0), score=ridge_score())
     return platt_calibrate(r.oof)[1]
@@ -498,7 +528,7 @@ def q_imbalance(spark, d):
     """Logistic model under five imbalance strategies."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import imbalance_experiment, logistic_l2
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     df = standardize(df, feats)
     return imbalance_experiment(df, feats, logistic_l2(C=1.0, max_iter=50))
 
@@ -578,7 +608,7 @@ def q_logistic_woe(spark, d):
 def q_rf_importance(spark, d):
     """Random-forest impurity importance averaged over folds (long table)."""
     from riskloom.operators.train import cross_validate, random_forest
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     return cross_validate(df, feats, random_forest(num_trees=30, max_depth=6)).importance
 
 
@@ -710,7 +740,7 @@ def q_elastic(spark, d):
     """Elastic-net logistic regression, out-of-fold."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import cross_validate, elastic_logistic
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     return cross_validate(standardize(df, feats), feats, elastic_logistic()).oof
 
 
@@ -718,7 +748,7 @@ def q_forest_balanced(spark, d):
     """Random forest by entropy, with balanced class weights (K6)."""
     from riskloom.operators.folds import balanced_weight
     from riskloom.operators.train import cross_validate, random_forest
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     df = balanced_weight(df, "TARGET", "_w")
     return cross_validate(df, feats, random_forest("entropy", num_trees=30, max_depth=6), weight_col="_w").oof
 
@@ -727,15 +757,17 @@ def q_calibrated(spark, d):
     """Ridge classifier with inner five-fold Platt calibration, out-of-fold probabilities."""
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import calibrated_cross_validate, ridge_classifier
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     return calibrated_cross_validate(standardize(df, feats), feats, ridge_classifier(alpha=1.0))
 
 
 def q_refit(spark, d):
-    """Importance of one boosted model fitted on every train row."""
-    from riskloom.operators.train import boosted_trees, refit_full
-    df, feats = _model_frame(spark, d, engineered=False)
-    return refit_full(df, feats, boosted_trees(max_depth=3, max_iter=10))[1]
+    """Importance of one boosted model on every train row, with the folds' average best number of rounds."""
+    from riskloom.operators.boosting import refit_at_average
+    from riskloom.operators.train import boosted_trees
+    df, feats, result = _boosted(spark, d, 20)
+    _, rounds, importance = refit_at_average(df, feats, lambda n: boosted_trees(max_depth=3, max_iter=n), result, least=5)
+    return importance.withColumn("rounds", F.lit(rounds))
 
 
 def q_region(spark, d):
@@ -767,7 +799,7 @@ def q_gbt_on_bins(spark, d):
     """Boosted trees on 64-bin rank-quantile codes of the numeric application columns."""
     from riskloom.operators.encode import rank_quantile_bins
     from riskloom.operators.train import boosted_trees, cross_validate
-    df, feats = _model_frame(spark, d, engineered=False)
+    df, feats = _model_frame(spark, d)
     binned = rank_quantile_bins(df.select("SK_ID_CURR", "TARGET", "fold", *feats), feats, 64)
     bins = [f"{c}_QBIN" for c in feats]
     return cross_validate(binned, bins, boosted_trees(max_depth=3, max_iter=10)).oof
@@ -865,6 +897,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q93_screening_run": q_screening,
     "q94_forest_entropy_balanced": q_forest_balanced,
     "q95_ridge_inner_calibration": q_calibrated,
+    "q96_two_level_search": q_two_level_search,
+    "q97_meta_ridge": q_meta_ridge,
 }
 
 

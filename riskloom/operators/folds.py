@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import with_row_number
+from ..functions.ranks import _positions, with_row_number
 
 
 def seeded_hash(id_col: str, seed: int) -> Column:
@@ -52,6 +52,30 @@ def undersample(df: DataFrame, id_col: str = "SK_ID_CURR", label: str = "TARGET"
     return pos.unionByName(neg)
 
 
+def fold_undersample(df: DataFrame, id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
+                     ratio: float = 3.0, seed: int = 42, out: str = "keep_for") -> DataFrame:
+    """K3 inside each fold's training part: every row of ``df`` with ``out``, the folds whose model learns from it.
+
+    For fold k these are all positives outside k and the first ``ratio`` * P_k negatives outside k in
+    seeded-hash order, P_k being the positives outside k (all rows, where that keeps no negative).  One
+    running count over the negatives, with one per fold beside it, gives the place in every training part:
+    the place among all less the place among those of fold k.
+    """
+    parts = {r[fold]: r for r in fold_class_counts(df, label, fold).collect()}  # a row per fold
+    ks = sorted(parts)
+    limit = {k: int(min(parts[k]["neg"], ratio * parts[k]["pos"])) for k in ks}
+    negative = df.where(F.col(label) == 0).withColumn("_h", seeded_hash(id_col, seed)).withColumn("cnt", F.lit(1))
+    for i, k in enumerate(ks):
+        negative = negative.withColumn(f"_in{i}", (F.col(fold) == k).cast("long"))
+    placed = _positions(negative, [], ["_h", id_col], None, [f"_in{i}" for i in range(len(ks))])
+    learns = [F.when((F.col(fold) != k) & ((F.col("cum") - F.col(f"cum__in{i}") <= limit[k]) | F.lit(limit[k] <= 0)), F.lit(int(k)))
+              for i, k in enumerate(ks)]
+    others = [F.when(F.col(fold) != k, F.lit(int(k))) for k in ks]
+    rest = df.where((F.col(label) != 0) | F.col(label).isNull())
+    return (placed.select(*df.columns, F.array_compact(F.array(*learns)).alias(out))
+            .unionByName(rest.select(*df.columns, F.array_compact(F.array(*others)).alias(out))))
+
+
 def fold_class_counts(df: DataFrame, label: str = "TARGET", fold: str = "fold") -> DataFrame:
     """Per fold f: N and P of the TRAINING part (all rows outside fold f)."""
     c = df.groupBy(fold).agg(F.sum((F.col(label) == 0).cast("long")).alias("_n"),

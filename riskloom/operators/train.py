@@ -55,7 +55,7 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
                    test: DataFrame | None = None, weight_col: str | None = None,
                    score: Callable | None = None,
                    fold_weight: Callable[[int], Column] | None = None, early_stop: bool = False,
-                   prepared: bool = False) -> CVResult:
+                   prepared: bool = False, fold_filter: Callable[[int], Column] | None = None) -> CVResult:
     """L1: OOF cross-validation with any Spark ML probabilistic classifier.
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
@@ -65,6 +65,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     ``fold_weight(k)`` (optional) gives the instance-weight expression used
     while fitting fold k's model, for weights that depend on that fold's
     training part (K4/K5).
+    ``fold_filter(k)`` (optional) says which rows fold k's model learns from; every row is
+    scored all the same.
     ``early_stop`` hands the held-out fold to the estimator as its validation
     part (L8; the estimator must have a ``validationIndicatorCol``).
     ``prepared``: ``train`` is already assembled and checkpointed, with the vector
@@ -95,6 +97,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
         if early_stop:
             est = est.setValidationIndicatorCol("_held")
             fit_part = data.withColumn("_held", F.col(fold) == k)
+        if fold_filter is not None:
+            fit_part = fit_part.where(fold_filter(k) if not early_stop else fold_filter(k) | F.col("_held"))
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
         model = est.fit(fit_part)
@@ -156,7 +160,10 @@ def logistic_l2(C: float = 1.0, max_iter: int = 100):
 
 
 def elastic_logistic(reg: float = 0.01, l1_ratio: float = 0.5, max_iter: int = 100):
-    """Linear boosted model with L1/L2 penalties -> elastic-net logistic regression."""
+    """Linear boosted model with L1/L2 penalties -> elastic-net logistic regression.
+
+    ``reg`` is a penalty per row, as the linear booster normalises its penalties by the rows.
+    """
     from pyspark.ml.classification import LogisticRegression
 
     def make(fc, lc, wc):
@@ -231,67 +238,108 @@ def ridge_score():
     return lambda m, d: m.transform(d).withColumn("pred", F.col("prediction"))
 
 
+def _at_once(spark, jobs: Sequence[Callable], parallelism: int) -> list:
+    """Results of driver-side jobs that run side by side, in their order; each submits its own Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict], factory: Callable,
                 id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
-                by: str = "oof_auc", **cv_kw) -> tuple[DataFrame, CVResult]:
-    """L2/L3: one CV per parameter set over one prepared frame.
+                by: str = "oof_auc", parallelism: int = 4, **cv_kw) -> tuple[DataFrame, CVResult]:
+    """L2: one CV per parameter set over one prepared frame, ``parallelism`` sets side by side.
 
     Returns the table (params, mean fold AUC, std, OOF AUC), best first, and the
     CV result of the set that is best ``by`` "oof_auc" or "mean_auc".
     """
-    import statistics
     data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
-    rows, results = [], []
-    for params in grid:
-        r = cross_validate(data, "features", factory(**params), id_col, label, fold, prepared=True, **cv_kw)
+    rows, results = _grid(data, grid, factory, id_col, label, fold, parallelism, **cv_kw)
+    df = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
+    return df.orderBy(F.desc(by)), results[_best_row(rows, 3 if by == "oof_auc" else 1)]
+
+
+def _grid(data: DataFrame, grid: Sequence[dict], factory: Callable, id_col: str, label: str, fold: str, parallelism: int, **cv_kw):
+    import statistics
+    jobs = [lambda p=p: cross_validate(data, "features", factory(**p), id_col, label, fold, prepared=True, **cv_kw) for p in grid]
+    results, rows = _at_once(data.sparkSession, jobs, parallelism), []
+    for params, r in zip(grid, results):
         fa = [a for a in r.fold_auc if a is not None]
         rows.append((str(params), statistics.fmean(fa) if fa else None,
                      statistics.pstdev(fa) if len(fa) > 1 else None, r.oof_auc))
-        results.append(r)
-    df = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
-    place = 3 if by == "oof_auc" else 1
-    best = max(range(len(rows)), key=lambda i: -1.0 if rows[i][place] is None else rows[i][place])
-    return df.orderBy(F.desc(by)), results[best]
+    return rows, results
+
+
+def _best_row(rows: Sequence[tuple], place: int) -> int:
+    """The first row with the largest value."""
+    return max(range(len(rows)), key=lambda i: (-1.0 if rows[i][place] is None else rows[i][place], -i))
+
+
+@dataclass
+class SearchResult:
+    table: DataFrame   # (params, mean_auc, std_auc, oof_auc) of the search, best first
+    params: dict       # the winner
+    final: CVResult    # its cross-validation on the final folds, with test scores
+
+
+def two_level_search(train: DataFrame, test: DataFrame | None, features: Sequence[str], grid: Sequence[dict], factory: Callable,
+                     id_col: str = "SK_ID_CURR", label: str = "TARGET", search_fold: str = "fold3", final_fold: str = "fold",
+                     parallelism: int = 4) -> SearchResult:
+    """L3: rank the grid by mean fold AUC on the search folds (ties to the earlier set), then cross-validate the
+    winner on the final folds with test scores averaged over them.
+
+    Both levels read one checkpointed frame that carries both fold columns.
+    """
+    data = cut_lineage(assemble(train.select(id_col, label, search_fold, final_fold, *features), features)
+                       .withColumn(label, F.col(label).cast("double")))
+    rows, _ = _grid(data, grid, factory, id_col, label, search_fold, parallelism)
+    best = _best_row(rows, 1)
+    scored = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
+    final = cross_validate(data, "features", factory(**grid[best]), id_col, label, final_fold, test=scored, prepared=True)
+    table = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
+    return SearchResult(table.orderBy(F.desc("mean_auc")), grid[best], final)
 
 
 # ------------------------------------------------------------------ J10
-def permutation_importance(model, frame: DataFrame, features: Sequence[str], id_col: str = "SK_ID_CURR",
-                           label: str = "TARGET", repeats: int = 3, seed: int = 42,
-                           score: Callable | None = None) -> DataFrame:
-    """Mean AUC drop when one feature's values are permuted across rows.
-
-    One distributed job for all (feature, repeat) pairs: row positions by id
-    and seeded-hash permutations per repeat come from the bucketed row-number
-    plan; a join on (repeat, position) hands every row the values of its
-    permutation partner, the feature tag picks which column is swapped, and
-    the model scores the stacked frame once.  AUCs are grouped by (feature,
-    repeat).  Work is rows x features x repeats, as for the per-feature loop,
-    but runs in parallel.
+def permutation_importance(train: DataFrame, features: Sequence[str], make_estimator: Callable, id_col: str = "SK_ID_CURR",
+                           label: str = "TARGET", fold: str = "fold", repeats: int = 3, seed: int = 42) -> DataFrame:
+    """J10 of a linear model, on every held-out fold: (feature, base_auc, perm_auc, perm_auc_std, importance).
+
+    Each fold's model is fitted once.  A permuted feature moves a row's margin by ``coefficient * (new - old)`` and
+    nothing else, so no row is copied with a swapped column: a row meets its partner of each (fold, repeat) once,
+    for all features together, and sends one narrow (feature, margin) record per feature.  AUCs are grouped by
+    (feature, fold, repeat); their mean over folds and repeats is compared with the mean fold AUC.
     """
+    from pyspark.ml.functions import vector_to_array
+
     from ..functions.ranks import with_row_number
-    score = score or (lambda m, d: m.transform(d).select("_tag_f", "_tag_r", label, _p1().alias("pred")))
-    base = frame.select(id_col, label, *features)
-    pos = with_row_number(base, id_col, [id_col], out="_pos").drop("n")
-    reps = pos.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_tag_r"))
-    reps = reps.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_tag_r"), F.col(id_col)))
-    perm = with_row_number(reps.select("_tag_r", "_h", id_col, *features), "_h", [id_col], group=["_tag_r"],
-                           out="_ppos").drop("n", "_h")
-    src = perm.select("_tag_r", F.col("_ppos").alias("_pos"), *[F.col(c).alias(f"_src_{c}") for c in features])
-    paired = reps.drop("_h").join(src, ["_tag_r", "_pos"])
-    tags = F.explode(F.array(*[F.lit(c) for c in features])).alias("_tag_f")
-    stacked = paired.select("*", tags).select(
-        "_tag_f", "_tag_r", label,
-        *[F.when(F.col("_tag_f") == c, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c) for c in features])
-    scored = score(model, assemble(stacked, features))
-    per = auc_by_group(scored, "pred", label, ["_tag_f", "_tag_r"])
-    b = auc_by_group(score(model, assemble(base.withColumn("_tag_f", F.lit("")).withColumn("_tag_r", F.lit(0)),
-                                           features)), "pred", label).first()
-    base_auc = None if b is None else b["auc"]
-    return (per.groupBy(F.col("_tag_f").alias("feature"))
-               .agg(F.avg("auc").alias("perm_auc"), F.stddev_samp("auc").alias("perm_auc_std"))
-               .withColumn("base_auc", F.lit(base_auc))
-               .withColumn("importance", F.lit(base_auc) - F.col("perm_auc")))
+    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+                       .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
+    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    coefficients = {}
+    for k in folds:
+        model = make_estimator("features", label, None).fit(data.where(F.col(fold) != k))
+        coefficients[k] = [float(x) for x in model.coefficients.toArray()]
+    told = train.sparkSession.createDataFrame([(k, coefficients[k]) for k in folds], f"{fold} int, _coef array<double>")  # a row per fold
+    rows = data.withColumn(fold, F.col(fold).cast("int")).join(F.broadcast(told), fold).select(
+        id_col, label, fold, F.zip_with(vector_to_array("features"), "_coef", lambda x, c: x * c).alias("_part"))
+    rows = rows.withColumn("_margin", F.aggregate("_part", F.lit(0.0), lambda a, x: a + x))
+    placed = with_row_number(rows, id_col, [id_col], [fold], out="_at").drop("n")
+    tagged = cut_lineage(placed.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))))
+    mixed = tagged.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_r"), F.col(id_col)))
+    source = with_row_number(mixed.select(fold, "_r", "_h", id_col, F.col("_part").alias("_new")), "_h", [id_col], [fold, "_r"], out="_at")
+    moved = F.zip_with("_new", "_part", lambda a, b: a - b)
+    pairs = tagged.join(source.select(fold, "_r", "_at", "_new"), [fold, "_r", "_at"]).select(
+        label, fold, "_r", F.posexplode(F.transform(moved, lambda d: F.col("_margin") + d)).alias("_f", "_score"))
+    per = auc_by_group(pairs, "_score", label, ["_f", fold, "_r"])
+    base = auc_by_group(rows, "_margin", label, [fold]).agg(F.avg("auc").alias("base_auc"))
+    names = F.array(*[F.lit(c) for c in features])
+    out = per.groupBy("_f").agg(F.avg("auc").alias("perm_auc"), F.stddev_samp("auc").alias("perm_auc_std")).crossJoin(base)  # one row
+    return out.select(F.element_at(names, F.col("_f") + 1).alias("feature"), "base_auc", "perm_auc", "perm_auc_std",
+                      (F.col("base_auc") - F.col("perm_auc")).alias("importance"))
 
 
 # ------------------------------------------------------------------ L6 calibration
@@ -317,32 +365,48 @@ def imbalance_experiment(train: DataFrame, features: Sequence[str], factory: Cal
                          strategies: Sequence[str] = ("none", "auto_weight", "balanced", "undersample",
                                                       "scale_pos_weight"),
                          cap: float = 50.0, fixed_spw: float = 5.0, ratio: float = 3.0) -> DataFrame:
-    """The same learner under several imbalance strategies -> (strategy, oof_auc, average_precision).
-
-    auto_weight: positives weighted min(N/P, cap) with N, P counted on each
-    fold's own training part (K4); scale_pos_weight: a fixed weight (K5);
-    balanced: n / (2 n_class) (K6); undersample: all positives and ratio x P
-    negatives (K3).  Per-fold weights come from one grouped count (k rows).
-    """
-    from .folds import balanced_weight, positive_weights, undersample
+    """The same learner under several imbalance strategies -> (strategy, rows, oof_auc, average_precision)."""
     from .stats import average_precision_by_group
-    rows = []
-    for s in strategies:
-        df, wcol, fw = train, None, None
-        if s == "auto_weight":
-            pw = {r[fold]: r["pos_weight"] for r in positive_weights(train, label, fold, cap=cap).collect()}
-            fw = (lambda k, pw=pw: F.when(F.col(label) == 1, F.lit(float(pw[k] or 1.0))).otherwise(F.lit(1.0)))
-        elif s == "scale_pos_weight":
-            fw = (lambda k: F.when(F.col(label) == 1, F.lit(float(fixed_spw))).otherwise(F.lit(1.0)))
-        elif s == "balanced":
-            df, wcol = balanced_weight(train, label, "_w"), "_w"
-        elif s == "undersample":
-            df = undersample(train, id_col, label, ratio)
-        r = cross_validate(df, features, factory, id_col, label, fold, weight_col=wcol, fold_weight=fw)
-        ap = average_precision_by_group(r.oof, "oof_pred", label).first()
-        rows.append((s, r.oof_auc, None if ap is None else ap["average_precision"]))
-    return train.sparkSession.createDataFrame(rows, "strategy string, oof_auc double, average_precision double")
-
+    out = None
+    for s, r in imbalance_runs(train, features, factory, id_col, label, fold, strategies, cap, fixed_spw, ratio).items():
+        told = average_precision_by_group(r.oof, "oof_pred", label).crossJoin(r.oof.agg(F.count(F.lit(1)).alias("rows")))  # one row each
+        row = told.select(F.lit(s).alias("strategy"), "rows", F.lit(r.oof_auc).cast("double").alias("oof_auc"), "average_precision")
+        out = row if out is None else out.union(row)
+    return out
+
+
+def imbalance_runs(train: DataFrame, features: Sequence[str], factory: Callable, id_col: str = "SK_ID_CURR",
+                   label: str = "TARGET", fold: str = "fold",
+                   strategies: Sequence[str] = ("none", "auto_weight", "balanced", "undersample", "scale_pos_weight"),
+                   cap: float = 50.0, fixed_spw: float = 5.0, ratio: float = 3.0) -> dict[str, CVResult]:
+    """Each strategy's cross-validation, over one prepared frame.
+
+    All strategies change the fold's training part alone and every row is scored: auto_weight weighs
+    positives min(N/P, cap) (K4), scale_pos_weight by a fixed number (K5), balanced both classes n / (2 n_class)
+    (K6), undersample learns from all positives and ratio x P negatives (K3).  N, P and n are counted on
+    each fold's own training part, by one grouped count (a row per fold).
+    """
+    from .folds import fold_class_counts, fold_undersample
+    rows = train.select(id_col, label, fold, *features)
+    rows = fold_undersample(rows, id_col, label, fold, ratio, out="_keep_for")
+    data = cut_lineage(assemble(rows, features).select(id_col, label, fold, "_keep_for", "features")
+                       .withColumn(label, F.col(label).cast("double")))
+    part = {r[fold]: (float(r["neg"]), float(r["pos"])) for r in fold_class_counts(data, label, fold).collect()}
+
+    def weights(by):
+        def of(k):
+            low, high = by(*part[k])
+            return F.when(F.col(label) == 1, F.lit(float(high))).otherwise(F.lit(float(low)))
+        return of
+
+    ways = {
+        "none": {},
+        "auto_weight": {"fold_weight": weights(lambda n, p: (1.0, min(n / p, cap) if p else 1.0))},
+        "scale_pos_weight": {"fold_weight": weights(lambda n, p: (1.0, fixed_spw))},
+        "balanced": {"fold_weight": weights(lambda n, p: ((n + p) / (2 * n) if n else 1.0, (n + p) / (2 * p) if p else 1.0))},
+        "undersample": {"fold_filter": lambda k: F.array_contains("_keep_for", int(k))},
+    }
+    return {s: cross_validate(data, "features", factory, id_col, label, fold, prepared=True, **ways[s]) for s in strategies}
 
 
 # ------------------------------------------------------------------ L15

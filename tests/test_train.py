@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from riskloom.operators.train import assemble, cross_validate, logistic_l2, permutation_importance
+from riskloom.operators.train import cross_validate, logistic_l2, permutation_importance
 
 
 def test_cv_and_permutation_importance(spark):
@@ -15,8 +15,7 @@ def test_cv_and_permutation_importance(spark):
     df = spark.createDataFrame(pdf)
     r = cross_validate(df, ["x1", "noise"], logistic_l2(C=1.0))
     assert r.oof.count() == n and r.oof_auc > 0.9 and len(r.fold_auc) == 4
-    model = logistic_l2(C=1.0)("features", "TARGET", None).fit(assemble(df, ["x1", "noise"]))
-    imp = permutation_importance(model, df, ["x1", "noise"], repeats=2).toPandas().set_index("feature")
+    imp = permutation_importance(df, ["x1", "noise"], logistic_l2(C=1.0), repeats=2).toPandas().set_index("feature")
     assert imp.loc["x1", "importance"] > 0.2
     assert abs(imp.loc["noise", "importance"]) < 0.05
 
@@ -88,3 +87,132 @@ def test_grid_returns_its_winner_and_early_stopping_runs(spark):
     assert top["oof_auc"] == best.oof_auc and best.oof.count() == n
     stopped = cross_validate(df, ["x1", "x2"], boosted_trees(max_depth=2, max_iter=15, min_instances=5), early_stop=True)
     assert stopped.oof_auc > 0.8 and stopped.oof.count() == n
+
+
+def _imbalanced(n, seed=21, k=3):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 2))
+    y = (x[:, 0] + 0.8 * rng.normal(size=n) > 1.4).astype(int)
+    return pd.DataFrame({"SK_ID_CURR": range(n), "TARGET": y, "x1": x[:, 0], "x2": x[:, 1], "fold": rng.integers(0, k, n)})
+
+
+def _newton_logistic(x, y, w, reg):
+    """Weighted L2 logistic regression, mean loss + reg / 2 |coef|^2, intercept free."""
+    x = np.column_stack([x, np.ones(len(x))])
+    beta, w, penalty = np.zeros(x.shape[1]), w / w.sum(), np.diag([reg] * (x.shape[1] - 1) + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta -= np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (w * (p - y)) + penalty @ beta)
+    return beta
+
+
+def _average_precision(score, y):
+    order = np.argsort(-score, kind="stable")
+    y, score = y[order], score[order]
+    ends = np.flatnonzero(np.append(score[1:] != score[:-1], True))
+    tp = np.cumsum(y)[ends]
+    return float((np.diff(np.append(0, tp)) / y.sum() * tp / (ends + 1)).sum())
+
+
+def test_imbalance_changes_the_training_part_alone(spark):
+    import hashlib
+
+    from riskloom.operators.train import imbalance_experiment, imbalance_runs
+    pdf = _imbalanced(900)
+    df = spark.createDataFrame(pdf)
+    runs = imbalance_runs(df, ["x1", "x2"], logistic_l2(C=1.0))
+    table = {r["strategy"]: r for r in imbalance_experiment(df, ["x1", "x2"], logistic_l2(C=1.0)).collect()}
+    x, y, fold = pdf[["x1", "x2"]].values, pdf.TARGET.values, pdf.fold.values
+    place = np.array([int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:15], 16) for i in pdf.SK_ID_CURR])
+    for name, run in runs.items():
+        score = np.zeros(len(pdf))
+        for k in range(3):
+            own = fold != k
+            pos, neg = y[own].sum(), (1 - y[own]).sum()
+            w = np.ones(own.sum())
+            if name == "auto_weight":
+                w[y[own] == 1] = min(neg / pos, 50)
+            elif name == "scale_pos_weight":
+                w[y[own] == 1] = 5
+            elif name == "balanced":
+                w = np.where(y[own] == 1, own.sum() / (2 * pos), own.sum() / (2 * neg))
+            elif name == "undersample":
+                first = np.argsort(np.where(y[own] == 0, place[own], np.iinfo(np.int64).max))[:int(3 * pos)]
+                w = (y[own] == 1).astype(float)
+                w[first] = 1
+            beta = _newton_logistic(x[own], y[own], w, 1 / w.sum())
+            score[fold == k] = 1 / (1 + np.exp(-(x[fold == k] @ beta[:2] + beta[2])))
+        got = run.oof.toPandas().sort_values("SK_ID_CURR")
+        assert len(got) == len(pdf) == table[name]["rows"]
+        np.testing.assert_allclose(got.oof_pred.values, score, atol=2e-4)
+        assert abs(table[name]["average_precision"] - _average_precision(got.oof_pred.values, y)) < 1e-9
+        assert abs(table[name]["average_precision"] - _average_precision(score, y)) < 0.01
+
+
+def test_prefixes_of_boosted_trees_are_models_of_that_length(spark):
+    from riskloom.operators.boosting import boosted_cross_validate, refit_at_average, stopping_round
+    from riskloom.operators.stats import auc_by_group
+    from riskloom.operators.train import boosted_trees
+    df = spark.createDataFrame(_imbalanced(400, k=2))
+    factory = lambda n: boosted_trees(max_depth=2, max_iter=n, min_instances=5)
+    r = boosted_cross_validate(df, ["x1", "x2"], factory(6), test=df.limit(10), patience=2)
+    stages = {(s["fold"], s["round"]): s["auc"] for s in r.stages.collect()}
+    assert len(stages) == 12 and r.cv.test.count() == 10 and r.cv.oof.count() == 400
+    for n in (1, 3, 6):
+        plain = cross_validate(df, ["x1", "x2"], factory(n))
+        for k, a in enumerate(plain.fold_auc):
+            assert abs(stages[k, n] - a) < 1e-9
+    for k in (0, 1):
+        aucs = [stages[k, n] for n in range(1, 7)]
+        assert r.rounds[k] == stopping_round(aucs, 2)
+        own = cross_validate(df, ["x1", "x2"], factory(r.rounds[k])).oof.where(F.col("fold") == k).orderBy("SK_ID_CURR").toPandas()
+        got = r.cv.oof.where(F.col("fold") == k).orderBy("SK_ID_CURR").toPandas()
+        np.testing.assert_allclose(own.oof_pred, got.oof_pred, atol=1e-9)
+    assert [stopping_round(x, 2) for x in ([.5, .6, .6, .6, .9], [.5, .4, .6, .5], [None, .3], [.7])] == [2, 3, 2, 1]
+    model, n, importance = refit_at_average(df, ["x1", "x2"], factory, r, least=2)
+    assert n == max(2, int((r.rounds[0] + r.rounds[1]) / 2)) == len(model.trees)
+    assert importance.toPandas().set_index("feature").importance["x1"] > 0.5
+    assert auc_by_group(r.cv.oof, "oof_pred", "TARGET").first()["auc"] == r.cv.oof_auc
+
+
+def test_permutation_importance_equals_a_plain_loop(spark):
+    pdf = _imbalanced(300)
+    df = spark.createDataFrame(pdf)
+    imp = {r["feature"]: r for r in permutation_importance(df, ["x1", "x2"], logistic_l2(C=1.0), repeats=2, seed=7).collect()}
+    hashes = spark.range(300).select("id", *[F.xxhash64(F.lit(7), F.lit(r), F.col("id")).alias(f"h{r}") for r in range(2)]).toPandas()
+    x, y, fold = pdf[["x1", "x2"]].values, pdf.TARGET.values, pdf.fold.values
+
+    def auc(s, t):
+        r = pd.Series(s).rank()
+        p = t.sum()
+        return (r[t == 1].sum() - p * (p + 1) / 2) / (p * (len(t) - p))
+
+    base, perm = [], {0: [], 1: []}
+    for k in range(3):
+        own = fold != k
+        beta = _newton_logistic(x[own], y[own], np.ones(own.sum()), 1 / own.sum())
+        v, t = x[~own], y[~own]
+        base.append(auc(v @ beta[:2], t))
+        for r in range(2):
+            order = np.argsort(hashes[f"h{r}"].values[~own])
+            for j in range(2):
+                moved = v.copy()
+                moved[:, j] = v[order, j]
+                perm[j].append(auc(moved @ beta[:2], t))
+    for j, c in enumerate(("x1", "x2")):
+        assert abs(imp[c]["base_auc"] - np.mean(base)) < 2e-3 and abs(imp[c]["perm_auc"] - np.mean(perm[j])) < 2e-3
+
+
+def test_two_level_search(spark):
+    from riskloom.operators.train import two_level_search
+    pdf = _imbalanced(300, k=5)
+    pdf["fold3"] = np.arange(300) % 3
+    df = spark.createDataFrame(pdf)
+    grid = [{"C": 1e-4}, {"C": 1.0}, {"C": 1.0}]
+    r = two_level_search(df, df.limit(7), ["x1", "x2"], grid, logistic_l2)
+    table = r.table.collect()
+    best = max(t["mean_auc"] for t in table)
+    assert len(table) == 3 and r.params == next(g for g in grid if any(t["params"] == str(g) and t["mean_auc"] == best for t in table))
+    assert len(r.final.fold_auc) == 5 and r.final.oof.count() == 300 and r.final.test.count() == 7
+    plain = cross_validate(df.withColumn("fold", F.col("fold3")), ["x1", "x2"], logistic_l2(**r.params))
+    assert abs(best - np.mean(plain.fold_auc)) < 1e-9
