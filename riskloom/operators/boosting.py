@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .stats import auc_by_group
-from .train import CVResult, assemble
+from .train import CVResult, assemble, at_once
 
 
 def staged_margins(model, frame: DataFrame, keep: Sequence[str], out: str = "margins") -> DataFrame:
@@ -70,7 +70,7 @@ class BoostedResult:
 
 def boosted_cross_validate(train: DataFrame, features: Sequence[str], make_estimator: Callable, id_col: str = "SK_ID_CURR",
                            label: str = "TARGET", fold: str = "fold", test: DataFrame | None = None,
-                           patience: int = 200) -> BoostedResult:
+                           patience: int = 200, parallelism: int = 4) -> BoostedResult:
     """Out-of-fold and fold-averaged test scores at each fold's best number of rounds.
 
     ``make_estimator`` gives a boosted-tree classifier whose maxIter is the most rounds tried.  Importances are those
@@ -81,9 +81,9 @@ def boosted_cross_validate(train: DataFrame, features: Sequence[str], make_estim
                        .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
     tst = cut_lineage(assemble(test.select(id_col, *features), features).select(id_col, "features")) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
-    models, held = {}, None
+    fits = at_once(spark, [lambda k=k: make_estimator("features", label, None).fit(data.where(F.col(fold) != k)) for k in folds], parallelism)
+    models, held = dict(zip(folds, fits)), None
     for k in folds:
-        models[k] = make_estimator("features", label, None).fit(data.where(F.col(fold) != k))
         part = staged_margins(models[k], data.where(F.col(fold) == k), [id_col, label, fold])
         held = part if held is None else held.unionByName(part)
     held = cut_lineage(held)

@@ -50,12 +50,22 @@ def _importance(model, features: Sequence[str]) -> list[tuple[str, float]] | Non
     return None
 
 
+def at_once(spark, jobs: Sequence[Callable], parallelism: int) -> list:
+    """Results of driver-side jobs that run side by side, in their order; each submits its own Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimator: Callable,
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                    test: DataFrame | None = None, weight_col: str | None = None,
                    score: Callable | None = None,
                    fold_weight: Callable[[int], Column] | None = None, early_stop: bool = False,
-                   prepared: bool = False, fold_filter: Callable[[int], Column] | None = None) -> CVResult:
+                   prepared: bool = False, fold_filter: Callable[[int], Column] | None = None,
+                   parallelism: int = 4) -> CVResult:
     """L1: OOF cross-validation with any Spark ML probabilistic classifier.
 
     ``make_estimator(features_col, label_col, weight_col)`` returns an unfitted
@@ -67,6 +77,7 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     training part (K4/K5).
     ``fold_filter(k)`` (optional) says which rows fold k's model learns from; every row is
     scored all the same.
+    ``parallelism`` folds are fitted side by side, each by its own Spark jobs.
     ``early_stop`` hands the held-out fold to the estimator as its validation
     part (L8; the estimator must have a ``validationIndicatorCol``).
     ``prepared``: ``train`` is already assembled and checkpointed, with the vector
@@ -91,7 +102,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     score = score or (lambda m, d: m.transform(d).withColumn("pred", _p1()))
     oof_parts, test_parts, aucs, imps = [], [], [], []
-    for k in folds:
+
+    def fit(k):
         est = make_estimator("features", label, weight_col)
         fit_part = data.where(F.col(fold) != k)
         if early_stop:
@@ -101,7 +113,10 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
             fit_part = fit_part.where(fold_filter(k) if not early_stop else fold_filter(k) | F.col("_held"))
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
-        model = est.fit(fit_part)
+        return est.fit(fit_part)
+
+    models = at_once(train.sparkSession, [lambda k=k: fit(k) for k in folds], parallelism)
+    for k, model in zip(folds, models):
         pv = score(model, data.where(F.col(fold) == k))
         oof_parts.append(pv.select(id_col, fold, label, F.col("pred").alias("oof_pred")))
         if tst is not None:
@@ -238,15 +253,6 @@ def ridge_score():
     return lambda m, d: m.transform(d).withColumn("pred", F.col("prediction"))
 
 
-def _at_once(spark, jobs: Sequence[Callable], parallelism: int) -> list:
-    """Results of driver-side jobs that run side by side, in their order; each submits its own Spark jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark import inheritable_thread_target
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
-
-
 def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict], factory: Callable,
                 id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                 by: str = "oof_auc", parallelism: int = 4, **cv_kw) -> tuple[DataFrame, CVResult]:
@@ -265,7 +271,7 @@ def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict],
 def _grid(data: DataFrame, grid: Sequence[dict], factory: Callable, id_col: str, label: str, fold: str, parallelism: int, **cv_kw):
     import statistics
     jobs = [lambda p=p: cross_validate(data, "features", factory(**p), id_col, label, fold, prepared=True, **cv_kw) for p in grid]
-    results, rows = _at_once(data.sparkSession, jobs, parallelism), []
+    results, rows = at_once(data.sparkSession, jobs, parallelism), []
     for params, r in zip(grid, results):
         fa = [a for a in r.fold_auc if a is not None]
         rows.append((str(params), statistics.fmean(fa) if fa else None,
@@ -319,10 +325,8 @@ def permutation_importance(train: DataFrame, features: Sequence[str], make_estim
     data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
                        .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
-    coefficients = {}
-    for k in folds:
-        model = make_estimator("features", label, None).fit(data.where(F.col(fold) != k))
-        coefficients[k] = [float(x) for x in model.coefficients.toArray()]
+    models = at_once(train.sparkSession, [lambda k=k: make_estimator("features", label, None).fit(data.where(F.col(fold) != k)) for k in folds], 4)
+    coefficients = {k: [float(x) for x in m.coefficients.toArray()] for k, m in zip(folds, models)}
     told = train.sparkSession.createDataFrame([(k, coefficients[k]) for k in folds], f"{fold} int, _coef array<double>")  # a row per fold
     rows = data.withColumn(fold, F.col(fold).cast("int")).join(F.broadcast(told), fold).select(
         id_col, label, fold, F.zip_with(vector_to_array("features"), "_coef", lambda x, c: x * c).alias("_part"))
@@ -406,7 +410,9 @@ def imbalance_runs(train: DataFrame, features: Sequence[str], factory: Callable,
         "balanced": {"fold_weight": weights(lambda n, p: ((n + p) / (2 * n) if n else 1.0, (n + p) / (2 * p) if p else 1.0))},
         "undersample": {"fold_filter": lambda k: F.array_contains("_keep_for", int(k))},
     }
-    return {s: cross_validate(data, "features", factory, id_col, label, fold, prepared=True, **ways[s]) for s in strategies}
+    runs = at_once(train.sparkSession, [lambda s=s: cross_validate(data, "features", factory, id_col, label, fold, prepared=True, **ways[s])
+                                        for s in strategies], 4)
+    return dict(zip(strategies, runs))
 
 
 # ------------------------------------------------------------------ L15
