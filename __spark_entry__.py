@@ -95,7 +95,6 @@ def q_app_v7(spark, d):
 
 
 APP_LABELS = ["NAME_EDUCATION_TYPE", "NAME_HOUSING_TYPE", "NAME_INCOME_TYPE", "NAME_TYPE_SUITE"]
-PEARSON_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "DAYS_BIRTH"]
 
 
 def _app_long(spark, d, train_only=True):
@@ -149,8 +148,9 @@ def q_audit(spark, d):
 
 
 def q_pearson(spark, d):
-    from riskloom.operators.stats import pearson_matrix
-    return pearson_matrix(FX.application(spark, d), PEARSON_COLS)
+    from riskloom.operators.stats import numeric_columns, pearson_matrix
+    app = FX.application(spark, d)
+    return pearson_matrix(app, numeric_columns(app, exclude=("SK_ID_CURR", "TARGET")))
 
 
 def q_category_rate(spark, d):
@@ -500,10 +500,49 @@ def q_onehot_long(spark, d):
 
 
 def q_kde(spark, d):
-    """J9 (Q14 profile data): class-conditional KDE curves of EXT_SOURCE_2 on a 200-point grid."""
-    from riskloom.operators.stats import kde_curves
+    """J9 (Q14 profile data): class-conditional density curves of every numeric column on a 200-point grid."""
+    from riskloom.operators.stats import kde_curves, numeric_columns
+    tr = FX.application(spark, d).where(F.col("split") == "train")
+    return kde_curves(tr, numeric_columns(tr, exclude=("SK_ID_CURR", "TARGET")), "TARGET", points=200)
+
+
+def q_profile(spark, d):
+    """Q14: counts and default rates by value or equal-width bin, every column of the train rows."""
+    from riskloom.operators.stats import feature_profile, numeric_columns
     tr = FX.application(spark, d).where(F.col("split") == "train")
-    return kde_curves(tr, "EXT_SOURCE_2", "TARGET", points=200)
+    return feature_profile(tr, numeric_columns(tr, exclude=("SK_ID_CURR", "TARGET")), APP_LABELS)
+
+
+def q_versions(spark, d):
+    """Q7: the feature sets v0 to v7 as column choices of one wide frame."""
+    from riskloom.plans.validation import version_profile
+    return version_profile(FX.application(spark, d))
+
+
+def q_version_validation(spark, d):
+    """Training and held-out AUC of boosted trees on each feature set."""
+    from riskloom.operators.train import boosted_trees
+    from riskloom.plans.validation import feature_version_validation
+    return feature_version_validation(FX.application(spark, d), boosted_trees(max_depth=3, max_iter=5))
+
+
+def q_term_features(spark, d):
+    """Ratios of credit, goods price and annuity."""
+    from riskloom.plans.financial import term_features
+    app = FX.application(spark, d).select("SK_ID_CURR", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE")
+    return term_features(app)
+
+
+TERMS = [6, 12, 18, 24, 30]
+
+
+def q_implied_rates(spark, d):
+    """B41, B42, B27 over class probabilities that follow from the id: best term, certainty, implied rates."""
+    from riskloom.plans.financial import implied_rates
+    app = FX.application(spark, d)
+    weight = [((F.col("SK_ID_CURR") * (3 + 2 * i)) % 7 + 1).cast("double") for i in range(len(TERMS))]
+    total = sum(weight[1:], weight[0])
+    return implied_rates(app.withColumn("_p", F.array(*[w / total for w in weight])), TERMS)
 
 
 def q_permutation_importance(spark, d):
@@ -899,6 +938,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q95_ridge_inner_calibration": q_calibrated,
     "q96_two_level_search": q_two_level_search,
     "q97_meta_ridge": q_meta_ridge,
+    "q98_feature_profile": q_profile,
+    "q99_feature_versions": q_versions,
+    "q100_version_validation": q_version_validation,
+    "q101_term_features": q_term_features,
+    "q102_implied_rates": q_implied_rates,
 }
 
 
@@ -959,7 +1003,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "q13_missing_table": S.missing_table_sql(assembly_sql(), [c for c in assembly_columns()
                                                                   if c not in ("SK_ID_CURR", "split")]),
         "q14_column_audit": S.audit_sql(),
-        "q15_pearson_matrix": S.pearson_sql(PEARSON_COLS),
+        "q15_pearson_matrix": S.pearson_sql(S.NUM_COLS),
         "q16_category_target_rate": S.category_rate_sql(),
         "q17_label_balance": S.label_balance_sql(),
         "q19_stratified_folds": BL.folds_canon(),
@@ -985,6 +1029,10 @@ def _own_oracle_sql() -> dict[str, str]:
         "q58_table_integration": X2.integration_sql(),
         "q59_onehot_long": X2.onehot_long_sql(),
         "q60_kde_curves": X2.kde_sql(),
+        "q98_feature_profile": X2.profile_sql(),
+        "q99_feature_versions": X2.versions_sql(),
+        "q101_term_features": EN.term_features_sql(),
+        "q102_implied_rates": EN.implied_rates_sql(TERMS),
         "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
         "q38_screen_stage0_audit": X2.stage0_sql(),
         "q93_screening_run": X2.screening_run_sql(),

@@ -9,16 +9,19 @@ before any shuffle-heavy step.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranks import cumulative_counts, exact_quantiles
-from .counts import spearman_of_counts
+from ..session import cut_lineage
+from .counts import count_table, melt_values, spearman_of_counts
 from .encode import melt
 
+KERNEL_REACH = 8.6  #: bandwidths: exp(-8.6 ** 2 / 2) < 1e-16
+
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
 
@@ -281,26 +284,46 @@ def spearman_with_label(long_df: DataFrame, value: str, label: str, group: Seque
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation for every pair, one aggregation, long output."""
+    """Pairwise-complete Pearson correlation for every pair, long output (col_a, col_b, corr).
+
+    With X the values (0 where missing) and P the presence mask of a task's rows, P'P, X'P, (X*X)'P and X'X hold
+    the counts, sums, squares and products of every pair over the rows where both are present.  Tasks send
+    these matrices, which are added up per pair.  Columns are first shifted by their means, so that no
+    digits cancel; a pair whose common rows hold one value only has no correlation (NULL).
+    """
     cols = list(columns)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            ok = F.col(a).isNotNull() & F.col(b).isNotNull()
-            aggs.append(F.corr(F.when(ok, F.col(a).cast("double")), F.when(ok, F.col(b).cast("double")))
-                        .alias(f"c{i}_{j}"))
-            pairs.append((i, j))
-    row = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                F.col(f"c{i}_{j}").alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    F.col(f"c{i}_{j}").alias("corr")))
-    return row.select(F.explode(F.array(*structs)).alias("x")).select("x.*")
+    values = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("x"))
+    means = df.agg(*[F.avg(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = [means[f"m{i}"] or 0.0 for i in range(len(cols))]
+    sums = (values.mapInArrow(_pair_sums(shift), "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
+    ok = (vx > F.lit(1e-12) * n * F.col("sxx")) & (vy > F.lit(1e-12) * n * F.col("syy"))
+    corr = F.when(ok, (n * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.element_at(names, F.col("i") + 1).alias("col_a"), F.element_at(names, F.col("j") + 1).alias("col_b"),
+                       F.when(corr.isNotNull(), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0))).alias("corr"))
+
+
+def _pair_sums(shift: Sequence[float]):
+    """Arrow map: arrays of doubles (missing: null or NaN) to the pair sums of the task."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        d = len(shift)
+        total = np.zeros((6, d, d))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, d) - np.array(shift)
+            there = ~np.isnan(x)
+            x, p = np.where(there, x, 0.0), there.astype(float)
+            sx, sxx = x.T @ p, (x * x).T @ p
+            total += np.stack([p.T @ p, sx, sx.T, sxx, sxx.T, x.T @ x])
+        i, j = np.divmod(np.arange(d * d, dtype=np.int32), d)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *(pa.array(t.ravel()) for t in total)],
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str,
@@ -314,35 +337,55 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str,
     return pearson_matrix(wide, columns)
 
 
-def kde_curves(df: DataFrame, column: str, label: str, points: int = 200, bins: int = 4096) -> DataFrame:
-    """Class-conditional Gaussian KDE on a grid (Scott bandwidth) — the data behind the plots.
+def kde_curves(df: DataFrame, columns: Sequence[str], label: str, points: int = 200) -> DataFrame:
+    """Class-conditional Gaussian density of every column on a grid (Scott bandwidth): the data behind the
+    plots, (feature, y, i, g, density).
 
-    Linear-binned KDE: rows are first reduced to counts on ``bins`` equal-width
-    cells per class (one grouped aggregation, size independent of the data);
-    the kernel sum then runs over (cell x grid point) pairs of two tiny frames.
-    The cell width is range / bins, far below any bandwidth, so the curve
-    matches the exact KDE to plotting precision while the big table is never
-    multiplied by the grid.
+    Rows are first reduced to counts per (feature, class, value) by one scan; the kernel sum runs over the distinct
+    values themselves.  A value reaches the grid points within ``KERNEL_REACH`` bandwidths, beyond which a kernel
+    is below 1e-16 of its height; sums are combined per task, so ``points`` rows a class and column are shuffled.
+    Columns of one value, and classes with fewer than two rows, have no bandwidth and no curve.
+    """
+    d = df.where(F.col(label).isNotNull())
+    long = melt_values(d, list(columns), (), [F.col(label).alias("y")]).where(F.col("num").isNotNull())
+    counts = cut_lineage(long.groupBy("feature", "y", F.col("num").alias("x")).agg(F.count(F.lit(1)).cast("double").alias("c")))
+    # one row per column, or per column and class, from here on
+    span = counts.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    mean = counts.groupBy("feature", "y").agg(F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("x")) / F.sum("c")).alias("mean"))
+    near = counts.join(F.broadcast(mean), ["feature", "y"])
+    spread = near.groupBy("feature", "y").agg(F.max("n").alias("n"), F.sum(F.col("c") * F.pow(F.col("x") - F.col("mean"), F.lit(2))).alias("ss"))
+    told = spread.join(span, "feature").select(
+        "feature", "y", "n", "lo", ((F.col("hi") - F.col("lo")) / F.lit(max(points - 1, 1))).alias("step"),
+        (F.sqrt(F.col("ss") / (F.col("n") - 1)) * F.pow("n", F.lit(-0.2))).alias("h")).where((F.col("n") > 1) & (F.col("h") > 0))
+    j = counts.join(F.broadcast(told), ["feature", "y"])
+    x, h = F.col("x") - F.col("lo"), F.col("h")
+    first = F.greatest(F.ceil((x - h * KERNEL_REACH) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((x + h * KERNEL_REACH) / F.col("step")), F.lit(points - 1))
+    j = j.withColumn("i", F.explode(F.when(first <= last, F.sequence(first, last)))).withColumn("g", F.col("lo") + F.col("step") * F.col("i"))
+    z = (F.col("x") - F.col("g")) / h
+    kernel = F.col("c") * F.exp(-0.5 * z * z) / (h * F.lit((2 * math.pi) ** 0.5) * F.col("n"))
+    found = j.groupBy("feature", "y", "i").agg(F.sum(kernel).alias("density"))
+    grid = told.select("feature", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))).alias("i"),
+                       "lo", "step")
+    return (grid.join(found, ["feature", "y", "i"], "left")
+            .select("feature", "y", "i", (F.col("lo") + F.col("step") * F.col("i")).alias("g"), F.coalesce("density", F.lit(0.0)).alias("density")))
+
+
+def feature_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = "TARGET", bins: int = 10) -> DataFrame:
+    """Q14: (feature, kind, bucket, count, default_rate) of every column from one count table.
+
+    Categories by value (F14, F15); numbers in ``bins`` equal-width right-closed bins over [min, max] whose first
+    bin leaves the minimum out, as the profile's cut does (F16); missing values are left out of both.
     """
-    d = df.where(F.col(column).isNotNull() & F.col(label).isNotNull()) \
-        .select(F.col(column).cast("double").alias("x"), F.col(label).alias("y"))
-    rng = d.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).withColumn("_j", F.lit(0))
-    st = d.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd")) \
-        .select("y", "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"))
+    counts = count_table(df, numeric, categorical, label)
+    span = counts.groupBy("feature").agg(F.min("num").alias("lo"), F.max("num").alias("hi"))  # one row per column
+    j = counts.join(F.broadcast(span), "feature")
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    cell = F.least(F.floor((F.col("x") - F.col("lo")) / F.when(width > 0, width).otherwise(F.lit(1.0))),
-                   F.lit(bins - 1))
-    hist = (d.withColumn("_j", F.lit(0)).join(F.broadcast(rng), "_j")
-              .groupBy("y", cell.alias("cell")).agg(F.count(F.lit(1)).alias("c"), F.avg("x").alias("xc")))
-    grid = rng.select(F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), "lo", "hi") \
-        .select("i", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / F.lit(max(points - 1, 1)))
-                .alias("g"), F.lit(0).alias("_j"))
-    hb = hist.join(F.broadcast(st), "y").withColumn("_j", F.lit(0))
-    # both sides are bounded: classes x bins cells, ``points`` grid values
-    j = hb.join(F.broadcast(grid), "_j").where(F.col("h") > 0)
-    z = (F.col("xc") - F.col("g")) / F.col("h")
-    k = F.col("c") * F.exp(-0.5 * z * z) / (F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5))
-    return j.groupBy("y", "i", "g").agg((F.sum(k) / F.first("n")).alias("density"))
+    place = F.least(F.greatest(F.ceil((F.col("num") - F.col("lo")) / width) - 1, F.lit(0)), F.lit(bins - 1))
+    bucket = F.when(F.col("num") > F.col("lo"), place.cast("string")).when((F.col("gaps") == 0) & F.col("cat").isNotNull(), F.col("cat"))
+    cells = j.select("feature", F.when(F.col("cat").isNull(), "bin").otherwise("value").alias("kind"), bucket.alias("bucket"), "w", "pos")
+    return (cells.where("bucket is not null and w > 0").groupBy("feature", "kind", "bucket")
+            .agg(F.sum("w").alias("count"), (F.sum("pos") / F.sum("w")).alias("default_rate")))
 
 
 def label_balance(df: DataFrame, label: str = "TARGET") -> DataFrame:

@@ -129,3 +129,36 @@ def feature_set(app: DataFrame, version: int = 7, onehot_columns: Sequence[str]
         d = document_contact_features(d)
     cats = _strings(d) if onehot_columns is None else list(onehot_columns)
     return onehot(d, cats, split_col=SPLIT)
+
+
+CODE = "__CODE"  #: suffix of a category column's target-order code in the wide frame
+
+
+def wide_features(app: DataFrame, zero: str = "null") -> tuple[DataFrame, dict[int, list[str]]]:
+    """Q7 for all versions at once: one frame, and the columns of each version v0..v7.
+
+    Every block is computed once.  A category column appears as its target-order code (v1, v7) and as dummies
+    (the other versions), so a version is a choice of columns and no frame is built, joined or scanned twice.
+    """
+    base = deal_anomalies(app)
+    plain = [c for c in base.columns if c not in KEYS and c not in LABEL_COLUMNS]
+    with_codes = base.select("*", *[F.col(c).alias(f"{c}{CODE}") for c in LABEL_COLUMNS])
+    coded = target_order_encode(with_codes, [f"{c}{CODE}" for c in LABEL_COLUMNS], TARGET, SPLIT)
+    blocks: dict[str, list[str]] = {}
+    for name, build in (("domain", lambda d: domain_features(d, zero)), ("age", lambda d: age_features(d, zero)), ("region", region_features),
+                        ("ext", ext_source_features), ("document", document_contact_features)):
+        before = set(coded.columns)
+        coded = build(coded)
+        blocks[name] = [c for c in coded.columns if c not in before]
+    others = [c for c in _strings(base) if c not in LABEL_COLUMNS]
+    seen = set(coded.columns)
+    wide = onehot(coded, [*LABEL_COLUMNS, *others], split_col=SPLIT)
+    dummies = [c for c in wide.columns if c not in seen]
+    other_dummies = [c for c in dummies if any(c.startswith(f"{o}_") for o in others)]
+    codes = [f"{c}{CODE}" for c in LABEL_COLUMNS]
+    plain = [c for c in plain if c not in others]
+    versions = {0: plain + dummies, 1: plain + codes + other_dummies, 2: plain + dummies + blocks["domain"],
+                3: plain + dummies + blocks["age"], 4: plain + dummies + blocks["region"], 5: plain + dummies + blocks["ext"],
+                6: plain + dummies + blocks["document"],
+                7: plain + codes + other_dummies + blocks["domain"] + blocks["age"] + blocks["ext"] + blocks["document"]}
+    return wide, versions

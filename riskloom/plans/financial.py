@@ -64,10 +64,16 @@ def rebuilt_term_block(prev: DataFrame, app: DataFrame, num_trees: int = 30, max
                                    seed=seed).fit(train)
     scored = model.transform(va.transform(sc)).select(ID, "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE",
                                                        vector_to_array("probability").alias("_p"))
-    lab = F.array(*[F.lit(x) for x in labels])
+    return implied_rates(scored, labels)
+
+
+def implied_rates(scored: DataFrame, terms: list[int], probabilities: str = "_p") -> DataFrame:
+    """B41, B42, B27 of rows with an array of class probabilities, one for each of ``terms``: the likeliest term,
+    the sum of squared probabilities, and the rates that the term implies on credit and goods."""
+    lab = F.array(*[F.lit(x) for x in terms])
     # equal probabilities: the smallest term wins
-    best = -F.array_max(F.arrays_zip(F.col("_p").alias("p"), F.transform(lab, lambda t: -t).alias("t")))["t"]
-    cert = F.aggregate(F.col("_p"), F.lit(0.0), lambda a, x: a + x * x)
+    best = -F.array_max(F.arrays_zip(F.col(probabilities).alias("p"), F.transform(lab, lambda t: -t).alias("t")))["t"]
+    cert = F.aggregate(F.col(probabilities), F.lit(0.0), lambda a, x: a + x * x)
     out = scored.select(ID, "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE",
                         best.alias("REBUILT_CNT"), cert.alias("CERTAINTY"))
     return out.select(ID, "REBUILT_CNT", "CERTAINTY",

@@ -54,7 +54,7 @@ def label_ctes() -> dict[str, str]:
     return ctes
 
 
-def v7_sql() -> str:
+def v7_body() -> str:
     a1, a2 = anomalies_sql()
     ctes = {"a1": a1, "a2": a2}
     ctes.update(label_ctes())
@@ -84,7 +84,10 @@ def v7_sql() -> str:
     fin = ("SELECT *, EXT_MEAN * (-DAYS_BIRTH / 365.0) AS EXT_MEAN_X_AGE, "
            "EXT_MEAN * CASE WHEN AMT_INCOME_TOTAL > -1 THEN ln(1 + AMT_INCOME_TOTAL) END AS EXT_MEAN_X_LOG_INCOME, "
            "(DOCS_SUBMITTED_CNT > 0)::INTEGER AS DOCS_ANY FROM g")
-    body = with_fixtures("app", extra=ctes) + fin
+    return with_fixtures("app", extra=ctes) + fin
+
+
+def v7_sql() -> str:
     cols = (["SK_ID_CURR", "split", "TARGET"] + APP_COLS + ["DAYS_EMPLOYED_ANOM", "MISS__OWN_CAR_AGE",
             "ROW_MISSING_RATIO", "CREDIT_TO_INCOME", "ANNUITY_TO_INCOME", "GOODS_TO_INCOME",
             "ANNUITY_TO_CREDIT", "TERM_MONTHS_EST", "CREDIT_TO_GOODS", "INCOME_PER_PERSON", "EMPLOY_TO_AGE",
@@ -93,4 +96,4 @@ def v7_sql() -> str:
             "CONTACT_FLAGS_SUM"])
     ints = INT_APP | set(LABELS) | {"SK_ID_CURR", "TARGET", "DAYS_EMPLOYED_ANOM", "MISS__OWN_CAR_AGE",
                                     "EXT_MISSING_CNT", "DOCS_SUBMITTED_CNT", "DOCS_ANY", "CONTACT_FLAGS_SUM"}
-    return canon(body, cols, ints, strings={"split"})
+    return canon(v7_body(), cols, ints, strings={"split"})

@@ -22,6 +22,29 @@ def financial_sql() -> str:
     return canon(body, ["SK_ID_CURR", "TERM", "INTEREST_RATE"], {"SK_ID_CURR", "TERM"})
 
 
+def term_features_sql() -> str:
+    def div(a, b):
+        return f"CASE WHEN {b} <> 0 THEN ({a})::DOUBLE / {b} END"
+
+    c, g, n = "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_ANNUITY"
+    names = {"screwratio1": div(f"{c} - {g}", g), "screwratio2": div(f"{c} - {g}", c), "saint_CNT": div(c, n), "angel_CNT": div(g, n),
+             "simple_diff": f"{c} - {g}"}
+    body = with_fixtures("app") + f"SELECT SK_ID_CURR, {c}, {n}, {g}, {', '.join(f'{x} AS {k}' for k, x in names.items())} FROM app"
+    return canon(body, ["SK_ID_CURR", c, n, g, *names], {"SK_ID_CURR"})
+
+
+def implied_rates_sql(terms: list[int]) -> str:
+    """Likeliest term (ties to the smallest), certainty and implied rates, from weights that follow from the id."""
+    weights = ", ".join(f"((SK_ID_CURR * {3 + 2 * i}) % 7 + 1)::DOUBLE" for i in range(len(terms)))
+    body = with_fixtures("app", extra={
+        "w": f"SELECT *, [{weights}] AS w FROM app",
+        "p": "SELECT *, list_transform(w, lambda x: x / list_sum(w)) AS p FROM w",
+        "b": f"SELECT *, ({terms})[list_position(p, list_max(p))] AS t, list_sum(list_transform(p, lambda x: x * x)) AS certainty FROM p",
+    }) + (f"SELECT SK_ID_CURR, t AS REBUILT_CNT, certainty AS CERTAINTY, {_rate('t::DOUBLE', 'AMT_ANNUITY', 'AMT_CREDIT')} AS RATE_CREDIT, "
+          f"{_rate('t::DOUBLE', 'AMT_ANNUITY', 'AMT_GOODS_PRICE')} AS RATE_GOODS FROM b")
+    return canon(body, ["SK_ID_CURR", "REBUILT_CNT", "CERTAINTY", "RATE_CREDIT", "RATE_GOODS"], {"SK_ID_CURR", "REBUILT_CNT"})
+
+
 def rank_qbin_sql(col: str = "EXT_SOURCE_2", q: int = 64) -> str:
     r = (f"SELECT SK_ID_CURR, row_number() OVER (ORDER BY {col}, SK_ID_CURR) AS r, count(*) OVER () AS n "
          f"FROM app WHERE {col} IS NOT NULL")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .application_sql import LABELS, v7_sql
+from .application_sql import LABELS, v7_body, v7_sql
 from .blend_sql import MODELS, WEIGHTS, folds_sql
 from .blocks_sql import assembly_sql, prev_block_sql
 from .encode_sql import financial_sql
@@ -110,18 +110,64 @@ def onehot_long_sql() -> str:
     return canon(body, ["SK_ID_CURR", "feature", "value"], {"SK_ID_CURR", "value"}, strings={"feature"})
 
 
-def kde_sql(col: str = "EXT_SOURCE_2", points: int = 200, bins: int = 4096) -> str:
+def kde_sql(points: int = 200) -> str:
+    """Every row's kernel at every grid point."""
+    cols = ", ".join(f"{c}::DOUBLE AS {c}" for c in NUM_COLS)
     body = with_fixtures("app", extra={
-        "d": f"SELECT {col}::DOUBLE AS x, TARGET AS y FROM app WHERE split = 'train' AND {col} IS NOT NULL "
-             f"AND TARGET IS NOT NULL",
-        "rng": "SELECT min(x) AS lo, max(x) AS hi FROM d",
-        "st": "SELECT y, count(*) AS n, stddev_samp(x) * pow(count(*)::DOUBLE, -0.2) AS h FROM d GROUP BY y",
-        "hist": f"SELECT y, least(floor((x - lo) / CASE WHEN (hi - lo) / {bins} > 0 THEN (hi - lo) / {bins} "
-                f"ELSE 1.0 END), {bins - 1}) AS cell, count(*) AS c, avg(x) AS xc FROM d, rng GROUP BY y, cell",
-        "grid": f"SELECT i::INTEGER AS i, lo + (hi - lo) * i / {max(points - 1, 1)} AS g FROM rng, range({points}) t(i)",
-    }) + ("SELECT hist.y, grid.i, grid.g, sum(c * exp(-0.5 * ((xc - g) / h) * ((xc - g) / h)) / (h * sqrt(2 * pi()))) "
-          "/ any_value(n) AS density FROM hist JOIN st USING (y), grid WHERE h > 0 GROUP BY hist.y, grid.i, grid.g")
-    return canon(body, ["y", "i", "g", "density"], {"y", "i"})
+        "l": f"SELECT * FROM (SELECT TARGET AS y, {cols} FROM app WHERE split = 'train') UNPIVOT (x FOR feature IN ({', '.join(NUM_COLS)}))",
+        "r": "SELECT feature, min(x) AS lo, max(x) AS hi FROM l GROUP BY feature",
+        "st": "SELECT feature, y, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS h FROM l GROUP BY feature, y",
+        "g": f"SELECT feature, i, lo + (hi - lo) / {points - 1} * i AS g FROM r, range({points}) t(i)",
+        "v": "SELECT feature, y, x, count(*) AS c FROM l GROUP BY ALL",
+    }) + ("SELECT v.feature, v.y, g.i, g.g, sum(v.c * exp(-0.5 * pow((v.x - g.g) / st.h, 2))) / any_value(st.n * st.h * sqrt(2 * pi())) AS density "
+          "FROM v JOIN st USING (feature, y) JOIN g USING (feature) WHERE st.h > 0 GROUP BY v.feature, v.y, g.i, g.g")
+    return canon(body, ["feature", "y", "i", "g", "density"], {"y", "i"}, strings={"feature"})
+
+
+def profile_sql(bins: int = 10) -> str:
+    """Q14: counts and rates by value, and by equal-width bin without the minimum."""
+    cols = ", ".join(f"{c}::DOUBLE AS {c}" for c in NUM_COLS)
+    body = with_fixtures("app", extra={
+        "l": f"SELECT * FROM (SELECT TARGET AS y, {cols} FROM app WHERE split = 'train') UNPIVOT (x FOR feature IN ({', '.join(NUM_COLS)}))",
+        "r": "SELECT feature, min(x) AS lo, max(x) AS hi FROM l GROUP BY feature",
+        "b": f"SELECT feature, 'bin' AS kind, least(greatest(ceil((x - lo) / ((hi - lo) / {bins})) - 1, 0), {bins - 1})::INTEGER::VARCHAR AS bucket, y "
+             "FROM l JOIN r USING (feature) WHERE x > lo",
+        "c": f"SELECT feature, 'value' AS kind, v AS bucket, y FROM (SELECT TARGET AS y, {', '.join(LABELS)} FROM app WHERE split = 'train') "
+             f"UNPIVOT (v FOR feature IN ({', '.join(LABELS)}))",
+    }) + ("SELECT feature, kind, bucket, count(*) AS count, avg(y) AS default_rate FROM (SELECT * FROM b UNION ALL SELECT * FROM c) GROUP BY ALL")
+    return canon(body, ["feature", "kind", "bucket", "count", "default_rate"], {"count"}, strings={"feature", "kind", "bucket"})
+
+
+def versions_sql() -> str:
+    """Q7: present values and sums of every column of v0..v7, each set written out."""
+    from .application_sql import APP_COLS
+    plain = [c for c in APP_COLS if c not in LABELS] + ["DAYS_EMPLOYED_ANOM", "MISS__OWN_CAR_AGE", "ROW_MISSING_RATIO"]
+    domain = ["CREDIT_TO_INCOME", "ANNUITY_TO_INCOME", "GOODS_TO_INCOME", "ANNUITY_TO_CREDIT", "TERM_MONTHS_EST", "CREDIT_TO_GOODS", "INCOME_PER_PERSON"]
+    age = ["EMPLOY_TO_AGE", "OWN_CAR_AGE_NORM", "CHILDREN_PER_10Y"]
+    ext = ["EXT_MEAN", "EXT_STD", "EXT_MIN", "EXT_MAX", "EXT_MEAN_X_AGE", "EXT_MEAN_X_LOG_INCOME", "EXT_MISSING_CNT"]
+    document = ["DOCS_SUBMITTED_CNT", "DOCS_ANY", "CONTACT_FLAGS_SUM"]
+    region = ["REGION_RATING_DIFF", "ADDR_MISMATCH_SUM"]
+    sets = {0: [], 2: domain, 3: age, 4: region, 5: ext, 6: document}
+    rows = [(v, c) for v, cols in sets.items() for c in plain + cols]
+    rows += [(1, c) for c in plain] + [(7, c) for c in plain + domain + age + ext + document]
+    numbers = list(dict.fromkeys([*plain, *domain, *age, *ext, *document]))
+    sums = [f"SELECT '{c}' AS feature, count({c}) AS present, sum({c})::DOUBLE AS total FROM w" for c in numbers]
+    sums += [f"SELECT '{c}__CODE', count({c}), sum({c})::DOUBLE FROM w" for c in LABELS]
+    sums += [f"SELECT feature, present, total::DOUBLE FROM (SELECT '{c}' AS feature, count({c}) AS present, sum({c}) AS total FROM rg)" for c in region]
+    dummies = " UNION ALL ".join(
+        f"SELECT '{c}_' || {c} AS feature, (SELECT count(*) FROM app) AS present, count(*)::DOUBLE AS total FROM app WHERE {c} IS NOT NULL "
+        f"GROUP BY {c} HAVING count(DISTINCT split) = 2" for c in LABELS)
+    addr = ["REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION",
+            "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "LIVE_CITY_NOT_WORK_CITY"]
+    values = ", ".join(f"({v}, '{c}')" for v, c in rows + [(v, f"{c}__CODE") for v in (1, 7) for c in LABELS])
+    body = with_fixtures("app", extra={
+        "w": v7_body(),
+        "rg": f"SELECT REGION_RATING_CLIENT - REGION_RATING_CLIENT_W_CITY AS REGION_RATING_DIFF, {' + '.join(f'coalesce({c}, 0)' for c in addr)} "
+              "AS ADDR_MISMATCH_SUM FROM app",
+        "s": " UNION ALL ".join(sums), "dm": dummies,
+        "m": f"SELECT * FROM (VALUES {values}) t(version, feature) UNION ALL SELECT v, feature FROM dm, (VALUES (0), (2), (3), (4), (5), (6)) t(v)",
+    }) + "SELECT m.version, m.feature, present, total FROM m JOIN (SELECT * FROM s UNION ALL SELECT * FROM dm) USING (feature)"
+    return canon(body, ["version", "feature", "present", "total"], {"version", "present"}, strings={"feature"})
 
 
 def prediction_files_sql() -> str:

@@ -103,8 +103,12 @@ def pearson_sql(cols: list[str]) -> str:
     parts = []
     for a in cols:
         for b in cols:
-            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}::DOUBLE, {b}::DOUBLE) AS corr FROM app")
-    body = with_fixtures("app") + " UNION ALL ".join(parts)
+            parts.append(f"corr({a}::DOUBLE, {b}::DOUBLE)")
+    # one pass; NaN where one side has a single value
+    pairs = ", ".join(f"('{a}', '{b}')" for a in cols for b in cols)
+    body = with_fixtures("app", extra={"c": f"SELECT unnest([{', '.join(parts)}]) AS corr, unnest(range({len(parts)})) AS i FROM app",
+                                       "p": f"SELECT *, row_number() OVER () - 1 AS i FROM (VALUES {pairs}) t(col_a, col_b)"}) + \
+        "SELECT col_a, col_b, CASE WHEN NOT isnan(corr) THEN corr END AS corr FROM p JOIN c USING (i)"
     return canon(body, ["col_a", "col_b", "corr"], set(), strings={"col_a", "col_b"})
 
 
