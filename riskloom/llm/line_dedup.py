@@ -5,15 +5,20 @@ most one edit for each ``edit_chars`` characters of the shorter line; linked lin
 number of links, are one cluster, and its first line by (document id, line number) is kept.
 
 Method (PassJoin: Li et al. 2011).  A line cut into ``edits + 1`` segments keeps one whole under ``edits``
-edits.  Distinct lines are indexed by (length, segment number, segment), and each line probes the
-index of its own and the shorter lengths with the substrings that a multi-match-aware selection allows:
-those shifted by at most ``i - 1`` from the left and ``edits + 1 - i`` from the right.  Index and probes
-meet in a shuffled hash-key join that only passes pairs of different lines.  Candidates are
-verified by a banded bit-parallel edit distance (Hyyro 2003): one 64-bit word slides along the
+edits.  Lines are indexed by (length, segment number, segment), and each line probes the index of its own and the
+shorter lengths with the substrings that a multi-match-aware selection allows: those shifted by at most ``i - 1``
+from the left and ``edits + 1 - i`` from the right.  A line's own segments serve as its probes without a shift.
+Index keys and probes are rows of two numbers, dealt by key once; texts stay where they are.  Only keys that hold an
+indexed line and a second line go on (*postings*).
+
+Candidates meet heads first: every line of a key is compared with the key's smallest indexed line, which is linear in the
+postings.  Keys whose lines are still in several components get a second head from the lines outside the first
+one's component, and only keys that hold several components after ``HEADS`` rounds are compared pair by pair, between
+components.  A pair is verified by a banded bit-parallel edit distance (Hyyro 2003): one 64-bit word slides along the
 diagonal with the ``2 * edits + 1`` cells of the band, whatever the length of the line.
 
 The texts of candidates alone are fetched for that, by a bitmap of line hashes of fixed size (a superset; the
-join after it is exact).  Lines are named by a 64-bit hash.  Components run by graph rounds.
+join after it is exact).  Lines are named by a 63-bit hash.  Components run by graph rounds.
 
 Defined results: lines shorter than ``min_chars`` and blank ones take no part and have no row; lines too short for
 an edit (``edits`` characters, or under ``edit_chars``) link by equality alone, at any length; null text has
@@ -23,18 +28,19 @@ all others; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
 from riskloom.llm.state import BITMAP_LOG2, cut, unused
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i = 0 .. parts - 1; the last ones are longer by one."""
-    base, extra = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    start = base * i + F.greatest(F.lit(0), extra - (parts - i))
-    return start, base + F.when(extra >= parts - i, 1).otherwise(0)
+HEADS = 3  #: rounds in which a key's lines meet one line only
+
+
+def line_id(line: str = "line") -> Column:
+    """Hash of a line; the lowest bit is free to mark postings of the index."""
+    return F.xxhash64(line).bitwiseAND(F.lit(-2))
 
 
 def _levels(edits: int, edit_chars: int | None) -> list[tuple[int, int, int | None]]:
@@ -44,52 +50,47 @@ def _levels(edits: int, edit_chars: int | None) -> list[tuple[int, int, int | No
     return [(k, k * edit_chars, (k + 1) * edit_chars if k < edits else None) for k in range(1, edits + 1)]
 
 
-def _within(n: Column, low: int, end: int | None) -> Column:
-    return n >= low if end is None else (n >= low) & (n < end)
-
-
-def _key(length: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i), piece)
-
-
-def _index_keys(line: Column, n: Column, edits: int) -> Column:
-    out = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits + 1)
-        out.append(_key(n, i, F.substring(line, start + 1, size)))
-    return F.array(*out)
+def _keys(levels: list, sure: bool) -> str:
+    """SQL array of (parts, shorter, segment, shift, own, low, end): the keys of a line of n characters.
 
-
-def _level_index_keys(line: Column, n: Column, levels: list) -> Column:
-    """Null for lines too short for an edit."""
-    out = F
-    for k, low, end in reversed(levels):
-        out = out.when(_within(n, low, end), _index_keys(line, n, k))
-    return out
-
-
-def _probe_keys(line: Column, n: Column, levels: list) -> Column:
-    """Structs of (key, same): ``same`` tells that the indexed line has this line's length.
-
-    The indexed line is the shorter one, so its length sets the edits and the segments.
+    ``own`` keys are the line's segments, for the index and as probes without a shift; the others are substrings
+    that may be a segment of a line of n - shorter characters.  The indexed line is the shorter one, so its
+    length sets the edits and the segments.  ``sure``: the line is long enough for the last level alone.
     """
-    def probes(edits: int, low: int, end: int | None, sure: bool) -> list[Column]:
-        out = []
+    out = []
+    for edits, low, end in levels[-1:] if sure else levels:
         for shorter in range(edits + 1):
             for i in range(edits + 1):
-                start, size = _segment(n - shorter, i, edits + 1)
-                left, right = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
-                for shift in range(left, right + 1):
-                    at = start + shift
-                    there = (at >= 0) & (at + size <= n)
-                    key = F.when(there if sure else _within(n - shorter, low, end) & there,
-                                 _key(n - shorter, i, F.substring(line, at + 1, size)))
-                    out.append(F.struct(key.alias("key"), F.lit(shorter == 0).alias("same")))
-        return out
+                for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
+                    out.append(f"named_struct('parts', {edits + 1}, 's', {shorter}, 'i', {i}, 'd', {shift}, "
+                               f"'own', {int(shorter == 0 and shift == 0)}, 'low', {low}, 'end', {end or 2 ** 31 - 1})")
+    return f"array({', '.join(out)})"
+
 
+def _posted(lines: DataFrame, levels: list) -> DataFrame:
+    """(key, tag) of all keys of all lines; the tag is the line's id, plus one if the key is its own segment."""
     edits, low, _ = levels[-1]
-    every = [p for level in levels for p in probes(*level, sure=False)]
-    return F.when(n >= low + edits, F.array(*probes(*levels[-1], sure=True))).when(n >= levels[0][1], F.array(*every))
+    each = lines.where(F.col("chars") >= levels[0][1]).select(line_id().alias("id"), "line", "chars", F.expr(
+        "octet_length(line) = chars").alias("plain"), F.expr(
+        f"inline(if(chars >= {low + edits}, {_keys(levels, True)}, {_keys(levels, False)}))"))
+    each = each.selectExpr("id", "line", "chars", "plain", "parts", "i", "own", "low", "end", "chars - s as m",
+                           "cast(floor((chars - s) / parts) as int) as base", "cast((chars - s) % parts as int) as extra", "d")
+    each = each.where("m >= low and m < end").selectExpr(
+        "id", "line", "chars", "plain", "i", "own", "m", "base * i + greatest(0, extra - (parts - i)) + d as at",
+        "base + if(extra >= parts - i, 1, 0) as size")
+    # characters are bytes in a plain line, so its pieces need no search for their start
+    piece = "if(plain, substring(cast(line as binary), at + 1, size), cast(substring(line, at + 1, size) as binary))"
+    return each.where("at >= 0 and at + size <= chars").selectExpr(f"xxhash64(m, i, {piece}) as key", "id + own as tag")
+
+
+def _postings(lines: DataFrame, levels: list) -> DataFrame:
+    """(key, id, own, head) of keys that hold an indexed line and another line; ``head`` is the smallest indexed one."""
+    whole = Window.partitionBy("key")
+    own = F.col("tag").bitwiseAND(F.lit(1)) == 1
+    id_ = F.col("tag").bitwiseAND(F.lit(-2))
+    met = (_posted(lines, levels).withColumn("head", F.min(F.when(own, id_)).over(whole))
+           .withColumn("low", F.min(id_).over(whole)).withColumn("high", F.max(id_).over(whole)))
+    return met.where("head is not null and low <> high").select("key", id_.alias("id"), own.alias("own"), "head").distinct()
 
 
 def banded_distance(a: str, b: str, edits: int) -> Column:
@@ -129,39 +130,67 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
             .withColumn("chars", F.length("line")).where((F.col("chars") >= min_chars) & F.col("line").rlike(r"\S")))
 
 
-def _candidates(lines: DataFrame, levels: list) -> DataFrame:
-    """(a, b) of distinct lines that share a segment at a possible shift, a < b."""
-    distinct = lines.groupBy("line").agg(F.first("chars").alias("chars")).withColumn("id", F.xxhash64("line"))
-    line, n = F.col("line"), F.col("chars")
-    index = distinct.select("id", F.explode(_level_index_keys(line, n, levels)).alias("key"))
-    probe = (distinct.select(F.col("id").alias("other"), F.explode(_probe_keys(line, n, levels)).alias("p"))
-             .select("other", F.col("p.key").alias("key"), F.col("p.same").alias("same")).where("key is not null"))
-    met = index.join(probe, (index["key"] == probe["key"]) & F.when(F.col("same"), F.col("id") < F.col("other"))
-                     .otherwise(F.col("id") != F.col("other")))
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, line) of the distinct lines named in ``wanted``, and of a few that share their bit."""
     mask = F.lit((1 << BITMAP_LOG2) - 1)
     bit = lambda c: F.col(c).bitwiseAND(mask)
     words = (wanted.groupBy(F.shiftright(bit("id"), 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(id & 63 as int))")).alias("bits")))  # at most 2**18 rows
-    named = lines.withColumn("id", F.xxhash64("line")).withColumn("word", F.shiftright(bit("id"), 6))
+    named = lines.withColumn("id", line_id()).withColumn("word", F.shiftright(bit("id"), 6))
     return (named.join(F.broadcast(words), "word").where(F.expr("shiftright(bits, cast(id & 63 as int)) & 1 = 1"))
             .groupBy("id").agg(F.min("line").alias("line")))
 
 
-def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> DataFrame:
-    """(u, v) hashes of different lines within ``edits`` edits, or as many as the shorter line's length allows."""
-    pairs = cut(_candidates(lines, _levels(edits, edit_chars)))
+def _verified(lines: DataFrame, pairs: DataFrame, edits: int, edit_chars: int | None) -> DataFrame:
+    """(u, v) of the pairs (a, b) within the allowed edits."""
+    pairs = cut(pairs.distinct())
     texts = cut(_texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"))
     most = F.lit(edits)
     if edit_chars:
         most = F.least(most, F.floor(F.least(F.length("la"), F.length("lb")) / edit_chars))
-    return both.where(banded_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return cut(both.where(banded_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _open(postings: DataFrame, links: DataFrame) -> DataFrame:
+    """Postings with their components, of the keys whose lines are in several components, one of them indexed."""
+    roots = components(links)
+    named = (postings.join(roots.withColumnRenamed("node", "id"), "id", "left")
+             .select("key", "id", "own", "head", F.coalesce("root", "id").alias("root")))
+    many = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    return cut(named.join(many, "key"))
+
+
+def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> DataFrame:
+    """(u, v) of lines within ``edits`` edits, or as many as the shorter line's length allows.
+
+    Not every such pair, but links that join the same lines to components as all of them would.
+    """
+    postings = cut(_postings(lines, _levels(edits, edit_chars)))
+    links = _verified(lines, postings.where("id <> head").select(*_pair("id", "head")), edits, edit_chars)
+    left = _open(postings, links)
+    for _ in range(HEADS - 1):
+        if left.isEmpty():
+            return links
+        # the next head: the smallest indexed line outside the components of the heads so far
+        of = left.where("id = head").select("key", F.col("root").alias("head_root")).distinct()
+        outside = left.join(of, "key").where("root <> head_root").drop("head_root")
+        heads = outside.where("own").groupBy("key").agg(F.min("id").alias("next"))
+        met = left.join(heads, "key")
+        found = _verified(lines, met.where("id <> next").select(*_pair("id", "next")), edits, edit_chars)
+        links = cut(links.union(found))
+        left = _open(met.select("key", "id", "own", F.col("next").alias("head")).union(
+            left.join(heads, "key", "left_anti").select("key", "id", "own", "head")), links)
+    if left.isEmpty():
+        return links
+    a, b = left.where("own").alias("a"), left.alias("b")
+    rest = a.join(b, F.col("a.key") == F.col("b.key")).where("a.root <> b.root and a.id <> b.id").select(*_pair("a.id", "b.id"))
+    return links.union(_verified(lines, rest, edits, edit_chars))
 
 
 def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
@@ -173,7 +202,7 @@ def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not 1 <= edits <= 20 or min_chars < 1 or edit_chars is not None and edit_chars < 2:
         raise ValueError("line_clusters: 1 to 20 edits, lines of a character at least, and two characters or more an edit")
     lines = _lines(docs, id_col, text_col, min_chars)
-    marks = cut(lines.select("doc", "line_no", F.xxhash64("line").alias("id")))
+    marks = cut(lines.select("doc", "line_no", line_id().alias("id")))
     joined = components(line_links(lines, edits, edit_chars))
     place = F.struct("doc", "line_no")
     classes = (marks.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n_equal"))

@@ -113,3 +113,24 @@ def test_the_query_links_lines_that_differ_in_a_short_word(spark, table, tmp_pat
     from riskloom.llm.queries import op10_line_dedup
     table([(1, "the cat sat on the mat all day"), (2, "the dog sat on the mat all day"), (3, "a bird sang in a tree at night")]).write.parquet(f"{tmp_path}/documents.parquet")
     assert {r["doc_id"]: r["cluster_doc"] for r in op10_line_dedup(spark, str(tmp_path)).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_a_family_of_near_copies_needs_linear_candidates(spark):
+    base = "all rights reserved, printed in the city by the sea"
+    rows = [(f"{base} {i:04d}",) for i in range(2000)]
+    lines = spark.createDataFrame(rows, "line string").withColumn("chars", F.length("line"))
+    postings = L._postings(lines, L._levels(4, None)).cache()
+    pairs = postings.where("id <> head").select(*L._pair("id", "head")).distinct().count()
+    assert pairs < 12 * len(rows)
+    links = L.line_links(lines, 4)
+    roots = L.components(links)
+    assert roots.count() == len(rows) and roots.select("root").distinct().count() == 1
+
+
+def test_a_key_with_lines_beyond_the_threshold_is_searched_whole(table):
+    """Lines share a segment, but differ beyond the threshold from the key's head; near ones still link."""
+    rng = random.Random(9)
+    tails = ["".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(8)]
+    docs = [(k, "the very same beginning of it all " + (t if k % 2 == 0 else t[:10] + "#" + t[11:])) for k, t in enumerate(t for t in tails for _ in range(2))]
+    got = {r["doc_id"]: r["cluster_doc"] for r in L.line_clusters(table(docs), edits=2).collect()}
+    assert got == {k: k - k % 2 for k in got}
