@@ -14,7 +14,9 @@ indexed line and a second line go on (*postings*).
 Candidates meet heads first: every line of a key is compared with the key's smallest indexed line, which is linear in the
 postings.  Keys whose lines are still in several components get a second head from the lines outside the first
 one's component, and only keys that hold several components after ``HEADS`` rounds are compared pair by pair, between
-components.  A pair is verified by a banded bit-parallel edit distance (Hyyro 2003): one 64-bit word slides along the
+components.  A line in a posting has a signature, the parities of its counts of ``LETTERS``; an edit changes two of them
+at most, so pairs that differ in more than ``2 * edits`` are dropped before any text is fetched.  Of the other
+pairs, equal halves are taken off both ends, which leaves the distance as it is, and the rest is verified by a banded bit-parallel edit distance (Hyyro 2003): one 64-bit word slides along the
 diagonal with the ``2 * edits + 1`` cells of the band, whatever the length of the line.
 
 The texts of candidates alone are fetched for that, by a bitmap of line hashes of fixed size (a superset; the
@@ -35,6 +37,8 @@ from riskloom.llm.graph import components
 from riskloom.llm.state import BITMAP_LOG2, cut, unused
 
 
+LETTERS = "etaoinsrhldcumfpgwybvkxjqz .,013"
+TRIMS = 5  #: halvings from either end before the distance is computed
 HEADS = 3  #: rounds in which a key's lines meet one line only
 
 
@@ -83,14 +87,22 @@ def _posted(lines: DataFrame, levels: list) -> DataFrame:
     return each.where("at >= 0 and at + size <= chars").selectExpr(f"xxhash64(m, i, {piece}) as key", "id + own as tag")
 
 
+def _signature(line: str) -> Column:
+    """Bit i: whether the line holds an odd number of letter i."""
+    return F.expr(" | ".join(f"shiftleft(cast((length({line}) - length(replace({line}, '{c}', ''))) & 1 as bigint), {i})"
+                             for i, c in enumerate(LETTERS)))
+
+
 def _postings(lines: DataFrame, levels: list) -> DataFrame:
-    """(key, id, own, head) of keys that hold an indexed line and another line; ``head`` is the smallest indexed one."""
+    """(key, id, own, sign) of keys that hold an indexed line and another line."""
     whole = Window.partitionBy("key")
     own = F.col("tag").bitwiseAND(F.lit(1)) == 1
     id_ = F.col("tag").bitwiseAND(F.lit(-2))
-    met = (_posted(lines, levels).withColumn("head", F.min(F.when(own, id_)).over(whole))
+    met = (_posted(lines, levels).withColumn("own", own).withColumn("any", F.max("own").over(whole))
            .withColumn("low", F.min(id_).over(whole)).withColumn("high", F.max(id_).over(whole)))
-    return met.where("head is not null and low <> high").select("key", id_.alias("id"), own.alias("own"), "head").distinct()
+    met = cut(met.where("any and low <> high").select("key", id_.alias("id"), "own").distinct())
+    signs = (_named(lines, met.select("id")).select("id", _signature("line").alias("sign")).groupBy("id").agg(F.min("sign").alias("sign")))
+    return cut(met.join(signs, "id").select("key", "id", "own", "sign"))
 
 
 def banded_distance(a: str, b: str, edits: int) -> Column:
@@ -99,6 +111,11 @@ def banded_distance(a: str, b: str, edits: int) -> Column:
     Bit k of the word at step j stands for the cell (row j - edits + k, column j).  The value at the band's
     lowest cell follows the diagonal until it reaches the last row of ``a``, then that row.
     """
+    return F.expr(_distance(a, b, edits))
+
+
+def _distance(a: str, b: str, edits: int) -> str:
+    """SQL of ``banded_distance``."""
     width, mask = 2 * edits + 1, (1 << (2 * edits + 1)) - 1
     equal = " | ".join(f"if(get(x, j + {k - edits - 1}) = get(y, j - 1), {1 << k}L, 0L)" for k in range(width))
     start = ((1 << (edits + 1)) - 1) << edits
@@ -114,8 +131,8 @@ def banded_distance(a: str, b: str, edits: int) -> Column:
     walk = f"aggregate(sequence(1, size(y)), {first}, (acc, j) -> {step}, acc -> acc.s)"
     # x and y: characters; both ends are at most ``edits`` apart in length, else nothing need be walked
     walk = f"transform(array(struct(split({a}, '') as x, split({b}, '') as y)), p -> {_inside(walk)})[0]"
-    return F.expr(f"if(abs(length({a}) - length({b})) > {edits}, {edits + 1}, if(length({a}) = 0 or length({b}) = 0, "
-                  f"greatest(length({a}), length({b})), {walk}))")
+    return (f"if(abs(length({a}) - length({b})) > {edits}, {edits + 1}, if(length({a}) = 0 or length({b}) = 0, "
+            f"greatest(length({a}), length({b})), {walk}))")
 
 
 def _inside(sql: str) -> str:
@@ -130,15 +147,36 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
             .withColumn("chars", F.length("line")).where((F.col("chars") >= min_chars) & F.col("line").rlike(r"\S")))
 
 
-def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, line) of the distinct lines named in ``wanted``, and of a few that share their bit."""
+def _named(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, line) of the lines named in ``wanted``, and of a few that share their bit; nothing is shuffled."""
     mask = F.lit((1 << BITMAP_LOG2) - 1)
-    bit = lambda c: F.col(c).bitwiseAND(mask)
+    bit = lambda c: F.shiftright(c, 1).bitwiseAND(mask)
     words = (wanted.groupBy(F.shiftright(bit("id"), 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(id & 63 as int))")).alias("bits")))  # at most 2**18 rows
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(id, 1) & 63 as int))")).alias("bits")))  # at most 2**18 rows
     named = lines.withColumn("id", line_id()).withColumn("word", F.shiftright(bit("id"), 6))
-    return (named.join(F.broadcast(words), "word").where(F.expr("shiftright(bits, cast(id & 63 as int)) & 1 = 1"))
-            .groupBy("id").agg(F.min("line").alias("line")))
+    return named.join(F.broadcast(words), "word").where(F.expr("shiftright(bits, cast(shiftright(id, 1) & 63 as int)) & 1 = 1")).select("id", "line")
+
+
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One (id, line) for each line that ``_named`` finds."""
+    return _named(lines, wanted).groupBy("id").agg(F.min("line").alias("line"))
+
+
+def _trimmed_distance(a: str, b: str, edits: int) -> Column:
+    """``banded_distance`` after common halves have been taken off either end in turn."""
+    def ends(x, first):
+        return f"substring({x}, 1, h)" if first else f"substring({x}, length({x}) - h + 1, h)"
+
+    def rest(x, first):
+        return f"substring({x}, h + 1)" if first else f"substring({x}, 1, length({x}) - h)"
+
+    def step(first):
+        return (f"h > 0 and k % 2 = {int(first)} and {ends('t.a', first)} = {ends('t.b', first)}, "
+                f"named_struct('a', {rest('t.a', first)}, 'b', {rest('t.b', first)})")
+
+    trim = (f"aggregate(sequence(1, {2 * TRIMS}), named_struct('a', {a}, 'b', {b}), (t, k) -> transform(array("
+            f"cast(floor(least(length(t.a), length(t.b)) / 2) as int)), h -> if({step(True)}, if({step(False)}, t)))[0])")
+    return F.expr(f"transform(array({trim}), w -> {_distance('w.a', 'w.b', edits)})[0]")
 
 
 def _verified(lines: DataFrame, pairs: DataFrame, edits: int, edit_chars: int | None) -> DataFrame:
@@ -149,47 +187,55 @@ def _verified(lines: DataFrame, pairs: DataFrame, edits: int, edit_chars: int |
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"))
     most = F.lit(edits)
     if edit_chars:
-        most = F.least(most, F.floor(F.least(F.length("la"), F.length("lb")) / edit_chars))
-    return cut(both.where(banded_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        most = F.least(most, F.floor(F.least(F.length("la"), F.length("lb")) / edit_chars).cast("int"))
+    return cut(both.where(_trimmed_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _near(a: str, b: str, edits: int) -> Column:
+    """Whether two signatures allow ``edits`` edits."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2 * edits
+
+
 def _open(postings: DataFrame, links: DataFrame) -> DataFrame:
     """Postings with their components, of the keys whose lines are in several components, one of them indexed."""
     roots = components(links)
     named = (postings.join(roots.withColumnRenamed("node", "id"), "id", "left")
-             .select("key", "id", "own", "head", F.coalesce("root", "id").alias("root")))
+             .select("key", "id", "own", "sign", F.coalesce("root", "id").alias("root")))
     many = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     return cut(named.join(many, "key"))
 
 
+def _met(postings: DataFrame, heads: DataFrame, edits: int) -> DataFrame:
+    """(a, b) of each line and its key's head."""
+    both = postings.join(heads.select("key", F.col("head.id").alias("head"), F.col("head.sign").alias("head_sign")), "key")
+    return both.where((F.col("id") != F.col("head")) & _near("sign", "head_sign", edits)).select(*_pair("id", "head"))
+
+
 def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> DataFrame:
     """(u, v) of lines within ``edits`` edits, or as many as the shorter line's length allows.
 
     Not every such pair, but links that join the same lines to components as all of them would.
     """
-    postings = cut(_postings(lines, _levels(edits, edit_chars)))
-    links = _verified(lines, postings.where("id <> head").select(*_pair("id", "head")), edits, edit_chars)
-    left = _open(postings, links)
-    for _ in range(HEADS - 1):
+    left = postings = _postings(lines, _levels(edits, edit_chars))
+    least = F.min(F.struct("id", "sign")).alias("head")
+    heads, links = cut(postings.where("own").groupBy("key").agg(least)), None
+    for _ in range(HEADS):
+        found = _verified(lines, _met(left, heads, edits), edits, edit_chars)
+        links = found if links is None else cut(links.union(found))
+        left = _open(left.select("key", "id", "own", "sign"), links)
         if left.isEmpty():
             return links
-        # the next head: the smallest indexed line outside the components of the heads so far
-        of = left.where("id = head").select("key", F.col("root").alias("head_root")).distinct()
-        outside = left.join(of, "key").where("root <> head_root").drop("head_root")
-        heads = outside.where("own").groupBy("key").agg(F.min("id").alias("next"))
-        met = left.join(heads, "key")
-        found = _verified(lines, met.where("id <> next").select(*_pair("id", "next")), edits, edit_chars)
-        links = cut(links.union(found))
-        left = _open(met.select("key", "id", "own", F.col("next").alias("head")).union(
-            left.join(heads, "key", "left_anti").select("key", "id", "own", "head")), links)
-    if left.isEmpty():
-        return links
+        # the next heads: the smallest indexed lines outside the components of the last ones
+        last = heads.select("key", F.col("head.id").alias("head"))
+        of = left.join(last, "key").where("id = head").select("key", F.col("root").alias("head_root")).distinct()
+        heads = cut(left.join(of, "key").where("own and root <> head_root").groupBy("key").agg(least))
     a, b = left.where("own").alias("a"), left.alias("b")
-    rest = a.join(b, F.col("a.key") == F.col("b.key")).where("a.root <> b.root and a.id <> b.id").select(*_pair("a.id", "b.id"))
+    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.id") != F.col("b.id"))
+                  & _near("a.sign", "b.sign", edits)).select(*_pair("a.id", "b.id"))
     return links.union(_verified(lines, rest, edits, edit_chars))
 
 
