@@ -7,11 +7,15 @@ distance (square root of the divergence in bits).  Short texts scatter, so the c
 ``CHAR_WORDS`` words, the word rule ``WORD_WORDS``, and the word limit falls with the root of the
 length: ``WORD_LIMIT + WORD_NOISE / sqrt(words)``.
 
-Two maps over the texts: the first finds each language's common words (every task sends the words
-that make up a share of one of its chunks, with exact counts, so the frequent words are all there),
-the second counts per document.  References are summed from the checkpointed counts and hold a row per language.
-
-Defined results: null or blank text has zero counts and fails the base rules; a null language is a
+The common words are exact and do not depend on how the rows are spread.  A first map counts words by
+hash bucket and language; a second counts each word of a language's ``HEAVY`` fullest buckets.  A word elsewhere
+occurs at most as often as its bucket, so a language is done when its next bucket holds fewer words than its
+``COMMON``-th word; for any other, a third map counts the words of every bucket that reaches that number, and no word outside
+can be common.  A last map counts per document.  References are summed from the checkpointed counts and hold a
+row per language.
+
+Defined results: equal counts are ordered by word hash; extra columns, whatever their names, play no part; a very
+long text is counted alone in its task; null or blank text has zero counts and fails the base rules; a null language is a
 language of its own; a language with fewer than ``REFERENCE_WORDS`` words is compared by characters
 with the whole corpus and by words not at all; repeated rows are judged each; an empty table gives
 no rows.
@@ -30,8 +34,8 @@ from riskloom.llm import arrowtext as T
 from riskloom.llm.state import cut, prepare
 
 COMMON = 30
-SENT = 300              #: words that a task sends per language at most, as candidates for COMMON
-SHARE = 1 / 2000        #: of a chunk's words, for a candidate
+BUCKETS_LOG2, HEAVY = 14, 64
+MOST_HELD = 1 << 20     #: partial counts in a task before it sends them
 CHAR_WORDS, CHAR_LIMIT = 30, 0.30
 WORD_WORDS, WORD_LIMIT, WORD_NOISE = 50, 0.16, 2.2
 REFERENCE_WORDS = 2000
@@ -51,44 +55,108 @@ _NOT_LINE = np.zeros(256, bool)
 _NOT_LINE[10] = True
 
 
-def _find_common():
-    schema = pa.schema([("lang", pa.string()), ("word", pa.int64()), ("n", pa.int64())])
+def _counter(key_of):
+    """A map to (lang, key, n): the counts of the keys that ``key_of(lang, words)`` gives for the words of a language."""
+    schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        counts: dict = {}
+        held: dict = {}
+        size = 0
+
+        def sent():
+            for lang, parts in held.items():
+                key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key), pa.array(n)], schema=schema)
+
         for batch in batches:
             langs = np.array(batch.column(2).to_pylist(), dtype=object)
             for lo, hi, data, offsets in T.chunks(batch.column(1)):
                 text = T.lower(data)
                 starts, ends, ptr = T.word_spans(text, offsets, _NOT_LETTER)
                 words = T.span_hashes(text, starts, ends).view(np.int64)
-                own = langs[lo:hi]
+                own = np.repeat(langs[lo:hi], np.diff(ptr))
                 for lang in set(own.tolist()):
-                    rows = np.array([x == lang for x in own])
-                    word, n = np.unique(words[np.repeat(rows, np.diff(ptr))], return_counts=True)
-                    often = n >= max(1, n.sum() * SHARE)
-                    into = counts.setdefault(lang, {})
-                    for w, k in zip(word[often].tolist(), n[often].tolist()):
-                        into[w] = into.get(w, 0) + k
-        rows = [(lang, w, n) for lang, into in counts.items()
-                for w, n in sorted(into.items(), key=lambda x: (-x[1], x[0]))[:SENT]]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                    key, n = np.unique(key_of(lang, words[own == lang]), return_counts=True)
+                    if len(key):
+                        held.setdefault(lang, []).append((key, n))
+                        size += len(key)
+                if size > MOST_HELD:
+                    yield from sent()
+                    held, size = {}, 0
+        yield from sent()
 
     return run
 
 
+def _bucket(words: np.ndarray) -> np.ndarray:
+    return (words.view(np.uint64) >> np.uint64(64 - BUCKETS_LOG2)).view(np.int64)
+
+
+def _counted(texts: DataFrame, key_of) -> DataFrame:
+    return (texts.mapInArrow(_counter(key_of), "lang string, key long, n long")
+            .groupBy("lang", "key").agg(F.sum("n").alias("n")))
+
+
+def _best(df: DataFrame, most: int) -> DataFrame:
+    """The ``most`` largest counts of each language, as (lang, key, n, place); partial limits come before the shuffle."""
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+    return df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+
+
+def _words_in(texts: DataFrame, buckets: list) -> list:
+    """The COMMON most frequent words of each language among those in ``buckets``, rows of (lang, key)."""
+    spark, marks = texts.sparkSession, {}
+    for r in buckets:
+        marks.setdefault(r["lang"], np.zeros(1 << BUCKETS_LOG2, bool))[r["key"]] = True
+    shared = spark.sparkContext.broadcast({k: np.packbits(v) for k, v in marks.items()})  # 2 KB a language
+    none = np.zeros(0, np.int64)
+
+    def key_of(lang, words):
+        mark = shared.value.get(lang)
+        return none if mark is None else words[np.unpackbits(mark)[_bucket(words)] > 0]
+
+    return _best(_counted(texts, key_of), COMMON).collect()
+
+
+def common_words(texts: DataFrame) -> list:
+    """(lang, key, n, place) of the COMMON most frequent words of each language with REFERENCE_WORDS words; see the module text."""
+    buckets = cut(_counted(texts, lambda lang, words: _bucket(words)))
+    langs = (buckets.groupBy("lang").agg(F.sum("n").alias("words")).where(F.col("words") >= REFERENCE_WORDS)
+             .limit(MOST_LANGS + 1).collect())
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"quality: more than {MOST_LANGS} languages")
+    if not langs:
+        return []
+    known = F.broadcast(texts.sparkSession.createDataFrame([(r["lang"],) for r in langs], "known string"))  # a row per language
+    buckets = buckets.join(known, F.col("lang").eqNullSafe(F.col("known"))).drop("known")
+    heavy = _best(buckets, HEAVY + 1).collect()
+    found = _words_in(texts, [r for r in heavy if r["place"] <= HEAVY])
+    least = {r["lang"]: r["n"] for r in found if r["place"] == COMMON}
+    unsure = {r["lang"]: least.get(r["lang"], 1) for r in heavy if r["place"] > HEAVY and r["n"] >= least.get(r["lang"], 1)}
+    if unsure:
+        table = F.broadcast(texts.sparkSession.createDataFrame(list(unsure.items()), "known string, least long"))  # a row per language
+        more = (buckets.join(table, F.col("lang").eqNullSafe(F.col("known"))).where("n >= least")
+                .groupBy("lang").agg(F.collect_list("key").alias("keys")))  # at most 2**BUCKETS_LOG2 a language
+        some = [{"lang": r["lang"], "key": k} for r in more.toLocalIterator() for k in r["keys"]]
+        found = [r for r in found if r["lang"] not in unsure] + _words_in(texts, some)
+    return found
+
+
 class Vocabulary:
-    """The common words of all languages: ``slots[lang][i]`` is the slot of word i, or COMMON."""
+    """The common words of all languages as sorted hashes of (language, word), with the place of each."""
 
     def __init__(self, rows: list):
-        self.words = np.unique(np.array([r["word"] for r in rows], np.int64))
+        self.langs = {lang: i for i, lang in enumerate(sorted({r["lang"] for r in rows}, key=lambda x: (x is None, x or "")))}
+        keys = self.keys(np.array([r["key"] for r in rows], np.int64), np.array([self.langs[r["lang"]] for r in rows], np.int64))
+        order = np.argsort(keys)
+        self.words, self.slots = keys[order], np.array([r["place"] - 1 for r in rows], np.int64)[order]
         self.bits = np.zeros(1 << 16, bool)
-        self.bits[self.words & 0xFFFF] = True
-        self.langs = {lang: i for i, lang in enumerate(sorted({r["lang"] for r in rows}, key=lambda x: (x is None, x)))}
-        self.slots = np.full((len(self.langs) + 1, len(self.words) + 1), COMMON, np.int64)
-        for r in rows:
-            self.slots[self.langs[r["lang"]], np.searchsorted(self.words, r["word"])] = r["slot"]
+        self.bits[np.array([r["key"] for r in rows], np.int64) & 0xFFFF] = True
+
+    @staticmethod
+    def keys(words: np.ndarray, langs: np.ndarray) -> np.ndarray:
+        return T.mix(words.view(np.uint64) ^ T.mix(langs.astype(np.uint64) + np.uint64(1)))
 
     def count(self, words: np.ndarray, langs: list, ptr: np.ndarray) -> np.ndarray:
         """Rows of COMMON + 1 counts."""
@@ -97,14 +165,12 @@ class Vocabulary:
         out = np.zeros((rows, COMMON + 1), np.int64)
         out[:, COMMON] = np.diff(ptr)
         at = np.flatnonzero(self.bits[words & 0xFFFF])
-        i = np.searchsorted(self.words, words[at])
-        known = i < len(self.words)
-        known[known] = self.words[i[known]] == words[at][known]
-        at, i = at[known], i[known]
-        of = np.array([self.langs.get(x, len(self.langs)) for x in langs], np.int64)
-        slot = self.slots[of[row[at]], i]
-        mine = slot < COMMON
-        common = np.bincount(row[at][mine] * (COMMON + 1) + slot[mine], minlength=rows * (COMMON + 1)).reshape(rows, -1)
+        of = np.array([self.langs.get(x, -1) for x in langs], np.int64)
+        at = at[of[row[at]] >= 0]
+        keys = self.keys(words[at], of[row[at]])
+        i = np.minimum(np.searchsorted(self.words, keys), max(0, len(self.words) - 1))
+        mine = self.words[i] == keys if len(self.words) else np.zeros(0, bool)
+        common = np.bincount(row[at][mine] * (COMMON + 1) + self.slots[i[mine]], minlength=rows * (COMMON + 1)).reshape(rows, -1)
         out += common
         out[:, COMMON] -= common.sum(axis=1)
         return out
@@ -216,14 +282,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         F.col(lang_col).cast("string").alias("lang"))
     kind = dict(texts.dtypes)["doc_id"]
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")  # a few hundred words per language
-    common = (texts.mapInArrow(_find_common(), "lang string, word long, n long")
-              .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-              .withColumn("slot", F.row_number().over(best) - 1).where(F.col("slot") < COMMON)
-              .limit(COMMON * MOST_LANGS + 1).collect())
-    if len(common) > COMMON * MOST_LANGS:
-        raise ValueError(f"quality: more than {MOST_LANGS} languages")
-    counted = cut(texts.mapInArrow(_count(spark.sparkContext.broadcast(Vocabulary(common))), _ROW.format(id=kind)))
+    counted = cut(texts.mapInArrow(_count(spark.sparkContext.broadcast(Vocabulary(common_words(texts)))), _ROW.format(id=kind)))
     sums = counted.groupBy("lang").agg(*[F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))],
                                        *[F.sum(F.col("words")[i]).alias(f"w{i}") for i in range(COMMON + 1)])
     chars_of, words_of, whole = {}, {}, np.zeros(len(CLASSES))

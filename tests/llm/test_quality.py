@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 
 import numpy as np
@@ -42,6 +43,32 @@ def test_odd_rows(odd, empty):
     assert Q.quality(empty).count() == 0
 
 
+def word_hash(word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return int(Q.T.span_hashes(data, np.array([0]), np.array([len(data)])).view(np.int64)[0])
+
+
+def test_common_words_are_exact_however_rows_are_spread(table, monkeypatch):
+    """Words near the cut, spread thinly over many rows, and a language whose buckets are all alike."""
+    rng = random.Random(8)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for i in range(400):
+        rows.append((i, " ".join(rng.choice(names[:1 + rng.randrange(300)]) for _ in range(30)), "en"))
+        rows.append((1000 + i, " ".join(names[(i * 30 + j) % 300] for j in range(30)), None))
+    rows.append((5000, "few words", "fr"))
+    want = set()
+    for lang in ("en", None):
+        count = collections.Counter(w for _, t, x in rows if x == lang for w in t.split())
+        order = sorted(count, key=lambda w: (-count[w], word_hash(w)))[:Q.COMMON]
+        want |= {(lang, word_hash(w), count[w], k) for k, w in enumerate(order, 1)}
+    df = table(rows).select("doc_id", "text", "lang")
+    for parts, heavy in ((1, 64), (7, 64), (64, 64), (7, 3), (7, 1000)):
+        monkeypatch.setattr(Q, "HEAVY", heavy)
+        monkeypatch.setattr(Q, "MOST_HELD", 50 if parts == 7 else 1 << 20)
+        assert {(r["lang"], r["key"], r["n"], r["place"]) for r in Q.common_words(df.repartition(parts))} == want
+
+
 def test_js_distance():
     p, q = np.array([[1, 1, 0], [0, 0, 0]]), np.array([[0, 0, 3], [1, 1, 1]])
     assert math.isclose(Q.js_distance(p, q)[0], 1.0) and Q.js_distance(p, q)[1] == 0 and Q.js_distance(p, 5 * p)[0] == 0
@@ -52,10 +79,14 @@ def test_distances_match_plain_histograms(table, sentence):
     got = {r["doc_id"]: r for r in Q.quality(table(rows)).collect()}
     letters = [re.findall(r"[a-zé]+", t) for _, t in rows]
     count = collections.Counter(w for ws in letters for w in ws)
-    assert len({n for _, n in count.most_common(Q.COMMON + 1)[-2:]}) > 0
     kinds = lambda t: [sum(c.islower() and c.isascii() for c in t), sum(c.isdigit() for c in t), t.count(" "), t.count("."),
                        sum(c in "#$" for c in t), t.count("é")]
     whole = np.sum([kinds(t) for _, t in rows], axis=0)
-    for i, t in rows:
+    order = sorted(count, key=lambda w: (-count[w], word_hash(w)))[:Q.COMMON]
+    spread = lambda ws: [ws.count(w) for w in order] + [sum(w not in order for w in ws)]
+    reference = np.sum([spread(ws) for ws in letters], axis=0)
+    for (i, t), ws in zip(rows, letters):
+        far = Q.js_distance(np.array([spread(ws)]), reference[None])[0] if len(t.split()) >= Q.WORD_WORDS else 0.0
+        assert math.isclose(got[i]["word_distance"], far, abs_tol=1e-9)
         assert math.isclose(got[i]["char_distance"], Q.js_distance(np.array([kinds(t)]), whole[None])[0], abs_tol=1e-9)
     assert not got[99]["kept"] and all(got[i]["kept"] for i in range(60))
