@@ -4,8 +4,8 @@ Features are the 4-, 5- and 6-byte grams of the text (lower-cased, blanks as spa
 slots.  A slot's rate in a text is ``1000 * count / (bytes + PRIOR)``; the prior keeps one hit in a short
 text from weighing as much as many in a long one.  From the rates of the training rows come the ratio
 r = log(P(slot | toxic) / P(slot | not)), smoothed by one row at the mean rate, and a logistic regression
-with L2 penalty on the values r * rate (Wang and Manning 2012).  It uses the slots whose mean rates differ by
-at least ``MIN_Z`` standard errors (or else the ``LEAST`` most telling), at most ``MOST``.
+with L2 penalty on the values r * rate (Wang and Manning 2012).  It uses all slots whose mean rates differ by
+at least ``MIN_Z`` standard errors, and in any case the ``LEAST`` most telling (equal ones by slot number).
 
 Training rows are a bounded sample: of each class the ``sample`` rows with the smallest hash of the
 id, one per text.  Counting is a Spark aggregation; the fit is on the driver, on at most 2 * ``sample``
@@ -29,11 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import arrowtext as T
-from riskloom.llm.state import cut, map_rows, prepare
+from riskloom.llm.state import cut, map_rows, prepare, smallest_hashes
 
 SIZES = (4, 5, 6)
 SLOTS_LOG2 = 20
-MIN_Z, LEAST, MOST = 4.0, 64, 2048
+MIN_Z, LEAST = 4.0, 64
 PRIOR = 600
 CHUNK_BYTES = 1 << 18  #: each byte begins three grams of a few 8-byte numbers
 PENALTY = 1e-3
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not size.get(0) or not size.get(1):
         share = size.get(1, 0) / max(1, sum(size.values()))
         return Model(np.zeros(0, np.int64), np.zeros(0), 50.0 * (2 * share - 1))
-    some = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(sample) for c in (0, 1)]
+    some = [smallest_hashes(known.where(F.col("label") == c), F.xxhash64("id"), ["id"], size[c], sample) for c in (0, 1)]
     chosen = F.broadcast(some[0].union(some[1]))  # at most 2 * sample rows of 12 bytes
     rows = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
                .join(chosen, "id").where("text is not null").dropDuplicates(["text", "label"]).select("text", "label"))
@@ -180,8 +180,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     told = (table.where("slot >= 0")
             .withColumn("z", F.expr(f"round(abs(s1 / {n1} - s0 / {n0}) / sqrt(greatest({spread} * {1 / n0 + 1 / n1}, 1e-12)), 6)"))
             .withColumn("ratio", F.expr(f"ln((s1 + {mean}) / {n1 + 1}) - ln((s0 + {mean}) / {n0 + 1})"))
-            .orderBy(F.desc("z"), "slot").limit(MOST).select("slot", "z", "ratio").collect())
-    told = sorted((r["slot"], r["ratio"]) for i, r in enumerate(told) if r["z"] >= MIN_Z or i < LEAST)
+            .select("slot", "z", "ratio"))
+    told = sorted({(r["slot"], r["ratio"]) for part in (told.where(F.col("z") >= MIN_Z), told.orderBy(F.desc("z"), "slot").limit(LEAST))
+                   for r in part.collect()})  # at most 2**SLOTS_LOG2
     if not told:
         return Model(np.zeros(0, np.int64), np.zeros(0), math.log((size[1] + 1) / (size[0] + 1)))
     slots, ratio = np.array([x[0] for x in told], np.int64), np.array([x[1] for x in told])

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.state import prepare
+from riskloom.llm.state import prepare, smallest_hashes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 END = "\x01"
@@ -55,7 +55,8 @@ def _after(key: Column) -> Column:
 
 def _cuts(keyed: DataFrame, ranges: int) -> list[tuple[str, int]]:
     """Up to ``ranges - 1`` ascending (key, salt) bounds from a hash sample of at most SAMPLE rows."""
-    some = keyed.select("key", "salt").orderBy(F.xxhash64("salt", "key"), "key", "salt").limit(SAMPLE).collect()
+    rows = keyed.count()
+    some = smallest_hashes(keyed.select("key", "salt"), F.xxhash64("salt", "key"), ["key", "salt"], rows, SAMPLE).collect()
     some = sorted((r["key"].encode(), r["salt"]) for r in some)
     return sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
 
