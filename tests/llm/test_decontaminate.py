@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from riskloom.llm import decontaminate as D
 
 
@@ -61,8 +62,49 @@ def test_matches_against_brute_force(spark, table, words, sentence):
 def test_odd_rows(spark, odd, empty, sentence):
     bench = spark.createDataFrame([(1, sentence(60, 1)), (1, sentence(60, 1)), (2, None), (3, ""), (None, sentence(60, 2)), (4, "one two")],
                                   "item_id long, text string")
-    found = sorted(str(r["doc_id"]) for r in D.contaminated(odd, bench).collect())
-    assert found == ["1", "2", "2", "None"]
-    assert D.without_contaminated(odd, bench).count() == odd.count() - 4
+    found = sorted((str(r["doc_id"]), str(r["item_id"])) for r in D.contaminated(odd, bench).collect())
+    assert found == [("1", "1"), ("2", "1"), ("2", "1"), ("6", "None"), ("8", "4"), ("9", "4"), ("None", "1")]
+    assert D.without_contaminated(odd, bench).count() == odd.count() - 5
+    assert D.without_contaminated(odd, bench, shortest=1).count() == odd.count() - 7
     assert D.contaminated(empty, bench).count() == 0
     assert D.contaminated(odd, bench.limit(0)).count() == 0 and D.without_contaminated(odd, bench.limit(0)).count() == odd.count()
+
+
+def test_short_items_are_exact_runs(spark, table, words):
+    rng = random.Random(4)
+    few = words[:12]
+    items = [(f"i{n}", " ".join(rng.choice(few) for _ in range(n % 7 + 1))) for n in range(30)]
+    docs = [(i, " ".join(rng.choice(few) for _ in range(i % 40)).upper()) for i in range(80)]
+    want = {}
+    for d, t in docs:
+        w = t.lower().split()
+        for i, x in items:
+            x = x.split()
+            places = [k for k in range(len(w) - len(x) + 1) if w[k:k + len(x)] == x]
+            if places:
+                want[d, i] = (0, len(x), places[0], places[0] + len(x) - 1)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = D.contaminated(table(docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["distance"], r["item_words"], r["first_word"], r["last_word"]) for r in got} == want
+    assert len(got) == len(want)
+
+
+def test_recall_where_no_gram_need_be_shared(spark, table, words, sentence):
+    """Ten words at 70 %: three spread edits leave no 3-word gram."""
+    rng = random.Random(6)
+    items = [(i, sentence(10, 3000 + i)) for i in range(30)]
+    docs = []
+    for i in range(150):
+        w = items[i % 30][1].split()
+        for p in (2, 5, 8):
+            w[p] = f"other{rng.randrange(10**6)}"
+        docs.append((i, " ".join(sentence(30, 4000 + i).split() + w + sentence(30, 5000 + i).split())))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(table(docs), bench, percent=70).collect()}
+    assert len(got & {(i, i % 30) for i in range(150)}) >= 0.9 * 150
+
+
+def test_missed_target_is_an_error(sentence):
+    items = [D._words(sentence(10, i)) for i in range(20)]
+    with pytest.raises(ValueError):
+        D.Index(list(range(20)), items, 30, 8, 0.999)
