@@ -2,8 +2,7 @@
 
 Values are found by pattern and validated; a keyed Feistel network then permutes each within the set
 of values of its kind and format, so equal values get equal pseudonyms in every document, different
-values different ones, and whoever has the key can undo it (a run of
-digit groups that holds several values can be split elsewhere when undone).  Separators and letter case stay.
+values different ones, and whoever has the key and the spans can undo it.  Separators and letter case stay.
 
 =========  =============================================================  ===============================
 kind       validated by                                                   permuted
@@ -14,17 +13,27 @@ ip         four numbers up to 255                                         all 32
 date       calendar, 1900 to 2099 (Y-M-D, D.M.Y, M/D/Y)                   the day
 ssn        ddd-dd-dddd, assignable                                        among assignable ones
 phone      ``+`` and 8 to 15 digits, or (ddd) ddd-dddd                    the last ten digits
-card       13 to 19 digits with a valid Luhn digit                        all but the Luhn digit, which is new
-account    13 to 19 digits without                                        among those without
+card       13 to 19 digits of an issuer's range with a valid      all but the Luhn digit, which is new
+           Luhn digit, unbroken or in the groups printed on cards
 =========  =============================================================  ===============================
 
-A find is tried at the lengths that its kind can have (IBAN by country, digits by whole groups, ``+1`` and ``+7`` phones at
-eleven digits; other phones take all groups up to 15 digits).  If none is valid, the search goes on behind its first token.
+Other long numbers carry no check and stay as they are.  Finding takes three steps, each linear in the text:
+
+1. Cards: in every run of digit groups joined alike (by blanks or by hyphens), each window of groups that is
+   a valid card.  Nothing outside the window counts, so a card is seen whatever stands before it.
+2. The other kinds, from left to right.  A find is tried at the lengths that its kind can have (IBAN by country, ``+1`` and
+   ``+7`` phones at eleven digits; other phones take all groups up to 15 digits, but not those of a card when eight digits
+   stand before it).  If none is valid, the search goes on behind its first token.
+3. Cards that overlap no other find; of two that overlap, the earlier, so a later one counts only if it is free.  Two
+   valid cards that share groups are truly ambiguous; that is the one case in which a card beside digits may differ.
 
 One map over the documents, no shuffle.  Rounds: ten, each BLAKE2b with the key over kind, format, round
 and the other half; sets that are no product of digit ranges are reached by cycle walking.
 
-Defined results: null text stays null; text without personal values stays as it is; repeated rows are
+Undoing with the spans that ``pseudonymised`` returned is exact for every text (``restored``).  Without spans, values are
+found anew in the changed text, where a pseudonym and the digits beside it may look like another value.
+
+Defined results: the earliest of equal finds wins; very long texts are handled alone in their task; null text stays null; text without personal values stays as it is; repeated rows are
 treated alike; an empty table gives no rows.  Other columns are passed through by ``pseudonymised``.
 """
 
@@ -32,7 +41,6 @@ from __future__ import annotations
 
 import datetime
 import hashlib
-import itertools
 import math
 import re
 
@@ -46,7 +54,7 @@ from riskloom.llm import arrowtext as T
 from riskloom.llm.state import map_rows, prepare
 
 ROUNDS = 10
-KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card", "account")
+KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 _FIND = re.compile(r"""
     (?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))
   | (?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)
@@ -54,9 +62,13 @@ _FIND = re.compile(r"""
   | (?<![0-9])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])
   | (?<![0-9-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])
   | (?<![0-9A-Za-z])(?P<phone>\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}|\([0-9]{3}\)[ ]?[0-9]{3}-[0-9]{4})(?![0-9])
-  | (?<![0-9A-Za-z])(?P<digits>(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+)
 """, re.X)
+_RUN = re.compile(r"(?<![0-9A-Za-z+])(?<![0-9][.,])[0-9]++(?:[ -][0-9]++)*+")
+#: Sizes of the groups in which cards are printed, and of unbroken numbers.
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 1), (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3),
+               (13,), (14,), (15,), (16,), (17,), (18,), (19,))
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?")
+_ADDRESS = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _TOKEN, _ENDS, _GROUP = re.compile(r"[A-Za-z0-9]+|.", re.S), re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])"), re.compile("[0-9]+")
 #: Characters of an IBAN by country (ISO 13616 registry); other countries' are tried at every length.
 _IBAN_CHARS = {k: n for n, ks in {
@@ -105,38 +117,33 @@ def _iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
-def _digit_ends(groups: list[str]) -> list[int]:
-    """Numbers of leading groups that have 13 to 19 digits together."""
-    total = list(itertools.accumulate(map(len, groups)))
-    return [i + 1 for i, n in enumerate(total) if 13 <= n <= 19]
-
-
-def _is_card(digits: str) -> bool:
-    return luhn_digit([int(c) for c in digits[:-1]]) == int(digits[-1])
+def is_card(digits: list[int]) -> bool:
+    """Thirteen to nineteen digits of an issuer's range (3 to 6, 2221 to 2720) with a valid Luhn digit."""
+    if not 13 <= len(digits) <= 19:
+        return False
+    head = digits[0] * 1000 + digits[1] * 100 + digits[2] * 10 + digits[3]
+    return (3 <= digits[0] <= 6 or 2221 <= head <= 2720) and luhn_digit(digits[:-1]) == digits[-1]
 
 
-def _digits_end(value: str) -> int:
-    """Where the card or account ends that starts a run of digit groups; 0 if none does.
-
-    The shortest leading groups with a valid Luhn digit are a card.  Without one, the most groups that are no part of a
-    card further on are an account; a group of 13 to 19 digits stands alone.
-    """
-    places = [m.span() for m in _GROUP.finditer(value)]
-    groups = [value[a:b] for a, b in places]
-    if 13 <= len(groups[0]) <= 19:
-        return places[0][1]
-    ends = _digit_ends(groups)
-    for k in ends:
-        if _is_card("".join(groups[:k])):
-            return places[k - 1][1]
-    for j in range(1, ends[-1] if ends else 0):
-        later = groups[j:]
-        sizes = [len(g) for g in later[:4]]
-        k = 1 if 13 <= sizes[0] <= 19 else 4 if sizes == [4, 4, 4, 4] else 3 if sizes[:3] in ([4, 6, 5], [4, 6, 4]) else 0
-        if k and (k == 1 or _is_card("".join(later[:k]))):
-            ends = [e for e in ends if e <= j]
-            break
-    return places[ends[-1] - 1][1] if ends else 0
+def find_cards(text: str) -> list[tuple[int, int]]:
+    """Spans of all windows of digit groups that are cards, from left to right; they may overlap."""
+    out = []
+    for run in _RUN.finditer(text):
+        if run.end() - run.start() < 13:
+            continue
+        places = [(a + run.start(), b + run.start()) for a, b in (m.span() for m in _GROUP.finditer(run.group()))]
+        sizes = [b - a for a, b in places]
+        # a group that goes on as letters or as a decimal ends before the run does
+        after = text[run.end():run.end() + 2]
+        last = len(places) - (after[:1].isascii() and after[:1].isalpha() or (after[:1] in ".," and after[1:].isdigit() and after[1:].isascii()))
+        for i in range(last):
+            for groups in CARD_GROUPS:
+                k = i + len(groups)
+                if sizes[i] == groups[0] and k <= last and tuple(sizes[i:k]) == groups:
+                    joins = {text[b] for _, b in places[i:k - 1]}
+                    if len(joins) < 2 and is_card([int(c) for a, b in places[i:k] for c in text[a:b]]):
+                        out.append((places[i][0], places[k - 1][1]))
+    return out
 
 
 def _lengths(kind: str, value: str, after: str) -> list[int]:
@@ -146,8 +153,6 @@ def _lengths(kind: str, value: str, after: str) -> list[int]:
         ends = [e for e in reversed(ends) if _IBAN.fullmatch(value, 0, e)]
         due = _IBAN_CHARS.get(value[:2])
         return sorted(ends, key=lambda e: e - value.count(" ", 0, e) != due)
-    if kind == "digits":
-        return [e] if (e := _digits_end(value)) else []
     if kind == "phone" and value[:2] in ("+1", "+7"):  # eleven digits
         at = [m.start() for m in re.finditer("[0-9]", value)]
         if len(at) > 11 and not value[at[10] + 1].isalnum():
@@ -217,36 +222,73 @@ def pseudonym(key: bytes, kind: str, value: str, undo: bool = False) -> tuple[st
     if kind == "phone":
         head, tail = digits[:-10], digits[-10:]
         return kind, number(head + feistel(key, f"{kind}{head}", [10] * len(tail), tail, undo))
-    groups = _GROUP.findall(value)
-    sizes = list(itertools.accumulate(map(len, groups)))
-    shorter = [sizes[k - 1] for k in _digit_ends(groups) if sizes[k - 1] < len(digits)]
-    no_card = lambda v, n: luhn_digit(v[:n - 1]) != v[n - 1]
-    alone = lambda v: all(no_card(v, n) for n in shorter)  # noqa: E731  the pseudonym is found at the same length
-    if luhn_digit(digits[:-1]) == digits[-1]:
-        body = _walk(lambda v: feistel(key, "card", ten[:-1], v, undo), alone, digits[:-1])
-        return "card", number([*body, luhn_digit(body)])
-    return "account", number(_walk(lambda v: feistel(key, "account", ten, v, undo), lambda v: no_card(v, len(v)) and alone(v), digits))
+    if not is_card(digits):
+        return None
+    body = _walk(lambda v: feistel(key, "card", ten[:-1], v, undo), lambda v: is_card([*v, luhn_digit(v)]), digits[:-1])
+    return "card", number([*body, luhn_digit(body)])
 
 
-def replace(key: bytes, text: str, undo: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
-    """The text with pseudonyms, and (start, end, kind) of each."""
+def find(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of each value, from left to right; see the module text."""
+    cards = find_cards(text)
     found: list[tuple[int, int, str]] = []
-    out, done, at, failed = [], 0, 0, 0  # failed: the end of what only looks like an IBAN; its groups are no account
+    at = next_card = 0
     while (m := _FIND.search(text, at)) is not None:
-        start, value = m.start(), m.group()
-        for n in _lengths(m.lastgroup, value, text[m.end():m.end() + 1]):
-            new = pseudonym(key, m.lastgroup, value[:n], undo)
-            if new is not None and not (new[0] == "account" and start < failed and not value[:n].isdigit()):
-                found.append((start, start + n, new[0]))
-                out += (text[done:start], new[1])
-                done = at = start + n
+        start, value, kind = m.start(), m.group(), m.lastgroup
+        while next_card < len(cards) and cards[next_card][0] <= start:
+            next_card += 1
+        if kind == "phone" and next_card < len(cards) and cards[next_card][0] < m.end() < cards[next_card][1]:
+            shorter = value[:cards[next_card][0] - start].rstrip(" ().-")
+            value = shorter if sum(c.isdigit() for c in shorter) >= 8 else value
+        for n in _lengths(kind, value, text[start + len(value):start + len(value) + 1]):
+            if valid(kind, value[:n]):
+                found.append((start, start + n, kind))
+                at = start + n
                 break
         else:
-            failed = max(failed, m.end()) if m.lastgroup == "iban" else failed
             at = _TOKEN.match(text, start).end()  # a value may start behind the first token
+    out, i, end = [], 0, 0
+    for a, b in cards:
+        while i < len(found) and found[i][1] <= a:
+            i += 1
+        if a >= end and (i == len(found) or found[i][0] >= b):
+            out.append((a, b, "card"))
+            end = b
+    return sorted(found + out)
+
+
+def valid(kind: str, value: str) -> bool:
+    """Whether a text found by the pattern of ``kind`` is a value."""
+    if kind == "iban":
+        plain = value.replace(" ", "")
+        return 15 <= len(plain) <= 34 and _iban_rest(plain) == 1
+    if kind == "ip":
+        return max(map(int, value.split("."))) < 256
+    if kind == "date":
+        return _date(value) is not None
+    return kind != "ssn" or _ssn_ok([int(c) for c in value if c.isdigit()])
+
+
+def replace(key: bytes, text: str, undo: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with pseudonyms, and (start, end, kind) of each."""
+    found, out, done = find(text), [], 0
+    for a, b, kind in found:
+        out += (text[done:a], pseudonym(key, kind, text[a:b], undo)[1])
+        done = b
     return "".join([*out, text[done:]]), found
 
 
+def restore(key: bytes, text: str, spans: list[tuple[int, int, str]]) -> str:
+    """The text of which ``replace`` made ``text`` and ``spans``."""
+    out, done, shift = [], 0, 0  # shift: addresses change their length
+    for a, b, kind in spans:
+        start = a + shift
+        end = start + len(_ADDRESS.match(text, start).group()) if kind == "ip" else b + shift
+        out += (text[done:start], pseudonym(key, kind, text[start:end], True)[1])
+        done, shift = end, end - b
+    return "".join([*out, text[done:]])
+
+
 def _may_have(column: pa.Array) -> np.ndarray:
     """Rows with a digit or an ``@``; no other text can match."""
     out = np.zeros(len(column), bool)
@@ -281,3 +323,23 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", undo: boo
     spans = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("kind", StringType())]))
     cast = docs.withColumn(text_col, F.col(text_col).cast("string"))
     return map_rows(cast, _map(key, cast.columns.index(text_col), undo), (StructField("_pii_spans", spans),))
+
+
+def _restore_map(key: bytes, at: int, spans_at: int):
+    def run(batches):
+        for batch in batches:
+            texts, spans = batch.column(at).to_pylist(), batch.column(spans_at).to_pylist()
+            for i, (text, marks) in enumerate(zip(texts, spans)):
+                if text is not None and marks:
+                    texts[i] = restore(key, text, [(m["start"], m["end"], m["kind"]) for m in marks])
+            cols = list(batch.columns)
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+
+    return run
+
+
+def restored(docs: DataFrame, key: bytes, text_col: str = "text", spans_col: str = "_pii_spans") -> DataFrame:
+    """The rows of which ``pseudonymised`` made ``docs``, by their spans; exact for every text."""
+    prepare(docs.sparkSession)
+    return map_rows(docs, _restore_map(key, docs.columns.index(text_col), docs.columns.index(spans_col))).drop(spans_col)
