@@ -239,8 +239,8 @@ def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> D
     return links.union(_verified(lines, rest, edits, edit_chars))
 
 
-def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
-                  min_chars: int = 16, edit_chars: int | None = None) -> DataFrame:
+def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 3,
+                  min_chars: int = 1, edit_chars: int | None = 4) -> DataFrame:
     """(id, line_no, cluster_doc, cluster_line, n_equal, kept) of every line of at least ``min_chars`` characters.
 
     ``cluster_doc`` and ``cluster_line`` name the cluster's first line, ``n_equal`` counts equal lines.
@@ -262,13 +262,19 @@ def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     F.col("head").eqNullSafe(place).alias("kept")))
 
 
-def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 1,
-                           min_chars: int = 16, edit_chars: int | None = None) -> DataFrame:
-    """``docs`` with only the first line of every cluster in the texts."""
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 3,
+                           min_chars: int = 1, edit_chars: int | None = 4) -> DataFrame:
+    """``docs`` with only the first line of every cluster in the texts; lines that take no part stay.
+
+    Repeated rows of one id lose the same line numbers.
+    """
     own, lines = unused(docs, "_id"), unused(docs, "_gone")
     gone = (line_clusters(docs, id_col, text_col, edits, min_chars, edit_chars).where("not kept")
             .groupBy(F.col(id_col).alias(own)).agg(F.collect_set("line_no").alias(lines)))  # lines of one document
-    kept = F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x, i: ~F.array_contains(lines, i))
+    text = F.split(F.col(text_col).cast("string"), "\n")
+    # by hash, so a document of many lines takes time in proportion to them
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(text) - 1), lines)
+    kept = F.transform(numbers, lambda i: F.get(text, i))
     return (docs.join(gone, F.col(id_col).eqNullSafe(F.col(own)), "left")
             .withColumn(text_col, F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
             .drop(own, lines))

@@ -22,7 +22,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.state import checkpoint_folder, cut, prepare
@@ -118,17 +118,25 @@ def count_tokens(spark: SparkSession, path: str, separator: int = SEPARATOR, dty
 def document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:
     """(id, n_tokens, file, start) of every row of ``docs``, by way of flat token files in the checkpoint folder.
 
-    Rows are matched to documents by partition and place: partition p is written as file ``part-p``, in order.
+    Rows are matched to documents by partition and place: partition p is written as file ``part-p``, in order.  The places
+    come from a second read; a checksum over id, text and place, taken in the job that writes and again here, must be the
+    same, or an error is raised: a frame that a rerun deals anew (a round-robin ``repartition``) should be written first.
+    Repeated rows and null ids are rows of their own; a null text has no tokens; other columns are not looked at.
     """
     spark = docs.sparkSession
     folder = f"{checkpoint_folder(spark)}/llm-tokens-{uuid.uuid4().hex}"
-    write_tokens(docs, folder, text_col, path)
+    placed = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+              .withColumn("part", F.spark_partition_id())
+              .withColumn("ordinal", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+              .withColumn("mark", F.xxhash64("id", "text", "part", "ordinal")))
+    sums = [F.count("*").alias("rows"), F.bit_xor("mark").alias("marks")]
+    written = Observation()
+    write_tokens(placed.observe(written, *sums), folder, "text", path)
     counted = cut(count_tokens(spark, folder).withColumn("part", F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).cast("int")))
     files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(files, True)  # its own files only
-    place = F.monotonically_increasing_id()
-    # the text is read too, so that partitions are cut as they were for writing
-    ids = (docs.select(F.col(id_col).alias("id"), F.length(F.col(text_col).cast("string")).alias("chars"))
-           .withColumn("part", F.spark_partition_id()).withColumn("ordinal", place.bitwiseAND(F.lit((1 << 33) - 1))))
+    ids = cut(placed.select("id", "part", "ordinal", "mark", F.length("text").alias("chars")))
+    if ids.agg(*sums).first().asDict() != written.get:
+        raise ValueError("document_tokens: the rows were in other places when read again; write the table and read it back first")
     return ids.join(counted, ["part", "ordinal"], "left").select(
         F.col("id").alias(id_col), F.col("n_tokens"), "chars", "part", "start")

@@ -55,9 +55,9 @@ def test_clusters_match_brute_force(table, edits):
                 a, b = find(x[:2]), find(y[:2])
                 root[max(a, b)] = min(a, b)
     got = {(r["doc_id"], r["line_no"]): ((r["cluster_doc"], r["cluster_line"]), r["kept"])
-           for r in L.line_clusters(df, edits=edits).collect()}
+           for r in L.line_clusters(df, edits=edits, min_chars=16, edit_chars=None).collect()}
     assert got == {x[:2]: (find(x[:2]), find(x[:2]) == x[:2]) for x in lines}
-    clean = {r["doc_id"]: r["text"] for r in L.without_repeated_lines(df, edits=edits).collect()}
+    clean = {r["doc_id"]: r["text"] for r in L.without_repeated_lines(df, edits=edits, min_chars=16, edit_chars=None).collect()}
     assert clean == {d: "\n".join(t for i, t in enumerate(text.split("\n")) if got.get((d, i), (0, True))[1]) for d, text in docs}
 
 
@@ -133,5 +133,5 @@ def test_a_key_with_lines_beyond_the_threshold_is_searched_whole(table):
     rng = random.Random(9)
     tails = ["".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(8)]
     docs = [(k, "the very same beginning of it all " + (t if k % 2 == 0 else t[:10] + "#" + t[11:])) for k, t in enumerate(t for t in tails for _ in range(2))]
-    got = {r["doc_id"]: r["cluster_doc"] for r in L.line_clusters(table(docs), edits=2).collect()}
+    got = {r["doc_id"]: r["cluster_doc"] for r in L.line_clusters(table(docs), edits=2, min_chars=16, edit_chars=None).collect()}
     assert got == {k: k - k % 2 for k in got}

@@ -45,3 +45,26 @@ def test_documents(spark, odd, empty, tmp_path):
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in C.document_tokens(df).collect()) == want
     empty.select("doc_id", "text").write.parquet(str(tmp_path / "empty"))
     assert C.document_tokens(spark.read.parquet(str(tmp_path / "empty"))).count() == 0
+
+
+def test_rows_in_other_places_raise_or_count_right(spark, table, tmp_path):
+    rows = [(i, "a word " * (i % 17)) for i in range(400)] + [(None, "none"), (7, "twice"), (7, "twice"), (3, None)]
+    table(rows).selectExpr("doc_id", "text", "1 as n_tokens", "2 as part", "'x' as start").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    encode = K.encoder(K.vocabulary(spark).value)
+    want = sorted((str(i), len(encode(t or ""))) for i, t in rows)
+    for frame in (df, df.where("doc_id is null or doc_id % 2 = 0 or doc_id % 2 = 1"), df.orderBy("doc_id"), df.repartition(7)):
+        try:
+            got = sorted((str(r["doc_id"]), r["n_tokens"]) for r in C.document_tokens(frame).collect())
+        except ValueError as e:
+            assert frame is not df and "other places" in str(e)
+        else:
+            assert got == want
+
+
+def test_a_frame_that_changes_raises(spark, table):
+    from pyspark.sql import functions as F
+    noise = F.udf(lambda: __import__("random").SystemRandom().random(), "double").asNondeterministic()
+    df = table([(i, "a word " * (i % 17)) for i in range(300)]).repartition(3).withColumn("r", noise()).sort("r")
+    with pytest.raises(ValueError, match="other places"):
+        C.document_tokens(df)
