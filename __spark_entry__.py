@@ -757,6 +757,43 @@ def q_model_weights(spark, d):
     return normalized_weights(table, BLEND_MODELS)
 
 
+def _weighted_run(spark, d):
+    from riskloom.plans.blending import auc_weights, model_weights, weighted_run
+    p = FX.predictions(spark, d)
+    labels = _train_app(spark, d).withColumnRenamed("SK_ID_CURR", "id")
+    return weighted_run(p, BLEND_MODELS, model_weights(spark, BLEND_MODELS, auc_weights(p, labels, BLEND_MODELS)))
+
+
+def q_weighted_run(spark, d):
+    """Q16: blends of clipped predictions and of ranks by AUC weights, in one run."""
+    return _weighted_run(spark, d).scores
+
+
+def q_weighted_run_report(spark, d):
+    """The report of that run."""
+    return _weighted_run(spark, d).report
+
+
+def q_weight_sources(spark, d):
+    """Weights by hand (one model without) and equal ones, each as the weighted mean of its model's predictions."""
+    from riskloom.plans.blending import model_weights
+    p = FX.predictions(spark, d).groupBy("model").agg(F.avg("pred").alias("mean"))
+    by_hand = model_weights(spark, BLEND_MODELS, manual={m: w for m, w in BLEND_WEIGHTS.items() if m != "m4"})
+    both = by_hand.withColumn("given", F.lit("hand")).unionByName(model_weights(spark, BLEND_MODELS).withColumn("given", F.lit("equal")))
+    return both.join(p, "model").select("given", "model", "weight", (F.col("weight") * F.col("mean")).alias("part"))
+
+
+def q_csv_scan(spark, d):
+    """A9 + A1: the order table written as CSV into the shared folder and scanned with its schema."""
+    import uuid
+    from riskloom.session import checkpoint_dir
+    from riskloom.sources.tables import read_csv, read_table, write_table
+    path = f"{checkpoint_dir(spark).rstrip('/')}/orders-{uuid.uuid4().hex}.csv"
+    t = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    write_table(t, path, fmt="csv")
+    return read_csv(spark, path, schema=t.schema)
+
+
 def q_missing_over(spark, d):
     """number of assembled features with over 20 % and over 50 % missing."""
     from riskloom.operators.stats import missing_over
@@ -943,6 +980,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q100_version_validation": q_version_validation,
     "q101_term_features": q_term_features,
     "q102_implied_rates": q_implied_rates,
+    "q103_weighted_run": q_weighted_run,
+    "q104_weighted_run_report": q_weighted_run_report,
+    "q105_weight_sources": q_weight_sources,
+    "q106_csv_scan": q_csv_scan,
 }
 
 
@@ -1033,6 +1074,10 @@ def _own_oracle_sql() -> dict[str, str]:
         "q99_feature_versions": X2.versions_sql(),
         "q101_term_features": EN.term_features_sql(),
         "q102_implied_rates": EN.implied_rates_sql(TERMS),
+        "q103_weighted_run": BL.auc_weighted_run_sql(),
+        "q104_weighted_run_report": X2.blend_report_sql(BL.auc_shares_sql()),
+        "q105_weight_sources": BL.weight_sources_sql(),
+        "q106_csv_scan": X2.csv_scan_sql(),
         "q65_prediction_files_roundtrip": X2.prediction_files_sql(),
         "q38_screen_stage0_audit": X2.stage0_sql(),
         "q93_screening_run": X2.screening_run_sql(),

@@ -111,11 +111,11 @@ def balanced_sql() -> str:
     return canon(body, ["SK_ID_CURR", "TARGET", "weight"], {"SK_ID_CURR", "TARGET"})
 
 
-def auc_weighted_blend_sql(rank: bool = True) -> str:
-    """Per-model AUC (labelled train ids) as weights of a blend of ranks, or of predictions clipped to [0, 1]."""
+def _auc_weighted(select: str) -> str:
+    """``select`` over r (id, model, clipped p, rank rk) and auc (model, w on the labelled train ids)."""
     from .fixtures_sql import APPLICATION, PREDS
     ms = ", ".join(repr(m) for m in MODELS)
-    body = (f"WITH preds AS ({PREDS}), app AS ({APPLICATION}), "
+    return (f"WITH preds AS ({PREDS}), app AS ({APPLICATION}), "
             f"lab AS (SELECT p.model, p.pred, a.TARGET FROM preds p JOIN app a ON p.id = a.SK_ID_CURR "
             f"  WHERE a.split = 'train'), "
             f"lr AS (SELECT model, TARGET, rank() OVER (PARTITION BY model ORDER BY pred) + "
@@ -125,6 +125,33 @@ def auc_weighted_blend_sql(rank: bool = True) -> str:
             f"ok AS (SELECT id FROM preds WHERE model IN ({ms}) GROUP BY id HAVING count(DISTINCT model) = {len(MODELS)}), "
             f"c AS (SELECT p.* FROM preds p SEMI JOIN ok USING (id)), "
             f"r AS (SELECT id, model, least(greatest(pred, 0), 1) AS p, (rank() OVER (PARTITION BY model ORDER BY pred) + "
-            f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0) / count(*) OVER (PARTITION BY model) AS rk FROM c) "
-            f"SELECT id, sum(r.{'rk' if rank else 'p'} * auc.w) / sum(auc.w) AS pred FROM r JOIN auc USING (model) GROUP BY id")
-    return canon(body, ["id", "pred"], {"id"})
+            f"  (count(*) OVER (PARTITION BY model, pred) - 1) / 2.0) / count(*) OVER (PARTITION BY model) AS rk FROM c) {select}")
+
+
+def auc_weighted_blend_sql(rank: bool = True) -> str:
+    """Per-model AUC (labelled train ids) as weights of a blend of ranks, or of predictions clipped to [0, 1]."""
+    return canon(_auc_weighted(f"SELECT id, sum(r.{'rk' if rank else 'p'} * auc.w) / sum(auc.w) AS pred "
+                               "FROM r JOIN auc USING (model) GROUP BY id"), ["id", "pred"], {"id"})
+
+
+def auc_weighted_run_sql() -> str:
+    """Q16: both blends."""
+    return canon(_auc_weighted("SELECT id, sum(p * w) / sum(w) AS probability, sum(rk * w) / sum(w) AS rank "
+                               "FROM r JOIN auc USING (model) GROUP BY id"), ["id", "probability", "rank"], {"id"})
+
+
+def auc_shares_sql() -> str:
+    """(model, weight): AUC over the sum of AUCs."""
+    return _auc_weighted("SELECT model, w / sum(w) OVER () AS weight FROM auc")
+
+
+def weight_sources_sql() -> str:
+    """Weights by hand with m4 counting 1, and equal ones."""
+    from .fixtures_sql import PREDS
+    hand = {m: WEIGHTS[m] if m != "m4" else 1.0 for m in MODELS}
+    rows = ", ".join([f"('hand', '{m}', {w / sum(hand.values())!r})" for m, w in hand.items()]
+                     + [f"('equal', '{m}', {1 / len(MODELS)!r})" for m in MODELS])
+    body = (f"WITH preds AS ({PREDS}), w AS (SELECT * FROM (VALUES {rows}) t(given, model, weight)), "
+            "a AS (SELECT model, avg(pred) AS mean FROM preds GROUP BY model) "
+            "SELECT given, model, weight, weight * mean AS part FROM w JOIN a USING (model)")
+    return canon(body, ["given", "model", "weight", "part"], set(), strings={"given", "model"})

@@ -72,7 +72,7 @@ def binned_rate_sql() -> str:
     return canon(body, ["AMT_INCOME_TOTAL_WBIN", "count", "default_rate"], {"AMT_INCOME_TOTAL_WBIN", "count"})
 
 
-def blend_report_sql() -> str:
+def blend_report_sql(shares: str | None = None) -> str:
     ms = ", ".join(repr(m) for m in MODELS)
     s = sum(WEIGHTS[m] for m in MODELS)
     wv = ", ".join(f"('{m}', {WEIGHTS[m] / s!r})" for m in sorted(MODELS))
@@ -85,7 +85,7 @@ def blend_report_sql() -> str:
             f"pc AS (SELECT a.model AS ma, b.model AS mb, corr(a.rk, b.rk) AS rho FROM r a JOIN r b "
             f"  ON a.id = b.id AND a.model <> b.model GROUP BY a.model, b.model), "
             f"sp AS (SELECT ma AS model, avg(rho) AS avg_spearman FROM pc GROUP BY ma), "
-            f"w AS (SELECT * FROM (VALUES {wv}) t(model, weight)) "
+            f"w AS ({shares or f'SELECT * FROM (VALUES {wv}) t(model, weight)'}) "
             f"SELECT w.model, w.weight, st.mean, st.std, sp.avg_spearman FROM w JOIN st USING (model) "
             f"LEFT JOIN sp USING (model)")
     return canon(body, ["model", "weight", "mean", "std", "avg_spearman"], set(), strings={"model"})
@@ -319,3 +319,8 @@ def region_sql() -> str:
 def value_counts_sql() -> str:
     body = with_fixtures("app") + "SELECT NAME_TYPE_SUITE, count(*) AS count FROM app GROUP BY NAME_TYPE_SUITE"
     return canon(body, ["NAME_TYPE_SUITE", "count"], {"count"}, strings={"NAME_TYPE_SUITE"})
+
+
+def csv_scan_sql() -> str:
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    return canon(f"SELECT {', '.join(cols)} FROM orders", cols, {"o_orderkey", "o_custkey"}, strings={"o_orderstatus", "o_orderpriority"})

@@ -37,3 +37,36 @@ def test_stratified_folds_balanced(spark):
     counts = f.groupby(["TARGET", "fold"]).size().unstack()
     assert (counts.max(axis=1) - counts.min(axis=1)).max() <= 1
     assert len(f) == 103
+
+
+def test_weighted_run_against_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    from riskloom.plans.blending import auc_weights, model_weights, weighted_run
+    rng = np.random.RandomState(5)
+    wide = pd.DataFrame({m: np.round(rng.rand(60) * 1.2 - 0.1, 2) for m in "abc"}, index=range(60))
+    y = pd.Series((rng.rand(60) < wide["a"]).astype(int), index=wide.index)
+    rows = [(i, m, float(wide.at[i, m])) for i in wide.index for m in "abc"] + [(99, "a", 0.5), (99, "b", None), (5, "other", 0.5)]
+    long = spark.createDataFrame(rows, "id long, model string, pred double")
+    labels = spark.createDataFrame([(i, int(t)) for i, t in y.items() if i % 3] + [(3, None)], "id long, TARGET int")
+    some = [i for i in y.index if i % 3]
+    auc = {}
+    for m in "abc":
+        r = wide.loc[some, m].rank()
+        pos = y[some] == 1
+        auc[m] = (r[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    share = {m: auc[m] / sum(auc.values()) for m in auc}
+    weights = model_weights(spark, "abc", auc_weights(long, labels, "abc"))
+    assert {r["model"]: round(r["weight"], 9) for r in weights.collect()} == {m: round(w, 9) for m, w in share.items()}
+    run = weighted_run(long, "abc", weights)
+    got = run.scores.toPandas().set_index("id").sort_index()
+    np.testing.assert_allclose(got["probability"], sum(wide[m].clip(0, 1) * w for m, w in share.items()), atol=1e-9)
+    np.testing.assert_allclose(got["rank"], sum(wide[m].rank(pct=True) * w for m, w in share.items()), atol=1e-9)
+    report = run.report.toPandas().set_index("model")
+    corr = wide.corr("spearman")
+    for m in "abc":
+        assert abs(report.at[m, "weight"] - share[m]) < 1e-9 and abs(report.at[m, "std"] - wide[m].std()) < 1e-9
+        assert abs(report.at[m, "avg_spearman"] - corr.loc[m].drop(m).mean()) < 1e-9
+    hand = {r["model"]: r["weight"] for r in model_weights(spark, "abc", manual={"a": 2, "b": 1}).collect()}
+    assert hand == {"a": 0.5, "b": 0.25, "c": 0.25}
+    assert {r["weight"] for r in model_weights(spark, "abcd").collect()} == {0.25}
