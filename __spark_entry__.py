@@ -410,6 +410,30 @@ def q_grid_logistic(spark, d):
     return grid_search(df, feats, [{"C": c} for c in (0.2, 0.5, 1.0, 2.0, 5.0)], logistic_l2)[0]
 
 
+def _mlp_frame(spark, d):
+    """Inputs from -1 to 1: three standard deviations either way; far outliers end the perceptron's line search early."""
+    from riskloom.functions.exprs import clip
+    from riskloom.operators.stats import standardize
+    df, feats = _model_frame(spark, d)
+    df = standardize(df, feats)
+    return df.select("SK_ID_CURR", "TARGET", "fold", *[(clip(c, -3.0, 3.0) / 3).alias(c) for c in feats]), feats
+
+
+def q_mlp_grid(spark, d):
+    """The widths and depths of a perceptron, ranked by OOF AUC."""
+    from riskloom.operators.train import grid_search, mlp
+    df, feats = _mlp_frame(spark, d)
+    grid = [{"hidden": (8,)}, {"hidden": (16,)}, {"hidden": (16, 8)}]
+    return grid_search(df, feats, grid, lambda hidden: mlp(hidden, n_features=len(feats), max_iter=30))[0]
+
+
+def q_mlp_first_layer(spark, d):
+    """Sum of the absolute first-layer weights of each input, averaged over the folds."""
+    from riskloom.operators.train import cross_validate, mlp
+    df, feats = _mlp_frame(spark, d)
+    return cross_validate(df, feats, mlp((8,), n_features=len(feats), max_iter=30)).importance
+
+
 def q_onehot_sparse(spark, d):
     """Sparse one-hot of the categorical application columns behind the numeric ones: the vector's width, the
     slots that are set and the sum of its numbers."""
@@ -984,6 +1008,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q104_weighted_run_report": q_weighted_run_report,
     "q105_weight_sources": q_weight_sources,
     "q106_csv_scan": q_csv_scan,
+    "q107_mlp_grid": q_mlp_grid,
+    "q108_mlp_first_layer": q_mlp_first_layer,
 }
 
 

@@ -47,6 +47,11 @@ def _importance(model, features: Sequence[str]) -> list[tuple[str, float]] | Non
     coef = getattr(model, "coefficients", None)
     if coef is not None:
         return [(f, abs(float(v))) for f, v in zip(features, coef.toArray())]
+    if hasattr(model, "getLayers"):
+        # a perceptron: sum of the absolute weights of an input in the first layer, whose weights come first, input by input
+        inputs, units = model.getLayers()[:2]
+        first = abs(model.weights.toArray()[:inputs * units]).reshape(inputs, units)
+        return [(f, float(v)) for f, v in zip(features, first.sum(axis=1))]
     return None
 
 

@@ -43,6 +43,8 @@ def test_other_learners_and_fold_weights(spark):
     assert r.oof_auc > 0.85
     r = cross_validate(df, ["x1", "x2"], mlp(hidden=(4,), n_features=2, max_iter=50))
     assert r.oof.count() == n and r.oof_auc > 0.7
+    weights = {x["feature"]: x["importance"] for x in r.importance.collect()}
+    assert set(weights) == {"x1", "x2"} and weights["x1"] > weights["x2"] > 0
     r = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0),
                        fold_weight=lambda k: F.when(F.col("TARGET") == 1, F.lit(3.0)).otherwise(F.lit(1.0)))
     assert r.oof_auc > 0.85
@@ -216,3 +218,21 @@ def test_two_level_search(spark):
     assert len(r.final.fold_auc) == 5 and r.final.oof.count() == 300 and r.final.test.count() == 7
     plain = cross_validate(df.withColumn("fold", F.col("fold3")), ["x1", "x2"], logistic_l2(**r.params))
     assert abs(best - np.mean(plain.fold_auc)) < 1e-9
+
+
+def test_first_layer_weights_belong_to_their_inputs(spark):
+    """The table's weights, put into a plain forward pass, give the model's own probabilities."""
+    from riskloom.operators.train import _importance, assemble, mlp
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(rng.normal(size=(120, 3)), columns=["a", "b", "c"])
+    pdf["y"] = (pdf["a"] - 2 * pdf["b"] > 0).astype(float)
+    data = assemble(spark.createDataFrame(pdf), ["a", "b", "c"])
+    model = mlp(hidden=(4,), n_features=3, max_iter=30)("features", "y", None).fit(data)
+    w = model.weights.toArray()
+    first, bias, second, last = w[:12].reshape(3, 4), w[12:16], w[16:24].reshape(4, 2), w[24:26]
+    x = np.array([r["features"].toArray() for r in data.select("features").collect()])
+    out = 1 / (1 + np.exp(-(x @ first + bias))) @ second + last
+    want = np.exp(out) / np.exp(out).sum(axis=1, keepdims=True)
+    got = np.array([r["probability"].toArray() for r in model.transform(data).select("probability").collect()])
+    np.testing.assert_allclose(got, want, atol=1e-9)
+    assert _importance(model, ["a", "b", "c"]) == [(f, v) for f, v in zip("abc", np.abs(first).sum(axis=1))]
