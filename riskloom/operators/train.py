@@ -55,6 +55,18 @@ def _importance(model, features: Sequence[str]) -> list[tuple[str, float]] | Non
     return None
 
 
+def fitted(estimator, rows: DataFrame):
+    """The model fitted on ``rows``, without its training summary.
+
+    A model goes to the tasks that score with it, whole.  The summary of a binary logistic model holds the session,
+    which cannot be sent any more once an ``Observation`` has been used in it, by whatever job.
+    """
+    model = estimator.fit(rows)
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return model
+
+
 def at_once(spark, jobs: Sequence[Callable], parallelism: int) -> list:
     """Results of driver-side jobs that run side by side, in their order; each submits its own Spark jobs."""
     from concurrent.futures import ThreadPoolExecutor
@@ -118,7 +130,7 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
             fit_part = fit_part.where(fold_filter(k) if not early_stop else fold_filter(k) | F.col("_held"))
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
-        return est.fit(fit_part)
+        return fitted(est, fit_part)
 
     models = at_once(train.sparkSession, [lambda k=k: fit(k) for k in folds], parallelism)
     for k, model in zip(folds, models):
@@ -330,7 +342,7 @@ def permutation_importance(train: DataFrame, features: Sequence[str], make_estim
     data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
                        .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
-    models = at_once(train.sparkSession, [lambda k=k: make_estimator("features", label, None).fit(data.where(F.col(fold) != k)) for k in folds], 4)
+    models = at_once(train.sparkSession, [lambda k=k: fitted(make_estimator("features", label, None), data.where(F.col(fold) != k)) for k in folds], 4)
     coefficients = {k: [float(x) for x in m.coefficients.toArray()] for k, m in zip(folds, models)}
     told = train.sparkSession.createDataFrame([(k, coefficients[k]) for k in folds], f"{fold} int, _coef array<double>")  # a row per fold
     rows = data.withColumn(fold, F.col(fold).cast("int")).join(F.broadcast(told), fold).select(
@@ -356,7 +368,7 @@ def platt_calibrate(oof: DataFrame, label: str = "TARGET", score_col: str = "oof
     """One-feature logistic fit on decision values -> calibrated probability column ``prob``."""
     from pyspark.ml.classification import LogisticRegression
     d = assemble(oof.withColumn(label, F.col(label).cast("double")), [score_col], "_cf")
-    m = LogisticRegression(featuresCol="_cf", labelCol=label, regParam=0.0).fit(d)
+    m = fitted(LogisticRegression(featuresCol="_cf", labelCol=label, regParam=0.0), d)
     return m, m.transform(d).select(*oof.columns, _p1().alias("prob"))
 
 
@@ -426,7 +438,7 @@ def refit_full(train: DataFrame, features: Sequence[str], make_estimator: Callab
     """One fit on every training row (e.g. at the fold-average best iteration),
     returning (model, importance DataFrame or None)."""
     data = assemble(train, features).withColumn(label, F.col(label).cast("double"))
-    model = make_estimator("features", label, weight_col).fit(data)
+    model = fitted(make_estimator("features", label, weight_col), data)
     im = _importance(model, features)
     imp = None if im is None else train.sparkSession.createDataFrame(im, "feature string, importance double")
     return model, imp
@@ -441,7 +453,7 @@ def train_fold_auc(train: DataFrame, features: Sequence[str], make_estimator: Ca
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     parts = []
     for k in folds:
-        model = make_estimator("features", label, None).fit(data.where(F.col(fold) != k))
+        model = fitted(make_estimator("features", label, None), data.where(F.col(fold) != k))
         sc = model.transform(data).select(
             F.lit(k).alias("_k"), F.when(F.col(fold) == k, "valid").otherwise("train").alias("part"),
             label, _p1().alias("pred"))
@@ -475,7 +487,7 @@ def calibrated_cross_validate(train: DataFrame, features: Sequence[str], make_es
         tri = cut_lineage(tr.join(inner, id_col))
         probs = None
         for i in range(inner_k):
-            model = make_estimator("features", label, None).fit(tri.where(F.col("_if") != i))
+            model = fitted(make_estimator("features", label, None), tri.where(F.col("_if") != i))
             held = score(model, tri.where(F.col("_if") == i)).select(id_col, label, F.col("pred").alias("oof_pred"))
             cal = (platt_calibrate if method == "sigmoid" else isotonic_calibrate)(held, label)[0]
             sv = score(model, va).select(id_col, F.col("pred").alias("oof_pred"), F.lit(0.0).alias(label))

@@ -236,3 +236,15 @@ def test_first_layer_weights_belong_to_their_inputs(spark):
     got = np.array([r["probability"].toArray() for r in model.transform(data).select("probability").collect()])
     np.testing.assert_allclose(got, want, atol=1e-9)
     assert _importance(model, ["a", "b", "c"]) == [(f, v) for f, v in zip("abc", np.abs(first).sum(axis=1))]
+
+
+def test_logistic_models_score_after_an_observation(spark):
+    """A session that has used an Observation cannot be sent to tasks; fitted models must not hold it."""
+    from pyspark.sql import Observation
+    from riskloom.operators.train import platt_calibrate
+    df = spark.createDataFrame(_imbalanced(200, k=2))
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 200}
+    oof = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0, max_iter=5)).oof
+    assert oof.count() == 200 and platt_calibrate(oof)[1].where("prob is not null").count() == 200
