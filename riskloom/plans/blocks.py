@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flag, ieee_div, sentinel_to_null
-from ..operators.aggspec import Window, aggregate, spec_columns
+from ..operators.aggspec import Window, aggregate, by_key, spec_columns
 from . import specs as S
 
 ID = "SK_ID_CURR"
@@ -57,7 +57,7 @@ def prev_block(prev: DataFrame, zero: str = "null") -> DataFrame:
                         ("PREV_APPROVED_RATIO", S.PREV_APPROVED)):
         k = F.count(F.when(status == value, F.lit(1)))
         cols.append(F.when(n_status > 0, k / n_all).alias(name))
-    return df.groupBy(ID).agg(*cols)
+    return by_key(df, ID).groupBy(ID).agg(*cols)
 
 
 # ---------------------------------------------------------------- Q2
@@ -133,7 +133,7 @@ def bureau_block(bureau: DataFrame, bureau_bal: DataFrame, zero: str = "null") -
         (F.sum("_bb_dpd120") / rows).alias(f"{p}BUREAU_BAL_IS_DPD_OVER120_MEAN"),
         F.sum("_bb_dpd120").alias(f"{p}BUREAU_BAL_IS_DPD_OVER120_SUM"),
     ]
-    return j.groupBy(ID).agg(*cols)
+    return by_key(j, ID).groupBy(ID).agg(*cols)
 
 
 # ---------------------------------------------------------------- Q3-Q5

@@ -48,3 +48,14 @@ def test_hot_key_block_matches_pandas(spark):
     np.testing.assert_allclose(got["POS_SK_DPD_MEAN"].values, g["SK_DPD"].mean().values)
     recent = pdf[pdf.MONTHS_BALANCE > -24].groupby("SK_ID_CURR")["SK_DPD"].max()
     np.testing.assert_allclose(got.loc[recent.index, "POS_M24SK_DPD_MAX"].values, recent.values)
+
+
+def test_block_rows_travel_and_not_their_aggregate_states(spark):
+    """One exchange of narrow rows by the key, none between the aggregation's two halves."""
+    from riskloom.plans import blocks as B
+    from riskloom.sources import fixtures as FX
+    d = "/root/testdata/sf0.001"
+    for block in (B.prev_block(FX.previous_application(spark, d)), B.pos_block(FX.pos_cash(spark, d)), B.card_block(FX.credit_card(spark, d))):
+        plan = block._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(SK_ID_CURR") == 1
+        assert plan.index("Exchange hashpartitioning(SK_ID_CURR") > plan.rindex("HashAggregate(keys=[SK_ID_CURR")
