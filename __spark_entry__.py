@@ -305,7 +305,8 @@ def _model_frame(spark, d, test=False):
     from riskloom.operators.folds import stratified_folds
     from riskloom.operators.stats import fill_medians, numeric_columns
     from riskloom.plans.application import feature_set
-    v7 = feature_set(FX.application(spark, d), version=7)
+    from riskloom.session import cut_lineage
+    v7 = cut_lineage(feature_set(FX.application(spark, d), version=7))  # read for the medians and for every row set
     train = v7.where(F.col("split") == "train").drop("split")
     feats = numeric_columns(train, exclude=("SK_ID_CURR", "TARGET"))
     folds = stratified_folds(_train_app(spark, d))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, fit_frame
 from .stats import auc_by_group
 from .train import CVResult, assemble, at_once
 
@@ -77,7 +77,7 @@ def boosted_cross_validate(train: DataFrame, features: Sequence[str], make_estim
     of the trees that a fold keeps.
     """
     spark = train.sparkSession
-    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, fold, *features), features)
                        .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
     tst = cut_lineage(assemble(test.select(id_col, *features), features).select(id_col, "features")) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, fit_frame
 from .stats import auc_by_group
 
 
@@ -109,12 +109,12 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
         # an already assembled (possibly sparse) vector column
         vec = features
         features = []
-        data = cut_lineage(train.select(id_col, label, fold, *wsel, F.col(vec).alias("features"))
+        data = fit_frame(train.select(id_col, label, fold, *wsel, F.col(vec).alias("features"))
                            .withColumn(label, F.col(label).cast("double")))
         tst = cut_lineage(test.select(id_col, F.col(vec).alias("features"))) if test is not None else None
     else:
         cols = [id_col, label, fold, *features] + wsel
-        data = cut_lineage(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
+        data = fit_frame(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
         tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     score = score or (lambda m, d: m.transform(d).withColumn("pred", _p1()))
@@ -278,7 +278,7 @@ def grid_search(train: DataFrame, features: Sequence[str], grid: Sequence[dict],
     Returns the table (params, mean fold AUC, std, OOF AUC), best first, and the
     CV result of the set that is best ``by`` "oof_auc" or "mean_auc".
     """
-    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
     rows, results = _grid(data, grid, factory, id_col, label, fold, parallelism, **cv_kw)
     df = train.sparkSession.createDataFrame(rows, "params string, mean_auc double, std_auc double, oof_auc double")
@@ -316,7 +316,7 @@ def two_level_search(train: DataFrame, test: DataFrame | None, features: Sequenc
 
     Both levels read one checkpointed frame that carries both fold columns.
     """
-    data = cut_lineage(assemble(train.select(id_col, label, search_fold, final_fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, search_fold, final_fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
     rows, _ = _grid(data, grid, factory, id_col, label, search_fold, parallelism)
     best = _best_row(rows, 1)
@@ -339,7 +339,7 @@ def permutation_importance(train: DataFrame, features: Sequence[str], make_estim
     from pyspark.ml.functions import vector_to_array
 
     from ..functions.ranks import with_row_number
-    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, fold, *features), features)
                        .select(id_col, label, fold, "features").withColumn(label, F.col(label).cast("double")))
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     models = at_once(train.sparkSession, [lambda k=k: fitted(make_estimator("features", label, None), data.where(F.col(fold) != k)) for k in folds], 4)
@@ -410,7 +410,7 @@ def imbalance_runs(train: DataFrame, features: Sequence[str], factory: Callable,
     from .folds import fold_class_counts, fold_undersample
     rows = train.select(id_col, label, fold, *features)
     rows = fold_undersample(rows, id_col, label, fold, ratio, out="_keep_for")
-    data = cut_lineage(assemble(rows, features).select(id_col, label, fold, "_keep_for", "features")
+    data = fit_frame(assemble(rows, features).select(id_col, label, fold, "_keep_for", "features")
                        .withColumn(label, F.col(label).cast("double")))
     part = {r[fold]: (float(r["neg"]), float(r["pos"])) for r in fold_class_counts(data, label, fold).collect()}
 
@@ -448,7 +448,7 @@ def train_fold_auc(train: DataFrame, features: Sequence[str], make_estimator: Ca
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold") -> DataFrame:
     """Per fold: AUC on the fold's own training part and on its held-out part, in one
     scoring job per fold and one grouped AUC job -> (fold, part, auc)."""
-    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     parts = []
@@ -476,7 +476,7 @@ def calibrated_cross_validate(train: DataFrame, features: Sequence[str], make_es
     """
     from .folds import kfold
     score = score or ridge_score()
-    data = cut_lineage(assemble(train.select(id_col, label, fold, *features), features)
+    data = fit_frame(assemble(train.select(id_col, label, fold, *features), features)
                        .withColumn(label, F.col(label).cast("double")))
     outer = sorted(r[0] for r in data.select(fold).distinct().collect())
     parts = []

@@ -57,3 +57,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+ROWS_TO_SPREAD = 20_000   #: a part of a scan that is dealt over the cores has this many rows at least
+MOST_ROWS_A_PART = 500_000  #: ... and a part of a frame that fits run over has this many at most
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a scan, dealt by key over the cores where its own tasks are fewer and its rows are many.
+
+    A scan has tasks by file size.  A compact table whose rows are worked on for long (features, model fits) would
+    keep one or two cores busy.
+    """
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, df.count() // ROWS_TO_SPREAD)
+    return df.repartition(parts, *keys) if parts > df.rdd.getNumPartitions() else df
+
+
+def fit_frame(df: DataFrame) -> DataFrame:
+    """The frame checkpointed, in no more parts than cores unless a part would pass ``MOST_ROWS_A_PART``.
+
+    A fit takes a hundred steps and each part sends a result to the driver in every step.
+    """
+    out = cut_lineage(df)
+    return out.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-out.count() // MOST_ROWS_A_PART)))

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .tables import read_table
 
 # Reference "application day": relative day counts are datediff(date, ref) < 0.
@@ -34,7 +35,8 @@ def _days(ts_col: str, ref: str):
 
 def application(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> application_train/test (split column, TARGET on train rows only)."""
-    cu = read_table(spark, sf_dir, "customer")
+    # few bytes a customer, but many features and model fits: not a task per file split, but work for every core
+    cu = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"), "c_custkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     rg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation (25 rows) and region (5 rows) are fixed-size dimensions: broadcast is bounded.

@@ -45,3 +45,19 @@ class _Session:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(_Session())
+
+
+def test_a_compact_scan_is_spread_and_a_fitted_frame_has_few_parts(spark, tmp_path, monkeypatch):
+    from riskloom import session
+    monkeypatch.setattr(session, "ROWS_TO_SPREAD", 10)
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    cores = spark.sparkContext.defaultParallelism
+    out = session.spread(scan, "id")
+    assert scan.rdd.getNumPartitions() == 1 and out.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
+    assert session.spread(scan.limit(10), "id").rdd.getNumPartitions() == 1
+    frame = session.fit_frame(scan.repartition(4 * cores, "id"))
+    assert frame.rdd.getNumPartitions() == cores and frame.count() == 1000
+    monkeypatch.setattr(session, "MOST_ROWS_A_PART", 1000 // (2 * cores))
+    assert cores < session.fit_frame(scan.repartition(4 * cores, "id")).rdd.getNumPartitions() <= 4 * cores
