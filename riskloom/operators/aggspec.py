@@ -7,8 +7,8 @@ literally (some reference prefixes carry no separator).
 Several *windows* (all-history, a status subset, a recency filter) are computed
 in ONE ``groupBy().agg()`` by conditional aggregation: each windowed aggregate
 reads ``CASE WHEN cond THEN x END``.  That is one scan and one shuffle on the
-key instead of one per window; the rows are shuffled, not their partial states
-(``by_key``).
+key instead of one per window; partial (map-side) aggregation applies unless the
+rows are dealt by key first (``by_key``).
 
 Missing semantics (pandas-compatible):
   * sum over a group whose values are all missing -> 0 (not NULL);
@@ -126,7 +126,7 @@ def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """The rows dealt by key, so that the grouped aggregation behind it needs no further exchange.
 
     A block has more than a hundred aggregates and a key only some rows: partial states would be many times
-    wider than the rows, and hardly fewer.  The rows themselves travel, once, with the columns that the block reads.
+    wider than the rows, and hardly fewer.  The rows themselves travel, once, before columns are derived from them.
     """
     return df.repartition(*keys)
 
@@ -148,7 +148,7 @@ def aggregate(df: DataFrame, key: str | Sequence[str], spec: AggSpec, prefix: st
     cols = []
     for pre, cond, sp in parts:
         cols += spec_columns(df, sp, pre, cond)
-    return by_key(df, *keys).groupBy(*keys).agg(*cols)
+    return df.groupBy(*keys).agg(*cols)
 
 
 def _two_level(df: DataFrame, keys: list[str], parts, dcol: str) -> DataFrame:
@@ -156,8 +156,8 @@ def _two_level(df: DataFrame, keys: list[str], parts, dcol: str) -> DataFrame:
 
     Level 1 groups by (key, dcol) and keeps mergeable partial states (count,
     sum, min, max, window row counts); level 2 groups by key, merges them and
-    counts the dcol values present (per window).  Rows are dealt by key first, so
-    both levels run where a key's rows are.
+    counts the dcol values present (per window).  Rows dealt by (key, dcol) need
+    no exchange before level 1; level 2 combines the states of a key map-side.
     """
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     l1, l2 = [], []
@@ -199,7 +199,7 @@ def _two_level(df: DataFrame, keys: list[str], parts, dcol: str) -> DataFrame:
                 if present is not None:
                     a = f"CASE WHEN {present} THEN {a} END"
                 l2.append(f"{a} AS {_q(feature_name(pre, column, fn))}")
-    lvl1 = by_key(df, *keys).groupBy(*keys, dcol).agg(*[F.expr(e) for e in l1])
+    lvl1 = df.groupBy(*keys, dcol).agg(*[F.expr(e) for e in l1])
     return lvl1.groupBy(*keys).agg(*[F.expr(e) for e in l2])
 
 
