@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.state import cut
+from riskloom.llm.state import cut, few
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -34,10 +34,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Null ends and self loops are ignored; no edges give no rows.
     """
     now = cut(edges.select("u", "v").where("u is not null and v is not null and u <> v").distinct())
-    seen = None
+    rows, seen = now.count(), None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
+        now = cut(few(_small_star(few(_large_star(few(now, rows)), rows)), rows))
         mark = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+        rows = mark[0]
         if mark == seen:
             break
         seen = mark

@@ -4,22 +4,23 @@ Two lines link when their edit distance (in characters) is at most ``edits``, an
 most one edit for each ``edit_chars`` characters of the shorter line; linked lines, over any
 number of links, are one cluster, and its first line by (document id, line number) is kept.
 
-Method (PassJoin: Li et al. 2011).  A line cut into ``edits + 1`` segments keeps one whole under ``edits``
-edits.  Lines are indexed by (length, segment number, segment), and each line probes the index of its own and the
-shorter lengths with the substrings that a multi-match-aware selection allows: those shifted by at most ``i - 1``
-from the left and ``edits + 1 - i`` from the right.  A line's own segments serve as its probes without a shift.
-Index keys and probes are rows of two numbers, dealt by key once; texts stay where they are.  Only keys that hold an
-indexed line and a second line go on (*postings*).
+Method (segment partition after PassJoin: Li et al. 2011).  Of ``edits + 1`` segments of a line one stays whole under
+``edits`` edits, and there is one with as many edits to its left as segments, and no more to its right than segments
+there.  Lines of nearly one length form a bucket; its least length gives the segments' size.  Segments of the first half are
+counted from the line's start, the others from its end, so a length needs no keys of its own: a segment is met by the substrings
+shifted by at most the edits on that side, eight keys a line at three edits.  Lines are indexed by (bucket, segment
+number, segment); each line probes its own bucket, and the next lower one where a line of that can be within the edits.  A line's own segments
+serve as its probes without a shift.  Index keys and probes are rows of two numbers, dealt by key once; texts stay where
+they are.  Only keys that hold an indexed line and a second line go on (*postings*).
 
 Candidates meet heads first: every line of a key is compared with the key's smallest indexed line, which is linear in the
 postings.  Keys whose lines are still in several components get a second head from the lines outside the first
 one's component, and only keys that hold several components after ``HEADS`` rounds are compared pair by pair, between
-components.  A line in a posting has a signature, the parities of its counts of ``LETTERS``; an edit changes two of them
-at most, so pairs that differ in more than ``2 * edits`` are dropped before any text is fetched.  Of the other
-pairs, equal halves are taken off both ends, which leaves the distance as it is, and the rest is verified by a banded bit-parallel edit distance (Hyyro 2003): one 64-bit word slides along the
-diagonal with the ``2 * edits + 1`` cells of the band, whatever the length of the line.
+components.  A line in a posting has a signature, its length and the parities of its counts of ``LETTERS``; an edit changes two of them
+at most, so pairs that differ in more than ``2 * edits`` parities or ``edits`` characters are dropped before their texts meet.
+The rest is verified by ``levenshtein`` with a threshold.
 
-The texts of candidates alone are fetched for that, by a bitmap of line hashes of fixed size (a superset; the
+The texts of lines in postings alone are fetched for that, once, by a bitmap of line hashes of fixed size (a superset; the
 join after it is exact).  Lines are named by a 63-bit hash.  Components run by graph rounds.
 
 Defined results: lines shorter than ``min_chars`` and blank ones take no part and have no row; lines too short for
@@ -34,11 +35,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
-from riskloom.llm.state import BITMAP_LOG2, cut, unused
+from riskloom.llm.state import BITMAP_LOG2, cut, few, unused
 
 
 LETTERS = "etaoinsrhldcumfpgwybvkxjqz .,013"
-TRIMS = 5  #: halvings from either end before the distance is computed
 HEADS = 3  #: rounds in which a key's lines meet one line only
 
 
@@ -54,92 +54,80 @@ def _levels(edits: int, edit_chars: int | None) -> list[tuple[int, int, int | No
     return [(k, k * edit_chars, (k + 1) * edit_chars if k < edits else None) for k in range(1, edits + 1)]
 
 
-def _keys(levels: list, sure: bool) -> str:
-    """SQL array of (parts, shorter, segment, shift, own, low, end): the keys of a line of n characters.
+def _buckets(levels: list) -> str:
+    """SQL array of (parts, lower, low, end): the buckets of a level that a line may reach, its own or highest and the one below."""
+    return ", ".join(f"named_struct('parts', {edits + 1}, 'lower', {down}, 'low', {low}, 'end', {end or 2 ** 31 - 1})"
+                     for edits, low, end in levels for down in (0, 1))
 
-    ``own`` keys are the line's segments, for the index and as probes without a shift; the others are substrings
-    that may be a segment of a line of n - shorter characters.  The indexed line is the shorter one, so its
-    length sets the edits and the segments.  ``sure``: the line is long enough for the last level alone.
-    """
+
+def _keys(edits: int) -> str:
+    """SQL array of (segment, shift, right): the substrings of a line that may be a segment; ``right``: counted from its end."""
     out = []
-    for edits, low, end in levels[-1:] if sure else levels:
-        for shorter in range(edits + 1):
-            for i in range(edits + 1):
-                for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                    out.append(f"named_struct('parts', {edits + 1}, 's', {shorter}, 'i', {i}, 'd', {shift}, "
-                               f"'own', {int(shorter == 0 and shift == 0)}, 'low', {low}, 'end', {end or 2 ** 31 - 1})")
+    for i in range(edits + 1):
+        most = min(i, edits - i)
+        out += [f"named_struct('i', {i}, 'd', {d}, 'right', {str(i > edits - i).lower()})" for d in range(-most, most + 1)]
     return f"array({', '.join(out)})"
 
 
+def _into(x: str) -> str:
+    """SQL: characters from the start of the bucket of a length that is ``x`` above its level's least.
+
+    Buckets are wider than the edits, so a line reaches two at most.
+    """
+    return f"({x}) % if({x} < 12 * parts, parts, 4 * parts)"
+
+
 def _posted(lines: DataFrame, levels: list) -> DataFrame:
     """(key, tag) of all keys of all lines; the tag is the line's id, plus one if the key is its own segment."""
     edits, low, _ = levels[-1]
     each = lines.where(F.col("chars") >= levels[0][1]).select(line_id().alias("id"), "line", "chars", F.expr(
-        "octet_length(line) = chars").alias("plain"), F.expr(
-        f"inline(if(chars >= {low + edits}, {_keys(levels, True)}, {_keys(levels, False)}))"))
-    each = each.selectExpr("id", "line", "chars", "plain", "parts", "i", "own", "low", "end", "chars - s as m",
-                           "cast(floor((chars - s) / parts) as int) as base", "cast((chars - s) % parts as int) as extra", "d")
-    each = each.where("m >= low and m < end").selectExpr(
-        "id", "line", "chars", "plain", "i", "own", "m", "base * i + greatest(0, extra - (parts - i)) + d as at",
-        "base + if(extra >= parts - i, 1, 0) as size")
+        "octet_length(line) = chars").alias("plain"))
+    # a long line's partners are all of the last level; expressions of a line stand before its rows are made
+    line = ("id", "line", "chars", "plain")
+    each = each.selectExpr(*line, f"inline(if(chars >= {low + edits}, array({_buckets(levels[-1:])}), array({_buckets(levels)})))")
+    each = each.selectExpr(*line, "parts", "low", "lower = 0 and chars < end as own", "lower", "least(chars, end - 1) as m")
+    each = each.selectExpr(*line, "parts", "low", "own", f"if(lower = 0, m, m - 1 - {_into('m - low')}) as m")
+    each = each.where("m >= low and chars - m < parts").selectExpr(*line, "parts", "own", f"m - {_into('m - low')} as base")
+    by_parts = " ".join(f"when {k + 1} then {_keys(k)}" for k, _, _ in levels)
+    each = each.selectExpr(*line, "parts", "own", "base", "cast(base div parts as int) as size")
+    each = each.selectExpr(*line, "parts", "own", "base", "size", f"inline(case parts {by_parts} end)")
+    each = each.selectExpr(*line, "i", "own and d = 0 as own", "base", "size", "if(right, chars - size * (parts - i), size * i) + d as at")
     # characters are bytes in a plain line, so its pieces need no search for their start
     piece = "if(plain, substring(cast(line as binary), at + 1, size), cast(substring(line, at + 1, size) as binary))"
-    return each.where("at >= 0 and at + size <= chars").selectExpr(f"xxhash64(m, i, {piece}) as key", "id + own as tag")
+    return each.where("at >= 0 and at + size <= chars").selectExpr(f"xxhash64(base, i, {piece}) as key", "id + int(own) as tag")
 
 
 def _signature(line: str) -> Column:
-    """Bit i: whether the line holds an odd number of letter i."""
-    return F.expr(" | ".join(f"shiftleft(cast((length({line}) - length(replace({line}, '{c}', ''))) & 1 as bigint), {i})"
-                             for i, c in enumerate(LETTERS)))
+    """Bit i: whether the line holds an odd number of letter i; the length stands above them."""
+    odd = " | ".join(f"shiftleft(cast((length({line}) - length(replace({line}, '{c}', ''))) & 1 as bigint), {i})"
+                     for i, c in enumerate(LETTERS))
+    return F.expr(f"{odd} | shiftleft(cast(length({line}) as bigint), {len(LETTERS)})")
 
 
 def _postings(lines: DataFrame, levels: list) -> DataFrame:
     """(key, id, own, sign) of keys that hold an indexed line and another line."""
+    return _postings_and_texts(lines, levels)[0]
+
+
+def _postings_and_texts(lines: DataFrame, levels: list) -> tuple[DataFrame, DataFrame]:
+    """``_postings``, and (id, line) of the lines in them."""
     whole = Window.partitionBy("key")
     own = F.col("tag").bitwiseAND(F.lit(1)) == 1
     id_ = F.col("tag").bitwiseAND(F.lit(-2))
-    met = (_posted(lines, levels).withColumn("own", own).withColumn("any", F.max("own").over(whole))
-           .withColumn("low", F.min(id_).over(whole)).withColumn("high", F.max(id_).over(whole)))
-    met = cut(met.where("any and low <> high").select("key", id_.alias("id"), "own").distinct())
-    signs = (_named(lines, met.select("id")).select("id", _signature("line").alias("sign")).groupBy("id").agg(F.min("sign").alias("sign")))
-    return cut(met.join(signs, "id").select("key", "id", "own", "sign"))
+    met = (_posted(lines, levels).withColumn("any", F.max(F.col("tag").bitwiseAND(F.lit(1))).over(whole))
+           .withColumn("low", F.min("tag").over(whole)).withColumn("high", F.max("tag").over(whole)))
+    met = cut(met.where("any = 1 and low & -2 <> high & -2").select("key", id_.alias("id"), own.alias("own")).distinct())
+    rows = met.count()
+    met = few(met, rows)
+    wanted = met.select("id").distinct()
+    texts = cut(few(_texts(lines, wanted).join(wanted, "id", "left_semi"), rows, 20_000))
+    return cut(few(met.join(texts.select("id", _signature("line").alias("sign")), "id").select("key", "id", "own", "sign"), rows)), texts
 
 
 def banded_distance(a: str, b: str, edits: int) -> Column:
-    """Edit distance of the string columns ``a`` and ``b`` if it is at most ``edits``, else a larger number.
-
-    Bit k of the word at step j stands for the cell (row j - edits + k, column j).  The value at the band's
-    lowest cell follows the diagonal until it reaches the last row of ``a``, then that row.
-    """
-    return F.expr(_distance(a, b, edits))
-
-
-def _distance(a: str, b: str, edits: int) -> str:
-    """SQL of ``banded_distance``."""
-    width, mask = 2 * edits + 1, (1 << (2 * edits + 1)) - 1
-    equal = " | ".join(f"if(get(x, j + {k - edits - 1}) = get(y, j - 1), {1 << k}L, 0L)" for k in range(width))
-    start = ((1 << (edits + 1)) - 1) << edits
-    zero = f"(((((eq & acc.vp) + acc.vp) ^ acc.vp) | eq | acc.vn) & {mask}L)"
-    step = f"""transform(array({equal}), eq -> transform(array({zero}), d -> transform(
-        array(struct((acc.vn | (~(d | acc.vp) & {mask}L)) as hp, d & acc.vp as hn)), h -> named_struct(
-          'vp', h.hn | (~(shiftright(d, 1) | h.hp) & {mask}L),
-          'vn', shiftright(d, 1) & h.hp,
-          's', acc.s + if(j + {edits} <= size(x),
-                          if(d & {1 << (2 * edits)}L = 0, 1, 0),
-                          cast((shiftright(h.hp, size(x) - j + {edits}) & 1) - (shiftright(h.hn, size(x) - j + {edits}) & 1) as int))))[0])[0])[0]"""
-    first = f"named_struct('vp', {start}L, 'vn', 0L, 's', least({edits}, size(x)))"
-    walk = f"aggregate(sequence(1, size(y)), {first}, (acc, j) -> {step}, acc -> acc.s)"
-    # x and y: characters; both ends are at most ``edits`` apart in length, else nothing need be walked
-    walk = f"transform(array(struct(split({a}, '') as x, split({b}, '') as y)), p -> {_inside(walk)})[0]"
-    return (f"if(abs(length({a}) - length({b})) > {edits}, {edits + 1}, if(length({a}) = 0 or length({b}) = 0, "
-            f"greatest(length({a}), length({b})), {walk}))")
-
-
-def _inside(sql: str) -> str:
-    """x and y as fields of the lambda variable p."""
-    for name in ("x", "y"):
-        sql = sql.replace(f"get({name},", f"get(p.{name},").replace(f"size({name})", f"size(p.{name})")
-    return sql
+    """Edit distance of the string columns ``a`` and ``b`` if it is at most ``edits``, else a larger number."""
+    d = F.levenshtein(a, b, edits)
+    return F.when(d < 0, edits + 1).otherwise(d)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -162,33 +150,19 @@ def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return _named(lines, wanted).groupBy("id").agg(F.min("line").alias("line"))
 
 
-def _trimmed_distance(a: str, b: str, edits: int) -> Column:
-    """``banded_distance`` after common halves have been taken off either end in turn."""
-    def ends(x, first):
-        return f"substring({x}, 1, h)" if first else f"substring({x}, length({x}) - h + 1, h)"
-
-    def rest(x, first):
-        return f"substring({x}, h + 1)" if first else f"substring({x}, 1, length({x}) - h)"
-
-    def step(first):
-        return (f"h > 0 and k % 2 = {int(first)} and {ends('t.a', first)} = {ends('t.b', first)}, "
-                f"named_struct('a', {rest('t.a', first)}, 'b', {rest('t.b', first)})")
-
-    trim = (f"aggregate(sequence(1, {2 * TRIMS}), named_struct('a', {a}, 'b', {b}), (t, k) -> transform(array("
-            f"cast(floor(least(length(t.a), length(t.b)) / 2) as int)), h -> if({step(True)}, if({step(False)}, t)))[0])")
-    return F.expr(f"transform(array({trim}), w -> {_distance('w.a', 'w.b', edits)})[0]")
+def _linked(a: str, b: str, edits: int, edit_chars: int | None) -> Column:
+    """Whether two lines are within the allowed edits."""
+    most = F.lit(edits)
+    if edit_chars:
+        most = F.least(most, F.floor(F.least(F.length(a), F.length(b)) / edit_chars).cast("int"))
+    return banded_distance(a, b, edits) <= most
 
 
-def _verified(lines: DataFrame, pairs: DataFrame, edits: int, edit_chars: int | None) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame, edits: int, edit_chars: int | None) -> DataFrame:
     """(u, v) of the pairs (a, b) within the allowed edits."""
-    pairs = cut(pairs.distinct())
-    texts = cut(_texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("id"))))
-    both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
+    both = (pairs.distinct().join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"))
-    most = F.lit(edits)
-    if edit_chars:
-        most = F.least(most, F.floor(F.least(F.length("la"), F.length("lb")) / edit_chars).cast("int"))
-    return cut(both.where(_trimmed_distance("la", "lb", edits) <= most).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return cut(both.where(_linked("la", "lb", edits, edit_chars)).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -197,7 +171,9 @@ def _pair(a: str, b: str) -> list[Column]:
 
 def _near(a: str, b: str, edits: int) -> Column:
     """Whether two signatures allow ``edits`` edits."""
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2 * edits
+    n = len(LETTERS)
+    odd = F.bit_count(F.col(a).bitwiseXOR(F.col(b)).bitwiseAND(F.lit((1 << n) - 1)))
+    return (odd <= 2 * edits) & (F.abs(F.shiftright(a, n) - F.shiftright(b, n)) <= edits)
 
 
 def _open(postings: DataFrame, links: DataFrame) -> DataFrame:
@@ -206,7 +182,7 @@ def _open(postings: DataFrame, links: DataFrame) -> DataFrame:
     named = (postings.join(roots.withColumnRenamed("node", "id"), "id", "left")
              .select("key", "id", "own", "sign", F.coalesce("root", "id").alias("root")))
     many = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    return cut(named.join(many, "key"))
+    return named.join(many, "key")
 
 
 def _met(postings: DataFrame, heads: DataFrame, edits: int) -> DataFrame:
@@ -220,23 +196,26 @@ def line_links(lines: DataFrame, edits: int, edit_chars: int | None = None) -> D
 
     Not every such pair, but links that join the same lines to components as all of them would.
     """
-    left = postings = _postings(lines, _levels(edits, edit_chars))
+    left, texts = _postings_and_texts(lines, _levels(edits, edit_chars))
+    rows = left.count()
     least = F.min(F.struct("id", "sign")).alias("head")
-    heads, links = cut(postings.where("own").groupBy("key").agg(least)), None
+    heads, links = cut(few(left.where("own").groupBy("key").agg(least), rows)), None
     for _ in range(HEADS):
-        found = _verified(lines, _met(left, heads, edits), edits, edit_chars)
-        links = found if links is None else cut(links.union(found))
-        left = _open(left.select("key", "id", "own", "sign"), links)
+        found = _verified(texts, _met(left, heads, edits), edits, edit_chars)
+        links = few(found if links is None else cut(links.union(found)), rows)
+        left = cut(few(_open(left.select("key", "id", "own", "sign"), links), rows))
         if left.isEmpty():
             return links
         # the next heads: the smallest indexed lines outside the components of the last ones
         last = heads.select("key", F.col("head.id").alias("head"))
         of = left.join(last, "key").where("id = head").select("key", F.col("root").alias("head_root")).distinct()
-        heads = cut(left.join(of, "key").where("own and root <> head_root").groupBy("key").agg(least))
+        heads = cut(few(left.join(of, "key").where("own and root <> head_root").groupBy("key").agg(least), rows))
+    # the texts of a key's lines meet once a key, those that are linked alone leave the join
+    left = left.join(texts, "id")
     a, b = left.where("own").alias("a"), left.alias("b")
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.id") != F.col("b.id"))
-                  & _near("a.sign", "b.sign", edits)).select(*_pair("a.id", "b.id"))
-    return links.union(_verified(lines, rest, edits, edit_chars))
+    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & (~F.col("b.own") | (F.col("a.id") < F.col("b.id")))
+                  & _near("a.sign", "b.sign", edits) & _linked("a.line", "b.line", edits, edit_chars))
+    return links.union(cut(rest.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()))
 
 
 def line_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = 3,

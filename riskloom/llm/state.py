@@ -53,6 +53,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few(df: DataFrame, rows: int, each: int = 200_000) -> DataFrame:
+    """``df`` of about ``rows`` rows in no more partitions than they need: a small table makes no file for each shuffle partition."""
+    return df.coalesce(1 + rows // each)
+
+
 def smallest_hashes(df: DataFrame, key: Column, ties: list[str], rows: int, most: int) -> DataFrame:
     """The ``most`` of the ``rows`` rows of ``df`` with the smallest hash; about that many leave all tasks together.
 

@@ -135,3 +135,17 @@ def test_a_key_with_lines_beyond_the_threshold_is_searched_whole(table):
     docs = [(k, "the very same beginning of it all " + (t if k % 2 == 0 else t[:10] + "#" + t[11:])) for k, t in enumerate(t for t in tails for _ in range(2))]
     got = {r["doc_id"]: r["cluster_doc"] for r in L.line_clusters(table(docs), edits=2, min_chars=16, edit_chars=None).collect()}
     assert got == {k: k - k % 2 for k in got}
+
+
+def test_a_line_has_eight_keys_and_no_pairs_leave_a_join_unlinked(spark, monkeypatch):
+    """Three edits took 26 keys a line, and every pair of a key's lines took both texts along."""
+    rng = random.Random(3)
+    rows = [("".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 600))),) for _ in range(300)]
+    lines = spark.createDataFrame(rows, "line string").withColumn("chars", F.length("line"))
+    assert L._posted(lines, L._levels(3, 4)).count() < 11 * len(rows)
+    same = "the very same beginning of a long line that many others have too "
+    rows = [(same + "".join(rng.sample("abcdefghij" * 4, 40)),) for _ in range(60)]
+    lines = spark.createDataFrame(rows, "line string").withColumn("chars", F.length("line"))
+    met = []
+    monkeypatch.setattr(L, "_verified", lambda texts, pairs, *a, f=L._verified: met.append(pairs.distinct().count()) or f(texts, pairs, *a))
+    assert L.line_links(lines, 3, 4).count() == 0 and sum(met) < 8 * len(rows)
