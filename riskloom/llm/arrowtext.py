@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  #: text handled at once inside a task; one longer text is handled alone
+CHUNK_BYTES = 1 << 18  #: text handled at once inside a task, with some 8-byte numbers a byte; one longer text is handled alone
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -72,7 +72,7 @@ def smallest_hashes(df: DataFrame, key: Column, ties: list[str], rows: int, most
 _shipped: set[str] = set()
 
 
-def prepare(spark: SparkSession, rows: int = 4000, size: str = "8m") -> None:
+def prepare(spark: SparkSession, rows: int = 4000, size: str = "2m") -> None:
     """For Python tasks: bound their Arrow batches by rows and bytes, and give them this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
