@@ -394,13 +394,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .union(rows.where("cls is null").select("doc_id", F.lit(0).cast("long"), F.col("doc_id"), F.lit(None).cast("long"))))
 
 
-def _with_class(k: int, at: int):
-    """Appends the class digest to every row."""
+def _with_class(k: int, at: int, wanted):
+    """Appends the class digest to every row whose class is in the bitmap, null to the others."""
     def run(batches):
         for batch in batches:
-            cls = [int(T.set_digest(s).view(np.int64)) if len(s) else None
-                   for _, _, data, offsets in T.chunks(batch.column(at).cast(pa.string())) for s in T.shingle_sets(data, offsets, k)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cls, pa.int64())], names=[*batch.schema.names, "cls"])
+            sets = (s for _, _, data, offsets in T.chunks(batch.column(at).cast(pa.string())) for s in T.shingle_sets(data, offsets, k))
+            cls = [T.set_digest(s) if len(s) else None for s in sets]
+            keys = np.array([c or 0 for c in cls], np.uint64)
+            none = np.array([c is None for c in cls], bool) | ~in_bitmap(wanted.value, keys)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64), mask=none)], names=[*batch.schema.names, "cls"])
 
     return run
 
@@ -409,14 +411,18 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       percent: int = 80) -> DataFrame:
     """One row of ``docs`` for each component, the one with the smallest id (null last; then by class digest).
 
-    Rows without shingles are components of their own and stay, all of them.
+    Rows without shingles are components of their own and stay, all of them.  The only row of a class that links with
+    no other stays as well, so a bitmap of the other classes keeps most texts out of the shuffle.
     """
     rows, joined = _joined(docs, id_col, text_col, k, percent)
-    stays = (rows.where("cls is not null").join(joined, "cls", "left").groupBy(F.coalesce("comp", "cls").alias("comp"))
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "cls")).alias("x"))
+    classes = cut(rows.where("cls is not null").groupBy("cls")
+                  .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("low"), F.count("*").alias("times"))
+                  .join(joined, "cls", "left"))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(classes.where("times > 1 or comp is not null"), F.col("cls")))
+    stays = (classes.groupBy(F.coalesce("comp", "cls").alias("comp")).agg(F.min(F.struct("low.none", "low.doc_id", "cls")).alias("x"))
              .select(F.col("x.doc_id").alias("_doc"), F.col("x.cls").alias("_cls")))
     own, ident = unused(docs, "cls"), F.col(id_col).cast("long")
-    marked = map_rows(docs, _with_class(k, docs.columns.index(text_col)), (StructField(own, LongType()),))
+    marked = map_rows(docs, _with_class(k, docs.columns.index(text_col), wanted), (StructField(own, LongType()),))
     stays = stays.withColumnsRenamed({"_doc": unused(docs, "_doc"), "_cls": unused(docs, "_cls")})
     kept = (marked.where(F.col(own).isNotNull()).dropDuplicates([id_col, own])
             .join(stays, (F.col(own) == stays[stays.columns[1]]) & ident.eqNullSafe(stays[stays.columns[0]]), "left_semi"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from riskloom.llm import jaccard_join as J
 
@@ -89,3 +91,20 @@ def test_a_batch_of_texts_takes_bounded_memory_in_a_worker():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n > 400_000 and peak < 30e6
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark, table, sentence):
+    """Texts that no other row shares or links with pass straight through; the odd rows among them are settled as before."""
+    alone = [(i, sentence(400, 20_000 + i)) for i in range(120)]
+    twice = [(500, sentence(400, 30_000)), (501, sentence(400, 30_000) + " end"), (502, sentence(400, 30_001)), (502, sentence(400, 30_001))]
+    odd_ids = [(None, sentence(400, 30_002)), (None, sentence(400, 30_003)), (None, sentence(400, 30_003)), (600, None)]
+    docs = table(alone + twice + odd_ids)
+    kept = J.one_per_component(docs).cache()
+    ids = sorted((r[0] is None, r[0] or 0) for r in kept.select("doc_id").collect())
+    assert ids == [(False, i) for i in range(120)] + [(False, i) for i in (500, 502, 600)] + [(True, 0)] * 2
+    assert kept.distinct().count() == kept.count()
+
+    at = spark.sparkContext.broadcast(np.zeros(1 << 4, np.uint64))
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in alone])], names=["text"])
+    (out,) = J._with_class(5, 0, at)(iter([batch]))
+    assert out.column(1).null_count == len(alone)
