@@ -659,13 +659,15 @@ def q_logistic_woe(spark, d):
     from riskloom.operators.folds import stratified_folds
     from riskloom.operators.stats import standardize
     from riskloom.operators.train import cross_validate, logistic_l2
+    from riskloom.session import cut_lineage
     app, model = _woe_model(spark, d)
     w = woe_transform(app, model)
     feats = [c for c in w.columns if c.endswith("_BIN_WOE")]
-    w = standardize(w.select("SK_ID_CURR", "split", "TARGET", *feats), feats)
+    w = cut_lineage(w.select("SK_ID_CURR", "split", "TARGET", *feats))  # read for the statistics and for both row sets
+    w = standardize(w, feats)
     tr = w.where(F.col("split") == "train").join(
         stratified_folds(_train_app(spark, d)).select("SK_ID_CURR", "fold"), "SK_ID_CURR")
-    r = cross_validate(tr, feats, logistic_l2(C=1.0), test=w.where(F.col("split") == "test"))
+    r = cross_validate(tr, feats, logistic_l2(C=1.0), test=w.where(F.col("split") == "test"), parallelism=5)  # no fold waits for another
     return _oof_and_test(r)
 
 

@@ -429,7 +429,7 @@ def fit_woe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] =
     edges = edges_of_counts(values, numeric, q_max, q_min, min_bin)
     told = df.sparkSession.createDataFrame([(c, edges[c]) for c in numeric], "feature string, e array<double>")  # one row per column
     upper = F.slice("e", 2, F.size("e") - 2)  # inner edges: a bin is the number of them below the value
-    place = F.size(F.filter(upper, lambda x: x < F.col("num")))
+    place = _below(upper, F.col("num"))
     label = (F.when(F.col("cat") == MISSING, CATEGORY_GAP).when(F.col("cat").isNotNull(), F.col("cat"))
              .when(F.col("num").isNull(), "NA").when(F.col("e").isNull(), "ALL").otherwise(F.concat(F.lit("b"), place.cast("string"))))
     cells = (counts.where("w > 0").join(F.broadcast(told), "feature", "left")
@@ -438,6 +438,11 @@ def fit_woe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] =
                     cut_lineage(_woe_of_cells(cells, alpha).withColumn("feature", F.concat("feature", F.lit(suffix)))))
 
 
+def _below(edges: Column, x: Column) -> Column:
+    """The number of edges below ``x``."""
+    return F.size(F.filter(edges, lambda e: e < x))
+
+
 def woe_transform(df: DataFrame, model: WoeModel, bin_suffix: str = "_BIN", suffix: str = "_WOE") -> DataFrame:
     """``{column}{bin_suffix}{suffix}`` for train and test rows; bins without train rows -> 0 (the global WOE).
 
@@ -453,11 +458,15 @@ def woe_transform(df: DataFrame, model: WoeModel, bin_suffix: str = "_BIN", suff
     out, large = [], []
     for c in model.numeric:
         woe, e, x = told[of[c]], model.edges[c], F.col(c).cast("double")
-        value = F.when(x.isNull(), F.lit(woe.get("NA", 0.0)))
-        for i, top in enumerate((e or [None, None])[1:-1]):
-            value = value.when(x <= F.lit(top), F.lit(woe.get(f"b{i}", 0.0)))
-        last = woe.get("ALL", 0.0) if e is None else woe.get(f"b{len(e) - 2}", 0.0)
-        out.append(value.otherwise(F.lit(last)).alias(f"{of[c]}{suffix}"))
+        if e is None:
+            value = F.lit(woe.get("ALL", 0.0))
+        else:
+            # looked up by the number of inner edges below the value: a branch per bin of all columns would make a
+            # method too long for the JIT compiler
+            by_bin = F.array(*[F.lit(woe.get(f"b{i}", 0.0)) for i in range(len(e) - 1)])
+            tops = F.array(*[F.lit(float(top)) for top in e[1:-1]]).cast("array<double>")
+            value = F.element_at(by_bin, _below(tops, x) + 1)
+        out.append(F.when(x.isNull(), F.lit(woe.get("NA", 0.0))).otherwise(value).alias(f"{of[c]}{suffix}"))
     for c in model.categorical:
         key = F.coalesce(F.col(c).cast("string"), F.lit(CATEGORY_GAP))
         if of[c] in told:

@@ -186,15 +186,16 @@ def standardize(df: DataFrame, columns: Sequence[str], fit_df: DataFrame | None
     """(x - mean) / population sd, fitted on ``fit_df``; sd 0 -> divisor 1."""
     fit_df = df if fit_df is None else fit_df
     s = fit_df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_mu_{c}") for c in columns],
-                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"_sd_{c}") for c in columns]) \
-        .withColumn("_j", F.lit(0))
+                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"_sd_{c}") for c in columns])
+    # divisors are made in the one row of statistics, not for every row
+    divisor = {c: F.when(F.coalesce(F.col(f"_sd_{c}"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}")) for c in columns}
+    s = s.select(*[f"_mu_{c}" for c in columns], *[divisor[c].alias(f"_sd_{c}") for c in columns], F.lit(0).alias("_j"))
     out = df.withColumn("_j", F.lit(0)).join(F.broadcast(s), "_j")
     res = []
     for c in df.columns:
         if c in columns:
-            sd = F.when(F.coalesce(F.col(f"_sd_{c}"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}"))
             num = F.col(c) - F.col(f"_mu_{c}") if center else F.col(c)
-            res.append((num / sd).alias(c + suffix))
+            res.append((num / F.col(f"_sd_{c}")).alias(c + suffix))
             if suffix:
                 res.append(F.col(c))
         else:

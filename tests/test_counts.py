@@ -141,3 +141,33 @@ def test_dense_dummies_have_a_bound(spark, monkeypatch):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
     with pytest.raises(ValueError, match="onehot_sparse"):
         E.onehot_categories(df, ["c"], None)
+
+
+def test_woe_of_many_columns_is_looked_up_in_short_methods(spark):
+    import re
+
+    from riskloom.operators.encode import WoeModel
+    rng = np.random.default_rng(5)
+    cols = [f"c{i}" for i in range(30)]
+    edges = {c: sorted(rng.normal(size=11).tolist()) for c in cols}
+    edges["c1"] = None
+    cells = [(f"{c}_BIN", b, float(rng.normal())) for c in cols for b in ("NA", "ALL", *[f"b{i}" for i in range(10) if i != 4])]
+    model = WoeModel(tuple(cols), (), edges, spark.createDataFrame(cells, "feature string, bin string, woe double"))
+    values = [None, float("nan"), -0.0, 0.0, -9.0, 9.0, *edges["c0"], *rng.normal(size=20).tolist()]
+    df = spark.createDataFrame([(i, *[v] * len(cols)) for i, v in enumerate(values)], ", ".join(["SK_ID_CURR long", *[f"{c} double" for c in cols]])).repartition(2)
+    out = E.woe_transform(df, model)
+    told = {(f, b): w for f, b, w in cells}
+
+    def bin_of(c, x):
+        if x is None:
+            return "NA"
+        if edges[c] is None:
+            return "ALL"
+        return f"b{next((i for i, top in enumerate(edges[c][1:-1]) if x <= top), 9)}"
+
+    for r in out.collect():
+        for c in cols:
+            assert r[f"{c}_BIN_WOE"] == told.get((f"{c}_BIN", bin_of(c, values[r["SK_ID_CURR"]])), 0.0)
+    # a method of more than 8,000 bytes is not compiled by the JVM
+    text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "codegen")
+    assert max(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8_000
