@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import annuity_rate, bround_int, ieee_div
+from ..session import cut_lineage, level
 
 ID = "SK_ID_CURR"
 
@@ -50,18 +51,20 @@ def rebuilt_term_block(prev: DataFrame, app: DataFrame, num_trees: int = 30, max
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    tr = term_features(prev.where(F.col("CNT_PAYMENT").isNotNull())
-                       .withColumn("CNT_PAYMENT", F.col("CNT_PAYMENT").cast("int")))
+    past = prev.where(F.col("CNT_PAYMENT").isNotNull()).select(
+        ID, "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", F.col("CNT_PAYMENT").cast("int").alias("CNT_PAYMENT"))
+    tr = term_features(level(past))  # a forest goes over its parts a dozen times
     # same fill on both sides (reference bug: scored rows were left unfilled)
     tr = tr.fillna(-1.0, subset=TERM_FEATURES)
     sc = term_features(app).fillna(-1.0, subset=TERM_FEATURES)
     idx = StringIndexer(inputCol="_term", outputCol="_label", stringOrderType="alphabetAsc").fit(
-        tr.withColumn("_term", F.col("CNT_PAYMENT").cast("string")))
+        past.select(F.col("CNT_PAYMENT").cast("string").alias("_term")))
     labels = [int(x) for x in idx.labels]
     va = VectorAssembler(inputCols=TERM_FEATURES, outputCol="_f", handleInvalid="keep")
     train = va.transform(idx.transform(tr.withColumn("_term", F.col("CNT_PAYMENT").cast("string"))))
+    # read for the class count, the splits and the bagged points
     model = RandomForestClassifier(featuresCol="_f", labelCol="_label", numTrees=num_trees, maxDepth=max_depth,
-                                   seed=seed).fit(train)
+                                   seed=seed).fit(cut_lineage(train.select("_label", "_f")))
     scored = model.transform(va.transform(sc)).select(ID, "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE",
                                                        vector_to_array("probability").alias("_p"))
     return implied_rates(scored, labels)

@@ -61,3 +61,27 @@ def test_a_compact_scan_is_spread_and_a_fitted_frame_has_few_parts(spark, tmp_pa
     assert frame.rdd.getNumPartitions() == cores and frame.count() == 1000
     monkeypatch.setattr(session, "MOST_ROWS_A_PART", 1000 // (2 * cores))
     assert cores < session.fit_frame(scan.repartition(4 * cores, "id")).rdd.getNumPartitions() <= 4 * cores
+
+
+def test_parts_of_a_scan_that_hold_most_rows_are_levelled(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(session, "ROWS_TO_SPREAD", 100)
+    n = 4_000
+    pq.write_table(pa.table({"id": [None if i % 7 == 0 else i for i in range(n)], "x": [float(i % 10) for i in range(n)]}), tmp_path / "one.parquet", row_group_size=n)
+    monkeypatch.setattr(session, "MOST_ROWS_A_PART", n)
+    scan = spark.read.parquet(str(tmp_path / "one.parquet"))
+    by_part = lambda d: [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(by_part(scan)) == n  # one row group is read by one task
+    cores = spark.sparkContext.defaultParallelism
+    out = session.level(scan)
+    # nulls and equal values of one column do not gather rows: whole rows are dealt; equal rows (571 ids are null, 10 values) stay together
+    assert max(by_part(out)) <= n / cores + n / 7
+    assert sorted(map(str, out.collect())) == sorted(map(str, scan.collect()))
+    assert [r for p in out.rdd.glom().collect() for r in p] == [r for p in session.level(scan).rdd.glom().collect() for r in p]
+    monkeypatch.setattr(session, "MOST_ROWS_A_PART", n // (3 * cores))
+    assert session.level(scan).rdd.getNumPartitions() == 3 * cores + (cores if n % (3 * cores) else 0)
+    even = scan.repartition(cores, "id", "x")
+    assert session.level(even.where("id is not null")).rdd.getNumPartitions() == cores
+    assert session.level(scan.limit(50)).rdd.getNumPartitions() == 1
