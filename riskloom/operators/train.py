@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, fit_frame
+from ..session import cut_lineage, fit_frame, fit_room
 from .stats import auc_by_group
 
 
@@ -76,6 +76,13 @@ def at_once(spark, jobs: Sequence[Callable], parallelism: int) -> list:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
+def vector_bytes(rows: DataFrame, col: str = "features") -> float:
+    """Bytes that a fit caches for a row, as far as the first rows tell: its vector, label and weight."""
+    seen = [r[0] for r in rows.select(col).take(100)]
+    held = [12 * len(v.indices) if hasattr(v, "indices") else 8 * len(v) for v in seen if v is not None]
+    return 16 + sum(held) / max(1, len(held))
+
+
 def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimator: Callable,
                    id_col: str = "SK_ID_CURR", label: str = "TARGET", fold: str = "fold",
                    test: DataFrame | None = None, weight_col: str | None = None,
@@ -94,7 +101,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
     training part (K4/K5).
     ``fold_filter(k)`` (optional) says which rows fold k's model learns from; every row is
     scored all the same.
-    ``parallelism`` folds are fitted side by side, each by its own Spark jobs.
+    ``parallelism`` folds are fitted side by side, each by its own Spark jobs, as far as ``fit_room`` has
+    memory for the rows that each fit caches; several runs at a time share that room.
     ``early_stop`` hands the held-out fold to the estimator as its validation
     part (L8; the estimator must have a ``validationIndicatorCol``).
     ``prepared``: ``train`` is already assembled and checkpointed, with the vector
@@ -116,7 +124,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
         cols = [id_col, label, fold, *features] + wsel
         data = fit_frame(assemble(train.select(*cols), features).withColumn(label, F.col(label).cast("double")))
         tst = cut_lineage(assemble(test.select(id_col, *features), features)) if test is not None else None
-    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    held = {r[0]: r[1] for r in data.groupBy(fold).agg(F.count(F.lit(1))).collect()}  # a row per fold
+    folds, row = sorted(held), vector_bytes(data)
     score = score or (lambda m, d: m.transform(d).withColumn("pred", _p1()))
     oof_parts, test_parts, aucs, imps = [], [], [], []
 
@@ -130,7 +139,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] | str, make_estimat
             fit_part = fit_part.where(fold_filter(k) if not early_stop else fold_filter(k) | F.col("_held"))
         if fold_weight is not None:
             fit_part = fit_part.withColumn(weight_col, fold_weight(k).cast("double"))
-        return fitted(est, fit_part)
+        with fit_room(train.sparkSession, row * (sum(held.values()) - (0 if early_stop else held[k]))):
+            return fitted(est, fit_part)
 
     models = at_once(train.sparkSession, [lambda k=k: fit(k) for k in folds], parallelism)
     for k, model in zip(folds, models):
@@ -405,10 +415,11 @@ def imbalance_runs(train: DataFrame, features: Sequence[str], factory: Callable,
     All strategies change the fold's training part alone and every row is scored: auto_weight weighs
     positives min(N/P, cap) (K4), scale_pos_weight by a fixed number (K5), balanced both classes n / (2 n_class)
     (K6), undersample learns from all positives and ratio x P negatives (K3).  N, P and n are counted on
-    each fold's own training part, by one grouped count (a row per fold).
+    each fold's own training part, by one grouped count (a row per fold).  Strategies and their folds are fitted
+    side by side as far as ``fit_room`` has memory for the rows that each fit caches.
     """
     from .folds import fold_class_counts, fold_undersample
-    rows = train.select(id_col, label, fold, *features)
+    rows = cut_lineage(train.select(id_col, label, fold, *features))  # read for the counts, for the places and for the rows to keep
     rows = fold_undersample(rows, id_col, label, fold, ratio, out="_keep_for")
     data = fit_frame(assemble(rows, features).select(id_col, label, fold, "_keep_for", "features")
                        .withColumn(label, F.col(label).cast("double")))

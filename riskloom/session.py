@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +99,38 @@ def fit_frame(df: DataFrame) -> DataFrame:
     """
     out = cut_lineage(df)
     return out.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-out.count() // MOST_ROWS_A_PART)))
+
+
+def cache_bytes(spark: SparkSession) -> int:
+    """Bytes that all executors together have for cached rows and running tasks (the driver's own in local mode alone)."""
+    sc = spark.sparkContext._jsc.sc()
+    held, each = {}, sc.getExecutorMemoryStatus().iterator()
+    while each.hasNext():
+        entry = each.next()
+        held[entry._1()] = entry._2()._1()
+    if len(held) > 1:
+        driver = sc.env().blockManager().blockManagerId()
+        held.pop(f"{driver.host()}:{driver.port()}", None)
+    return sum(held.values())
+
+
+_fits = threading.Condition()
+_fit_bytes: list[float] = []  #: of the fits that run now
+
+
+@contextmanager
+def fit_room(spark: SparkSession, size: float):
+    """Held by a fit that keeps ``size`` bytes cached while it runs.
+
+    A fit caches a copy of its rows.  It waits as long as the copies of all that run, its own included, would pass half
+    of what the executors have for cached rows and tasks; where none runs, it need not wait.
+    """
+    with _fits:
+        _fits.wait_for(lambda: not _fit_bytes or sum(_fit_bytes) + size <= cache_bytes(spark) / 2)
+        _fit_bytes.append(size)
+    try:
+        yield
+    finally:
+        with _fits:
+            _fit_bytes.remove(size)
+            _fits.notify_all()

@@ -248,3 +248,60 @@ def test_logistic_models_score_after_an_observation(spark):
     assert seen.get == {"n": 200}
     oof = cross_validate(df, ["x1", "x2"], logistic_l2(C=1.0, max_iter=5)).oof
     assert oof.count() == 200 and platt_calibrate(oof)[1].where("prob is not null").count() == 200
+
+
+def test_fits_at_once_keep_to_the_memory_for_cached_rows(spark, monkeypatch):
+    """Each fit caches its rows: strategies times folds must not all run where the executors cannot hold so many copies."""
+    import threading
+    import time
+
+    from riskloom import session
+    from riskloom.operators.train import imbalance_runs
+    lock, now, seen = threading.Lock(), [0], []
+
+    def counted(fc, lc, wc):
+        est = logistic_l2(C=1.0, max_iter=2)(fc, lc, wc)
+
+        class Counted:
+            def fit(self, rows):
+                with lock:
+                    now[0] += 1
+                    seen.append(now[0])
+                try:
+                    time.sleep(0.2)
+                    return est.fit(rows)
+                finally:
+                    with lock:
+                        now[0] -= 1
+        return Counted()
+
+    pdf = _imbalanced(600)
+    df = spark.createDataFrame(pdf.assign(fold=pdf.SK_ID_CURR % 3))
+    one = 400 * (16 + 2 * 8)  # label, weight and two features of the rows outside a fold
+    assert session.cache_bytes(spark) > 100 * one  # local mode: the driver's own
+    for room, most in ((0, 1), (2 * one, 2), (1000 * one, None)):
+        seen.clear()
+        monkeypatch.setattr(session, "cache_bytes", lambda spark, room=room: 2 * room)
+        runs = imbalance_runs(df, ["x1", "x2"], counted, strategies=("none", "balanced"))
+        assert len(seen) == 6 and all(r.oof.count() == 600 for r in runs.values())
+        assert max(seen) == most if most else max(seen) > 2
+
+
+def test_vector_bytes_of_dense_and_sparse_rows(spark):
+    from pyspark.ml.linalg import Vectors
+    from riskloom.operators.train import vector_bytes
+    rows = [(Vectors.dense([1.0, 2.0, 3.0]),), (Vectors.sparse(1000, [5], [1.0]),), (None,)]
+    assert vector_bytes(spark.createDataFrame(rows, ["features"])) == 16 + (24 + 12) / 2
+    assert vector_bytes(spark.createDataFrame(rows[:1], ["features"]).where("false")) == 16
+
+
+def test_rows_of_both_classes_come_from_one_reading(spark):
+    """Statistics of a frame read twice differ in their last digits; one class from each reading would tell the label."""
+    import time
+
+    from riskloom.operators.train import imbalance_runs
+    start = time.time()
+    clock = F.udf(lambda: time.time() - start, "double").asNondeterministic()
+    pdf = _imbalanced(300).assign(TARGET=(np.random.default_rng(5).random(300) < 0.3).astype(int))
+    df = spark.createDataFrame(pdf).withColumn("x1", clock())
+    assert imbalance_runs(df, ["x1"], logistic_l2(C=1e6, max_iter=20), strategies=("none",))["none"].oof_auc < 0.8
